@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shardloom.operators.prefix import exclusive_fold, row_position
+from shardloom.session import cut_lineage
 from shardloom.spec import BYTES_PER_TOKEN, SHARD_NAME, SHARD_PATTERN
 
 GROUP = ["mix_source", "split"]
@@ -154,7 +155,8 @@ def shards_greedy(docs: DataFrame, size: int, bits: int = 16, segment_shards: in
                   fan_in: int = FAN_IN, levels: int = LEVELS) -> DataFrame:
     """Exact fill: append whole documents, close the shard once it holds ``size`` tokens, start anew.
 
-    Adds ``start_tok`` and ``shard``, counted from 0 per source and split.
+    Adds ``start_tok`` and ``shard``, counted from 0 per source and split. The maps, one row per possible
+    entry, are written as they are made.
     """
     width = size * segment_shards
     placed = with_start(docs, bits)
@@ -164,11 +166,11 @@ def shards_greedy(docs: DataFrame, size: int, bits: int = 16, segment_shards: in
         *GROUP, "ord", "n_tokens", "start_tok",
         F.explode(F.when(in_head, F.array(segment, segment - 1)).otherwise(F.array(segment))).alias("node"),
     )
-    maps, widths = [viewed.groupBy(*_KEYS).applyInPandas(_segment_map(size, width), _MAP)], [width]
+    maps, widths = [cut_lineage(viewed.groupBy(*_KEYS).applyInPandas(_segment_map(size, width), _MAP))], [width]
     for _ in range(levels):
         lifted = maps[-1].withColumnRenamed("node", "child").withColumn("node", F.expr(f"child div {fan_in}"))
         widths.append(widths[-1] * fan_in)
-        maps.append(lifted.groupBy(*_KEYS).applyInPandas(_compose(widths[-1]), _MAP))
+        maps.append(cut_lineage(lifted.groupBy(*_KEYS).applyInPandas(_compose(widths[-1]), _MAP)))
 
     entries = maps.pop().groupBy(*GROUP).applyInPandas(_root_entries, _ENTRY)
     while maps:
@@ -189,33 +191,38 @@ def shards_greedy(docs: DataFrame, size: int, bits: int = 16, segment_shards: in
 
 
 def shard_totals(docs: DataFrame) -> DataFrame:
-    """Tokens, documents and key range of every shard."""
+    """Tokens, documents, key range and first token position of every shard."""
     return docs.groupBy("mix_source", "source_ord", "split", "shard").agg(
         F.sum("n_tokens").alias("num_tokens"), F.count(F.lit(1)).alias("n_docs"),
-        F.min("ord").alias("min_ord"), F.max("ord").alias("max_ord"),
+        F.min("ord").alias("min_ord"), F.max("ord").alias("max_ord"), F.min("start_tok").alias("shard_start"),
     )
 
 
 def number_shards(totals: DataFrame, size: int, bits: int = 16) -> DataFrame:
     """Add ``shard_idx``: one counter for the run, shared by both splits, continuing over the sources.
 
-    Full shards are numbered by the key of the document that closed them; the unfilled tails of a source
-    follow, train first. A source without shards does not advance the counter.
+    Shards are numbered by the key of the document that closed them; the unfilled last ones of a source
+    follow, train first. A source without shards does not advance the counter. The shard table is written
+    first, so that the pass over the documents runs once.
     """
-    marked = totals.withColumn("is_tail", F.col("num_tokens") < size)
-    full = row_position(marked.filter(~F.col("is_tail")), ["mix_source"], "max_ord", "pos", bits)
+    totals = cut_lineage(totals)
+    last = totals.groupBy("mix_source", "split").agg(F.max("shard").alias("last_shard"))
+    marked = totals.join(F.broadcast(last), GROUP).withColumn(
+        "is_tail", (F.col("shard") == F.col("last_shard")) & (F.col("num_tokens") < size)
+    )
+    closed = row_position(marked.filter(~F.col("is_tail")), ["mix_source"], "max_ord", "pos", bits)
     per_source = marked.groupBy("mix_source", "source_ord").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(~F.col("is_tail")).alias("n_full"),
+        F.count(F.lit(1)).alias("n"), F.count_if(~F.col("is_tail")).alias("n_closed"),
         F.count_if(F.col("is_tail") & (F.col("split") == "train")).alias("n_train_tail"),
     )
     before = Window.partitionBy(F.lit(0)).orderBy("source_ord").rowsBetween(Window.unboundedPreceding, -1)
     base = per_source.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("source_ord", "n")
     tail = marked.filter("is_tail").withColumn("pos", F.lit(None).cast("long"))
-    tail_pos = F.col("n_full") + F.when(F.col("split") == "val", F.col("n_train_tail")).otherwise(0)
+    tail_pos = F.col("n_closed") + F.when(F.col("split") == "val", F.col("n_train_tail")).otherwise(0)
     return (
-        full.unionByName(tail).join(F.broadcast(base), "mix_source")
+        closed.unionByName(tail).join(F.broadcast(base), "mix_source")
         .withColumn("shard_idx", (F.col("base") + F.coalesce("pos", tail_pos)).cast("int"))
-        .drop("base", "n_full", "n_train_tail", "pos", "is_tail")
+        .select(*totals.columns, "shard_idx")
     )
 
 

@@ -170,10 +170,10 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 def manifest_entries(row: DataFrame, base: str | None = None) -> DataFrame:
     """One row per listed shard. With ``base``, relative paths become base + file name, absolute ones stay."""
-    both = F.concat(*[
-        F.transform(f"{s}_shards", lambda e, s=s: F.struct(F.lit(s).alias("split"), e.alias("e")))
-        for s in ("train", "val")
-    ])
+    def tagged(split: str) -> Column:
+        return F.transform(f"{split}_shards", lambda e: F.struct(F.lit(split).alias("split"), e.alias("e")))
+
+    both = F.concat(tagged("train"), tagged("val"))
     rows = row.select(F.explode(both).alias("x")).select("x.split", "x.e.*")
     if base is None:
         return rows

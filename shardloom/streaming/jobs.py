@@ -1,6 +1,6 @@
 """Incremental twins of the batch operators, as Structured Streaming jobs.
 
-Every job runs with ``availableNow`` and its own checkpoint directory, so a stopped job continues where it was.
+Every job runs to the end of its input with its own checkpoint directory, so a stopped job continues where it was.
 """
 
 from __future__ import annotations
@@ -28,20 +28,25 @@ def file_stream(spark: SparkSession, directory: str, schema, pattern: str | None
     return reader.parquet(directory)
 
 
-def run_to_table(stream: DataFrame, out: str, checkpoint: str) -> None:
-    """Process everything available and append it to a parquet table, exactly once per checkpoint."""
+def run_to_table(stream: DataFrame, out: str, checkpoint: str, one_batch: bool = False) -> None:
+    """Process everything available and append it to a parquet table, exactly once per checkpoint.
+
+    ``one_batch`` is for queries with processing-time timeouts: with those, ``availableNow`` never ends.
+    """
+    trigger = {"once": True} if one_batch else {"availableNow": True}
     query = (
         stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
-        .outputMode("append").trigger(availableNow=True).start()
+        .outputMode("append").trigger(**trigger).start()
     )
     query.awaitTermination()
 
 
-def ingest(stream: DataFrame, label: str = "ingest", out: str | None = None, checkpoint: str | None = None) -> DataFrame:
+def ingest(stream: DataFrame, label: str = "ingest", out: str | None = None, checkpoint: str | None = None,
+           one_batch: bool = False) -> DataFrame:
     """Run a stateless or append-mode stream to its end and read the resulting table."""
     spark = stream.sparkSession
     out = out or scratch_path(spark, label)
-    run_to_table(stream, out, checkpoint or scratch_path(spark, label + "-state"))
+    run_to_table(stream, out, checkpoint or scratch_path(spark, label + "-state"), one_batch)
     return spark.read.schema(stream.schema).parquet(out)
 
 
