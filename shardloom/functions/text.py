@@ -7,24 +7,19 @@ from pyspark.sql import functions as F
 
 from shardloom.spec import CHAT_ROLES, SPECIAL_TOKENS
 
-# The published byte-level word pattern and the white space that Python's strip() removes.
+# Fixed value: the published byte-level word pattern.
 WORD_PATTERN = r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_BLANK = r"[\s\x1c-\x1f]"
 
 SPECIAL_PATTERN = "|".join(t.replace("|", r"\|") for t in SPECIAL_TOKENS)
 
 
-def stripped_length(text: Column) -> Column:
-    """Code points left after stripping; the look-behind keeps long inner blanks linear."""
-    return F.length(F.regexp_replace(text, rf"(?U)^{_BLANK}++|(?<!{_BLANK}){_BLANK}++$", ""))
-
-
 def long_enough(text: Column, min_chars: int) -> Column:
-    """True for texts of at least ``min_chars`` stripped characters; null texts give false.
+    """True for texts of at least ``min_chars`` (2 or more) code points after stripping; null gives false.
 
-    A text whose raw length is too small needs no stripping.
+    Looks for two non-blank characters far enough apart, which the first few characters mostly settle.
     """
-    return F.coalesce((F.length(text) >= min_chars) & (stripped_length(text) >= min_chars), F.lit(False))
+    solid = r"[^\s\x1c-\x1f]"
+    return F.coalesce(text.rlike(f"(?sU){solid}.{{{min_chars - 2},}}?{solid}"), F.lit(False))
 
 
 def render_chat(messages: Column) -> Column:

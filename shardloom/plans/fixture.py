@@ -9,6 +9,7 @@ from shardloom.operators import shards as sh
 from shardloom.operators.encode import count_bytes, encode_bytes, frame
 from shardloom.operators.pack import assign_workers, reading_order, shard_list
 from shardloom.operators.split import with_split
+from shardloom.session import as_written
 from shardloom.sources.readers import read_mixture, with_min_length
 from shardloom.spec import MIN_CHARS_CORPUS, Mixture, SourceSpec
 
@@ -51,16 +52,26 @@ def counted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("mix_source", "source_ord", "ord", "split", "n_tokens")
 
 
+def counted_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``counted`` as a written table: planning reads a few bytes per document and the text only once."""
+    return as_written(counted(spark, sf_dir), "counted")
+
+
 def encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with split and framed byte ids, without text."""
     docs = with_split(frame(encode_bytes(corpus(spark, sf_dir))), VAL_FRACTION, SEED)
     return docs.select("mix_source", "source_ord", "ord", "split", "n_tokens", "ids")
 
 
-def numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+def encoded_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``encoded`` as a written table: shards are planned on its narrow columns, ids are read at the end."""
+    return as_written(encoded(spark, sf_dir), "encoded")
+
+
+def numbered(docs: DataFrame) -> DataFrame:
     """Shards of the parallel fill with their run-wide index."""
-    totals = sh.shard_totals(sh.shards_by_offset(counted(spark, sf_dir), SHARD_SIZE))
-    return sh.number_shards(totals, SHARD_SIZE)
+    thin = docs.select("mix_source", "source_ord", "ord", "split", "n_tokens")
+    return sh.number_shards(sh.shard_totals(sh.shards_by_offset(thin, SHARD_SIZE)), SHARD_SIZE)
 
 
 def entries(shards: DataFrame) -> DataFrame:
@@ -71,10 +82,9 @@ def entries(shards: DataFrame) -> DataFrame:
     )
 
 
-def lanes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shards with their reader and their place in its stream."""
-    listed = shard_list(numbered(spark, sf_dir))
-    return reading_order(assign_workers(listed, WORKERS, RANKS), SEED)
+def lanes(shards: DataFrame) -> DataFrame:
+    """Numbered shards with their reader and their place in its stream."""
+    return reading_order(assign_workers(shard_list(shards), WORKERS, RANKS), SEED)
 
 
 def steps(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -227,7 +227,7 @@ def budgets(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _within_budget(spark: SparkSession, d: str) -> DataFrame:
-    return sp.budget_cut(fx.counted(spark, d), _budgets(spark, d))
+    return sp.budget_cut(fx.counted_once(spark, d), _budgets(spark, d))
 
 
 @query
@@ -242,28 +242,28 @@ def split_totals(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def shards_greedy(spark: SparkSession, d: str) -> DataFrame:
-    return sh.shards_greedy(fx.counted(spark, d), fx.SHARD_SIZE).select("mix_source", "split", "ord", "shard")
+    return sh.shards_greedy(fx.counted_once(spark, d), fx.SHARD_SIZE).select("mix_source", "split", "ord", "shard")
 
 
 @query
 def shards_offset(spark: SparkSession, d: str) -> DataFrame:
-    return sh.shards_by_offset(fx.counted(spark, d), fx.SHARD_SIZE).select("mix_source", "split", "ord", "start_tok", "shard")
+    return sh.shards_by_offset(fx.counted_once(spark, d), fx.SHARD_SIZE).select("mix_source", "split", "ord", "start_tok", "shard")
 
 
 @query
 def shard_totals(spark: SparkSession, d: str) -> DataFrame:
-    totals = sh.shard_totals(sh.shards_by_offset(fx.counted(spark, d), fx.SHARD_SIZE))
+    totals = sh.shard_totals(sh.shards_by_offset(fx.counted_once(spark, d), fx.SHARD_SIZE))
     return totals.select("mix_source", "split", "shard", "num_tokens", "n_docs", "min_ord", "max_ord")
 
 
 @query
 def shard_numbering(spark: SparkSession, d: str) -> DataFrame:
-    totals = sh.shard_totals(sh.shards_greedy(fx.counted(spark, d), fx.SHARD_SIZE))
+    totals = sh.shard_totals(sh.shards_greedy(fx.counted_once(spark, d), fx.SHARD_SIZE))
     return sh.number_shards(totals, fx.SHARD_SIZE).select("mix_source", "split", "shard", "shard_idx", "num_tokens")
 
 
-def _placed(spark: SparkSession, d: str, docs: DataFrame) -> DataFrame:
-    shards = fx.numbered(spark, d).select("mix_source", "split", "shard", "shard_idx")
+def _placed(docs: DataFrame) -> DataFrame:
+    shards = fx.numbered(docs).select("mix_source", "split", "shard", "shard_idx")
     return sh.shards_by_offset(docs, fx.SHARD_SIZE).join(shards, ["mix_source", "split", "shard"])
 
 
@@ -271,20 +271,21 @@ def _placed(spark: SparkSession, d: str, docs: DataFrame) -> DataFrame:
 def shard_table(spark: SparkSession, d: str) -> DataFrame:
     """Documents written as one directory per shard and read back."""
     path = scratch_path(spark, "shards")
-    sf.write_shard_table(_placed(spark, d, fx.encoded(spark, d)), path)
+    sf.write_shard_table(_placed(fx.encoded_once(spark, d)), path)
     return sf.read_shard_table(spark, path).select(
         "mix_source", "split", "shard_idx", "ord", "n_tokens", F.md5(joined("ids")).alias("ids_md5"))
 
 
 def _exported(spark: SparkSession, d: str) -> str:
     path = scratch_path(spark, "bin")
-    sf.export_bin(_placed(spark, d, fx.encoded(spark, d)), path).write.format("noop").mode("overwrite").save()
+    files = sf.export_bin(_placed(fx.encoded_once(spark, d)), path)
+    files.write.format("noop").mode("overwrite").save()
     return path
 
 
 @query
 def export_bin(spark: SparkSession, d: str) -> DataFrame:
-    return sf.export_bin(_placed(spark, d, fx.encoded(spark, d)), scratch_path(spark, "bin"))
+    return sf.export_bin(_placed(fx.encoded_once(spark, d)), scratch_path(spark, "bin"))
 
 
 @query
@@ -312,12 +313,12 @@ def ingest_status(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def parse_shard_name(spark: SparkSession, d: str) -> DataFrame:
-    names = fx.entries(fx.numbered(spark, d)).select(F.col("path").alias("name"))
+    names = fx.entries(fx.numbered(fx.counted_once(spark, d))).select(F.col("path").alias("name"))
     return names.select("name", sh.parse_shard_name(F.col("name")).alias("s")).select("name", "s.*")
 
 
 def _manifest(spark: SparkSession, d: str) -> DataFrame:
-    return sf.manifest(fx.entries(fx.numbered(spark, d)), "tokenizer", BASE_VOCAB, fx.SHARD_SIZE, fx.VAL_FRACTION)
+    return sf.manifest(fx.entries(fx.numbered(fx.counted_once(spark, d))), "tokenizer", BASE_VOCAB, fx.SHARD_SIZE, fx.VAL_FRACTION)
 
 
 @query
@@ -336,7 +337,7 @@ def require_shards(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def resync_manifest(spark: SparkSession, d: str) -> DataFrame:
-    row = sf.resync_manifest(fx.entries(fx.numbered(spark, d)), "tokenizer", BASE_VOCAB)
+    row = sf.resync_manifest(fx.entries(fx.numbered(fx.counted_once(spark, d))), "tokenizer", BASE_VOCAB)
     paths = lambda s: F.array_join(F.col(f"{s}_shards.path"), ",").alias(f"{s}_paths")
     return row.select("vocab_size", "shard_size", "dtype", "total_train_tokens", "total_val_tokens", "val_fraction",
                       paths("train"), paths("val"))
@@ -344,20 +345,21 @@ def resync_manifest(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def select_split(spark: SparkSession, d: str) -> DataFrame:
-    return sf.select_split(fx.entries(fx.numbered(spark, d)), "val").select("split", "path", "num_tokens")
+    return sf.select_split(fx.entries(fx.numbered(fx.counted_once(spark, d))), "val").select("split", "path", "num_tokens")
 
 
 @query
 def manifest_drift(spark: SparkSession, d: str) -> DataFrame:
     """A manifest of an earlier, budgeted run against the shards of the full run."""
-    earlier = sh.shard_totals(sh.shards_by_offset(_within_budget(spark, d), fx.SHARD_SIZE))
-    listed = fx.entries(sh.number_shards(earlier, fx.SHARD_SIZE)).withColumnRenamed("path", "name")
-    return report.manifest_drift(listed, fx.entries(fx.numbered(spark, d)).withColumnRenamed("path", "name"))
+    docs = fx.counted_once(spark, d)
+    earlier = fx.numbered(sp.budget_cut(docs, _budgets(spark, d)))
+    named = lambda shards: fx.entries(shards).withColumnRenamed("path", "name")
+    return report.manifest_drift(named(earlier), named(fx.numbered(docs)))
 
 
 @query
 def size_report(spark: SparkSession, d: str) -> DataFrame:
-    totals = sh.shard_totals(sh.shards_by_offset(fx.counted(spark, d), fx.SHARD_SIZE))
+    totals = sh.shard_totals(sh.shards_by_offset(fx.counted_once(spark, d), fx.SHARD_SIZE))
     return sh.size_report(totals, ["mix_source", "split"])
 
 
@@ -369,7 +371,7 @@ def mixture_report(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def progress(spark: SparkSession, d: str) -> DataFrame:
-    return report.progress(fx.counted(spark, d), 50, _budgets(spark, d))
+    return report.progress(fx.counted_once(spark, d), 50, _budgets(spark, d))
 
 
 @query
@@ -389,46 +391,49 @@ def corpus_overview(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def worker_assign(spark: SparkSession, d: str) -> DataFrame:
-    listed = pack.shard_list(fx.numbered(spark, d))
+    listed = pack.shard_list(fx.numbered(fx.counted_once(spark, d)))
     return pack.assign_workers(listed, fx.WORKERS).select("split", "shard_idx", "pos", "worker")
 
 
 @query
 def rank_assign(spark: SparkSession, d: str) -> DataFrame:
-    listed = pack.shard_list(fx.numbered(spark, d))
+    listed = pack.shard_list(fx.numbered(fx.counted_once(spark, d)))
     return pack.assign_workers(listed, fx.WORKERS, fx.RANKS).select("split", "shard_idx", "pos", "rank", "worker")
 
 
 @query
 def shuffle_shards(spark: SparkSession, d: str) -> DataFrame:
-    return fx.lanes(spark, d).select("split", "rank", "worker", "shard_idx", "read_pos", "stream_off")
+    return fx.lanes(fx.numbered(fx.counted_once(spark, d))).select("split", "rank", "worker", "shard_idx", "read_pos", "stream_off")
 
 
 @query
 def epochs(spark: SparkSession, d: str) -> DataFrame:
-    listed = pack.assign_workers(pack.shard_list(fx.numbered(spark, d)), fx.WORKERS, fx.RANKS)
+    listed = pack.assign_workers(pack.shard_list(fx.numbered(fx.counted_once(spark, d))), fx.WORKERS, fx.RANKS)
     return pack.reading_order(pack.repeat_epochs(listed, 2), fx.SEED).select(
         "epoch", "split", "rank", "worker", "shard_idx", "read_pos")
 
 
 @query
 def sequence_count(spark: SparkSession, d: str) -> DataFrame:
-    return pack.sequence_counts(fx.numbered(spark, d), fx.SEQ_LEN, fx.RANKS)
+    return pack.sequence_counts(fx.numbered(fx.counted_once(spark, d)), fx.SEQ_LEN, fx.RANKS)
 
 
-def _sequences(spark: SparkSession, d: str) -> DataFrame:
-    docs = sh.shards_by_offset(fx.encoded(spark, d), fx.SHARD_SIZE)
-    return pack.pack_sequences(docs, fx.lanes(spark, d), fx.SEQ_LEN)
+def _sequences(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Packed sequences, the shards in reading order, and the numbered shards."""
+    docs = fx.encoded_once(spark, d)
+    shards = fx.numbered(docs)
+    lanes = fx.lanes(shards)
+    return pack.pack_sequences(sh.shards_by_offset(docs, fx.SHARD_SIZE), lanes, fx.SEQ_LEN), lanes, shards
 
 
 @query
 def pack_sequences(spark: SparkSession, d: str) -> DataFrame:
-    return _sequences(spark, d).select("split", "rank", "worker", "seq_idx", F.md5(joined("input_ids")).alias("ids_md5"))
+    return _sequences(spark, d)[0].select("split", "rank", "worker", "seq_idx", F.md5(joined("input_ids")).alias("ids_md5"))
 
 
 @query
 def next_token_pairs(spark: SparkSession, d: str) -> DataFrame:
-    labelled = pack.next_token_labels(_sequences(spark, d))
+    labelled = pack.next_token_labels(_sequences(spark, d)[0])
     return labelled.select("split", "rank", "worker", "seq_idx", F.element_at("input_ids", 1).alias("first_id"),
                            F.element_at("labels", 1).alias("first_label"),
                            F.element_at("labels", -1).isNull().alias("last_unlabelled"),
@@ -437,16 +442,16 @@ def next_token_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def batches(spark: SparkSession, d: str) -> DataFrame:
-    seqs = pack.with_batches(_sequences(spark, d), fx.lanes(spark, d), fx.SEQ_LEN, fx.BATCH)
-    return seqs.select("split", "rank", "worker", "batch_id", "seq_idx")
+    seqs, lanes, _ = _sequences(spark, d)
+    return pack.with_batches(seqs, lanes, fx.SEQ_LEN, fx.BATCH).select("split", "rank", "worker", "batch_id", "seq_idx")
 
 
 @query
 def val_cap(spark: SparkSession, d: str) -> DataFrame:
     """Validation batches to run: those below the cap."""
-    cap = pack.validation_cap(fx.numbered(spark, d), fx.SEQ_LEN, fx.BATCH).select("split", "max_batches")
-    seqs = pack.with_batches(_sequences(spark, d), fx.lanes(spark, d), fx.SEQ_LEN, fx.BATCH)
-    return seqs.join(F.broadcast(cap), "split").filter(F.col("batch_id") < F.col("max_batches")).select(
+    seqs, lanes, shards = _sequences(spark, d)
+    cap = pack.validation_cap(shards, fx.SEQ_LEN, fx.BATCH).select("split", "max_batches")
+    return pack.with_batches(seqs, lanes, fx.SEQ_LEN, fx.BATCH).join(F.broadcast(cap), "split").filter(F.col("batch_id") < F.col("max_batches")).select(
         "rank", "worker", "batch_id", "seq_idx", "max_batches")
 
 
@@ -592,7 +597,7 @@ def stream_ingest(spark: SparkSession, d: str) -> DataFrame:
 @query
 def stream_manifest(spark: SparkSession, d: str) -> DataFrame:
     """Shard entries arrive as files; the manifest follows them."""
-    entries = fx.entries(fx.numbered(spark, d))
+    entries = fx.entries(fx.numbered(fx.counted_once(spark, d)))
     landing = scratch_path(spark, "landing")
     entries.write.parquet(landing)
     out = scratch_path(spark, "follow")

@@ -26,12 +26,18 @@ def messages_from_turns(turns: DataFrame, conv: str = "conv_id", turn: str = "tu
     )
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give a source of few file splits one partition per core; larger sources stay as they are read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def scan_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     """The source as stored: only its key, its text field and, where filtered, its language are read."""
     reader = spark.read.format(spec.format).options(**spec.options)
     if spec.schema:
         reader = reader.schema(spec.schema)
-    raw = reader.load(spec.location)
+    raw = spread(reader.load(spec.location), spec.key)
     if spec.turn_rows:
         raw = messages_from_turns(raw, conv=spec.key)
     wanted = [F.col(spec.key).cast("long").alias("ord")]
