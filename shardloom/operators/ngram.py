@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shardloom.operators.metrics import perplexity_capped
 from shardloom.operators.split import unit_draw
+from shardloom.session import cut_lineage
 
 _SHIFT = 65536
 
@@ -28,9 +29,10 @@ def bigram_counts(docs: DataFrame, by: list[str]) -> DataFrame:
 def bigram_perplexity(docs: DataFrame, vocab_size: int, alpha: float = 1.0) -> DataFrame:
     """Fit on train, score validation: weighted loss and perplexity per source.
 
-    Both sides are counted before they meet, so the join sees distinct pairs, not tokens.
+    Both sides are counted before they meet, so the join sees distinct pairs, not tokens. The counts are
+    written once and used for both.
     """
-    counts = bigram_counts(docs, ["mix_source", "split"])
+    counts = cut_lineage(bigram_counts(docs, ["mix_source", "split"]))
     fit = counts.filter("split = 'train'").groupBy("prev", "next").agg(F.sum("n").alias("c"))
     context = fit.groupBy("prev").agg(F.sum("c").alias("c_prev"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))

@@ -18,7 +18,7 @@ MERGE_SCHEMA = "rank int, left_id int, right_id int, new_id int"
 VOCAB_SCHEMA = "id int, token_hex string, is_special boolean"
 
 CANDIDATES = 64
-CHECKPOINT_ROUNDS = 16
+CHECKPOINT_ROUNDS = 8
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -64,16 +64,18 @@ def best_pairs(pairs: DataFrame, limit: int) -> DataFrame:
 def _safe_run(candidates: list) -> list:
     """The leading candidates that a strictly sequential trainer would merge next, in this order.
 
-    A later candidate is safe while it shares no token with an earlier one, so that its count stands, and
+    A later candidate is safe while none of its occurrences can overlap those of an earlier one - it neither
+    starts with a token an earlier one ends in nor ends in one it starts with - so that its count stands, and
     while no pair created by an earlier merge can reach its count.
     """
-    taken, used, bound = [], set(), 0
+    taken, lefts, rights, bound = [], set(), set(), 0
     for row in candidates:
         left, right = row["pair"]
-        if row["n"] < 1 or (taken and (row["n"] <= bound or left in used or right in used)):
+        if row["n"] < 1 or (taken and (row["n"] <= bound or left in rights or right in lefts)):
             break
         taken.append((left, right))
-        used |= {left, right}
+        lefts.add(left)
+        rights.add(right)
         bound = max(bound, row["grow"])
     return taken
 
@@ -125,9 +127,11 @@ def train_merges(counts: DataFrame, vocab_size: int | None = None, max_merges: i
         or (max_merges is not None and len(merges.rows) >= max_merges)
     )
     state = cut_lineage(coded_words(counts).filter(F.length("sym") > 1))
-    held = None
+    cached: list[DataFrame] = []
     while not done():
         run = _safe_run(best_pairs(pair_counts(state), candidates).collect())
+        while len(cached) > 1:  # the newest state is now held, the ones it was made from can go
+            cached.pop(0).unpersist()
         if not run:
             break
         sym = F.col("sym")
@@ -139,15 +143,12 @@ def train_merges(counts: DataFrame, vocab_size: int | None = None, max_merges: i
         rounds += 1
         state = state.select(sym.alias("sym"), "freq").filter(F.length("sym") > 1)
         if rounds % checkpoint_rounds == 0:
-            state, previous = cut_lineage(state), held
-            held = None
+            state = cut_lineage(state)
         else:
-            state, previous = state.persist(), held
-            held = state
-        if previous is not None:
-            previous.unpersist()
-    if held is not None:
-        held.unpersist()
+            state = state.persist()
+            cached.append(state)
+    for df in cached:
+        df.unpersist()
     return merges
 
 
