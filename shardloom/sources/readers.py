@@ -106,12 +106,10 @@ def read_mixture_isolated(spark: SparkSession, mixture: Mixture,
 
 def split_bad_records(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """JSON lines read permissively: good rows, and the raw text of unreadable ones."""
-    raw = (
-        spark.read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
-        .schema(schema + ", _corrupt_record string").json(path)
-    )
-    good = raw.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-    bad = raw.filter(F.col("_corrupt_record").isNotNull()).select(
-        F.input_file_name().alias("path"), F.col("_corrupt_record").alias("record")
-    )
-    return good, bad
+    lines = spark.read.text(path).select(F.input_file_name().alias("path"), F.col("value").alias("record"))
+    parsed = lines.withColumn("r", F.from_json(
+        "record", schema + ", _corrupt_record string",
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"},
+    ))
+    good = parsed.filter(F.col("r._corrupt_record").isNull()).select("r.*").drop("_corrupt_record")
+    return good, parsed.filter(F.col("r._corrupt_record").isNotNull()).select("path", "record")
