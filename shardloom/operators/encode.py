@@ -10,13 +10,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shardloom.functions.alphabet import byte_ids, coded, framed, special_to_code
+from shardloom.functions.alphabet import ID_OF_BYTE, byte_ids, coded, framed, special_to_code
 from shardloom.functions.text import byte_token_count, segments
 from shardloom.spec import BOS_ID, EOS_ID, SPECIAL_TOKENS, UINT16_LIMIT
 
 MERGE_LIMIT = UINT16_LIMIT
 HOT_SHARE = 4096
 HOT_SALTS = 256
+WORD_MEMORY = 500_000
 
 
 def merge_rules(merges: DataFrame) -> dict[tuple[int, int], tuple[int, int]]:
@@ -108,30 +109,32 @@ def encode_by_dictionary(docs: DataFrame, words: DataFrame, keys: list[str],
 def encode_in_place(docs: DataFrame, merges: DataFrame, allow_special: bool = True) -> DataFrame:
     """Add ``ids`` without any shuffle.
 
-    The text is cut into words by Spark; per Arrow batch, only words not seen before in the batch are merged
-    and the result is gathered back by index. Use it where the merge table is at hand and the dictionary is not.
+    The text is cut into words by Spark; per Arrow batch, only distinct words not met before in the task are
+    merged, and the ids of the batch are gathered by index. The memory of words is emptied when it is full.
     """
     rules = merges.sparkSession.sparkContext.broadcast(merge_rules(merges))
-    special = {t: i for i, t in enumerate(SPECIAL_TOKENS)} if allow_special else {}
-    from shardloom.functions.alphabet import ID_OF_BYTE
-
+    start = {t: [i] for i, t in enumerate(SPECIAL_TOKENS)} if allow_special else {}
     byte_id = [ID_OF_BYTE[b] for b in range(256)]
+    met: dict[str, list[int]] = {}
+
+    def ids_of(word: str, table: dict) -> list[int]:
+        out = met.get(word)
+        if out is None:
+            out = met[word] = start.get(word) or apply_merges([byte_id[b] for b in word.encode()], table)
+        return out
 
     @F.arrow_udf("array<int>")
     def run(lists: pa.Array) -> pa.Array:
-        table = rules.value
-        coded_batch = lists.flatten().dictionary_encode()
-        entries = [
-            [special[w]] if w in special else apply_merges([byte_id[b] for b in w.encode()], table)
-            for w in coded_batch.dictionary.to_pylist()
-        ]
-        sizes = np.array([len(e) for e in entries] + [0], dtype=np.int64)
-        starts = np.concatenate([[0], np.cumsum(sizes[:-1])])
-        pool = np.fromiter((t for e in entries for t in e), dtype=np.int32, count=int(starts[-1]))
-        at = coded_batch.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        length = sizes[at]
-        ends = np.concatenate([[0], np.cumsum(length)])
-        gather = np.repeat(starts[at] - ends[:-1], length) + np.arange(int(ends[-1]))
+        if len(met) > WORD_MEMORY:
+            met.clear()
+        batch = lists.flatten().dictionary_encode()
+        entries = [ids_of(w, rules.value) for w in batch.dictionary.to_pylist()]
+        sizes = np.array([len(e) for e in entries], dtype=np.int64)
+        starts = np.cumsum(sizes) - sizes
+        pool = np.fromiter((t for e in entries for t in e), dtype=np.int32, count=int(sizes.sum()))
+        at = batch.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.concatenate([[0], np.cumsum(sizes[at])])
+        gather = np.repeat(starts[at] - ends[:-1], sizes[at]) + np.arange(int(ends[-1]))
         offsets = lists.offsets.to_numpy().astype(np.int64)
         bounds = ends[offsets - offsets[0]]
         return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(pool[gather]))

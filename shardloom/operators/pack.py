@@ -5,10 +5,10 @@ A worker reads its shards one after another as one token stream; sequences are e
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shardloom.operators.prefix import row_position
+from shardloom.operators.prefix import BLOCK_BITS, exclusive_folds, row_position
 
 
 def shard_list(numbered: DataFrame) -> DataFrame:
@@ -34,20 +34,21 @@ def repeat_epochs(shards: DataFrame, epochs: int) -> DataFrame:
 def reading_order(shards: DataFrame, seed: int = 42, shuffle: bool = True) -> DataFrame:
     """Add ``read_pos`` and ``stream_off``, the tokens the worker has read before the shard.
 
-    The shuffled order depends on seed + worker, on the epoch and on the shard's place in the list only.
+    The shuffled order depends on seed + worker, on the epoch and on the shard's place in the list only. It
+    sorts by 60 hash bits, whose top bits cut the list of a worker into even blocks.
     """
     if "epoch" not in shards.columns:
         shards = shards.withColumn("epoch", F.lit(0))
     if shuffle:
-        drawn = F.md5(F.concat_ws(":", (F.lit(seed) + F.col("worker")).cast("string"),
-                                  F.col("epoch").cast("string"), F.col("pos").cast("string")))
+        digest = F.md5(F.concat_ws(":", (F.lit(seed) + F.col("worker")).cast("string"),
+                                   F.col("epoch").cast("string"), F.col("pos").cast("string")))
+        drawn, bits = F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"), 44
     else:
-        drawn = F.lit("")
-    lane = Window.partitionBy("split", "epoch", "rank", "worker").orderBy(drawn, "pos")
-    earlier = lane.rowsBetween(Window.unboundedPreceding, -1)
-    return shards.withColumn("read_pos", F.row_number().over(lane) - 1).withColumn(
-        "stream_off", F.coalesce(F.sum("num_tokens").over(earlier), F.lit(0))
-    )
+        drawn, bits = F.col("pos"), BLOCK_BITS
+    lane = ["split", "epoch", "rank", "worker"]
+    keyed = shards.withColumn("__draw", drawn).withColumn("__one", F.lit(1).cast("long"))
+    placed = exclusive_folds(keyed, {"read_pos": "__one", "stream_off": "num_tokens"}, lane, "__draw", bits=bits)
+    return placed.drop("__draw", "__one").withColumn("read_pos", F.col("read_pos").cast("int"))
 
 
 def pack_sequences(docs: DataFrame, ordered_shards: DataFrame, seq_len: int) -> DataFrame:

@@ -14,6 +14,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shardloom.session import cut_lineage
+
 BLOCK_BITS = 16
 
 
@@ -34,41 +36,50 @@ def _before(parts: Sequence[str], order: str) -> Window:
     return Window.partitionBy(*parts).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def block_offsets(df: DataFrame, value: str, parts: Sequence[str], order: str, fold: Fold = SUM,
+def block_offsets(df: DataFrame, values: Sequence[str], parts: Sequence[str], order: str, fold: Fold = SUM,
                   bits: int = BLOCK_BITS) -> DataFrame:
-    """One row per (parts, ``__b``): ``__total`` of the block and ``__off``, the fold of all earlier blocks."""
+    """One row per (parts, ``__b``): per value ``__total_*`` of the block and ``__off_*`` of all earlier ones.
+
+    The block table is written, being tiny beside the rows and used twice: the rows are read once for it.
+    """
     parts = list(parts)
-    blocks = (
+    blocks = cut_lineage(
         df.groupBy(*parts, F.shiftright(F.col(order), bits).alias("__b"))
-        .agg(fold.agg(F.col(value)).alias("__total"))
+        .agg(*[fold.agg(F.col(v)).alias(f"__total_{v}") for v in values])
         .withColumn("__bb", F.shiftright("__b", bits))
     )
     upper = (
-        blocks.groupBy(*parts, "__bb").agg(fold.agg(F.col("__total")).alias("__utotal"))
-        .select(*parts, "__bb", fold.agg(F.col("__utotal")).over(_before(parts, "__bb")).alias("__uoff"))
+        blocks.groupBy(*parts, "__bb").agg(*[fold.agg(F.col(f"__total_{v}")).alias(f"__u_{v}") for v in values])
+        .select(*parts, "__bb", *[fold.agg(F.col(f"__u_{v}")).over(_before(parts, "__bb")).alias(f"__uoff_{v}")
+                                  for v in values])
     )
-    inner = blocks.withColumn("__in", fold.agg(F.col("__total")).over(_before([*parts, "__bb"], "__b")))
+    inner = blocks.withColumns({
+        f"__in_{v}": fold.agg(F.col(f"__total_{v}")).over(_before([*parts, "__bb"], "__b")) for v in values})
     return inner.join(upper, [*parts, "__bb"]).select(
-        *parts, "__b", "__total", fold.join(F.col("__uoff"), F.col("__in")).alias("__off")
+        *parts, "__b", *[f"__total_{v}" for v in values],
+        *[fold.join(F.col(f"__uoff_{v}"), F.col(f"__in_{v}")).alias(f"__off_{v}") for v in values],
     )
 
 
-def exclusive_fold(df: DataFrame, value: str, parts: Sequence[str], order: str, out: str,
-                   fold: Fold = SUM, bits: int = BLOCK_BITS) -> DataFrame:
-    """Add ``out``: the fold of ``value`` over all earlier rows of the group (null or 0 for the first).
+def exclusive_folds(df: DataFrame, outs: dict[str, str], parts: Sequence[str], order: str,
+                    fold: Fold = SUM, bits: int = BLOCK_BITS) -> DataFrame:
+    """Add, per output name, the fold of its value over all earlier rows of the group.
 
     Other columns ride along in the same exchange; the offset join uses the window's partitioning.
     """
-    parts = list(parts)
-    offsets = block_offsets(df, value, parts, order, fold, bits).drop("__total")
-    local = df.withColumn("__b", F.shiftright(F.col(order), bits)).withColumn(
-        "__local", fold.agg(F.col(value)).over(_before([*parts, "__b"], order))
-    )
-    return (
-        local.join(offsets, [*parts, "__b"])
-        .withColumn(out, fold.join(F.col("__off"), F.col("__local")))
-        .select(*df.columns, out)
-    )
+    parts, values = list(parts), list(dict.fromkeys(outs.values()))
+    offsets = block_offsets(df, values, parts, order, fold, bits)
+    w = _before([*parts, "__b"], order)
+    local = df.withColumn("__b", F.shiftright(F.col(order), bits)).withColumns(
+        {f"__local_{v}": fold.agg(F.col(v)).over(w) for v in values})
+    return local.join(offsets, [*parts, "__b"]).select(
+        *df.columns, *[fold.join(F.col(f"__off_{v}"), F.col(f"__local_{v}")).alias(o) for o, v in outs.items()])
+
+
+def exclusive_fold(df: DataFrame, value: str, parts: Sequence[str], order: str, out: str,
+                   fold: Fold = SUM, bits: int = BLOCK_BITS) -> DataFrame:
+    """Add ``out``: the fold of ``value`` over all earlier rows of the group (null or 0 for the first)."""
+    return exclusive_folds(df, {out: value}, parts, order, fold, bits)
 
 
 def row_position(df: DataFrame, parts: Sequence[str], order: str, out: str, bits: int = BLOCK_BITS) -> DataFrame:
@@ -85,7 +96,8 @@ def cut_points(df: DataFrame, value: str, part: str, order: str, limits: DataFra
     row by row; groups that never cross give no row.
     """
     crossing = (
-        block_offsets(df, value, [part], order, SUM, bits)
+        block_offsets(df, [value], [part], order, SUM, bits)
+        .select(part, "__b", F.col(f"__off_{value}").alias("__off"), F.col(f"__total_{value}").alias("__total"))
         .join(F.broadcast(limits.select(part, limit)), part)
         .filter((F.col("__off") < F.col(limit)) & (F.col("__off") + F.col("__total") >= F.col(limit)))
         .select(part, "__b", "__off", limit)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shardloom.operators.prefix import exclusive_fold
+from shardloom.operators.prefix import exclusive_folds
 from shardloom.operators.split import first_documents
 from shardloom.spec import TOKENS_PER_CHAR
 
@@ -63,7 +63,7 @@ def mixture_report(budget_table: DataFrame, totals: DataFrame, tokens_per_step:
     rows = budget_table.join(got, "mix_source", "left").select(
         "mix_source", "share", "budget", zero("n_docs"), zero("n_tokens"), zero("train_tokens")
     )
-    all_train = F.sum("train_tokens").over(_config_wide())
+    all_train = F.sum("train_tokens").over(Window.partitionBy(F.lit(1)))  # one row per configured source
     achieved = F.coalesce(F.try_divide("train_tokens", all_train), F.lit(0.0))
     steps = F.floor(F.lit(max_tokens) / tokens_per_step)
     return rows.select(
@@ -76,18 +76,10 @@ def mixture_report(budget_table: DataFrame, totals: DataFrame, tokens_per_step:
     )
 
 
-def _config_wide():
-    """A window over the one-row-per-configured-source table."""
-    from pyspark.sql import Window
-
-    return Window.partitionBy(F.lit(1))
-
-
 def progress(docs: DataFrame, every: int, budget_table: DataFrame | None = None) -> DataFrame:
     """Running totals at every ``every``-th document of a source; with budgets, also what remains."""
     ones = docs.withColumn("__one", F.lit(1).cast("long"))
-    seen = exclusive_fold(ones, "__one", ["mix_source"], "ord", "__before")
-    run = exclusive_fold(seen, "n_tokens", ["mix_source"], "ord", "__tok")
+    run = exclusive_folds(ones, {"__before": "__one", "__tok": "n_tokens"}, ["mix_source"], "ord")
     marks = run.select(
         "mix_source", (F.col("__before") + 1).alias("n_samples"),
         (F.col("__tok") + F.col("n_tokens")).alias("n_tokens"),

@@ -9,7 +9,7 @@ from shardloom.operators import shards as sh
 from shardloom.operators.encode import count_bytes, encode_bytes, frame
 from shardloom.operators.pack import assign_workers, reading_order, shard_list
 from shardloom.operators.split import with_split
-from shardloom.session import as_written
+from shardloom.session import as_written, cut_lineage
 from shardloom.sources.readers import read_mixture, with_min_length
 from shardloom.spec import MIN_CHARS_CORPUS, Mixture, SourceSpec
 
@@ -83,8 +83,8 @@ def entries(shards: DataFrame) -> DataFrame:
 
 
 def lanes(shards: DataFrame) -> DataFrame:
-    """Numbered shards with their reader and their place in its stream."""
-    return reading_order(assign_workers(shard_list(shards), WORKERS, RANKS), SEED)
+    """Numbered shards with their reader and their place in its stream, written once as they are used twice."""
+    return cut_lineage(reading_order(assign_workers(shard_list(shards), WORKERS, RANKS), SEED))
 
 
 def steps(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,9 +27,9 @@ def messages_from_turns(turns: DataFrame, conv: str = "conv_id", turn: str = "tu
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give a source of few file splits one partition per core; larger sources stay as they are read."""
+    """Give a source with splits for at most half the cores one partition per core; others stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() * 2 <= cores else df
 
 
 def scan_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
