@@ -39,10 +39,8 @@ def coded(text: Column) -> Column:
 
 
 def coded_to_ids(code: Column) -> Column:
-    """The ids of a coded string."""
-    return F.when(F.length(code) == 0, F.array().cast("array<int>")).otherwise(
-        F.transform(F.split(code, ""), lambda c: F.ascii(c) - 1)
-    )
+    """The ids of a coded string that is not empty."""
+    return F.transform(F.split(code, ""), lambda c: F.ascii(c) - 1)
 
 
 def special_to_code(text: Column) -> Column:
@@ -59,16 +57,16 @@ def byte_ids(text: Column, allow_special: bool = True) -> Column:
     Special literals are first set to single bytes that no UTF-8 text contains (0xF8 + position),
     so that one translation yields special and byte ids alike.
     """
-    plain = coded(text)
+    plain, empty = coded(text), F.array().cast("array<int>")
     if not allow_special:
-        return coded_to_ids(plain)
+        return F.when(text == "", empty).otherwise(coded_to_ids(plain))
     latin = F.decode(text.cast("binary"), "ISO-8859-1")
     for i, token in enumerate(SPECIAL_TOKENS):
         latin = F.replace(latin, F.lit(token), F.lit(chr(0xF8 + i)))
-    marks = "".join(chr(0xF8 + i) for i in range(len(SPECIAL_TOKENS)))
-    table = _CODED[: 0xF8] + "".join(map(code_point, range(len(SPECIAL_TOKENS)))) + _CODED[0xF8 + len(marks):]
-    marked = F.translate(latin, _LATIN, table)
-    return coded_to_ids(F.when(F.contains(text, F.lit("<")), marked).otherwise(plain))
+    marks = "".join(map(code_point, range(len(SPECIAL_TOKENS))))
+    marked = F.translate(latin, _LATIN, _CODED[:0xF8] + marks + _CODED[0xF8 + len(marks):])
+    code = F.when(F.contains(text, F.lit("<")), marked).otherwise(plain)
+    return F.when(text == "", empty).otherwise(coded_to_ids(code))
 
 
 def framed(ids: Column) -> Column:

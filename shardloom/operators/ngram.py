@@ -15,11 +15,9 @@ _SHIFT = 65536
 def bigram_counts(docs: DataFrame, by: list[str]) -> DataFrame:
     """Counts of adjacent ids per group. A pair travels as one number; the last id has no next and no pair."""
     ids = F.col("ids")
-    pairs = F.zip_with(
-        F.slice(ids, F.lit(1), F.size(ids) - 1), F.slice(ids, F.lit(2), F.size(ids) - 1),
-        lambda a, b: a.cast("long") * _SHIFT + b,
-    )
-    rows = docs.filter(F.size(ids) > 1).select(*by, F.explode(pairs).alias("p"))
+    n = F.greatest(F.size(ids) - 1, F.lit(0))
+    pairs = F.zip_with(F.slice(ids, F.lit(1), n), F.slice(ids, F.lit(2), n), lambda a, b: a.cast("long") * _SHIFT + b)
+    rows = docs.select(*by, F.explode(pairs).alias("p"))
     return rows.groupBy(*by, "p").agg(F.count(F.lit(1)).alias("n")).select(
         *by, F.expr(f"cast(p div {_SHIFT} as int)").alias("prev"),
         F.expr(f"cast(p % {_SHIFT} as int)").alias("next"), "n",

@@ -148,7 +148,7 @@ def vocab(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def encode_bytes(spark: SparkSession, d: str) -> DataFrame:
-    docs = en.encode_bytes(fx.corpus(spark, d)).filter(F.size("ids") > 0)
+    docs = en.encode_bytes(fx.corpus(spark, d).filter("text <> ''"))
     return docs.select("mix_source", "ord", F.size("ids").alias("n_ids"), joined("ids").alias("ids"))
 
 
