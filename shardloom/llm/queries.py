@@ -44,3 +44,6 @@ QUERIES = {
     "op6_exact_dedup": op6_exact_dedup,
     "op10_mix_sources": op10_mix_sources,
 }
+
+#: SQL of the queries that SQL can express.
+ORACLE: dict[str, str] = {}
