@@ -2,7 +2,9 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from shardloom.plans.oracle import ORACLE
+from shardloom.plans.queries import QUERIES
 from tests.oracle_check import compare, duck
 
 SF = "/root/testdata/sf0.001"
@@ -14,13 +16,13 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("key", sorted(queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query(spark, con, key):
-    assert compare(queries()[key](spark, SF), con, oracle_sql()[key]) is None
+    assert compare(QUERIES[key](spark, SF), con, ORACLE[key]) is None
