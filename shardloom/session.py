@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -58,3 +59,11 @@ def as_written(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def file_uri(spark: SparkSession, path: str) -> str:
+    """The path with its file system spelled out, as Spark resolves it, so that tasks open the same place."""
+    jvm = spark.sparkContext._jvm
+    name = jvm.org.apache.hadoop.fs.Path(path)
+    full = name.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(name).toString()
+    return re.sub(r"^file:/+", "file:///", full)
