@@ -80,7 +80,8 @@ def without_ids(rows: DataFrame, ids: DataFrame, key: str, limit: int = ID_BROAD
     return rows.join(gone, F.col(key).eqNullSafe(F.col("__gone")), "left_anti")
 
 
-def with_few(rows: DataFrame, few: DataFrame, keys: list[str], limit: int = ID_BROADCAST // 10) -> DataFrame:
+def with_few(rows: DataFrame, few: DataFrame, keys: list[str], limit: int = ID_BROADCAST // 10,
+             how: str = "inner") -> DataFrame:
     """Rows joined to a table of one row per key (null equals null), whose other names are new to the rows.
 
     The small side is counted and broadcast up to ``limit`` rows; a larger one meets the rows in a shuffle.
@@ -91,4 +92,4 @@ def with_few(rows: DataFrame, few: DataFrame, keys: list[str], limit: int = ID_B
     same = F.lit(True)
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
-    return rows.join(side, same).drop(*[f"__{k}" for k in keys])
+    return rows.join(side, same, how).drop(*[f"__{k}" for k in keys])

@@ -112,8 +112,9 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows = as_written(
         chunked(docs, id_col, text_col).withColumn("uid", F.monotonically_increasing_id()), "recipes")
     recipes = as_written(with_recipes(rows), "recipe-lists")
-    groups = recipes.groupBy("recipe").agg(
-        F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    # Written, so that the join below exchanges both sides and a hot recipe can be split.
+    groups = as_written(recipes.groupBy("recipe").agg(
+        F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "groups")
     return recipes.join(groups, "recipe").select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         "text_sha256", F.size("recipe").cast("long").alias("n_chunks"))

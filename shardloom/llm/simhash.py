@@ -190,9 +190,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = as_written(fingerprints(docs, id_col, text_col, shingle, seed), "fingerprints")
     distinct = as_written(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
     linked = components(ball_links(distinct.select("fp"), radius))
-    roots = distinct.join(linked, F.col("fp") == F.col("node"), "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    smallest = roots.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_fp = roots.join(smallest, "root").select("fp", "component_id")
+    roots = as_written(distinct.join(linked, F.col("fp") == F.col("node"), "left").select(
+        "fp", "first_id", F.coalesce("root", "fp").alias("root")), "roots")
+    smallest = as_written(roots.groupBy("root").agg(F.min("first_id").alias("component_id")), "smallest")
+    # Written, so that the last join exchanges both sides and a hot fingerprint can be split.
+    by_fp = as_written(roots.join(smallest, "root").select("fp", "component_id"), "components")
     return rows.join(by_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                                          "component_id")
