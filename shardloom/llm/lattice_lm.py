@@ -168,20 +168,23 @@ def count_words(texts: DataFrame) -> DataFrame:
 
 
 def piece_counts(words: DataFrame, model: PieceModel) -> dict[int, int]:
-    """How often the vocabulary's own segmentation of the counted words uses each piece; one entry per piece."""
+    """How often the vocabulary's own segmentation of the distinct words uses each piece; one entry per piece.
+
+    Every word counts once: the lattice has the mass of words that are new, and these resemble the many rare
+    words, not the few frequent ones.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sentencepiece.SentencePieceProcessor(model_proto=model.proto)
         sums = np.zeros(len(own), np.int64)
         for batch in batches:
             ids = own.encode(column_of(batch, "word").to_pylist(), num_threads=1)
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            flat = np.fromiter((i for x in ids for i in x), np.int64, int(sizes.sum()))
-            np.add.at(sums, flat, np.repeat(column_of(batch, "c").to_numpy(), sizes))
+            flat = np.fromiter((i for x in ids for i in x), np.int64)
+            sums += np.bincount(flat, minlength=len(sums))
         used = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(sums[used])], names=["piece", "c"])
 
-    rows = words.select("word", "c").mapInArrow(work, "piece bigint, c bigint").groupBy("piece").agg(F.sum("c").alias("c"))
+    rows = words.select("word").mapInArrow(work, "piece bigint, c bigint").groupBy("piece").agg(F.sum("c").alias("c"))
     return {r["piece"]: r["c"] for r in rows.collect()}
 
 

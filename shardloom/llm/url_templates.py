@@ -22,8 +22,8 @@ DEPTH = 4
 FAN, SUPPORT = 16, 4
 #: Siblings merge while their bad share lies within so many standard errors of the branch.
 MERGE_Z = 2.0
-#: Pages' worth of weight that the next wider share has: global for a host, host for a template.
-SMOOTHING = 8.0
+#: Bad share of a template without labels, and how many labelled pages it weighs as much as.
+PRIOR, SMOOTHING = 0.2, 8.0
 REJECT = 0.5
 
 
@@ -65,6 +65,14 @@ def rule_of(host: Column, path: Column, rules: tuple[UrlRule, ...] = RULES) -> C
     return out
 
 
+def _of_rule(values: list, r: Column) -> Column:
+    """The rule's entry of ``values``, null where no rule fits."""
+    out = F.lit(None)
+    for i, v in enumerate(values):
+        out = F.when(r == i, F.lit(v)).otherwise(out)
+    return out
+
+
 def segments_of(path: Column, depth: int = DEPTH) -> Column:
     """The path's segments with variable forms as wildcards; deeper ones become the tail ``**``."""
     form = lambda s: (
@@ -105,27 +113,24 @@ def template_tree(pages: DataFrame, depth: int = DEPTH, fan: int = FAN, support:
     return as_written(shapes, "templates")
 
 
-def branch_shares(tree: DataFrame, z: float = MERGE_Z, smoothing: float = SMOOTHING) -> DataFrame:
+def branch_shares(tree: DataFrame, z: float = MERGE_Z, prior: float = PRIOR, smoothing: float = SMOOTHING) -> DataFrame:
     """``(host, tpl, branch, share)``: the smoothed bad share of every template, pooled where siblings are alike.
 
-    Siblings have the same host and differ in their first segment only. A sibling without labels, or whose share
-    is within ``z`` standard errors of its branch, takes the pooled counts of all such siblings.
+    Siblings have the same host and differ in their first segment only. Labelled siblings whose share is within
+    ``z`` standard errors of their branch take the pooled counts of all such siblings; one without labels shows
+    nothing and has the prior.
     """
     tpl = tree.groupBy("host", "tpl").agg(*[F.sum(c).alias(c) for c in ("n", "labelled", "bad")]).withColumn(
         "branch", F.regexp_replace("tpl", "^/[^/]*", "/?"))
-    rate = lambda bad, n, wide: (bad + smoothing * wide) / (n + smoothing)
-    hosts = tpl.groupBy("host").agg(F.sum("labelled").alias("h_n"), F.sum("bad").alias("h_bad"))
-    every = hosts.agg(((F.sum("h_bad") + 1) / (F.sum("h_n") + 2)).alias("all_share"))
-    hosts = hosts.join(F.broadcast(every)).select("host", rate(F.col("h_bad"), F.col("h_n"), F.col("all_share")).alias("h_share"))
     branches = tpl.groupBy("host", "branch").agg(F.sum("labelled").alias("b_n"), F.sum("bad").alias("b_bad"))
-    p = F.col("b_bad") / F.col("b_n")
-    apart = F.abs(F.col("bad") / F.col("labelled") - p) > z * F.sqrt(p * (1 - p) / F.col("labelled") + 1e-9)
-    judged = tpl.join(branches, ["host", "branch"]).withColumn("own", F.coalesce((F.col("labelled") > 0) & apart, F.lit(False)))
+    p = F.try_divide("b_bad", "b_n")
+    apart = F.abs(F.try_divide("bad", "labelled") - p) > z * F.sqrt(F.try_divide(p * (1 - p), "labelled") + 1e-9)
+    judged = tpl.join(branches, ["host", "branch"]).withColumn("own", F.coalesce(apart, F.lit(True)))
     pooled = judged.filter("not own").groupBy("host", "branch").agg(F.sum("labelled").alias("p_n"), F.sum("bad").alias("p_bad"))
-    return judged.join(pooled, ["host", "branch"], "left").join(hosts, "host").select(
+    rate = lambda bad, n: (F.col(bad) + smoothing * prior) / (F.col(n) + smoothing)
+    return judged.join(pooled, ["host", "branch"], "left").select(
         "host", "tpl", F.when(F.col("own"), F.col("tpl")).otherwise(F.col("branch")).alias("branch"),
-        F.when(F.col("own"), rate(F.col("bad"), F.col("labelled"), F.col("h_share")))
-        .otherwise(rate(F.col("p_bad"), F.col("p_n"), F.col("h_share"))).alias("share"))
+        F.when(F.col("own"), rate("bad", "labelled")).otherwise(rate("p_bad", "p_n")).alias("share"))
 
 
 def url_verdicts(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, labels: DataFrame | None = None,
@@ -142,7 +147,7 @@ def url_verdicts(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, labels: D
     rows = rows.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     rows = rows.select("*", segments_of(F.col("path")).alias("segs"), rule_of(F.col("host"), F.col("path"), rules).alias("r"))
     if labels is None:
-        rows = rows.withColumn("bad", F.element_at(F.array(*[F.lit(int(r.verdict == "block")) for r in rules]), F.col("r") + 1))
+        rows = rows.withColumn("bad", _of_rule([int(r.verdict == "block") for r in rules], F.col("r")).cast("int"))
     else:
         known = labels.groupBy(F.col("page_id").alias("__page")).agg(F.max(F.col("bad").cast("int")).alias("bad"))
         rows = rows.join(known, F.col("page_id") == F.col("__page"), "left").drop("__page")
@@ -151,9 +156,7 @@ def url_verdicts(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, labels: D
     shares = branch_shares(tree)
     # Written, so that the last join exchanges both sides and a hot host can be split.
     shapes = as_written(tree.select("host", "segs", "tpl").join(shares, ["host", "tpl"]), "shape-shares")
-    names = F.array(*[F.lit(r.name) for r in rules])
-    verdicts = F.array(*[F.lit(r.verdict) for r in rules])
     return rows.join(shapes, ["host", "segs"]).select(
-        "page_id", "host", "path", F.element_at(names, F.col("r") + 1).alias("rule"),
-        F.coalesce(F.element_at(verdicts, F.col("r") + 1), F.when(F.col("share") >= reject, "block").otherwise("allow")).alias("verdict"),
+        "page_id", "host", "path", _of_rule([r.name for r in rules], F.col("r")).cast("string").alias("rule"),
+        F.coalesce(_of_rule([r.verdict for r in rules], F.col("r")), F.when(F.col("share") >= reject, "block").otherwise("allow")).alias("verdict"),
         F.col("tpl").alias("template"), F.col("share").alias("bad_share"))
