@@ -25,13 +25,18 @@ MERGES = 8
 
 
 def mixture(sf_dir: str) -> Mixture:
+    """The sources over the driver tables; ``spark.shardloom.scanPartitions``, where the session sets it, deals
+    out files of a single row group."""
+    session = SparkSession.getActiveSession()
+    parts = session and session.conf.get("spark.shardloom.scanPartitions", None)
+    parts = int(parts) if parts else None
     docs = f"{sf_dir}/documents.parquet"
     return Mixture(
         (
-            SourceSpec("text", docs, key="doc_id", filter_lang="en", weight=60),
-            SourceSpec("code", docs, key="doc_id", filter_lang="fr", weight=25),
+            SourceSpec("text", docs, key="doc_id", weight=60, scan_partitions=parts),
+            SourceSpec("code", docs, key="doc_id", filter_lang="fr", weight=25, scan_partitions=parts),
             SourceSpec("chat", f"{sf_dir}/conversations.parquet", key="conv_id", field="messages",
-                       turn_rows=True, weight=15),
+                       turn_rows=True, weight=15, scan_partitions=parts),
         ),
         SHARD_SIZE, VAL_FRACTION, SEED,
     )

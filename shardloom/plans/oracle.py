@@ -18,7 +18,7 @@ BYTE_ID = """CASE WHEN h BETWEEN '21' AND '7E' THEN CAST('0x' || h AS INTEGER) -
   WHEN h BETWEEN '7F' AND 'A0' THEN CAST('0x' || h AS INTEGER) + 101 ELSE 262 END"""
 
 RAW = """raw AS (
-  SELECT 'text' AS mix_source, 0 AS source_ord, doc_id AS ord, text FROM documents WHERE lang = 'en'
+  SELECT 'text' AS mix_source, 0 AS source_ord, doc_id AS ord, text FROM documents
   UNION ALL SELECT 'code', 1, doc_id, text FROM documents WHERE lang = 'fr'
   UNION ALL SELECT 'chat', 2, conv_id, coalesce(string_agg('<|' || coalesce(role, 'user') || '|>' || chr(10)
       || coalesce(text, ''), chr(10) ORDER BY turn)
@@ -179,7 +179,7 @@ def add(name: str, body: str, ctes: str = "") -> None:
 add("scan_source", "SELECT doc_id AS ord, text, lang FROM documents")
 add("read_mixture", "SELECT mix_source, source_ord, ord, md5(text) AS text_md5 FROM raw", RAW)
 add("failed_sources", """SELECT mix_source, count(*) AS n_docs, 'ok' AS state FROM raw GROUP BY mix_source
-  UNION ALL SELECT 'broken', 0, 'failed'""", RAW)
+  UNION ALL SELECT 'broken', 0, 'failed' UNION ALL SELECT 'corrupt', 0, 'failed'""", RAW)
 add("filter_lang", "SELECT doc_id AS ord, lang, length(text) AS n_chars FROM documents WHERE lang = 'fr'")
 add("project_text", "SELECT doc_id AS ord, coalesce(text, '') AS text FROM documents")
 add("render_chat", "SELECT ord, text FROM raw WHERE mix_source = 'chat'", RAW)
@@ -359,7 +359,7 @@ add("topk_nucleus", "SELECT context, token, round(prob, 6) AS prob FROM cand", N
 add("sample_next", """SELECT context, arg_max(token, ln(prob) - ln(-ln((CAST('0x' || substr(md5('7:' || context || ':' || token), 1, 8)
     AS BIGINT) + 0.5) / 4294967296))) AS token FROM cand GROUP BY context""", NUCLEUS)
 add("stream_ingest", f"""SELECT doc_id AS ord, CAST(strlen(regexp_replace(text, '{SPECIAL}', '~', 'g')) + 2 AS BIGINT) AS n_tokens
-  FROM documents WHERE lang = 'en' AND length(trim(text)) >= 20""")
+  FROM documents WHERE length(trim(text)) >= 20""")
 add("stream_manifest", "SELECT split, path, num_tokens, shard_idx, source FROM entries", ENTRIES)
 add("stream_best", """SELECT event_type AS run_id, min(value) AS best, arg_min(event_id, (value, event_id)) AS best_step,
     count(*) AS n_seen, false AS stalled FROM events GROUP BY event_type""")

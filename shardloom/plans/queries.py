@@ -36,7 +36,7 @@ def joined(ids) -> F.Column:
 
 @query
 def scan_source(spark: SparkSession, d: str) -> DataFrame:
-    return rd.scan_source(spark, fx.mixture(d).sources[0]).select("ord", "text", "lang")
+    return rd.scan_source(spark, fx.mixture(d).sources[1]).select("ord", "text", "lang")
 
 
 @query
@@ -46,9 +46,12 @@ def read_mixture(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def failed_sources(spark: SparkSession, d: str) -> DataFrame:
-    """A mixture with one unreadable source: the others are counted, the failure is a row."""
+    """A mixture with a missing source and one whose file is no parquet: the others are counted, failures are rows."""
+    bad = scratch_path(spark, "bad-file")
+    fx.table(spark, d, "region").select(F.col("r_name").alias("value")).coalesce(1).write.text(bad)
     broken = SourceSpec("broken", f"{d}/no_such_source.parquet", weight=1.0)
-    mix = Mixture((broken, *fx.mixture(d).sources))
+    corrupt = SourceSpec("corrupt", bad, weight=1.0, schema="id long, text string", options={"pathGlobFilter": "*.txt"})
+    mix = Mixture((broken, *fx.mixture(d).sources[:2], corrupt, *fx.mixture(d).sources[2:]))
     docs, failures = rd.read_mixture_isolated(spark, mix)
     good = docs.groupBy("mix_source").agg(F.count(F.lit(1)).alias("n_docs")).withColumn("state", F.lit("ok"))
     bad = failures.select("mix_source", F.lit(0).cast("long").alias("n_docs"), F.lit("failed").alias("state"))
@@ -589,7 +592,7 @@ def sample_next(spark: SparkSession, d: str) -> DataFrame:
 def stream_ingest(spark: SparkSession, d: str) -> DataFrame:
     docs = fx.table(spark, d, "documents")
     stream = jobs.file_stream(spark, d, docs.schema, "documents.parquet")
-    kept = rd.filter_language(stream, "en").filter(rd.long_enough(F.col("text"), 20))
+    kept = stream.filter(rd.long_enough(F.col("text"), 20))
     counted = en.count_bytes(kept).select(F.col("doc_id").alias("ord"), "n_tokens")
     return jobs.ingest(counted)
 

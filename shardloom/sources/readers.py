@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shardloom.functions.text import long_enough, render_chat
+from shardloom.session import as_written
 from shardloom.spec import Mixture, SourceSpec
 
 
@@ -26,10 +27,43 @@ def messages_from_turns(turns: DataFrame, conv: str = "conv_id", turn: str = "tu
     )
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give a source with splits for at most half the cores one partition per core; others stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() * 2 <= cores else df
+def file_order(raw: DataFrame) -> DataFrame:
+    """Add ``ord``: rows in the order of their files' paths and of the rows in them.
+
+    For formats that report row indexes. Row counts per file are read from the index alone; a file's offset is the
+    rows of all files before it.
+    """
+    places = raw.select("*", F.col("_metadata.file_path").alias("__path"), F.col("_metadata.row_index").alias("__row"))
+    sizes = places.groupBy("__path").agg((F.max("__row") + 1).alias("__n"))
+    before = Window.orderBy("__path").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
+    offsets = sizes.select("__path", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    return places.join(offsets, "__path").withColumn("ord", F.col("__off") + F.col("__row")).drop("__path", "__row", "__off")
+
+
+def key_order(raw: DataFrame, key: str) -> DataFrame:
+    """Add ``ord``: the rank of the row's key among the distinct keys, from 0, nulls first.
+
+    Keys alone are sorted, in ranges; a range's offset is the keys of all ranges before it.
+    """
+    sorted_keys = as_written(
+        raw.select(F.col(key).alias("__key")).distinct().repartitionByRange(F.col("__key").asc_nulls_first())
+        .sortWithinPartitions(F.col("__key").asc_nulls_first()).withColumn("__at", F.monotonically_increasing_id()), "keys")
+    # The id holds the range in its upper bits and the place in the range in its lower 33.
+    ranged = sorted_keys.select("__key", F.shiftright("__at", 33).alias("__r"), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1)).alias("__i"))
+    before = Window.orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    offsets = ranged.groupBy("__r").agg(F.count(F.lit(1)).alias("__n")).select(
+        "__r", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    ranks = ranged.join(offsets, "__r").select("__key", (F.col("__off") + F.col("__i")).alias("ord"))
+    return raw.join(ranks, F.col(key).eqNullSafe(F.col("__key"))).drop("__key")
+
+
+def with_order(raw: DataFrame, key: str | None) -> DataFrame:
+    """Add ``ord``, the row key that stands for stream order."""
+    if key is None:
+        return file_order(raw)
+    if dict(raw.dtypes)[key] in ("tinyint", "smallint", "int", "bigint"):
+        return raw.withColumn("ord", F.col(key).cast("long"))
+    return key_order(raw, key)
 
 
 def scan_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
@@ -37,18 +71,16 @@ def scan_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     reader = spark.read.format(spec.format).options(**spec.options)
     if spec.schema:
         reader = reader.schema(spec.schema)
-    raw = spread(reader.load(spec.location), spec.key)
+    raw = reader.load(spec.location)
     if spec.turn_rows:
+        if spec.filter_lang:
+            raise ValueError(f"{spec.name}: a language filter needs a language per document, not per turn")
         raw = messages_from_turns(raw, conv=spec.key)
-    wanted = [F.col(spec.key).cast("long").alias("ord")]
-    if spec.field in raw.columns:
-        wanted.append(F.col(spec.field))
-    else:
-        wanted.append(F.lit(None).cast("string").alias(spec.field))
-    if spec.filter_lang:
-        lang = F.col(spec.lang_column) if spec.lang_column in raw.columns else F.lit(None).cast("string")
-        wanted.append(lang.alias("lang"))
-    return raw.select(*wanted)
+    lang = F.col(spec.lang_column) if spec.lang_column in raw.columns else F.lit(None).cast("string")
+    field = F.col(spec.field) if spec.field in raw.columns else F.lit(None).cast("string")
+    ordered = with_order(raw, spec.key)
+    out = ordered.select("ord", field.alias(spec.field), *([lang.alias("lang")] if spec.filter_lang else []))
+    return out.repartition(spec.scan_partitions, "ord") if spec.scan_partitions else out
 
 
 def filter_language(df: DataFrame, lang: str | None) -> DataFrame:
@@ -83,9 +115,10 @@ FAILURE_SCHEMA = "mix_source string, error string"
 
 def read_mixture_isolated(spark: SparkSession, mixture: Mixture,
                           known_configs: dict[str, list[str]] | None = None) -> tuple[DataFrame | None, DataFrame]:
-    """Like ``read_mixture`` but a source that cannot be opened only yields a failure row.
+    """Like ``read_mixture`` but a source that fails, at once or at its last row, only yields a failure row.
 
-    Each source is probed by one row before it joins the union. A configured ``config`` missing from
+    Every source is read to its end and written by itself; the documents are the union of what was written, so that
+    nothing of a failed source is left and no later step meets its files. A configured ``config`` missing from
     ``known_configs`` is reported as a warning row; the source is still tried.
     """
     good, failures = [], []
@@ -94,12 +127,9 @@ def read_mixture_isolated(spark: SparkSession, mixture: Mixture,
         if spec.config and known is not None and spec.config not in known:
             failures.append((spec.name, f"config '{spec.config}' not found, available: {sorted(known)}"))
         try:
-            docs = read_documents(spark, spec, i)
-            docs.limit(1).count()
+            good.append(as_written(read_documents(spark, spec, i), "source"))
         except Exception as err:  # noqa: BLE001 - any failure of one source must leave the others running
             failures.append((spec.name, f"{type(err).__name__}: {err}".split("\n")[0]))
-            continue
-        good.append(docs)
     docs = reduce(DataFrame.unionByName, good) if good else None
     return docs, spark.createDataFrame(failures, FAILURE_SCHEMA)
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardloom.operators.shards import parse_shard_name, shard_name
+from shardloom.session import file_uri
 from shardloom.spec import STALL_SECONDS, TOKENS_PER_SHARD
 
 ENTRY = "struct<path: string, num_tokens: bigint, shard_idx: int, source: string>"
@@ -45,15 +46,17 @@ def read_shard_table(spark: SparkSession, path: str, split: str | None = None) -
 def _store(uri: str):
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
+    return fs.FileSystem.from_uri(uri)
 
 
 def export_bin(docs: DataFrame, directory: str) -> DataFrame:
     """Write one little-endian 16-bit file per shard and return ``(path, num_tokens, shard_idx, source, split)``.
 
     A file appears under its final name only when complete, so a re-run task replaces it as a whole. A group is
-    one shard, bounded by the shard size.
+    one shard, bounded by the shard size. A path without a file system means Spark's default one.
     """
+    directory = file_uri(docs.sparkSession, directory)
+
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         source, split, index, name = key
         tokens = np.concatenate(pdf.sort_values("ord")["ids"].to_list()).astype(np.int64)

@@ -32,12 +32,14 @@ class SourceSpec:
 
     ``dataset`` is a path or path template; ``{config}`` and ``{split}`` in it are filled in,
     and a set ``config`` that the template does not mention is appended as a sub-directory.
-    ``key`` is the integer column that fixes document order.
+    ``key`` is the column that fixes document order: integers are used as they are, other keys by their rank;
+    without one, order is that of the files and of the rows in them.
+    ``scan_partitions`` deals the rows out where the files cannot be split; by default they stay where they are read.
     """
 
     name: str
     dataset: str
-    key: str = "id"
+    key: str | None = "id"
     field: str = "text"
     format: str = "parquet"
     config: str | None = None
@@ -48,6 +50,7 @@ class SourceSpec:
     max_samples: int | None = None
     turn_rows: bool = False
     schema: str | None = None
+    scan_partitions: int | None = None
     options: dict = dc_field(default_factory=dict)
 
     @property
