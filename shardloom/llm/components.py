@@ -15,14 +15,15 @@ def _signature(edges: DataFrame):
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every neighbour above a node is linked to the smallest node around it."""
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    # Written, here and below, so that the join exchanges both sides and a hot node can be split.
+    least = as_written(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
     return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are linked to the smallest of them."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = as_written(down.groupBy("a").agg(F.min("b").alias("m")), "least")
     linked = down.join(least, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return linked.union(least.select("a", F.col("m").alias("b")))
 
