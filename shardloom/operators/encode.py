@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 
 from shardloom.functions.alphabet import ID_OF_BYTE, byte_ids, coded, framed, special_to_code
 from shardloom.functions.text import byte_token_count, segments
+from shardloom.session import as_written
 from shardloom.spec import BOS_ID, EOS_ID, SPECIAL_TOKENS, UINT16_LIMIT
 
 MERGE_LIMIT = UINT16_LIMIT
 HOT_SHARE = 4096
-HOT_SALTS = 256
 WORD_MEMORY = 500_000
 
 
@@ -80,28 +80,29 @@ def dictionary(docs: DataFrame, merges: DataFrame, allow_special: bool = True) -
     return counts.select("word", "freq", word_ids(code, merges).alias("ids"))
 
 
-def encode_by_dictionary(docs: DataFrame, words: DataFrame, keys: list[str],
+def encode_by_dictionary(docs: DataFrame, words: DataFrame, keys: list[str], merges: DataFrame,
                          allow_special: bool = True) -> DataFrame:
-    """Add ``ids`` to the documents by joining their words to a word dictionary.
+    """Add ``ids`` to the documents by joining their words to a word dictionary; ``encode_in_place`` needs no shuffle.
 
-    Words that make up at least 1/4096 of all occurrences - so at most 4096 words - are broadcast; the
-    others meet the dictionary in a shuffle, where none of them can be a hot key. Occurrences already
-    resolved are spread by a salt that matches nothing.
+    Words that make up at least 1/4096 of all occurrences - so at most 4096 words - are broadcast and their
+    occurrences take no part in the join; the others meet the dictionary by word, in a join whose sides are both
+    exchanged, so that adaptive execution can split a word that is still frequent. Words that the dictionary does not
+    have are encoded by ``merges`` in Arrow batches. Empty documents have no ids.
     """
     total = words.agg(F.sum("freq").alias("total")).select(F.col("total") / HOT_SHARE).first()[0] or 0.0
     hot = words.filter(F.col("freq") >= F.lit(total)).select("word", F.col("ids").alias("hot_ids"))
-    cold = words.filter(F.col("freq") < F.lit(total)).select(
-        F.col("word").alias("cold_word"), F.lit(0).alias("salt"), F.col("ids").alias("cold_ids")
-    )
-    spread = F.pmod(F.hash(*keys, "pos"), F.lit(HOT_SALTS)) + 1
-    pieces = (
-        docs.select(*keys, F.posexplode(segments(F.col("text"), allow_special)).alias("pos", "word"))
-        .join(F.broadcast(hot), "word", "left")
-        .withColumn("cold_word", F.when(F.col("hot_ids").isNull(), F.col("word")))
-        .withColumn("salt", F.when(F.col("hot_ids").isNull(), F.lit(0)).otherwise(spread))
-        .join(cold, ["cold_word", "salt"], "left")
-        .select(*keys, F.struct("pos", F.coalesce("hot_ids", "cold_ids").alias("ids")).alias("piece"))
-    )
+    cold = words.filter(F.col("freq") < F.lit(total)).select("word", "ids")
+    met = as_written(
+        docs.select(*keys, F.posexplode_outer(segments(F.col("text"), allow_special)).alias("pos", "word"))
+        .join(F.broadcast(hot), "word", "left"), "words")
+    none = F.col("word").isNull()
+    at_once = met.filter(F.col("hot_ids").isNotNull() | none).select(
+        *keys, "pos", F.coalesce("hot_ids", F.array().cast("array<int>")).alias("ids"))
+    looked_up = as_written(met.filter(F.col("hot_ids").isNull() & ~none).drop("hot_ids").join(cold, "word", "left"), "looked-up")
+    code = _word_start_ids(F.col("word")) if allow_special else coded(F.col("word"))
+    new = looked_up.filter("ids is null").select(*keys, "pos", word_ids(code, merges).alias("ids"))
+    found = looked_up.filter("ids is not null").select(*keys, "pos", "ids")
+    pieces = at_once.unionByName(found).unionByName(new).select(*keys, F.struct("pos", "ids").alias("piece"))
     encoded = pieces.groupBy(*keys).agg(F.array_sort(F.collect_list("piece")).alias("pieces"))
     return encoded.select(*keys, F.flatten(F.col("pieces.ids")).alias("ids"))
 

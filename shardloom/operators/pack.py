@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from shardloom.operators.prefix import BLOCK_BITS, exclusive_folds, row_position
 
+LANE = ["split", "epoch", "rank", "worker"]
+
 
 def shard_list(numbered: DataFrame) -> DataFrame:
     """Add ``pos``, the place of the shard in its split's list (lists are ordered by shard index)."""
@@ -22,7 +24,7 @@ def assign_workers(shards: DataFrame, num_workers: int, world_size: int = 1) ->
     Every shard has exactly one reader; ranks do not read each other's data.
     """
     return shards.withColumn("rank", F.pmod("pos", F.lit(world_size)).cast("int")).withColumn(
-        "worker", F.pmod(F.floor(F.col("pos") / world_size), F.lit(num_workers)).cast("int")
+        "worker", F.pmod(F.expr(f"pos div {world_size}"), F.lit(num_workers)).cast("int")
     )
 
 
@@ -45,34 +47,57 @@ def reading_order(shards: DataFrame, seed: int = 42, shuffle: bool = True) -> Da
         drawn, bits = F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"), 44
     else:
         drawn, bits = F.col("pos"), BLOCK_BITS
-    lane = ["split", "epoch", "rank", "worker"]
     keyed = shards.withColumn("__draw", drawn).withColumn("__one", F.lit(1).cast("long"))
-    placed = exclusive_folds(keyed, {"read_pos": "__one", "stream_off": "num_tokens"}, lane, "__draw", bits=bits)
+    placed = exclusive_folds(keyed, {"read_pos": "__one", "stream_off": "num_tokens"}, LANE, "__draw", bits=bits)
     return placed.drop("__draw", "__one").withColumn("read_pos", F.col("read_pos").cast("int"))
 
 
-def pack_sequences(docs: DataFrame, ordered_shards: DataFrame, seq_len: int) -> DataFrame:
-    """Cut each worker's stream into sequences of ``seq_len`` tokens; the last remainder is dropped.
+def stream_positions(places: DataFrame, ordered_shards: DataFrame) -> DataFrame:
+    """``(mix_source, ord, n_tokens, at)`` and the lane: where each document starts in its reader's stream.
 
-    ``docs`` carries ``ids``, ``start_tok`` and ``shard``; ``ordered_shards`` comes from ``reading_order``
-    with the shard's own ``shard_start``. Documents are cut by ``slice``, never token by token.
+    ``places`` carries ``start_tok`` and ``shard`` without ids; ``ordered_shards`` comes from ``reading_order``
+    with the shard's own ``shard_start``.
     """
-    lane = ["split", "epoch", "rank", "worker"]
-    placed = docs.select("mix_source", "split", "shard", "start_tok", "n_tokens", "ids").join(
-        ordered_shards.select("mix_source", "shard", *lane, "stream_off", "shard_start"),
+    return places.select("mix_source", "split", "shard", "ord", "start_tok", "n_tokens").join(
+        ordered_shards.select("mix_source", "shard", *LANE, "stream_off", "shard_start"),
         ["mix_source", "split", "shard"],
-    ).withColumn("at", F.col("stream_off") + F.col("start_tok") - F.col("shard_start"))
+    ).select("mix_source", "ord", *LANE, (F.col("stream_off") + F.col("start_tok") - F.col("shard_start")).alias("at"))
+
+
+def pack_sequences(docs: DataFrame, positions: DataFrame, seq_len: int) -> DataFrame:
+    """Cut each worker's stream into sequences of ``seq_len`` tokens; the last remainder is dropped.
+
+    ``docs`` carries ``mix_source, ord, n_tokens, ids`` and ``positions`` comes from ``stream_positions``. Documents
+    meet their positions by key, are cut by ``slice``, never token by token, and the pieces are exchanged by sequence.
+    """
+    placed = docs.select("mix_source", "ord", "n_tokens", "ids").join(positions, ["mix_source", "ord"])
     first, last = F.expr(f"at div {seq_len}"), F.expr(f"(at + n_tokens - 1) div {seq_len}")
     cut = placed.withColumn("seq_idx", F.explode(F.sequence(first, last)))
+    return _sequences(cut, seq_len)
+
+
+def pack_chunks(chunks: DataFrame, ordered_shards: DataFrame, seq_len: int) -> DataFrame:
+    """Sequences from the token chunks of shard files: ``source, split, shard_idx, start_tok, ids``.
+
+    ``ordered_shards`` has the lane and ``stream_off`` of every ``shard_idx``.
+    """
+    placed = chunks.join(ordered_shards.select("shard_idx", *LANE, "stream_off"), ["shard_idx", "split"]).select(
+        *LANE, "ids", F.size("ids").cast("long").alias("n_tokens"), (F.col("stream_off") + F.col("start_tok")).alias("at"))
+    first, last = F.expr(f"at div {seq_len}"), F.expr(f"(at + n_tokens - 1) div {seq_len}")
+    return _sequences(placed.withColumn("seq_idx", F.explode(F.sequence(first, last))), seq_len)
+
+
+def _sequences(cut: DataFrame, seq_len: int) -> DataFrame:
+    """Full sequences from rows ``(lane, seq_idx, at, n_tokens, ids)``, one for each sequence a run of ids meets."""
     low = F.col("seq_idx") * seq_len - F.col("at")
     begin = F.greatest(low, F.lit(0))
     end = F.least(low + seq_len, F.col("n_tokens"))
     piece = F.slice("ids", (begin + 1).cast("int"), (end - begin).cast("int"))
     return (
-        cut.select(*lane, "seq_idx", F.struct((begin - low).alias("o"), piece.alias("p")).alias("__piece"))
-        .groupBy(*lane, "seq_idx")
+        cut.select(*LANE, "seq_idx", F.struct((begin - low).alias("o"), piece.alias("p")).alias("__piece"))
+        .groupBy(*LANE, "seq_idx")
         .agg(F.array_sort(F.collect_list("__piece")).alias("__pieces"))
-        .select(*lane, "seq_idx", F.flatten(F.col("__pieces.p")).alias("input_ids"))
+        .select(*LANE, "seq_idx", F.flatten(F.col("__pieces.p")).alias("input_ids"))
         .filter(F.size("input_ids") == seq_len)
     )
 

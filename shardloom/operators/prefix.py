@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shardloom.session import cut_lineage
+from shardloom.session import as_written, cut_lineage
 
 BLOCK_BITS = 16
 
@@ -128,6 +128,25 @@ def take_until(df: DataFrame, value: str, part: str, order: str, limits: DataFra
     return df.join(F.broadcast(bounds), part).filter(keep).select(*df.columns)
 
 
+def take_first(df: DataFrame, narrow: DataFrame, part: str, order: str, limits: DataFrame, limit: str,
+               bits: int = BLOCK_BITS) -> DataFrame:
+    """The first ``limit`` rows of each group in key order, read behind a bound on the key.
+
+    ``narrow`` has the group and key of every row of ``df``, without its wide columns; it is written once and
+    counted there. The last key wanted of each group becomes a constant of the plan - one per configured group - so
+    that the scan of ``df`` skips what lies behind it, and the wide columns are read once.
+    """
+    ones = as_written(narrow.select(part, order).withColumn("__one", F.lit(1).cast("long")), "keys")
+    cuts = {r[part]: r["cut_ord"] for r in cut_points(ones, "__one", part, order, limits, limit, bits).collect()}
+    wanted = F.lit(False)
+    for row in limits.select(part, limit).collect():
+        here = F.col(part) == row[part]
+        if row[limit] is not None and row[limit] <= 0:
+            continue
+        wanted = wanted | (here & (F.col(order) <= cuts[row[part]]) if row[part] in cuts and row[limit] is not None else here)
+    return df.filter(wanted)
+
+
 def trailing_mean(df: DataFrame, value: str, parts: Sequence[str], order: str, size: int, out: str,
                   span: int = 1 << BLOCK_BITS) -> DataFrame:
     """Mean of ``value`` over the last ``size`` rows of the group, fewer at its start.

@@ -76,8 +76,11 @@ def mixture_report(budget_table: DataFrame, totals: DataFrame, tokens_per_step:
     )
 
 
-def progress(docs: DataFrame, every: int, budget_table: DataFrame | None = None) -> DataFrame:
-    """Running totals at every ``every``-th document of a source; with budgets, also what remains."""
+def progress(docs: DataFrame, every: int, budget_table: DataFrame | None = None, tokens_per_second: float | None = None) -> DataFrame:
+    """Running totals at every ``every``-th document of a source; with budgets, also what remains.
+
+    With a measured rate, such as that of ``token_rate``, also the seconds since the source's start and to its budget.
+    """
     ones = docs.withColumn("__one", F.lit(1).cast("long"))
     run = exclusive_folds(ones, {"__before": "__one", "__tok": "n_tokens"}, ["mix_source"], "ord")
     marks = run.select(
@@ -87,9 +90,20 @@ def progress(docs: DataFrame, every: int, budget_table: DataFrame | None = None)
     if budget_table is None:
         return marks
     left = F.greatest(F.col("budget") - F.col("n_tokens"), F.lit(0))
-    return marks.join(F.broadcast(budget_table.select("mix_source", "budget")), "mix_source").select(
+    rows = marks.join(F.broadcast(budget_table.select("mix_source", "budget")), "mix_source").select(
         "mix_source", "n_samples", "n_tokens", left.alias("remaining")
     )
+    if tokens_per_second is None:
+        return rows
+    elapsed = F.col("n_tokens") / float(tokens_per_second)
+    return rows.withColumns({"rate": F.lit(float(tokens_per_second)), "elapsed_seconds": elapsed,
+                             "eta_seconds": eta_seconds(F.col("remaining"), F.col("n_tokens"), elapsed)})
+
+
+def token_rate(batches: DataFrame) -> DataFrame:
+    """Tokens per second per source from ``(mix_source, n_tokens, seconds)`` rows of finished batches; null without time."""
+    return batches.groupBy("mix_source").agg(F.sum("n_tokens").alias("n_tokens"), F.sum("seconds").alias("seconds")).select(
+        "mix_source", "n_tokens", "seconds", F.try_divide("n_tokens", "seconds").alias("rate"))
 
 
 def eta_seconds(remaining: Column, tokens: Column, elapsed: Column) -> Column:

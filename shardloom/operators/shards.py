@@ -226,6 +226,14 @@ def number_shards(totals: DataFrame, size: int, bits: int = 16) -> DataFrame:
     )
 
 
+def with_ids(places: DataFrame, encoded: DataFrame) -> DataFrame:
+    """Encoded documents with what was planned for them, joined by source and key.
+
+    ``places`` is narrow; the one exchange of ids is the one of this join.
+    """
+    return encoded.join(places, ["mix_source", "ord"])
+
+
 def shard_name(source: Column, split: Column, index: Column) -> Column:
     return F.format_string(SHARD_NAME, source, split, index)
 

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shardloom.operators.prefix import take_until
+from shardloom.operators.prefix import take_first, take_until
 
 
 def unit_draw(*parts: Column | str) -> Column:
@@ -40,5 +40,4 @@ def budget_cut(docs: DataFrame, budget_table: DataFrame, bits: int = 16) -> Data
 
 def first_documents(docs: DataFrame, limits: DataFrame) -> DataFrame:
     """The first ``max_samples`` documents of each source in key order; sources with 0 are skipped."""
-    ones = docs.withColumn("__one", F.lit(1).cast("long"))
-    return take_until(ones, "__one", "mix_source", "ord", limits, "max_samples").drop("__one")
+    return take_first(docs, docs, "mix_source", "ord", limits, "max_samples")

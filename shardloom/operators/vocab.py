@@ -6,7 +6,12 @@ string (one code point per token, see ``functions.alphabet``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+from collections import Counter
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardloom.functions.alphabet import BYTES_IN_ID_ORDER, MAX_CODED_ID, code_point, coded
@@ -32,21 +37,22 @@ def coded_words(counts: DataFrame) -> DataFrame:
     return counts.select(coded(F.col("word")).alias("sym"), "freq")
 
 
-def pair_counts(state: DataFrame) -> DataFrame:
-    """Weighted counts of adjacent tokens over all words: ``pair`` is a coded string of length two.
+def _grams(sym: Column) -> Column:
+    """Every run of three tokens of a word, and its last two."""
+    return F.when(F.length(sym) > 1, F.regexp_extract_all(sym, F.lit("(?s)(?=(...?))"), F.lit(1))).otherwise(
+        F.array().cast("array<string>"))
 
-    ``grow`` bounds the count of any pair that merging this one could create: the largest count of the
-    pair together with one neighbour.
-    """
-    grams = (
-        state.filter(F.length("sym") > 1)
-        .select(F.explode(F.regexp_extract_all("sym", F.lit("(?s)(?=(...?))"), F.lit(1))).alias("g"), "freq")
-        .groupBy("g").agg(F.sum("freq").alias("c"))
-    )
+
+def gram_counts(state: DataFrame) -> DataFrame:
+    """Weighted counts ``(g, c)`` of runs of three tokens, and of two at the ends of words."""
+    return state.select(F.explode(_grams(F.col("sym"))).alias("g"), "freq").groupBy("g").agg(F.sum("freq").alias("c"))
+
+
+def pairs_of(grams: DataFrame) -> DataFrame:
+    """``(pair, n, grow)`` from the runs of tokens, see ``pair_counts``."""
     head, tail = F.substring("g", 1, 2), F.substring("g", 2, 2)
-    long = F.length("g") == 3
     none = F.lit(0).cast("long")
-    rows = F.when(long, F.array(
+    rows = F.when(F.length("g") == 3, F.array(
         F.struct(head.alias("pair"), F.col("c").alias("n"), F.col("c").alias("x")),
         F.struct(tail.alias("pair"), none.alias("n"), F.col("c").alias("x")),
     )).otherwise(F.array(F.struct(head.alias("pair"), F.col("c").alias("n"), none.alias("x"))))
@@ -56,6 +62,55 @@ def pair_counts(state: DataFrame) -> DataFrame:
     )
 
 
+def pair_counts(state: DataFrame) -> DataFrame:
+    """Weighted counts of adjacent tokens over all words: ``pair`` is a coded string of length two.
+
+    ``grow`` bounds the count of any pair that merging this one could create: the largest count of the
+    pair together with one neighbour.
+    """
+    return pairs_of(gram_counts(state))
+
+
+ROUND_SCHEMA = "sym string, freq bigint, g string, c bigint"
+
+
+def _runs(sym: str) -> list[str]:
+    return [sym[i:i + 3] for i in range(len(sym) - 1)]
+
+
+def _merge_round(state: DataFrame, run: list[tuple[str, str]]) -> DataFrame:
+    """One pass over the words: rows ``(sym, freq)`` after the merges, and the changes ``(g, c)`` of gram counts.
+
+    Words that no merge touches pass through; the others give back their old runs of tokens and bring their new
+    ones, summed per batch. Plain string replacement in Arrow batches: as column expressions every round would be
+    another plan to compile.
+    """
+    met = re.compile("|".join(re.escape(pair) for pair, _ in run))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            syms, freqs, change = [], [], Counter()
+            for sym, freq in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if met.search(sym):
+                    for g in _runs(sym):
+                        change[g] -= freq
+                    for pair, new in run:
+                        sym = sym.replace(pair, new)
+                    for g in _runs(sym):
+                        change[g] += freq
+                if len(sym) > 1:
+                    syms.append(sym)
+                    freqs.append(freq)
+            moved = [(g, c) for g, c in change.items() if c]
+            n, m = len(syms), len(moved)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(syms + [None] * m, pa.string()), pa.array(freqs + [None] * m, pa.int64()),
+                 pa.array([None] * n + [g for g, _ in moved], pa.string()), pa.array([None] * n + [c for _, c in moved], pa.int64())],
+                names=["sym", "freq", "g", "c"])
+
+    return state.mapInArrow(work, ROUND_SCHEMA)
+
+
 def best_pairs(pairs: DataFrame, limit: int) -> DataFrame:
     """Most frequent pairs first; ties go to the smaller left id, then the smaller right id."""
     return pairs.orderBy(F.desc("n"), "pair").limit(limit)
@@ -84,6 +139,7 @@ class Merges:
     """The learned merges on the driver, at most one per vocabulary entry."""
 
     def __init__(self) -> None:
+        self.rounds = 0
         self.rows: list[tuple[int, int, int, int]] = []
         self.spelled = {BASE_VOCAB - 256 + i: bytes([b]) for i, b in enumerate(BYTES_IN_ID_ORDER)}
         self.ids = {v: k for k, v in self.spelled.items()}
@@ -116,39 +172,49 @@ def train_merges(counts: DataFrame, vocab_size: int | None = None, max_merges: i
                  candidates: int = CANDIDATES, checkpoint_rounds: int = CHECKPOINT_ROUNDS) -> Merges:
     """Learn merges from word counts until the vocabulary is full or no pair is left.
 
-    Every round counts pairs over the distinct words and merges as many leading pairs as are safe
-    (``candidates=1`` merges one at a time; both give the same merges). Only the candidates reach the driver.
+    Runs of tokens are counted once over all distinct words. Every round merges as many leading pairs as are safe
+    (``candidates=1`` merges one at a time; both give the same merges) and counts anew only the words that one of
+    them occurs in. Only the candidates reach the driver.
     """
     if vocab_size is not None and vocab_size - 1 > MAX_CODED_ID:
         raise ValueError(f"vocabularies are limited to {MAX_CODED_ID + 1} entries")
-    merges, rounds = Merges(), 0
+    merges = Merges()
     done = lambda: (
         (vocab_size is not None and merges.vocab_size >= vocab_size)
         or (max_merges is not None and len(merges.rows) >= max_merges)
     )
     state = cut_lineage(coded_words(counts).filter(F.length("sym") > 1))
-    cached: list[DataFrame] = []
+    grams = cut_lineage(gram_counts(state))
+    cached: list[tuple[DataFrame, DataFrame]] = []
     while not done():
-        run = _safe_run(best_pairs(pair_counts(state), candidates).collect())
-        while len(cached) > 1:  # the newest state is now held, the ones it was made from can go
-            cached.pop(0).unpersist()
+        run = _safe_run(best_pairs(pairs_of(grams), candidates).collect())
+        while len(cached) > 1:  # the newest tables are now held, those they were made from can go
+            for df in cached.pop(0):
+                df.unpersist()
         if not run:
             break
-        sym = F.col("sym")
+        steps = []
         for left, right in run:
             new, known = merges.add(ord(left) - 1, ord(right) - 1)
-            sym = F.replace(sym, F.lit(left + right), F.lit(code_point(new)))
+            steps.append((left + right, code_point(new)))
             if known or done():
                 break
-        rounds += 1
-        state = state.select(sym.alias("sym"), "freq").filter(F.length("sym") > 1)
-        if rounds % checkpoint_rounds == 0:
-            state = cut_lineage(state)
+        merges.rounds += 1
+        if done():
+            break
+        after = _merge_round(state, steps).persist()
+        change = after.filter("g is not null").select("g", "c")
+        grams = grams.unionByName(change).groupBy("g").agg(F.sum("c").alias("c")).filter("c > 0")
+        state = after.filter("sym is not null").select("sym", "freq")
+        if merges.rounds % checkpoint_rounds == 0:
+            grams, state = cut_lineage(grams), cut_lineage(state)
+            after.unpersist()
         else:
-            state = state.persist()
-            cached.append(state)
-    for df in cached:
-        df.unpersist()
+            grams = grams.persist()
+            cached.append((grams, after))
+    for pair in cached:
+        for df in pair:
+            df.unpersist()
     return merges
 
 

@@ -21,7 +21,7 @@ BATCH = 4
 WORKERS = 4
 RANKS = 2
 SEED = 42
-MERGES = 8
+MERGES = 256
 
 
 def mixture(sf_dir: str) -> Mixture:

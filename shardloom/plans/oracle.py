@@ -107,25 +107,25 @@ def pairs_of(state: str) -> str:
 
 TRAIN = SAMPLE + f""", {LUT}, wc AS MATERIALIZED (SELECT word, count(*) AS freq FROM (SELECT unnest({WORDS}) AS word FROM docs) GROUP BY word),
 s0 AS MATERIALIZED (SELECT {SYMBOLS} AS sym, freq FROM wc)"""
-MERGED = TRAIN
-for _k in range(fx.MERGES):
-    MERGED += f""",
-m{_k} AS MATERIALIZED (SELECT * FROM ({pairs_of(f's{_k}')}) ORDER BY n DESC, a, b LIMIT 1),
-s{_k + 1} AS MATERIALIZED (SELECT replace(sym, ' ' || a || '  ' || b || ' ', ' {263 + _k:05d} ') AS sym, freq FROM s{_k}, m{_k})"""
-MERGE_ROWS = " UNION ALL ".join(
-    f"SELECT {k} AS rank, CAST(a AS INTEGER) AS left_id, CAST(b AS INTEGER) AS right_id, {263 + k} AS new_id FROM m{k}"
-    for k in range(fx.MERGES)
-)
-_sym = SYMBOLS
-for _k in range(fx.MERGES):
-    _sym = f"replace({_sym}, (SELECT ' ' || a || '  ' || b || ' ' FROM m{_k}), ' {263 + _k:05d} ')"
-BPE = MERGED + f""", corpus AS (SELECT mix_source, ord, {MARKED} AS text FROM raw WHERE length(trim(text)) >= 20),
-pieces AS (SELECT mix_source, ord, unnest(w) AS word, generate_subscripts(w, 1) AS pos
+# One recursion learns the merges and spells all words, those of the corpus outside the sample with frequency 0. A row
+# with a negative key is a merge; the other rows are the words, which every round replaces.
+MERGED = TRAIN + f""", corpus AS (SELECT mix_source, ord, {MARKED} AS text FROM raw WHERE length(trim(text)) >= 20),
+pieces AS MATERIALIZED (SELECT mix_source, ord, unnest(w) AS word, generate_subscripts(w, 1) AS pos
   FROM (SELECT mix_source, ord, {WORDS} AS w FROM corpus)),
-dict AS MATERIALIZED (SELECT word, CASE WHEN length(word) = 1 AND ascii(word) BETWEEN 57344 AND 57350
+spelled AS MATERIALIZED (SELECT row_number() OVER (ORDER BY word) AS w, word, {SYMBOLS} AS sym, freq FROM (
+  SELECT word, CAST(max(freq) AS HUGEINT) AS freq FROM (SELECT word, freq FROM wc UNION ALL SELECT DISTINCT word, 0 FROM pieces) GROUP BY word)),
+learned(w, k, sym, freq, a, b) USING KEY (w) AS (
+  SELECT CAST(w AS BIGINT), 0, sym, freq, '', '' FROM spelled
+  UNION
+  (WITH best AS (SELECT a, b FROM ({pairs_of("(SELECT * FROM learned WHERE w > 0)")}) ORDER BY n DESC, a, b LIMIT 1),
+   now AS (SELECT l.*, best.a AS x, best.b AS y FROM learned l, best WHERE w > 0 AND k < {fx.MERGES})
+   SELECT w, k + 1, replace(sym, ' ' || x || '  ' || y || ' ', ' ' || printf('%05d', 263 + k) || ' '), freq, '', '' FROM now
+   UNION ALL SELECT -1 - k, k + 1, '', 0, x, y FROM (SELECT DISTINCT k, x, y FROM now))),
+merges AS (SELECT k - 1 AS rank, CAST(a AS INTEGER) AS left_id, CAST(b AS INTEGER) AS right_id, 262 + k AS new_id FROM learned WHERE w < 0)"""
+BPE = MERGED + """, dict AS MATERIALIZED (SELECT word, CASE WHEN length(word) = 1 AND ascii(word) BETWEEN 57344 AND 57350
     THEN CAST(ascii(word) - 57344 AS VARCHAR)
-    ELSE array_to_string(list_transform(string_split(trim({_sym}), '  '), lambda s: CAST(CAST(s AS INTEGER) AS VARCHAR)), ' ') END AS ids
-  FROM (SELECT DISTINCT word FROM pieces)),
+    ELSE array_to_string(list_transform(string_split(trim(l.sym), '  '), lambda s: CAST(CAST(s AS INTEGER) AS VARCHAR)), ' ') END AS ids
+  FROM spelled JOIN learned l USING (w)),
 encoded AS (SELECT mix_source, ord, string_agg(ids, ' ' ORDER BY pos) AS ids FROM pieces JOIN dict USING (word) GROUP BY ALL)"""
 
 LANES = NUMBERED + f""", starts AS (SELECT mix_source, split, shard, min(start_tok) AS shard_start FROM placed GROUP BY ALL),
@@ -204,14 +204,15 @@ add("byte_vocab", """SELECT v.id, token_hex, is_special, CAST(coalesce(n, 0) AS
     UNION ALL SELECT unnest(ids), unnest(list_transform(range(256), lambda b: printf('%%02X', b))), false FROM lut) v
   LEFT JOIN (SELECT CAST(s AS INTEGER) AS id, sum(freq) AS n FROM (
     SELECT unnest(string_split(trim(sym), '  ')) AS s, freq FROM s0) GROUP BY 1) u USING (id)""" % LITERALS, TRAIN)
-add("bpe_merges", MERGE_ROWS, MERGED)
-_vocab = """v263 AS (SELECT i AS id, hex(encode(t)) AS token_hex, true AS is_special FROM (SELECT unnest(%s) AS t, unnest(range(7)) AS i)
-  UNION ALL SELECT unnest(ids), unnest(list_transform(range(256), lambda b: printf('%%02X', b))), false FROM lut)""" % LITERALS
-for _k in range(fx.MERGES):
-    _vocab += f""", v{264 + _k} AS (SELECT * FROM v{263 + _k} UNION ALL
-      SELECT {263 + _k}, (SELECT token_hex FROM v{263 + _k} WHERE id = CAST(a AS INTEGER))
-        || (SELECT token_hex FROM v{263 + _k} WHERE id = CAST(b AS INTEGER)), false FROM m{_k})"""
-add("vocab", f"SELECT CAST(id AS INTEGER) AS id, token_hex, is_special FROM v{263 + fx.MERGES}", MERGED + ", " + _vocab)
+add("bpe_merges", "SELECT CAST(rank AS INTEGER) AS rank, left_id, right_id, CAST(new_id AS INTEGER) AS new_id FROM merges", MERGED)
+add("vocab", """SELECT CAST(id AS INTEGER) AS id, token_hex, is_special FROM base UNION ALL
+  SELECT CAST(parts.id AS INTEGER), string_agg(token_hex, '' ORDER BY place), false FROM parts JOIN base ON part = base.id GROUP BY parts.id""", MERGED + """,
+base AS (SELECT i AS id, hex(encode(t)) AS token_hex, true AS is_special FROM (SELECT unnest(%s) AS t, unnest(range(7)) AS i)
+  UNION ALL SELECT unnest(ids), unnest(list_transform(range(256), lambda b: printf('%%02X', b))), false FROM lut),
+open_parts AS (SELECT new_id AS id, new_id AS part, [0] AS place FROM merges
+  UNION ALL SELECT o.id, CASE WHEN s = 0 THEN left_id ELSE right_id END, list_append(o.place, s)
+    FROM open_parts o JOIN merges m ON o.part = m.new_id, (SELECT unnest([0, 1]) AS s)),
+parts AS (SELECT * FROM open_parts WHERE part < 263)""" % LITERALS)
 add("encode_bytes", f"""SELECT mix_source, ord, CAST(len(i) AS INTEGER) AS n_ids, array_to_string(i, ' ') AS ids
   FROM (SELECT mix_source, ord, {IDS} AS i FROM docs)""", DOCS + ", " + LUT)
 add("encode_special", f"""SELECT mix_source, ord, len(a) AS n_special, len(b) AS n_plain,
@@ -278,7 +279,8 @@ add("mixture_report", f"""SELECT mix_source, round(share * 100, 4) AS target_pct
   FROM (SELECT mix_source, share, budget, count(ord) AS n_docs, CAST(coalesce(sum(n_tokens), 0) AS BIGINT) AS n_tokens,
       CAST(coalesce(sum(n_tokens) FILTER (WHERE split = 'train'), 0) AS BIGINT) AS train_tokens
     FROM budgets LEFT JOIN cut USING (mix_source) GROUP BY ALL)""", CUT)
-add("progress", """SELECT mix_source, n_samples, n_tokens, greatest(budget - n_tokens, 0) AS remaining FROM (
+add("progress", """SELECT mix_source, n_samples, n_tokens, greatest(budget - n_tokens, 0) AS remaining, 820000.0::DOUBLE AS rate,
+    round(n_tokens / 820000.0::DOUBLE, 6) AS elapsed_seconds, round(greatest(budget - n_tokens, 0) / 820000.0::DOUBLE, 6) AS eta_seconds FROM (
     SELECT mix_source, row_number() OVER w AS n_samples, CAST(sum(n_tokens) OVER w AS BIGINT) AS n_tokens FROM counted
     WINDOW w AS (PARTITION BY mix_source ORDER BY ord)) JOIN budgets USING (mix_source) WHERE n_samples % 50 = 0""",
     COUNTED + ", " + BUDGETS)

@@ -131,14 +131,25 @@ def byte_vocab(spark: SparkSession, d: str) -> DataFrame:
         "id", "token_hex", "is_special", F.coalesce("n_used", F.lit(0)).alias("n_used"))
 
 
-def _merges(spark: SparkSession, d: str) -> vo.Merges:
-    counts = vo.word_counts(fx.corpus(spark, d, MIN_CHARS_SAMPLE))
+def _train(spark: SparkSession, d: str) -> vo.Merges:
+    counts = as_written(vo.word_counts(fx.corpus(spark, d, MIN_CHARS_SAMPLE)), "word-counts")
     return vo.train_merges(counts, max_merges=fx.MERGES)
 
 
+_TRAINED: dict[tuple[str, str], vo.Merges] = {}
+
+
+def _merges(spark: SparkSession, d: str) -> vo.Merges:
+    """The merges learned from these tables, once per session."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _TRAINED:
+        _TRAINED[key] = _train(spark, d)
+    return _TRAINED[key]
+
+
 @query
 def bpe_merges(spark: SparkSession, d: str) -> DataFrame:
-    return _merges(spark, d).table(spark)
+    return _train(spark, d).table(spark)
 
 
 @query
@@ -177,9 +188,10 @@ def frame_docs(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def encode_bpe(spark: SparkSession, d: str) -> DataFrame:
-    docs = fx.corpus(spark, d)
-    dictionary = as_written(en.dictionary(docs, _merges(spark, d).table(spark)), "dictionary")
-    out = en.encode_by_dictionary(docs, dictionary, ["mix_source", "ord"])
+    docs, merges = fx.corpus(spark, d), _merges(spark, d).table(spark)
+    half = docs.filter("ord % 2 = 0")  # the other documents bring words the dictionary does not have
+    dictionary = as_written(en.dictionary(half, merges), "dictionary")
+    out = en.encode_by_dictionary(docs, dictionary, ["mix_source", "ord"], merges)
     return out.select("mix_source", "ord", F.size("ids").alias("n_ids"), joined("ids").alias("ids"))
 
 
@@ -266,17 +278,20 @@ def shard_numbering(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _placed(docs: DataFrame) -> DataFrame:
-    shards = fx.numbered(docs).select("mix_source", "split", "shard", "shard_idx")
-    return sh.shards_by_offset(docs, fx.SHARD_SIZE).join(shards, ["mix_source", "split", "shard"])
+    """Encoded documents with their shard's index. Places are planned on the narrow columns and join the ids by key."""
+    thin = docs.select("mix_source", "source_ord", "ord", "split", "n_tokens")
+    at = as_written(sh.shards_by_offset(thin, fx.SHARD_SIZE), "places")
+    shards = sh.number_shards(sh.shard_totals(at), fx.SHARD_SIZE).select("mix_source", "split", "shard", "shard_idx")
+    return sh.with_ids(at.join(shards, ["mix_source", "split", "shard"]).select("mix_source", "ord", "shard_idx"), docs)
 
 
 @query
 def shard_table(spark: SparkSession, d: str) -> DataFrame:
-    """Documents written as one directory per shard and read back."""
+    """Documents written shard by shard and read back."""
     path = scratch_path(spark, "shards")
-    sf.write_shard_table(_placed(fx.encoded_once(spark, d)), path)
-    return sf.read_shard_table(spark, path).select(
-        "mix_source", "split", "shard_idx", "ord", "n_tokens", F.md5(joined("ids")).alias("ids_md5"))
+    sf.write_shard_table(_placed(fx.encoded_once(spark, d)).drop("source_ord"), path)
+    back = sf.read_shard_table(spark, path, "ord long, n_tokens long, ids array<int>, shard_idx int")
+    return back.select("mix_source", "split", "shard_idx", "ord", "n_tokens", F.md5(joined("ids")).alias("ids_md5"))
 
 
 def _exported(spark: SparkSession, d: str) -> str:
@@ -320,27 +335,29 @@ def parse_shard_name(spark: SparkSession, d: str) -> DataFrame:
     return names.select("name", sh.parse_shard_name(F.col("name")).alias("s")).select("name", "s.*")
 
 
-def _manifest(spark: SparkSession, d: str) -> DataFrame:
-    return sf.manifest(fx.entries(fx.numbered(fx.counted_once(spark, d))), "tokenizer", BASE_VOCAB, fx.SHARD_SIZE, fx.VAL_FRACTION)
+def _manifest(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    entries = as_written(fx.entries(fx.numbered(fx.counted_once(spark, d))), "entries")
+    return sf.manifest(entries, "tokenizer", BASE_VOCAB, fx.SHARD_SIZE, fx.VAL_FRACTION), entries
 
 
 @query
 def manifest(spark: SparkSession, d: str) -> DataFrame:
     """The manifest written, read back and flattened."""
     path = scratch_path(spark, "manifest")
-    sf.write_manifest(_manifest(spark, d), path)
-    return sf.manifest_entries(sf.read_manifest(spark, path))
+    sf.write_manifest(*_manifest(spark, d), path)
+    return sf.read_manifest(spark, path)[1]
 
 
 @query
 def require_shards(spark: SparkSession, d: str) -> DataFrame:
-    kept = sf.require_shards(sf.manifest_entries(_manifest(spark, d)), "train")
+    kept = sf.require_shards(_manifest(spark, d)[1], "train")
     return kept.groupBy("split").agg(F.count(F.lit(1)).alias("n_shards"), F.sum("num_tokens").alias("n_tokens"))
 
 
 @query
 def resync_manifest(spark: SparkSession, d: str) -> DataFrame:
-    row = sf.resync_manifest(fx.entries(fx.numbered(fx.counted_once(spark, d))), "tokenizer", BASE_VOCAB)
+    entries = as_written(fx.entries(fx.numbered(fx.counted_once(spark, d))), "entries")
+    row = sf.manifest_document(sf.resync_manifest(entries, "tokenizer", BASE_VOCAB), entries)
     paths = lambda s: F.array_join(F.col(f"{s}_shards.path"), ",").alias(f"{s}_paths")
     return row.select("vocab_size", "shard_size", "dtype", "total_train_tokens", "total_val_tokens", "val_fraction",
                       paths("train"), paths("val"))
@@ -374,7 +391,8 @@ def mixture_report(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def progress(spark: SparkSession, d: str) -> DataFrame:
-    return report.progress(fx.counted_once(spark, d), 50, _budgets(spark, d))
+    out = report.progress(fx.counted_once(spark, d), 50, _budgets(spark, d), tokens_per_second=820_000.0)
+    return rounded(out, 6, "elapsed_seconds", "eta_seconds")
 
 
 @query
@@ -424,9 +442,11 @@ def sequence_count(spark: SparkSession, d: str) -> DataFrame:
 def _sequences(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Packed sequences, the shards in reading order, and the numbered shards."""
     docs = fx.encoded_once(spark, d)
-    shards = fx.numbered(docs)
+    thin = docs.select("mix_source", "source_ord", "ord", "split", "n_tokens")
+    at = as_written(sh.shards_by_offset(thin, fx.SHARD_SIZE), "places")
+    shards = sh.number_shards(sh.shard_totals(at), fx.SHARD_SIZE)
     lanes = fx.lanes(shards)
-    return pack.pack_sequences(sh.shards_by_offset(docs, fx.SHARD_SIZE), lanes, fx.SEQ_LEN), lanes, shards
+    return pack.pack_sequences(docs, pack.stream_positions(at, lanes), fx.SEQ_LEN), lanes, shards
 
 
 @query
@@ -604,9 +624,9 @@ def stream_manifest(spark: SparkSession, d: str) -> DataFrame:
     landing = scratch_path(spark, "landing")
     entries.write.parquet(landing)
     out = scratch_path(spark, "follow")
-    jobs.follow_manifest(jobs.file_stream(spark, landing, entries.schema), f"{out}/entries", f"{out}/manifest",
-                         f"{out}/state", "tokenizer", BASE_VOCAB)
-    return sf.manifest_entries(sf.read_manifest(spark, f"{out}/manifest"))
+    jobs.follow_manifest(jobs.file_stream(spark, landing, entries.schema), f"{out}/manifest", f"{out}/state", "tokenizer",
+                         BASE_VOCAB)
+    return sf.read_manifest(spark, f"{out}/manifest")[1]
 
 
 @query

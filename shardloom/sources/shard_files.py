@@ -14,11 +14,18 @@ from shardloom.operators.shards import parse_shard_name, shard_name
 from shardloom.session import file_uri
 from shardloom.spec import STALL_SECONDS, TOKENS_PER_SHARD
 
-ENTRY = "struct<path: string, num_tokens: bigint, shard_idx: int, source: string>"
-MANIFEST_SCHEMA = (
+# Fixed values of the format: names and words in manifests and status rows.
+DTYPE = "uint16"
+ACTIVE, STALLED = "ACTIVE", "MAYBE STALLED"
+HEAD_SCHEMA = (
     "tokenizer string, vocab_size int, shard_size bigint, dtype string, total_train_tokens bigint, "
-    f"total_val_tokens bigint, val_fraction double, train_shards array<{ENTRY}>, val_shards array<{ENTRY}>"
+    "total_val_tokens bigint, val_fraction double"
 )
+ENTRY_SCHEMA = "split string, path string, num_tokens bigint, shard_idx int, source string"
+ENTRY_COLUMNS = ("split", "path", "num_tokens", "shard_idx", "source")
+ENTRY = "struct<path: string, num_tokens: bigint, shard_idx: int, source: string>"
+MANIFEST_SCHEMA = f"{HEAD_SCHEMA}, train_shards array<{ENTRY}>, val_shards array<{ENTRY}>"
+DOCUMENT_SHARDS = 1_000_000
 READ_CHUNK = 1 << 16
 
 
@@ -29,14 +36,22 @@ class NoShardsError(ValueError):
 # ------------------------------------------------------------------------------------------------ shard tables
 
 
+SHARD_TABLE_KEYS = ["mix_source", "split"]
+
+
 def write_shard_table(docs: DataFrame, path: str) -> None:
-    """Write documents as parquet, one directory per (source, split, shard), rows in key order."""
-    keys = ["mix_source", "split", "shard_idx"]
-    docs.repartition(*keys).sortWithinPartitions(*keys, "ord").write.partitionBy(*keys).parquet(path)
+    """Write documents as parquet in one directory per source and split; a shard is a run of sorted rows in one file.
 
+    A shard's rows go to the task of its hash, so that a directory has at most as many files as there are tasks,
+    however many shards there are.
+    """
+    keys = [*SHARD_TABLE_KEYS, "shard_idx"]
+    docs.repartition(*keys).sortWithinPartitions(*keys, "ord").write.partitionBy(*SHARD_TABLE_KEYS).parquet(path)
 
-def read_shard_table(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
+
+def read_shard_table(spark: SparkSession, path: str, columns: str, split: str | None = None) -> DataFrame:
+    """The table with the columns given as DDL; names of sources stay text whatever they look like."""
+    df = spark.read.schema(f"{columns}, mix_source string, split string").parquet(path)
     return df.filter(F.col("split") == split) if split else df
 
 
@@ -122,67 +137,89 @@ def read_bin(spark: SparkSession, directory: str, chunk: int = READ_CHUNK) -> Da
 # ------------------------------------------------------------------------------------------------ manifest
 
 
-def _lists() -> list[Column]:
-    entry = F.struct("shard_idx", "path", "num_tokens", "source")
-    shape = lambda e: F.struct(e["path"].alias("path"), e["num_tokens"].alias("num_tokens"),
-                               e["shard_idx"].alias("shard_idx"), e["source"].alias("source"))
-    return [
-        F.transform(F.array_sort(F.collect_list(F.when(F.col("split") == s, entry))), shape).alias(f"{s}_shards")
-        for s in ("train", "val")
-    ]
-
-
 def _split_tokens(split: str) -> Column:
     return F.coalesce(F.sum(F.when(F.col("split") == split, F.col("num_tokens"))), F.lit(0)).cast("long")
 
 
-def manifest(entries: DataFrame, tokenizer: str, vocab_size: int, shard_size: int, val_fraction: float) -> DataFrame:
-    """The manifest as one row, lists in shard order. ``entries`` is one row per shard, not per document."""
+def manifest(entries: DataFrame, tokenizer: str, vocab_size: int, shard_size: int | None, val_fraction: float | None) -> DataFrame:
+    """The head of a manifest, one row: settings and token totals. The entries themselves are a table beside it.
+
+    Settings given as null are measured when the manifest is read.
+    """
     return entries.agg(
-        _split_tokens("train").alias("total_train_tokens"), _split_tokens("val").alias("total_val_tokens"), *_lists()
+        _split_tokens("train").alias("total_train_tokens"), _split_tokens("val").alias("total_val_tokens"),
+        F.coalesce(F.max(F.when(F.col("split") == "train", F.col("num_tokens"))), F.lit(0)).alias("largest"),
     ).select(
         F.lit(tokenizer).alias("tokenizer"), F.lit(vocab_size).alias("vocab_size"),
-        F.lit(shard_size).cast("long").alias("shard_size"), F.lit("uint16").alias("dtype"),
-        "total_train_tokens", "total_val_tokens", F.lit(float(val_fraction)).alias("val_fraction"),
-        "train_shards", "val_shards",
+        (F.lit(shard_size).cast("long") if shard_size is not None else F.col("largest")).alias("shard_size"), F.lit(DTYPE).alias("dtype"),
+        "total_train_tokens", "total_val_tokens", F.lit(val_fraction).cast("double").alias("val_fraction"),
     )
 
 
+def _measured(heads: DataFrame) -> DataFrame:
+    """One head out of those of several parts."""
+    train, val = F.sum("total_train_tokens"), F.sum("total_val_tokens")
+    share = F.coalesce(F.round(F.try_divide(val, train + val), 6), F.lit(0.0))
+    return heads.agg(
+        F.max("tokenizer").alias("tokenizer"), F.max("vocab_size").alias("vocab_size"), F.max("shard_size").alias("shard_size"),
+        F.max("dtype").alias("dtype"), train.alias("total_train_tokens"), val.alias("total_val_tokens"),
+        F.coalesce(F.max("val_fraction"), share).alias("val_fraction"))
+
+
 def resync_manifest(entries: DataFrame, tokenizer: str, vocab_size: int) -> DataFrame:
-    """The manifest rebuilt from files: shard size and validation share are measured."""
-    train, val = F.col("total_train_tokens"), F.col("total_val_tokens")
-    return entries.agg(
-        _split_tokens("train").alias("total_train_tokens"), _split_tokens("val").alias("total_val_tokens"),
-        F.coalesce(F.max(F.when(F.col("split") == "train", F.col("num_tokens"))), F.lit(0)).alias("shard_size"),
-        *_lists(),
-    ).select(
-        F.lit(tokenizer).alias("tokenizer"), F.lit(vocab_size).alias("vocab_size"), "shard_size",
-        F.lit("uint16").alias("dtype"), "total_train_tokens", "total_val_tokens",
-        F.coalesce(F.round(F.try_divide(val, train + val), 6), F.lit(0.0)).alias("val_fraction"),
-        "train_shards", "val_shards",
-    )
+    """The head rebuilt from files: shard size and validation share are measured."""
+    return _measured(manifest(entries, tokenizer, vocab_size, None, None))
+
+
+def write_manifest(head: DataFrame, entries: DataFrame, path: str, part: int = 0) -> None:
+    """Write one part of a manifest: its entries, sorted by split and shard over all files, then its head.
+
+    A part is complete once its head is there; writing it again replaces it.
+    """
+    entries.select(*ENTRY_COLUMNS).orderBy("split", "shard_idx").write.mode("overwrite").parquet(f"{path}/entries/part={part}")
+    head.coalesce(1).write.mode("overwrite").json(f"{path}/head/part={part}")
+
 
+def read_manifest(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """``(head, entries)`` of all complete parts of a manifest."""
+    heads = spark.read.schema(HEAD_SCHEMA + ", part int").json(f"{path}/head")
+    entries = spark.read.schema(ENTRY_SCHEMA + ", part int").parquet(f"{path}/entries")
+    return _measured(heads), entries.join(heads.select("part"), "part", "left_semi").select(*ENTRY_COLUMNS)
 
-def write_manifest(row: DataFrame, path: str) -> None:
-    row.coalesce(1).write.mode("overwrite").json(path)
 
+def manifest_document(head: DataFrame, entries: DataFrame, most: int = DOCUMENT_SHARDS) -> DataFrame:
+    """The manifest as the one document of the published format, both lists in shard order.
 
-def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(MANIFEST_SCHEMA).json(path)
+    For consumers that read that form: it holds every entry in one row, so their number is checked.
+    """
+    if entries.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} shards; use the entry table")
+    entry = F.struct("shard_idx", "path", "num_tokens", "source")
+    shape = lambda e: F.struct(e["path"].alias("path"), e["num_tokens"].alias("num_tokens"),
+                               e["shard_idx"].alias("shard_idx"), e["source"].alias("source"))
+    lists = entries.agg(*[F.transform(F.array_sort(F.collect_list(F.when(F.col("split") == s, entry))), shape).alias(f"{s}_shards")
+                          for s in ("train", "val")])
+    return head.crossJoin(lists)  # one row each
 
 
-def manifest_entries(row: DataFrame, base: str | None = None) -> DataFrame:
-    """One row per listed shard. With ``base``, relative paths become base + file name, absolute ones stay."""
+def read_document(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(MANIFEST_SCHEMA).option("multiLine", True).json(path)
+
+
+def document_entries(row: DataFrame) -> DataFrame:
+    """One row per shard listed in a manifest document."""
     def tagged(split: str) -> Column:
         return F.transform(f"{split}_shards", lambda e: F.struct(F.lit(split).alias("split"), e.alias("e")))
 
     both = F.concat(tagged("train"), tagged("val"))
-    rows = row.select(F.explode(both).alias("x")).select("x.split", "x.e.*")
-    if base is None:
-        return rows
-    absolute = F.col("path").rlike(r"^(/|[A-Za-z][A-Za-z0-9+.-]*://)")
+    return row.select(F.explode(both).alias("x")).select("x.split", "x.e.*")
+
+
+def resolved(entries: DataFrame, base: str) -> DataFrame:
+    """Entries whose relative paths became base + file name; absolute ones stay."""
+    absolute = F.col("path").rlike(r"^(/|[A-Za-z][A-Za-z0-9+.-]*:/)")
     file = F.element_at(F.split("path", "/"), -1)
-    return rows.withColumn("path", F.when(absolute, F.col("path")).otherwise(
+    return entries.withColumn("path", F.when(absolute, F.col("path")).otherwise(
         F.concat(F.lit(base.rstrip("/") + "/"), file)))
 
 
@@ -210,7 +247,7 @@ def ingest_status(spark: SparkSession, directory: str, now: Column, tokens_per_s
         F.count(F.lit(1)).alias("n_files"), F.max_by("name", "modificationTime").alias("last_shard"),
         F.max("modificationTime").alias("last_time"),
     ).select("n_files", (F.col("n_files") * tokens_per_shard).alias("est_tokens"), "last_shard", age).withColumn(
-        "state", F.when(F.col("age_seconds") < STALL_SECONDS, "ACTIVE").otherwise("MAYBE STALLED")
+        "state", F.when(F.col("age_seconds") < STALL_SECONDS, ACTIVE).otherwise(STALLED)
     )
 
 

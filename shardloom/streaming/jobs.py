@@ -14,7 +14,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from shardloom.operators.metrics import metrics_by_window
 from shardloom.session import scratch_path
-from shardloom.sources.shard_files import resync_manifest
+from shardloom.sources.shard_files import manifest, write_manifest
 from shardloom.spec import STALL_SECONDS
 
 
@@ -55,17 +55,16 @@ def windowed_metrics(points: DataFrame, delay: str = "1 hour", width: str = "1 d
     return metrics_by_window(points.withWatermark("ts", delay), width)
 
 
-def follow_manifest(shards: DataFrame, table: str, manifest_path: str, checkpoint: str, tokenizer: str,
-                    vocab_size: int) -> None:
-    """Append arriving shard entries to a table and rewrite the manifest after every batch.
+def follow_manifest(shards: DataFrame, manifest_path: str, checkpoint: str, tokenizer: str, vocab_size: int) -> None:
+    """Add arriving shard entries to a manifest, one part per batch.
 
-    A batch writes its own directory and replaces it when run again, so a retry adds nothing twice.
+    A batch reads nothing of earlier ones, and replaces its own part when run again, so a retry adds nothing twice.
+    The manifest can be read at any time: a part counts once it is complete.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
-        entries = spark.read.schema(batch.schema).parquet(f"{table}/batch_id=*")
-        resync_manifest(entries, tokenizer, vocab_size).coalesce(1).write.mode("overwrite").json(manifest_path)
+        entries = batch.persist()
+        write_manifest(manifest(entries, tokenizer, vocab_size, None, None), entries, manifest_path, part=batch_id)
+        entries.unpersist()
 
     query = shards.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(
         availableNow=True).start()

@@ -87,13 +87,13 @@ def test_stream_resumes_where_it_stopped(spark, tmp_path):
 def test_manifest_follows_arriving_shards(spark, tmp_path):
     from shardloom.sources.shard_files import read_manifest
 
-    src, table, man, state = (str(tmp_path / n) for n in ("in", "table", "man", "state"))
+    src, man, state = (str(tmp_path / n) for n in ("in", "man", "state"))
     schema = "path string, num_tokens long, shard_idx int, source string, split string"
     for i in range(3):
         spark.createDataFrame([(f"a_train_shard_{i:04d}.bin", 10 + i, i, "a", "train")], schema).coalesce(1).write.mode("append").parquet(src)
-        jobs.follow_manifest(jobs.file_stream(spark, src, schema, files_per_trigger=1), table, man, state, "t", 263)
-        row = read_manifest(spark, man).first()
-        assert len(row["train_shards"]) == i + 1 and row["shard_size"] == 10 + i
+        jobs.follow_manifest(jobs.file_stream(spark, src, schema, files_per_trigger=1), man, state, "t", 263)
+        head, entries = read_manifest(spark, man)
+        assert entries.count() == i + 1 and head.first()["shard_size"] == 10 + i and head.first()["total_train_tokens"] == sum(range(10, 11 + i))
 
 
 def test_late_points_are_dropped(spark, tmp_path):

@@ -117,7 +117,7 @@ def test_packing_example_and_conservation(spark):
     placed = sh.shards_by_offset(df, 1000)
     lanes = pack.reading_order(pack.assign_workers(pack.shard_list(
         sh.number_shards(sh.shard_totals(placed), 1000)), 1), shuffle=False)
-    seqs = pack.pack_sequences(placed, lanes, 5).orderBy("seq_idx").collect()
+    seqs = pack.pack_sequences(df, pack.stream_positions(placed, lanes), 5).orderBy("seq_idx").collect()
     flat = [t for r in df.orderBy("ord").collect() for t in r["ids"]]
     assert [r["input_ids"] for r in seqs] == [flat[:5], flat[5:10]]
 
@@ -126,7 +126,7 @@ def test_packing_example_and_conservation(spark):
     placed = sh.shards_by_offset(many, 200, bits=4)
     shards = sh.number_shards(sh.shard_totals(placed), 200)
     lanes = pack.reading_order(pack.assign_workers(pack.shard_list(shards), 3, 2))
-    seqs = pack.pack_sequences(placed, lanes, 16)
+    seqs = pack.pack_sequences(many, pack.stream_positions(placed, lanes), 16)
     want = pack.sequences_per_worker(lanes, 16).agg(F.sum("n_sequences")).first()[0]
     tokens = seqs.select(F.explode("input_ids").alias("t"))
     assert seqs.count() == want and tokens.count() == want * 16 == tokens.distinct().count()
@@ -177,15 +177,20 @@ ENTRY = "path string, num_tokens long, shard_idx int, source string, split strin
 def test_manifest_paths_fallback_and_guard(spark, tmp_path):
     rows = [("/abs/x_train_shard_0001.bin", 5, 1, "x", "train"), ("rel/x_train_shard_0000.bin", 7, 0, "x", "train")]
     entries = spark.createDataFrame(rows, ENTRY)
-    sf.write_manifest(sf.manifest(entries, "t", 263, 10, 0.1), str(tmp_path / "m"))
-    back = sf.manifest_entries(sf.read_manifest(spark, str(tmp_path / "m")), base="/base/")
+    sf.write_manifest(sf.manifest(entries, "t", 263, 10, 0.1), entries, str(tmp_path / "m"))
+    head, listed = sf.read_manifest(spark, str(tmp_path / "m"))
+    assert tuple(head.first()) == ("t", 263, 10, "uint16", 12, 0, 0.1)
+    sf.manifest_document(head, listed).coalesce(1).write.json(str(tmp_path / "doc"))
+    back = sf.resolved(sf.document_entries(sf.read_document(spark, str(tmp_path / "doc"))), "/base/")
+    with pytest.raises(ValueError):
+        sf.manifest_document(head, listed, most=1)
     assert {r["path"] for r in back.collect()} == {"/abs/x_train_shard_0001.bin", "/base/x_train_shard_0000.bin"}
     assert {r["split"] for r in sf.select_split(entries, "val").collect()} == {"train"}
     assert sf.require_shards(entries, "train").count() == 2
     with pytest.raises(sf.NoShardsError):
         sf.require_shards(entries, "val")
     again = sf.resync_manifest(entries.filter("false"), "t", 263).first()
-    assert again["val_fraction"] == 0.0 and again["train_shards"] == []
+    assert again["val_fraction"] == 0.0 and again["total_train_tokens"] == 0
     names = spark.createDataFrame([("my_src_val_shard_12345.bin",), ("a_test_shard_0001.bin",), ("a_train_shard_1.txt",)], "n string")
     got = [r[0] for r in names.select(sh.parse_shard_name(F.col("n"))).collect()]
     assert tuple(got[0]) == ("my_src", "val", 12345) and got[1:] == [None, None]
@@ -212,7 +217,7 @@ def test_failing_and_empty_sources(spark, tmp_path):
 
 
 def test_filters_and_columns_reach_the_scan(spark):
-    df = rd.read_documents(spark, fx.mixture("/root/testdata/sf0.001").sources[0])
+    df = rd.read_documents(spark, fx.mixture("/root/testdata/sf0.001").sources[1])
     plan = df._jdf.queryExecution().toString()
-    assert "EqualTo(lang,en)" in plan
+    assert "EqualTo(lang,fr)" in plan and "REPARTITION_BY_NUM" not in plan
     assert "ReadSchema: struct<doc_id:bigint,text:string,lang:string>" in plan
