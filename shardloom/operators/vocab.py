@@ -22,7 +22,7 @@ from shardloom.spec import BASE_VOCAB, SPECIAL_TOKENS
 MERGE_SCHEMA = "rank int, left_id int, right_id int, new_id int"
 VOCAB_SCHEMA = "id int, token_hex string, is_special boolean"
 
-CANDIDATES = 64
+CANDIDATES = 256
 CHECKPOINT_ROUNDS = 8
 
 
@@ -183,7 +183,9 @@ def train_merges(counts: DataFrame, vocab_size: int | None = None, max_merges: i
         (vocab_size is not None and merges.vocab_size >= vocab_size)
         or (max_merges is not None and len(merges.rows) >= max_merges)
     )
-    state = cut_lineage(coded_words(counts).filter(F.length("sym") > 1))
+    # Every round passes over the words: they are dealt over all cores once, however few bytes they are.
+    cores = counts.sparkSession.sparkContext.defaultParallelism
+    state = cut_lineage(coded_words(counts).filter(F.length("sym") > 1).repartition(cores, "sym"))
     grams = cut_lineage(gram_counts(state))
     cached: list[tuple[DataFrame, DataFrame]] = []
     while not done():
