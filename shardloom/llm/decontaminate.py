@@ -157,7 +157,7 @@ def _merged(spans) -> list[tuple[int, int]]:
 
 
 def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
-    """The text without the words of the spans and what separates them; the rest keeps its spelling."""
+    """The text without the words of the spans and what follows them up to the next word; the rest stays as it is."""
     raw = text.encode()
     gone = {i for a, b in spans for i in range(a, b)}
     clean, out, last, at = raw.translate(_SPACED), bytearray(), 0, 0
@@ -167,6 +167,8 @@ def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
             if i - 1 not in gone:
                 out += raw[last:at]
             last = at + len(w)
+        elif i - 1 in gone:
+            last = at
         at += len(w)
     return (bytes(out) + raw[last:]).decode()
 

@@ -154,24 +154,28 @@ def write_archives(records: DataFrame, folder: str, archive_bytes_at_most: int =
 def read_archives(index: DataFrame, with_payload: bool = True) -> DataFrame:
     """All records of the archives of an index, in ``READ`` columns; digests of responses are computed anew.
 
-    A record whose payload does not have the digest its header names is an error.
+    A record whose payload does not have the digest its header names is an error, and so is an archive with fewer
+    or more records than were written.
     """
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path in batch.column(0).to_pylist():
+            for path, expected in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 store, name = _place(path)
-                rows, held = [], 0
+                rows, held, met = [], 0, 0
                 with store.open_input_stream(name) as source:
                     for headers, block in read_archive(source):
                         rows.append(_row(headers, block, with_payload))
                         held += len(block)
+                        met += 1
                         if held > ARCHIVE_BYTES or len(rows) >= 10_000:
                             yield _rows(rows)
                             rows, held = [], 0
+                if met != expected:
+                    raise ValueError(f"{path}: {met} of {expected} records can be read")
                 if rows:
                     yield _rows(rows)
 
-    paths = index.select("path")
+    paths = index.select("path", "n_records")
     return paths.repartition(max(1, index.count()), "path").mapInArrow(work, READ)
 
 
