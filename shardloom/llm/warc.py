@@ -120,7 +120,7 @@ def _write(folder: str, records: list[bytes]) -> tuple[str, int, int, int]:
     store, base = _place(folder)
     name, data = f"pages-{uuid.uuid4().hex}.warc.zst", archive_bytes(records)
     store.create_dir(base, recursive=True)
-    with store.open_output_stream(f"{base}/{name}") as out:
+    with store.open_output_stream(f"{base}/{name}", compression=None) as out:  # not once more for its ending
         out.write(data)
     return f"{folder}/{name}", len(records), sum(map(len, records)), len(data)
 
@@ -162,7 +162,7 @@ def read_archives(index: DataFrame, with_payload: bool = True) -> DataFrame:
             for path, expected in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 store, name = _place(path)
                 rows, held, met = [], 0, 0
-                with store.open_input_stream(name) as source:
+                with store.open_input_stream(name, compression=None) as source:
                     for headers, block in read_archive(source):
                         rows.append(_row(headers, block, with_payload))
                         held += len(block)
