@@ -247,6 +247,7 @@ def test_archives_are_cut_by_size(spark, tmp_path):
     assert index.count() > 4 and index.agg(F.sum("n_records")).first()[0] == 60
     assert warc.read_archives(index).select("id").distinct().count() == 60
     first = next((tmp_path / "out").glob("*.zst"))
+    assert first.read_bytes()[:4] == b"\x5d\x2a\x4d\x18"
     first.write_bytes(first.read_bytes()[:-40])
     with pytest.raises(Exception, match="records can be read"):
         warc.read_archives(index).count()
