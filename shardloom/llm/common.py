@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shardloom.session import as_written
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
@@ -68,13 +70,15 @@ def by_batch(make, out: list[str]):
     return run
 
 
-def without_ids(rows: DataFrame, ids: DataFrame, key: str, limit: int = ID_BROADCAST) -> DataFrame:
-    """Rows whose key is not among ``ids`` (null equals null).
+def kept_rows(rows: DataFrame, verdicts: DataFrame, key: str, limit: int = ID_BROADCAST) -> DataFrame:
+    """Rows whose key has a verdict ``keep``, or none at all (null equals null).
 
-    The ids are counted: up to ``limit`` of them are broadcast and the rows stay where they are, more of them
-    meet the rows in a shuffle.
+    Rows that share a key cannot be told apart and go only if all of their verdicts say so. The keys that go are
+    written and counted: up to ``limit`` of them are broadcast and the rows stay where they are, more of them meet
+    the rows in a shuffle.
     """
-    gone = ids.select(F.col(key).alias("__gone")).distinct()
+    gone = as_written(verdicts.groupBy(F.col(key).alias("__gone")).agg(F.bool_or("keep").alias("__keep"))
+                      .filter("not __keep").select("__gone"), "gone")
     if gone.limit(limit + 1).count() <= limit:
         gone = F.broadcast(gone)
     return rows.join(gone, F.col(key).eqNullSafe(F.col("__gone")), "left_anti")

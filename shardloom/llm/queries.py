@@ -10,6 +10,7 @@ from shardloom.llm.decontaminate import contamination
 from shardloom.llm.exact_dedup import exact_duplicates
 from shardloom.llm.lattice_lm import lattice_scores
 from shardloom.llm.license_scan import license_scan
+from shardloom.llm.oracle import ORACLE  # noqa: F401  (registered beside the queries)
 from shardloom.llm.pareto_mix import pareto_mix
 from shardloom.llm.quality import THRESHOLD, fit_quality, quality_scores
 from shardloom.llm.secret_ledger import scan_versions, secret_spans
@@ -78,6 +79,3 @@ QUERIES = {
     "op9_secret_scan": op9_secret_scan,
     "op10_mix_sources": op10_mix_sources,
 }
-
-#: SQL of the queries that SQL can express.
-ORACLE: dict[str, str] = {}
