@@ -1,8 +1,8 @@
 """Corpus pipeline: quality, exact duplicates, near duplicates, benchmark passages, mixture.
 
 Every stage takes ``(spark, docs, sf_dir)`` and returns a table that is written and read again as the next
-stage's ``docs``. All but the last return the columns of ``documents``; rows with null ids, null or empty texts
-and repeated rows go through like any others.
+stage's ``docs``. All but the last return the columns of ``documents``; null and empty texts go through like any
+others. Rows that repeat an id, and all rows without one, stay together unless every one of them is to go.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardloom.llm.common import in_fold, table, without_ids
+from shardloom.llm.common import in_fold, kept_rows, table
 from shardloom.llm.decontaminate import contamination
 from shardloom.llm.exact_dedup import exact_duplicates
 from shardloom.llm.pareto_mix import pareto_mix
@@ -22,25 +22,25 @@ from shardloom.session import as_written
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression classifier accepts."""
     model = fit_quality(docs, table(spark, sf_dir, "labels").filter(~in_fold(F.col("doc_id"), 0)))
-    low = as_written(quality_scores(docs, model).filter(F.col("score") < THRESHOLD).select("doc_id"), "low-quality")
-    return without_ids(docs, low, "doc_id")
+    scored = quality_scores(docs, model).select("doc_id", (F.col("score") >= THRESHOLD).alias("keep"))
+    return kept_rows(docs, scored, "doc_id")
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the document with the largest id."""
-    return without_ids(docs, as_written(exact_duplicates(docs).filter("not kept").select("doc_id"), "copies"), "doc_id")
+    return kept_rows(docs, exact_duplicates(docs).select("doc_id", F.col("kept").alias("keep")), "doc_id")
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of near duplicates, the document with the smallest id."""
-    found = near_duplicates(docs).filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return without_ids(docs, as_written(found.select("doc_id"), "near-copies"), "doc_id")
+    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return kept_rows(docs, near_duplicates(docs).select("doc_id", first.alias("keep")), "doc_id")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark passages beyond the limits."""
-    found = contamination(docs, table(spark, sf_dir, "benchmark")).filter("contaminated")
-    return without_ids(docs, as_written(found.select("doc_id"), "contaminated"), "doc_id")
+    found = contamination(docs, table(spark, sf_dir, "benchmark"))
+    return kept_rows(docs, found.select("doc_id", (~F.col("contaminated")).alias("keep")), "doc_id")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
