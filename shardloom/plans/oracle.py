@@ -180,6 +180,8 @@ add("scan_source", "SELECT doc_id AS ord, text, lang FROM documents")
 add("read_mixture", "SELECT mix_source, source_ord, ord, md5(text) AS text_md5 FROM raw", RAW)
 add("failed_sources", """SELECT mix_source, count(*) AS n_docs, 'ok' AS state FROM raw GROUP BY mix_source
   UNION ALL SELECT 'broken', 0, 'failed' UNION ALL SELECT 'corrupt', 0, 'failed'""", RAW)
+add("read_keyless", "SELECT row_number() OVER () - 1 AS ord, md5(text) AS text_md5 FROM documents")
+add("read_string_key", "SELECT dense_rank() OVER (ORDER BY url NULLS FIRST) - 1 AS ord, md5(coalesce(html, '')) AS text_md5 FROM pages")
 add("filter_lang", "SELECT doc_id AS ord, lang, length(text) AS n_chars FROM documents WHERE lang = 'fr'")
 add("project_text", "SELECT doc_id AS ord, coalesce(text, '') AS text FROM documents")
 add("render_chat", "SELECT ord, text FROM raw WHERE mix_source = 'chat'", RAW)
@@ -301,6 +303,15 @@ add("sequence_count", f"""SELECT split, CAST(sum(num_tokens) AS BIGINT) AS n_tok
     CAST(sum(num_tokens) // {fx.SEQ_LEN} AS BIGINT) AS n_sequences,
     CAST(sum(num_tokens) // {fx.SEQ_LEN} // {fx.RANKS} AS BIGINT) AS n_per_rank FROM numbered GROUP BY split""", NUMBERED)
 add("pack_sequences", """SELECT split, rank, worker, seq_idx, md5(array_to_string(ids, ' ')) AS ids_md5 FROM seqs""", PACKED)
+add("pack_from_files", "SELECT split, rank, worker, seq_idx, md5(array_to_string(ids, ' ')) AS ids_md5 FROM seqs", PACKED)
+_bpe_counted = BPE + f""", counted AS (SELECT mix_source, source_ord, e.ord, CAST(len(string_split(ids, ' ')) + 2 AS BIGINT) AS n_tokens,
+    CASE WHEN CAST('0x' || substr(md5('{fx.SEED}:' || mix_source || ':' || e.ord), 1, 8) AS BIGINT)
+      < {fx.VAL_FRACTION} * 4294967296 THEN 'val' ELSE 'train' END AS split,
+    3 + list_sum(list_transform(string_split(ids, ' '), lambda s: CAST(s AS BIGINT))) AS id_sum
+  FROM encoded e JOIN raw r USING (mix_source, ord))"""
+add("pipeline_shards", f"""SELECT split, {NAME} AS path, num_tokens, shard_idx, mix_source AS source, CAST(id_sum AS BIGINT) AS id_sum FROM numbered
+  JOIN (SELECT mix_source, split, shard, sum(id_sum) AS id_sum FROM fill JOIN counted USING (mix_source, split, ord) GROUP BY ALL)
+  USING (mix_source, split, shard)""", _bpe_counted + GREEDY[len(COUNTED):] + ", " + totals("fill", "totals") + ", " + numbering("totals", "numbered"))
 add("next_token_pairs", """SELECT split, rank, worker, seq_idx, ids[1] AS first_id, ids[2] AS first_label,
     true AS last_unlabelled, md5(array_to_string(ids[2:], ' ')) AS labels_md5 FROM seqs""", PACKED)
 _batched = f"WHERE (batch_id + 1) * {fx.BATCH} <= n_seq"

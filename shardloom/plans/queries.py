@@ -12,6 +12,7 @@ from shardloom.operators import ngram, pack, report
 from shardloom.operators import shards as sh
 from shardloom.operators import split as sp
 from shardloom.operators import vocab as vo
+from shardloom import prepare as pr
 from shardloom.plans import fixture as fx
 from shardloom.session import as_written, scratch_path
 from shardloom.sources import readers as rd
@@ -58,6 +59,20 @@ def failed_sources(spark: SparkSession, d: str) -> DataFrame:
     return good.unionByName(bad)
 
 
+@query
+def read_keyless(spark: SparkSession, d: str) -> DataFrame:
+    """A source without a key: its rows in the order of the files."""
+    spec = SourceSpec("text", f"{d}/documents.parquet", key=None)
+    return rd.read_documents(spark, spec).select("ord", F.md5("text").alias("text_md5"))
+
+
+@query
+def read_string_key(spark: SparkSession, d: str) -> DataFrame:
+    """A source whose key is a string: rows by the rank of their key."""
+    spec = SourceSpec("web", f"{d}/pages.parquet", key="url", field="html")
+    return rd.read_documents(spark, spec).select("ord", F.md5("text").alias("text_md5"))
+
+
 @query
 def filter_lang(spark: SparkSession, d: str) -> DataFrame:
     rows = rd.scan_source(spark, fx.mixture(d).sources[1])
@@ -478,6 +493,27 @@ def val_cap(spark: SparkSession, d: str) -> DataFrame:
         "rank", "worker", "batch_id", "seq_idx", "max_batches")
 
 
+@query
+def pipeline_shards(spark: SparkSession, d: str) -> DataFrame:
+    """The whole job - mixture, learned merges, exact fill, files, manifest - and what its files hold."""
+    out = scratch_path(spark, "prepared")
+    merges = _merges(spark, d)
+    done = pr.prepare(spark, fx.mixture(d), merges.table(spark), merges.vocab_size, out)
+    ids = F.aggregate("ids", F.lit(0).cast("long"), lambda a, t: a + t)
+    held = sf.read_bin(spark, f"{out}/shards").groupBy("shard_idx").agg(F.sum(ids).alias("id_sum"))
+    return done.entries.join(held, "shard_idx").select("split", "path", "num_tokens", "shard_idx", "source", "id_sum")
+
+
+@query
+def pack_from_files(spark: SparkSession, d: str) -> DataFrame:
+    """Sequences from shard files by their manifest; the files hold byte ids in the parallel fill."""
+    out = scratch_path(spark, "prepared")
+    none = spark.createDataFrame([], vo.MERGE_SCHEMA)
+    pr.prepare(spark, fx.mixture(d), none, BASE_VOCAB, out, fill="offset")
+    seqs = pr.pack_files(spark, out, fx.SEQ_LEN, fx.WORKERS, fx.RANKS, seed=fx.SEED)
+    return seqs.select("split", "rank", "worker", "seq_idx", F.md5(joined("input_ids")).alias("ids_md5"))
+
+
 # ------------------------------------------------------------------------------------------------ metrics
 
 
