@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shardloom.operators.prefix import exclusive_fold, row_position
-from shardloom.session import cut_lineage
+from shardloom.session import as_written, cut_lineage
 from shardloom.spec import BYTES_PER_TOKEN, SHARD_NAME, SHARD_PATTERN
 
 GROUP = ["mix_source", "split"]
@@ -44,7 +44,6 @@ def shards_by_offset(docs: DataFrame, size: int, bits: int = 16) -> DataFrame:
 
 SEGMENT_SHARDS = 16
 FAN_IN = 32
-LEVELS = 2
 
 _MAP = "mix_source string, split string, node long, entry long, exit long, n_shards long"
 _ENTRY = "mix_source string, split string, node long, entry long, first_shard long"
@@ -152,22 +151,22 @@ def _number_documents(size: int, width: int):
 
 
 def shards_greedy(docs: DataFrame, size: int, bits: int = 16, segment_shards: int = SEGMENT_SHARDS,
-                  fan_in: int = FAN_IN, levels: int = LEVELS) -> DataFrame:
+                  fan_in: int = FAN_IN) -> DataFrame:
     """Exact fill: append whole documents, close the shard once it holds ``size`` tokens, start anew.
 
     Adds ``start_tok`` and ``shard``, counted from 0 per source and split. The maps, one row per possible
-    entry, are written as they are made.
+    entry, are written as they are made, and composed until every source and split has a single one.
     """
     width = size * segment_shards
-    placed = with_start(docs, bits)
+    placed = as_written(with_start(docs, bits), "starts")
     segment = F.expr(f"start_tok div {width}")
     in_head = (F.expr(f"start_tok % {width}") < size) & (segment > 0)
-    viewed = placed.select(
+    viewed = as_written(placed.select(
         *GROUP, "ord", "n_tokens", "start_tok",
         F.explode(F.when(in_head, F.array(segment, segment - 1)).otherwise(F.array(segment))).alias("node"),
-    )
+    ), "segments")
     maps, widths = [cut_lineage(viewed.groupBy(*_KEYS).applyInPandas(_segment_map(size, width), _MAP))], [width]
-    for _ in range(levels):
+    while (maps[-1].agg(F.max("node")).first()[0] or 0) > 0:
         lifted = maps[-1].withColumnRenamed("node", "child").withColumn("node", F.expr(f"child div {fan_in}"))
         widths.append(widths[-1] * fan_in)
         maps.append(cut_lineage(lifted.groupBy(*_KEYS).applyInPandas(_compose(widths[-1]), _MAP)))

@@ -31,8 +31,8 @@ def fill(lengths, size):
     return out
 
 
-@pytest.mark.parametrize("size,segment,fan_in,levels", [(50, 2, 2, 2), (50, 1, 2, 1), (200, 4, 3, 2), (30, 16, 32, 2)])
-def test_greedy_fill_equals_the_loop(spark, size, segment, fan_in, levels):
+@pytest.mark.parametrize("size,segment,fan_in", [(50, 2, 2), (50, 1, 2), (200, 4, 3), (30, 16, 32)])
+def test_greedy_fill_equals_the_loop(spark, size, segment, fan_in):
     rng = random.Random(size)
     rows, want = [], {}
     for s in ("hot", "cold"):  # one source with most of the rows, and documents longer than whole segments
@@ -41,7 +41,7 @@ def test_greedy_fill_equals_the_loop(spark, size, segment, fan_in, levels):
             rows.append((s, 0, "train", i * 3, n))
             want[s, i * 3] = k
     df = spark.createDataFrame(rows, DOC)
-    out = sh.shards_greedy(df, size, bits=5, segment_shards=segment, fan_in=fan_in, levels=levels)
+    out = sh.shards_greedy(df, size, bits=5, segment_shards=segment, fan_in=fan_in)
     assert {(r["mix_source"], r["ord"]): r["shard"] for r in out.collect()} == want
 
 
