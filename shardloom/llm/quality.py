@@ -22,11 +22,11 @@ from shardloom.session import as_written
 
 BLOCK = 2048
 LEVEL = 3
-DICT_BYTES = 65_536
+DICT_BYTES = 262_144
 #: Bound of the fit: labelled rows of either class, one half for the dictionaries, the other for the calibration.
 FIT_ROWS = 4_000
-#: Blocks of either class that a dictionary is built from.
-DICT_BLOCKS = 1_500
+#: Blocks of either class that a dictionary is built from. Sizes and builder settings were chosen on training folds.
+DICT_BLOCKS = 4_000
 THRESHOLD = 0.3
 
 
@@ -61,7 +61,7 @@ class Features:
 def build_dictionary(blocks: list[bytes], size: int = DICT_BYTES) -> bytes:
     """A Zstandard dictionary from sample blocks; their bare bytes where they are too few to train on."""
     try:
-        return zstandard.train_dictionary(min(size, max(256, sum(map(len, blocks)) // 8)), blocks, k=512, d=8).as_bytes()
+        return zstandard.train_dictionary(min(size, max(256, sum(map(len, blocks)) // 8)), blocks, k=128, d=8).as_bytes()
     except zstandard.ZstdError:
         return b"".join(blocks)[-size:]
 
