@@ -16,7 +16,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 HEADLINE = [
     "corpus_overview", "render_chat", "min_length", "word_counts", "bpe_merges", "encode_bytes", "encode_bpe",
     "encode_bpe_in_place", "roundtrip", "budget_cut", "shards_offset", "shards_greedy", "shard_table", "export_bin",
-    "pack_sequences", "bigram_perplexity", "topk_nucleus", "interval_metrics", "rolling_step_time", "stream_ingest",
+    "pack_sequences", "pipeline_shards", "pack_from_files", "bigram_perplexity", "topk_nucleus", "interval_metrics", "rolling_step_time", "stream_ingest",
 ]
 
 

@@ -164,7 +164,8 @@ def _merges(spark: SparkSession, d: str) -> vo.Merges:
 
 @query
 def bpe_merges(spark: SparkSession, d: str) -> DataFrame:
-    return _train(spark, d).table(spark)
+    _TRAINED[spark.sparkContext.applicationId, d] = merges = _train(spark, d)
+    return merges.table(spark)
 
 
 @query
