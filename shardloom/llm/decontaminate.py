@@ -20,7 +20,7 @@ from shardloom.session import as_written
 
 WINDOW = 13
 #: Words of items in one automaton (about 300 bytes each); longer item tables make several automata.
-BLOCK_WORDS = 500_000
+BLOCK_WORDS = 200_000
 
 
 class ItemAutomaton:

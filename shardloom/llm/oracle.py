@@ -6,6 +6,8 @@ from shardloom.llm.common import LOWER, UPPER
 from shardloom.llm.decontaminate import WINDOW
 from shardloom.llm.pareto_mix import FACTOR, MOST_COPIES, SEED, WEIGHTS
 from shardloom.llm.secret_ledger import BASE_RULES, RULES
+from shardloom.llm.url_templates import DEPTH, FAN, MERGE_Z, PRIOR, REJECT, SMOOTHING, SUPPORT
+from shardloom.llm.url_templates import RULES as URL_RULES
 from shardloom.llm.warc import LEAST_BYTES
 
 ORACLE: dict[str, str] = {}
@@ -81,3 +83,44 @@ gap AS (SELECT *, inclusion > 0 AND upto <= rest AS taken_first, rest - max(CASE
 fill AS (SELECT *, row_number() OVER (PARTITION BY source, NOT taken_first AND inclusion > 0 AND size > 0 AND abs(size - missing) < missing
   ORDER BY abs(size - missing), u, doc_id) = 1 AND NOT taken_first AND inclusion > 0 AND size > 0 AND abs(size - missing) < missing AS taken_last FROM gap)
 SELECT doc_id, size, source_size, target, CAST((whole + CASE WHEN taken_first OR taken_last THEN 1 ELSE 0 END) * size AS BIGINT) AS taken FROM fill"""
+
+_url = r"'(?s)^.*?://([^/?#]*)([^?#]*)'"
+_by_length = sorted(URL_RULES, key=lambda r: -len(r.name))
+_fits = {r: f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')" for r in _by_length}
+
+
+def _first_rule(value) -> str:
+    return "CASE " + " ".join(f"WHEN {_fits[r]} THEN {value(r)}" for r in _by_length) + " END"
+
+
+def _level(k: int) -> str:
+    """Templates with one more segment: children of a wide branch point become one wildcard."""
+    literal = "here IS NOT NULL AND here <> '**' AND NOT starts_with(here, '{')"
+    return f"""h{k} AS MATERIALIZED (SELECT *, segs[{k + 1}] AS here FROM t{k}),
+wide{k} AS (SELECT host, tpl FROM (SELECT host, tpl, here, sum(n) AS n FROM h{k} WHERE {literal} GROUP BY ALL) GROUP BY ALL
+  HAVING count(*) >= {FAN} AND sum(n) < count(*) * {SUPPORT}),
+t{k + 1} AS MATERIALIZED (SELECT host, segs, n, labelled, bad, h.tpl || CASE WHEN here IS NULL THEN '' WHEN {literal} AND w.tpl IS NOT NULL THEN '/*'
+  ELSE '/' || here END AS tpl FROM h{k} h LEFT JOIN wide{k} w USING (host, tpl))"""
+
+
+_rate = f"({{}} + {SMOOTHING * PRIOR}::DOUBLE) / ({{}} + {SMOOTHING}::DOUBLE)"
+ORACLE["op7_url_filter"] = f"""WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), {_url}, 1), '{UPPER}', '{LOWER}') AS host,
+  regexp_extract(coalesce(url, ''), {_url}, 2) AS path FROM pages),
+ruled AS MATERIALIZED (SELECT *, {_first_rule(lambda r: f"'{r.name}'")} AS rule, {_first_rule(lambda r: f"'{r.verdict}'")} AS ruled,
+  string_split(regexp_replace(path, '^/', ''), '/') AS parts FROM u),
+formed AS MATERIALIZED (SELECT page_id, host, path, rule, ruled, CASE ruled WHEN 'block' THEN 1 WHEN 'allow' THEN 0 END AS bad,
+  list_transform(parts[1:{DEPTH}], lambda s: CASE WHEN regexp_full_match(s, '[0-9]+') THEN '{{n}}'
+    WHEN regexp_full_match(s, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') THEN '{{date}}'
+    WHEN regexp_full_match(s, '[0-9]+\\.[A-Za-z0-9]{{1,5}}') THEN '{{n}}.' || string_split(s, '.')[-1]
+    WHEN regexp_matches(s, '[0-9]') AND regexp_full_match(s, '[0-9A-Fa-f-]{{8,}}') THEN '{{x}}' ELSE s END)
+    || CASE WHEN len(parts) > {DEPTH} THEN ['**'] ELSE [] END AS segs FROM ruled),
+t0 AS MATERIALIZED (SELECT host, segs, count(*) AS n, count(bad) AS labelled, coalesce(sum(bad), 0) AS bad, '' AS tpl FROM formed GROUP BY host, segs),
+{', '.join(_level(k) for k in range(DEPTH + 1))},
+tpls AS MATERIALIZED (SELECT host, tpl, regexp_replace(tpl, '^/[^/]*', '/?') AS branch, CAST(sum(labelled) AS DOUBLE) AS labelled, CAST(sum(bad) AS DOUBLE) AS bad
+  FROM t{DEPTH + 1} GROUP BY host, tpl),
+judged AS MATERIALIZED (SELECT *, coalesce(abs(bad / nullif(labelled, 0) - p) > {MERGE_Z} * sqrt(p * (1 - p) / nullif(labelled, 0) + 1e-9), true) AS own FROM (
+  SELECT *, sum(bad) OVER b / nullif(sum(labelled) OVER b, 0) AS p FROM tpls WINDOW b AS (PARTITION BY host, branch))),
+shares AS (SELECT host, tpl, CASE WHEN own THEN {_rate.format('bad', 'labelled')} ELSE {_rate.format(
+    'sum(bad) FILTER (WHERE NOT own) OVER b', 'sum(labelled) FILTER (WHERE NOT own) OVER b')} END AS share FROM judged WINDOW b AS (PARTITION BY host, branch))
+SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN share >= {REJECT} THEN 'block' ELSE 'allow' END) AS verdict
+FROM formed JOIN (SELECT host, segs, tpl FROM t{DEPTH + 1}) USING (host, segs) JOIN shares USING (host, tpl)"""
