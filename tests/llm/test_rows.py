@@ -96,7 +96,7 @@ def test_near_duplicates(spark, docs, odd):
 def test_contamination(spark, docs, odd):
     bench = pairs(spark.read.parquet(f"{SF}/benchmark.parquet"), "item_id", "text")
     same(q.op5_benchmark_decontamination(spark, SF).collect(), brute.contamination(pairs(docs), bench))
-    for limit in (500_000, 20):
+    for limit in (200_000, 20):
         same(contamination(odd, items(spark), block_words=limit).drop("spans").collect(), brute.contamination(pairs(odd), ITEMS))
 
 
