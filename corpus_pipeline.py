@@ -10,12 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardloom.llm.common import in_fold, kept_rows, table
+from shardloom.llm.common import in_fold, kept_rows, table, with_row_key
 from shardloom.llm.decontaminate import contamination
 from shardloom.llm.exact_dedup import exact_duplicates
 from shardloom.llm.pareto_mix import pareto_mix
 from shardloom.llm.quality import THRESHOLD, fit_quality, quality_scores
-from shardloom.llm.simhash import near_duplicates
+from shardloom.llm.shingle_dedup import similar_rows
 from shardloom.session import as_written
 
 
@@ -32,9 +32,9 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of near duplicates, the document with the smallest id."""
-    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    return kept_rows(docs, near_duplicates(docs).select("doc_id", first.alias("keep")), "doc_id")
+    """Of texts with at least four fifths of their five-word shingles in common, the row with the smallest id."""
+    rows = with_row_key(docs)
+    return kept_rows(rows, similar_rows(rows).withColumnRenamed("row", "__row"), "__row").drop("__row")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -84,6 +84,11 @@ def kept_rows(rows: DataFrame, verdicts: DataFrame, key: str, limit: int = ID_BR
     return rows.join(gone, F.col(key).eqNullSafe(F.col("__gone")), "left_anti")
 
 
+def with_row_key(rows: DataFrame) -> DataFrame:
+    """The rows, written once with a key ``__row`` of their own, so that every later read sees the same keys."""
+    return as_written(rows.withColumn("__row", F.monotonically_increasing_id()), "rows")
+
+
 def with_few(rows: DataFrame, few: DataFrame, keys: list[str], limit: int = ID_BROADCAST // 10,
              how: str = "inner") -> DataFrame:
     """Rows joined to a table of one row per key (null equals null), whose other names are new to the rows.

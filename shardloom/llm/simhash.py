@@ -75,11 +75,11 @@ def position_groups(bits: int) -> np.ndarray:
 
 
 @lru_cache(maxsize=4)
-def flips(bits: int, radius: int) -> dict[int, np.ndarray]:
-    """All masks of up to ``radius // 2`` bits, by how they change the bucket."""
+def flips(bits: int, radius: int, width: int = 64) -> dict[int, np.ndarray]:
+    """All masks of up to ``radius // 2`` of the lowest ``width`` bits, by how they change the bucket."""
     by: dict[int, list[int]] = {}
     for k in range(radius // 2 + 1):
-        for places in combinations(range(64), k):
+        for places in combinations(range(width), k):
             change = 0
             for p in places:
                 change ^= 1 << (p % bits)
@@ -108,14 +108,14 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         root = new
 
 
-def linked_in_bucket(fps: np.ndarray, bucket: int, bits: int, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
-    """Links found at the variants of one bucket, as ``(fingerprint, smallest it is connected to there)``.
+def meeting_in_bucket(fps: np.ndarray, bucket: int, bits: int, radius: int = RADIUS,
+                      width: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of indexes of the sorted ``fps`` within the radius: a star for every variant of one bucket.
 
     Variants are sorted in slices of about ``AT_ONCE``, cut by a mixed hash of the variant.
     """
-    fps = np.unique(fps)
     change = bucket_of(fps, bits) ^ bucket
-    table = flips(bits, radius)
+    table = flips(bits, radius, width)
     kinds = [(np.flatnonzero(change == c), table[c]) for c in np.unique(change).tolist() if c in table]
     total = sum(len(rows) * len(masks) for rows, masks in kinds)
     slices = max(1, -(-total // AT_ONCE))
@@ -144,14 +144,20 @@ def linked_in_bucket(fps: np.ndarray, bucket: int, bits: int, radius: int = RADI
         pair = np.unique(head[near] * len(fps) + members[near])
         a.append(pair // max(1, len(fps)))
         b.append(pair % max(1, len(fps)))
-    root = _roots(len(fps), np.concatenate(a), np.concatenate(b))
+    return np.concatenate(a), np.concatenate(b)
+
+
+def linked_in_bucket(fps: np.ndarray, bucket: int, bits: int, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
+    """Links found at the variants of one bucket, as ``(fingerprint, smallest it is connected to there)``."""
+    fps = np.unique(fps)
+    root = _roots(len(fps), *meeting_in_bucket(fps, bucket, bits, radius))
     moved = np.flatnonzero(root != np.arange(len(fps)))
     return fps[moved], fps[root[moved]]
 
 
-def bucket_bits(n: int) -> int:
+def bucket_bits(n: int, per_bucket: int = PER_BUCKET) -> int:
     """Bits of the bucket for so many distinct fingerprints."""
-    return min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(max(1, n) / PER_BUCKET))))
+    return min(MOST_BITS, max(LEAST_BITS, math.ceil(math.log2(max(1, n) / per_bucket))))
 
 
 def ball_links(fps: DataFrame, radius: int = RADIUS, bits: int | None = None) -> DataFrame:
@@ -160,19 +166,39 @@ def ball_links(fps: DataFrame, radius: int = RADIUS, bits: int | None = None) ->
     ``fps`` has distinct values of ``fp``.
     """
     bits = bits or bucket_bits(fps.count())
-    changes = F.array(*[F.lit(c) for c in sorted(flips(bits, radius))])
-    groups = position_groups(bits).view(np.int64).tolist()
-    own = sum((F.shiftleft(F.bit_count(F.col("fp").bitwiseAND(F.lit(g))) % 2, i) for i, g in enumerate(groups)), F.lit(0))
-    sent = fps.select("fp", own.cast("int").alias("own")).select(
-        "fp", F.explode(changes).alias("change"), "own").select(
-        "fp", F.col("own").bitwiseXOR(F.col("change")).alias("bucket"))
 
     def work(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         values = rows.column("fp").to_numpy().view(np.uint64)
         a, b = linked_in_bucket(values, key[0].as_py(), bits, radius)
         return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    return sent.groupBy("bucket").applyInArrow(work, "a bigint, b bigint")
+    return _sent(fps, bits, radius).groupBy("bucket").applyInArrow(work, "a bigint, b bigint")
+
+
+def ball_pairs(fps: DataFrame, radius: int, width: int, per_bucket: int) -> DataFrame:
+    """Pairs ``(a, b)`` of the distinct values of ``fp`` that differ in at most ``radius`` of the lowest ``width`` bits.
+
+    Unlike the links of ``ball_links`` every pair lies within the radius; of those that meet at one variant the
+    smallest is paired with all others.
+    """
+    bits = bucket_bits(fps.count(), per_bucket)
+
+    def work(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        values = np.unique(rows.column("fp").to_numpy().view(np.uint64))
+        a, b = meeting_in_bucket(values, key[0].as_py(), bits, radius, width)
+        return pa.table({"a": values[a].view(np.int64), "b": values[b].view(np.int64)})
+
+    return _sent(fps, bits, radius, width).groupBy("bucket").applyInArrow(work, "a bigint, b bigint")
+
+
+def _sent(fps: DataFrame, bits: int, radius: int, width: int = 64) -> DataFrame:
+    """``(fp, bucket)``: every fingerprint once for each bucket that one of its variants falls into."""
+    changes = F.array(*[F.lit(c) for c in sorted(flips(bits, radius, width))])
+    groups = position_groups(bits).view(np.int64).tolist()
+    own = sum((F.shiftleft(F.bit_count(F.col("fp").bitwiseAND(F.lit(g))) % 2, i) for i, g in enumerate(groups)), F.lit(0))
+    return fps.select("fp", own.cast("int").alias("own")).select(
+        "fp", F.explode(changes).alias("change"), "own").select(
+        "fp", F.col("own").bitwiseXOR(F.col("change")).alias("bucket"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS,
