@@ -2,7 +2,8 @@
 
 Every stage takes ``(spark, docs, sf_dir)`` and returns a table that is written and read again as the next
 stage's ``docs``. All but the last return the columns of ``documents``; null and empty texts go through like any
-others. Rows that repeat an id, and all rows without one, stay together unless every one of them is to go.
+others. Every row goes or stays by its own text; only in the exact stage rows that repeat an id, or have none, stay
+together unless all of them would go, and copies left by that go in the near stage.
 """
 
 from __future__ import annotations
@@ -22,8 +23,9 @@ from shardloom.session import as_written
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression classifier accepts."""
     model = fit_quality(docs, table(spark, sf_dir, "labels").filter(~in_fold(F.col("doc_id"), 0)))
-    scored = quality_scores(docs, model).select("doc_id", (F.col("score") >= THRESHOLD).alias("keep"))
-    return kept_rows(docs, scored, "doc_id")
+    rows = with_row_key(docs)
+    scored = quality_scores(rows, model, "__row").select(F.col("doc_id").alias("__row"), (F.col("score") >= THRESHOLD).alias("keep"))
+    return kept_rows(rows, scored, "__row").drop("__row")
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,8 +41,9 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark passages beyond the limits."""
-    found = contamination(docs, table(spark, sf_dir, "benchmark"))
-    return kept_rows(docs, found.select("doc_id", (~F.col("contaminated")).alias("keep")), "doc_id")
+    rows = with_row_key(docs)
+    found = contamination(rows, table(spark, sf_dir, "benchmark"), "__row")
+    return kept_rows(rows, found.select(F.col("doc_id").alias("__row"), (~F.col("contaminated")).alias("keep")), "__row").drop("__row")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

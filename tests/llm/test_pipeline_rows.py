@@ -63,3 +63,28 @@ def test_recall_of_fingerprints_at_the_limit():
         assert abs(len(np.intersect1d(a, b)) / len(np.union1d(a, b)) - 0.777) < 0.001
         met += bool((np.bitwise_count(x ^ y) <= sd.RADIUS).any())
     assert met >= 0.97 * 400
+
+
+def test_rows_of_one_id_are_judged_one_by_one(spark):
+    """A good row does not keep rejected, repeated or contaminated rows of its id, or of no id."""
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    scored = cp.quality_scores(docs, cp.fit_quality(docs, cp.table(spark, sf, "labels").filter(~cp.in_fold(F.col("doc_id"), 0))))
+    low = {r["doc_id"] for r in scored.filter(F.col("score") < cp.THRESHOLD).collect()}
+    nameless = docs.select(*[F.lit(None).cast("long").alias(c) if c == "doc_id" else c for c in docs.columns])
+    text = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert low
+    got = STAGE["quality classifier"](spark, docs.union(nameless), sf).select("doc_id", "text").collect()
+    want = [(i, t) for i, t in text.items() if i not in low]
+    assert brute.in_order(map(tuple, got)) == brute.in_order(want + [(None, t) for _, t in want])
+
+    item = spark.read.parquet(f"{sf}/benchmark.parquet").first()["text"]
+    rows = spark.createDataFrame([(None, "fine words of its own", "en", "s", 1), (None, item, "en", "s", 1), (3, item, "en", "s", 1),
+                                  (3, "other fine words", "en", "s", 1)], brute.SCHEMA)
+    got = STAGE["benchmark decontamination"](spark, rows, sf).select("doc_id", "text").collect()
+    assert brute.in_order(map(tuple, got)) == brute.in_order([(None, "fine words of its own"), (3, "other fine words")])
+
+    copies = spark.createDataFrame([(3, "one text of some words here", "en", "s", 1)] * 2
+                                   + [(None, "a text without any id at all", "en", "s", 1)] * 2, brute.SCHEMA)
+    once = STAGE["SimHash near-dedup"](spark, STAGE["exact dedup"](spark, copies, sf), sf).select("doc_id").collect()
+    assert brute.in_order(map(tuple, once)) == brute.in_order([(3,), (None,)])
