@@ -95,13 +95,22 @@ def scan_versions(docs: DataFrame, ledger: DataFrame | None = None, findings: Da
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     versions = as_written(rows.select("doc_id", blob_of(F.col("text")).alias("blob")), "versions")
     names = F.array(*[F.lit(r.name) for r in rules])
-    pairs = versions.groupBy("blob").agg(F.min("doc_id").alias("first_id")).select(
-        "blob", "first_id", F.explode(names).alias("rule_name"))
+    # Of the rows of one blob those of the least id, a null id last; ``copies`` says how many they are.
+    least = versions.groupBy("blob", "doc_id").agg(F.count(F.lit(1)).alias("copies")).groupBy("blob").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "copies")).alias("o"))
+    pairs = least.select("blob", F.col("o.doc_id").alias("first_id"), F.col("o.copies").alias("copies"),
+                         F.explode(names).alias("rule_name"))
     if ledger is not None:
         pairs = pairs.join(ledger.select("blob", "rule_name"), ["blob", "rule_name"], "left_anti")
-    unseen = as_written(pairs.groupBy("blob", "first_id").agg(F.array_sort(F.collect_set("rule_name")).alias("rule_names")), "unseen")
-    texts = rows.join(unseen, F.col("doc_id").eqNullSafe(F.col("first_id")) & (blob_of(F.col("text")) == F.col("blob")))
-    fresh = as_written(scan_blobs(texts.select("blob", "text", "rule_names"), rules), "findings")
+    unseen = as_written(pairs.groupBy("blob", "first_id", "copies").agg(
+        F.array_sort(F.collect_set("rule_name")).alias("rule_names")), "unseen")
+    same = F.col("doc_id").eqNullSafe(F.col("first_id")) & (blob_of(F.col("text")) == F.col("blob"))
+    texts = rows.join(unseen.filter("copies = 1"), same).select("blob", "text", "rule_names")
+    repeated = as_written(unseen.filter("copies > 1"), "repeated")
+    if not repeated.isEmpty():
+        once = rows.join(repeated, same).groupBy("blob", "rule_names").agg(F.any_value("text").alias("text"))
+        texts = texts.unionByName(once)
+    fresh = as_written(scan_blobs(texts, rules), "findings")
     scanned = unseen.select("blob", F.explode("rule_names").alias("rule_name"))
     return (versions, scanned if ledger is None else ledger.select("blob", "rule_name").unionByName(scanned),
             fresh if findings is None else findings.select("blob", "kind", "start", "end").unionByName(fresh))
