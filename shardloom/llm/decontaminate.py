@@ -10,6 +10,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -184,8 +185,8 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     ``spans`` are the hit spans, start and end in words from 0. Null and empty texts have no words and are not
     contaminated; items without words hit nothing; of repeated items, or items of one id, the id counts once.
     Null item ids count as an empty string. Other columns are not read. Documents never shuffle while the items
-    fit one automaton; more items are taken in blocks of ``block_words`` words, each against all documents, and
-    the documents' spans are joined by row.
+    fit one automaton; more items are taken in blocks of ``block_words`` words, each against all documents, which
+    are written once with a row key, and the documents' spans are joined by it.
     """
     spark: SparkSession = docs.sparkSession
     out = ["doc_id", "uid", "n_words", "starts", "ends", "names"]
@@ -193,7 +194,12 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
               "ends array<bigint>, names array<string>")
     parts, rows = [], docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                                   F.monotonically_increasing_id().alias("uid"))
-    for block in item_blocks(items, item_id, item_text, block_words):
+    blocks = item_blocks(items, item_id, item_text, block_words)
+    first, second = next(blocks), next(blocks, None)
+    if second is not None:
+        # Every block is a job of its own: the keys must not depend on how each of them splits the documents.
+        rows = as_written(rows, "keyed-documents")
+    for block in chain([first], [] if second is None else [second], blocks):
         sent = spark.sparkContext.broadcast(ItemAutomaton(block, window))
 
         def make(batch: pa.RecordBatch, sent=sent) -> dict[str, pa.Array]:
