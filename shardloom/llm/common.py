@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shardloom.session import as_written
@@ -102,3 +102,35 @@ def with_few(rows: DataFrame, few: DataFrame, keys: list[str], limit: int = ID_B
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
     return rows.join(side, same, how).drop(*[f"__{k}" for k in keys])
+
+
+def utf8_texts(column: pa.Array) -> Iterator[memoryview]:
+    """The UTF-8 bytes of each text of a column, one after the other and without copies; null texts are empty."""
+    texts = column.cast(pa.large_string())
+    bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1].tolist() if len(texts) else [0]
+    data = memoryview(texts.buffers()[2] or b"")
+    known = texts.is_valid().to_pylist()
+    for a, b, there in zip(bounds, bounds[1:], known):
+        yield data[a:b] if there else data[:0]
+
+
+def with_places(rows: DataFrame, order: list[Column], most: int) -> DataFrame:
+    """Rows with ``place``, counted from 1 in ``order`` for the first ``most`` of them and null for the others.
+
+    The rows are dealt over ranges of the order and written with the number of their range; only the counts of the
+    ranges reach the driver. Rows are numbered within the ranges that hold the first ones. The order must tell all
+    rows apart for the ranges to be even.
+    """
+    dealt = as_written(rows.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()), "ranges")
+    sizes, before, first = sorted(tuple(r) for r in dealt.groupBy("__part").count().collect()), 0, []
+    for part, n in sizes:
+        if before < most:
+            first.append((part, before))
+        before += n
+    spark = rows.sparkSession
+    offsets = spark.createDataFrame(first, "__part int, __before long")
+    place = F.col("__before") + F.row_number().over(Window.partitionBy("__part").orderBy(*order))
+    ahead = dealt.join(F.broadcast(offsets), "__part").select(*rows.columns, place.alias("place"))
+    last = first[-1][0] if first else -1
+    return ahead.withColumn("place", F.when(F.col("place") <= most, F.col("place"))).unionByName(
+        dealt.filter(F.col("__part") > last).select(*rows.columns, F.lit(None).cast("long").alias("place")))

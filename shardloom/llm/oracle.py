@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from shardloom.llm.centroids import CENTROIDS, DIM, ROUNDS
+from shardloom.llm.centroids import SCALE as KMEANS_SCALE
+from shardloom.llm.centroids import SEED as KMEANS_SEED
 from shardloom.llm.common import LOWER, UPPER
 from shardloom.llm.decontaminate import WINDOW
 from shardloom.llm.pareto_mix import FACTOR, MOST_COPIES, SEED, WEIGHTS
+from shardloom.llm.resample import BUCKETS, DRAWN_PERCENT, LEAST_WORDS
+from shardloom.llm.resample import SEED as RESAMPLE_SEED
 from shardloom.llm.secret_ledger import BASE_RULES, RULES
+from shardloom.llm.topk import SCALE as TOPK_SCALE
+from shardloom.llm.topk import TOP
 from shardloom.llm.url_templates import DEPTH, FAN, MERGE_Z, PRIOR, REJECT, SMOOTHING, SUPPORT
 from shardloom.llm.url_templates import RULES as URL_RULES
 from shardloom.llm.warc import LEAST_BYTES
@@ -124,3 +131,71 @@ shares AS (SELECT host, tpl, CASE WHEN own THEN {_rate.format('bad', 'labelled')
     'sum(bad) FILTER (WHERE NOT own) OVER b', 'sum(labelled) FILTER (WHERE NOT own) OVER b')} END AS share FROM judged WINDOW b AS (PARTITION BY host, branch))
 SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN share >= {REJECT} THEN 'block' ELSE 'allow' END) AS verdict
 FROM formed JOIN (SELECT host, segs, tpl FROM t{DEPTH + 1}) USING (host, segs) JOIN shares USING (host, tpl)"""
+
+
+def _crc_table() -> str:
+    """The table of the reflected CRC-32, from its polynomial."""
+    out = []
+    for c in range(256):
+        for _ in range(8):
+            c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+        out.append(c)
+    return "[" + ", ".join(map(str, out)) + "]"
+
+
+def _runs(text: str, source: str, key: str) -> str:
+    """Words, and all runs of one to three of them, of every text, numbered."""
+    two, three = ("list_transform(range(1, len(w){}), lambda i: {})".format(less, " || ' ' || ".join(f"w[i + {k}]" for k in range(n)))
+                  for less, n in (("", 2), (" - 1", 3)))
+    return f"SELECT r, {key}, w, list_concat(w, {two}, {three}) AS f FROM (SELECT row_number() OVER () AS r, {key}, {_letters.format(folded(text))} AS w FROM {source})"
+
+
+_ln = "floor(1000 * ln({}))"
+ORACLE["op11_target_resampling"] = f"""WITH d AS MATERIALIZED ({_runs('text', 'documents', 'doc_id')}),
+i AS ({_runs('text', 'benchmark', 'item_id')}),
+df AS MATERIALIZED (SELECT r, f, count(*) AS n FROM (SELECT r, unnest(f) AS f FROM d) GROUP BY r, f),
+tf AS MATERIALIZED (SELECT f, count(*) AS n FROM (SELECT unnest(f) AS f FROM i) GROUP BY f),
+h AS (SELECT f, hex(encode(f)) AS x FROM (SELECT f FROM df UNION SELECT f FROM tf)),
+b AS MATERIALIZED (SELECT f, xor(4294967295::BIGINT, list_reduce(
+    list_transform(range(1, len(x), 2), lambda i: CAST('0x' || substr(x, i, 2) AS INTEGER)),
+    lambda c, v: xor(({_crc_table()})[(xor(c, v) & 255) + 1], c >> 8), 4294967295::BIGINT)) % {BUCKETS} AS bucket FROM h),
+s AS (SELECT bucket, sum(n) AS n FROM df JOIN b USING (f) GROUP BY bucket), t AS (SELECT bucket, sum(n) AS n FROM tf JOIN b USING (f) GROUP BY bucket),
+sizes AS (SELECT coalesce((SELECT sum(n) FROM s), 0) AS sn, coalesce((SELECT sum(n) FROM t), 0) AS tn),
+g AS (SELECT bucket, CAST({_ln.format(f'(coalesce(t.n, 0) + 1)::DOUBLE * (sn + {BUCKETS})::DOUBLE / ((s.n + 1)::DOUBLE * (tn + {BUCKETS})::DOUBLE)')} AS BIGINT) AS gain
+  FROM s LEFT JOIN t USING (bucket), sizes),
+w AS (SELECT r, sum(n * gain) AS weight FROM df JOIN b USING (f) JOIN g USING (bucket) GROUP BY r),
+scored AS (SELECT d.r, doc_id, CAST(len(d.f) AS BIGINT) AS n_features, len(w) AS n_words, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+  CAST('0x' || substr(sha256('{RESAMPLE_SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) AS h FROM d LEFT JOIN w ON d.r = w.r),
+final AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM scored),
+placed AS (SELECT *, count(*) FILTER (WHERE n_words >= {LEAST_WORDS}) OVER () AS n,
+  row_number() OVER (PARTITION BY n_words >= {LEAST_WORDS} ORDER BY score DESC, doc_id) AS p FROM final)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= {LEAST_WORDS} AND p <= {DRAWN_PERCENT} * n // 100 THEN p END AS rank FROM placed"""
+
+_whole = "[CAST(floor({}::DOUBLE * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding]"
+_fine = "embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0"
+ORACLE["op12_topk_search"] = f"""WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, {_whole.format(TOPK_SCALE)} AS v FROM embeddings WHERE {_fine}),
+p AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.r <> c.r AND len(q.v) = len(c.v) WHERE q.vec_id % 20 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM p)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= {TOP}"""
+
+
+def _clusters() -> str:
+    steps = [f"""v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, {_whole.format(KMEANS_SCALE)} AS v FROM embeddings WHERE len(embedding) = {DIM} AND {_fine}),
+x AS MATERIALIZED (SELECT r, unnest(v) AS x, unnest(range({DIM})) AS d FROM v),
+c0 AS MATERIALIZED (SELECT c, unnest(v) AS x, unnest(range({DIM})) AS d FROM (
+  SELECT row_number() OVER (ORDER BY sha256('{KMEANS_SEED}:' || vec_id)) - 1 AS c, v FROM v) WHERE c < {CENTROIDS})"""]
+    for k in range(ROUNDS + 1):
+        steps.append(f"""a{k} AS MATERIALIZED (SELECT r, arg_min(c, s * {CENTROIDS} + c) AS c, min(s) AS distance FROM (
+  SELECT x.r, c{k}.c, sum((x.x - c{k}.x) * (x.x - c{k}.x)) AS s FROM x JOIN c{k} USING (d) GROUP BY x.r, c{k}.c) GROUP BY r)""")
+        if k < ROUNDS:
+            steps.append(f"""c{k + 1} AS MATERIALIZED (SELECT c{k}.c, c{k}.d, coalesce(m.x, c{k}.x) AS x FROM c{k} LEFT JOIN (
+  SELECT a{k}.c, x.d, CAST((sum(x.x) - (sum(x.x) % count(*) + count(*)) % count(*)) // count(*) AS BIGINT) AS x FROM x JOIN a{k} USING (r) GROUP BY a{k}.c, x.d) m
+  ON m.c = c{k}.c AND m.d = c{k}.d)""")
+    return f"""WITH {', '.join(steps)},
+named AS (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY d)) AS h FROM c{ROUNDS} GROUP BY c)
+SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance, CAST(sum(distance) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, h AS centroid_sha256 FROM a{ROUNDS} a JOIN v USING (r) JOIN named ON named.c = a.c"""
+
+
+ORACLE["op13_centroid_clustering"] = _clusters()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shardloom.llm.centroids import clusters
 from shardloom.llm.common import in_fold, table
 from shardloom.llm.decontaminate import contamination
 from shardloom.llm.exact_dedup import exact_duplicates
@@ -13,8 +14,10 @@ from shardloom.llm.license_scan import license_scan
 from shardloom.llm.oracle import ORACLE  # noqa: F401  (registered beside the queries)
 from shardloom.llm.pareto_mix import pareto_mix
 from shardloom.llm.quality import THRESHOLD, fit_quality, quality_scores
+from shardloom.llm.resample import resample
 from shardloom.llm.secret_ledger import scan_versions, secret_spans
 from shardloom.llm.simhash import near_duplicates
+from shardloom.llm.topk import top_products
 from shardloom.llm.url_templates import url_verdicts
 from shardloom.llm.warc import archive_pages, read_archives
 
@@ -67,6 +70,18 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pareto_mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -78,4 +93,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_secret_scan": op9_secret_scan,
     "op10_mix_sources": op10_mix_sources,
+    "op11_target_resampling": op11_target_resampling,
+    "op12_topk_search": op12_topk_search,
+    "op13_centroid_clustering": op13_centroid_clustering,
 }

@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_registered():
-    names = [f"op{n}_" for n in range(1, 11)]
+    names = [f"op{n}_" for n in range(1, 14)]
     assert all(sum(q.startswith(n) for q in queries()) == 1 for n in names) and "pipeline" in queries()
     assert set(ORACLE) <= set(QUERIES) and set(ORACLE) <= set(oracle_sql())
     assert len(cp.STAGES) == 5
