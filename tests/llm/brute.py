@@ -194,3 +194,56 @@ def warc(rows):
 
 def in_order(rows):
     return sorted(rows, key=repr)
+
+
+def license_value(text, start, freedom, label_of, unknown, extra):
+    """``(freedom, labels)`` of the longest expression after ``start``, by recursive descent, or null."""
+    tokens = [m[1] for m in re.finditer(r"[ \t]*([()]|[A-Za-z0-9][A-Za-z0-9.+-]*|\S)", re.match(r"[^\r\n]*", text[start:])[0])]
+
+    def operand(k):
+        if k < len(tokens) and tokens[k] == "(":
+            got = side(k + 1, 0)
+            if got is None:
+                return None
+            value, k = got
+            return value, k + (k < len(tokens) and tokens[k] == ")")
+        if k < len(tokens) and tokens[k][0].isalnum() and tokens[k].lower() not in ("with", "and", "or"):
+            label = label_of(tokens[k].rstrip(".-"))
+            return (freedom.get(label, unknown), {label}), k + 1
+        return None
+
+    def side(k, level):
+        """Operators from loose to tight: or, and, with."""
+        if level == 3:
+            return operand(k)
+        got = side(k, level + 1)
+        while got and got[1] < len(tokens) and tokens[got[1]].lower() == ("or", "and", "with")[level]:
+            more = side(got[1] + 1, level + 1)
+            if more is None:
+                break
+            (x, a), (y, b) = got[0], more[0]
+            got = ((max(x, y), a | b) if level == 0 else (min(x, y), a | b) if level == 1 else (min(1.0, x + extra), a)), more[1]
+        return got
+
+    got = side(0, 0)
+    return got and got[0]
+
+
+def license_labels(rows, base, notices, freedom, label_of, unknown, extra):
+    """``(doc_id, labels, score)`` per row; phrases are looked for place by place."""
+    out = []
+    for i, t in rows:
+        w, labels, values = letter_words(t), set(), []
+        for p, label in [*base.items(), *notices.items()]:
+            if any(w[a:a + len(p.split())] == p.split() for a in range(len(w))):
+                labels.add(label)
+                values.append(freedom[label])
+        gap = r"[^A-Za-z0-9\x80-\U0010ffff]+"
+        whole = re.compile(rf"(?i)(?<![A-Za-z0-9\x80-\U0010ffff])spdx{gap}license{gap}identifier(?![A-Za-z0-9\x80-\U0010ffff])")
+        if whole.search(t or ""):
+            for m in re.finditer(rf"(?i)spdx{gap}license{gap}identifier[ \t]*:?[ \t]*", t):
+                if got := license_value(t, m.end(), freedom, label_of, unknown, extra):
+                    labels |= got[1]
+                    values.append(got[0])
+        out.append((i, ",".join(sorted(labels)), min(values, default=unknown)))
+    return out
