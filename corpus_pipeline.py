@@ -2,8 +2,11 @@
 
 Every stage takes ``(spark, docs, sf_dir)`` and returns a table that is written and read again as the next
 stage's ``docs``. All but the last return the columns of ``documents``; null and empty texts go through like any
-others. Every row goes or stays by its own text; only in the exact stage rows that repeat an id, or have none, stay
-together unless all of them would go, and copies left by that go in the near stage.
+others. Every row goes or stays by its own text under a row key of its own, whatever its id.
+
+The near stage keeps the ball hashing of the SimHash operator and not its fingerprints: those of two texts at
+similarity 0.8 differ in about ten of 64 bits, too many to meet. It hashes balls around several sketches of one-bit
+minima instead and compares the shingles of every pair that meets.
 """
 
 from __future__ import annotations
@@ -29,8 +32,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the document with the largest id."""
-    return kept_rows(docs, exact_duplicates(docs).select("doc_id", F.col("kept").alias("keep")), "doc_id")
+    """Of equal texts, the row with the largest id, a null id only where there is no other; of rows of one id, one."""
+    rows = with_row_key(docs)
+    found = exact_duplicates(rows.withColumn("__id", F.struct("doc_id", "__row")), "__id")
+    return kept_rows(rows, found.select("doc_id.__row", F.col("kept").alias("keep")), "__row").drop("__row")
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
