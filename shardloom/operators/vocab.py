@@ -1,29 +1,36 @@
 """Learning byte-pair merges, and the vocabulary table.
 
-The corpus is read once, for word counts. Everything after runs on distinct words, each held as a coded
-string (one code point per token, see ``functions.alphabet``).
+The corpus is read once, for word counts. Everything after runs on distinct words, dealt over parts that hold them as
+packed arrays of tokens, see ``word_parts``.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter
+import heapq
 from collections.abc import Iterator
+from math import ceil
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardloom.functions.alphabet import BYTES_IN_ID_ORDER, MAX_CODED_ID, code_point, coded
+from shardloom.functions.alphabet import BYTES_IN_ID_ORDER, MAX_CODED_ID, coded
 from shardloom.functions.text import words
-from shardloom.session import cut_lineage
+from shardloom.operators.word_parts import SCHEMA as PARTS
+from shardloom.operators.word_parts import TYPES as PART_TYPES
+from shardloom.operators.word_parts import Run, WordPart
+from shardloom.session import as_written, discard
 from shardloom.spec import BASE_VOCAB, SPECIAL_TOKENS
 
 MERGE_SCHEMA = "rank int, left_id int, right_id int, new_id int"
 VOCAB_SCHEMA = "id int, token_hex string, is_special boolean"
 
-CANDIDATES = 256
-CHECKPOINT_ROUNDS = 8
+#: Most merges of a round, rounds between written states, leading pairs counted at once, and words of a part.
+CANDIDATES = 512
+CHECKPOINT_ROUNDS = 24
+FRONT = 8192
+PART_WORDS = 100_000
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -37,102 +44,11 @@ def coded_words(counts: DataFrame) -> DataFrame:
     return counts.select(coded(F.col("word")).alias("sym"), "freq")
 
 
-def _grams(sym: Column) -> Column:
-    """Every run of three tokens of a word, and its last two."""
-    return F.when(F.length(sym) > 1, F.regexp_extract_all(sym, F.lit("(?s)(?=(...?))"), F.lit(1))).otherwise(
-        F.array().cast("array<string>"))
-
-
-def gram_counts(state: DataFrame) -> DataFrame:
-    """Weighted counts ``(g, c)`` of runs of three tokens, and of two at the ends of words."""
-    return state.select(F.explode(_grams(F.col("sym"))).alias("g"), "freq").groupBy("g").agg(F.sum("freq").alias("c"))
-
-
-def pairs_of(grams: DataFrame) -> DataFrame:
-    """``(pair, n, grow)`` from the runs of tokens, see ``pair_counts``."""
-    head, tail = F.substring("g", 1, 2), F.substring("g", 2, 2)
-    none = F.lit(0).cast("long")
-    rows = F.when(F.length("g") == 3, F.array(
-        F.struct(head.alias("pair"), F.col("c").alias("n"), F.col("c").alias("x")),
-        F.struct(tail.alias("pair"), none.alias("n"), F.col("c").alias("x")),
-    )).otherwise(F.array(F.struct(head.alias("pair"), F.col("c").alias("n"), none.alias("x"))))
-    return (
-        grams.select(F.explode(rows).alias("r"))
-        .groupBy(F.col("r.pair").alias("pair")).agg(F.sum("r.n").alias("n"), F.max("r.x").alias("grow"))
-    )
-
-
 def pair_counts(state: DataFrame) -> DataFrame:
-    """Weighted counts of adjacent tokens over all words: ``pair`` is a coded string of length two.
-
-    ``grow`` bounds the count of any pair that merging this one could create: the largest count of the
-    pair together with one neighbour.
-    """
-    return pairs_of(gram_counts(state))
-
-
-ROUND_SCHEMA = "sym string, freq bigint, g string, c bigint"
-
-
-def _runs(sym: str) -> list[str]:
-    return [sym[i:i + 3] for i in range(len(sym) - 1)]
-
-
-def _merge_round(state: DataFrame, run: list[tuple[str, str]]) -> DataFrame:
-    """One pass over the words: rows ``(sym, freq)`` after the merges, and the changes ``(g, c)`` of gram counts.
-
-    Words that no merge touches pass through; the others give back their old runs of tokens and bring their new
-    ones, summed per batch. Plain string replacement in Arrow batches: as column expressions every round would be
-    another plan to compile.
-    """
-    met = re.compile("|".join(re.escape(pair) for pair, _ in run))
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            syms, freqs, change = [], [], Counter()
-            for sym, freq in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if met.search(sym):
-                    for g in _runs(sym):
-                        change[g] -= freq
-                    for pair, new in run:
-                        sym = sym.replace(pair, new)
-                    for g in _runs(sym):
-                        change[g] += freq
-                if len(sym) > 1:
-                    syms.append(sym)
-                    freqs.append(freq)
-            moved = [(g, c) for g, c in change.items() if c]
-            n, m = len(syms), len(moved)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(syms + [None] * m, pa.string()), pa.array(freqs + [None] * m, pa.int64()),
-                 pa.array([None] * n + [g for g, _ in moved], pa.string()), pa.array([None] * n + [c for _, c in moved], pa.int64())],
-                names=["sym", "freq", "g", "c"])
-
-    return state.mapInArrow(work, ROUND_SCHEMA)
-
-
-def best_pairs(pairs: DataFrame, limit: int) -> DataFrame:
-    """Most frequent pairs first; ties go to the smaller left id, then the smaller right id."""
-    return pairs.orderBy(F.desc("n"), "pair").limit(limit)
-
-
-def _safe_run(candidates: list) -> list:
-    """The leading candidates that a strictly sequential trainer would merge next, in this order.
-
-    A later candidate is safe while none of its occurrences can overlap those of an earlier one - it neither
-    starts with a token an earlier one ends in nor ends in one it starts with - so that its count stands, and
-    while no pair created by an earlier merge can reach its count.
-    """
-    taken, lefts, rights, bound = [], set(), set(), 0
-    for row in candidates:
-        left, right = row["pair"]
-        if row["n"] < 1 or (taken and (row["n"] <= bound or left in rights or right in lefts)):
-            break
-        taken.append((left, right))
-        lefts.add(left)
-        rights.add(right)
-        bound = max(bound, row["grow"])
-    return taken
+    """Weighted counts ``(pair, n)`` of adjacent tokens over all words: ``pair`` is a coded string of length two."""
+    pairs = F.when(F.length("sym") > 1, F.regexp_extract_all("sym", F.lit("(?s)(?=(..))"), F.lit(1))).otherwise(
+        F.array().cast("array<string>"))
+    return state.select(F.explode(pairs).alias("pair"), "freq").groupBy("pair").agg(F.sum("freq").alias("n"))
 
 
 class Merges:
@@ -168,13 +84,128 @@ class Merges:
         return spark.createDataFrame(rows, VOCAB_SCHEMA)
 
 
-def train_merges(counts: DataFrame, vocab_size: int | None = None, max_merges: int | None = None,
-                 candidates: int = CANDIDATES, checkpoint_rounds: int = CHECKPOINT_ROUNDS) -> Merges:
+def _parts(counts: DataFrame, words: int) -> DataFrame:
+    """The words of each part as a row of arrays, written; parts are dealt by hash and hold about ``words`` words."""
+    spark = counts.sparkSession
+    state = as_written(coded_words(counts).filter(F.length("sym") > 1), "words")
+    n = max(spark.sparkContext.defaultParallelism, ceil(state.count() / words))
+
+    def build(table: pa.Table) -> pa.Table:
+        syms = table.column("sym").to_pylist()
+        tokens = np.frombuffer("".join(syms).encode("utf-32-le"), np.uint32) - 1
+        made = WordPart.of_words(tokens, np.array([len(x) for x in syms]), table.column("freq").to_numpy())
+        return pa.Table.from_pylist([{"part": table.column("part")[0].as_py()} | made.write()], PART_TYPES)
+
+    dealt = state.withColumn("part", F.pmod(F.xxhash64("sym"), F.lit(n)).cast("int"))
+    # By range, so that every part gets a task of its own.
+    parts = as_written(dealt.repartitionByRange(n, "part").groupBy("part").applyInArrow(build, PARTS), "parts")
+    discard(state)
+    return parts
+
+
+def _front(parts: DataFrame, limit: int) -> list:
+    """The most frequent pairs ``(key, n)`` over all parts; ties go to the smaller left id, then the smaller right id."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                keys, n = WordPart.read(row).counts()
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["key", "n"])
+
+    found = parts.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return found.orderBy(F.desc("n"), "key").limit(limit).collect()
+
+
+def _changes(parts: DataFrame, runs: list[Run], watched: np.ndarray) -> DataFrame:
+    """``(key, delta)``: how the last run changes the watched pairs and those of its new tokens, after the runs before it.
+
+    A task goes through the runs since the parts were written, so that a lost one is simply run again.
+    """
+    first = runs[-1][0][2]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                words = WordPart.read(row)
+                for run in runs[:-1]:
+                    words.merge(run, count=False)
+                keys, deltas = words.merge(runs[-1])
+                told = (keys >> 32 >= first) | ((keys & 0xFFFFFFFF) >= first) | np.isin(keys, watched, assume_unique=True)
+                yield pa.RecordBatch.from_arrays([pa.array(keys[told]), pa.array(deltas[told])], names=["key", "delta"])
+
+    return parts.mapInArrow(work, "key long, delta long").groupBy("key").agg(F.sum("delta").alias("delta"))
+
+
+def _merged(parts: DataFrame, runs: list[Run]) -> DataFrame:
+    """The parts after the runs, written, without words that are one token by now."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for row in batch.to_pylist():
+                words = WordPart.read(row)
+                for run in runs:
+                    words.merge(run, count=False)
+                words.drop_whole()
+                rows.append({"part": row["part"]} | words.write())
+            yield from pa.Table.from_pylist(rows, PART_TYPES).to_batches()
+
+    return as_written(parts.mapInArrow(work, PARTS), "parts")
+
+
+class Front:
+    """The leading pairs with their exact counts, on the driver.
+
+    No pair outside has a higher count than ``least``, nor the same count and a key below ``last``: counts only fall,
+    and a pair that a merge creates is told with its count.
+    """
+
+    def __init__(self, rows: list, limit: int) -> None:
+        self.counts = {r["key"]: r["n"] for r in rows}
+        full = len(rows) == limit
+        self.least, self.last = (rows[-1]["n"], rows[-1]["key"]) if full else (0, -1)
+        self.queue = [(-n, key) for key, n in self.counts.items()]
+        heapq.heapify(self.queue)
+
+    def change(self, key: int, delta: int) -> None:
+        n = self.counts.get(key, 0) + delta
+        if n >= max(1, self.least):
+            self.counts[key] = n
+            heapq.heappush(self.queue, (-n, key))
+        else:
+            self.counts.pop(key, None)
+
+    def run(self, most: int) -> list[tuple[int, int]]:
+        """The leading pairs that a strictly sequential trainer would merge next, in this order.
+
+        A pair overlaps an earlier one of the run if it starts with the token that one ends in, or ends in the one it
+        starts with; at the first that does, the run ends. Counts of the others stand. A pair that a merge of the run
+        creates is at most as frequent as a pair overlapping that merge, so it comes after the whole run, and at
+        equal counts as well, since its new id is the highest.
+        """
+        taken, lefts, rights = [], set(), set()
+        while self.queue and len(taken) < most:
+            n, key = self.queue[0]
+            if self.counts.get(key) != -n:
+                heapq.heappop(self.queue)
+                continue
+            left, right = key >> 32, key & 0xFFFFFFFF
+            if (n, key) > (-self.least, self.last) or left in rights or right in lefts:
+                break
+            heapq.heappop(self.queue)
+            del self.counts[key]
+            taken.append((left, right))
+            lefts.add(left)
+            rights.add(right)
+        return taken
+
+
+def train_merges(counts: DataFrame, vocab_size: int | None = None, max_merges: int | None = None, candidates: int = CANDIDATES,
+                 checkpoint_rounds: int = CHECKPOINT_ROUNDS, front: int = FRONT, part_words: int = PART_WORDS) -> Merges:
     """Learn merges from word counts until the vocabulary is full or no pair is left.
 
-    Runs of tokens are counted once over all distinct words. Every round merges as many leading pairs as are safe
-    (``candidates=1`` merges one at a time; both give the same merges) and counts anew only the words that one of
-    them occurs in. Only the candidates reach the driver.
+    The distinct words are dealt over parts of bounded size. The leading pairs of all parts are counted once; a round
+    merges as many of them as a sequential trainer would take before it had to count again (``candidates=1`` merges
+    one at a time; both give the same merges) and recounts only around their places. Only changes of leading pairs
+    and new pairs as frequent as they are come back. When the leading pairs are used up they are counted anew.
     """
     if vocab_size is not None and vocab_size - 1 > MAX_CODED_ID:
         raise ValueError(f"vocabularies are limited to {MAX_CODED_ID + 1} entries")
@@ -183,43 +214,49 @@ def train_merges(counts: DataFrame, vocab_size: int | None = None, max_merges: i
         (vocab_size is not None and merges.vocab_size >= vocab_size)
         or (max_merges is not None and len(merges.rows) >= max_merges)
     )
-    # Every round passes over the words: they are dealt over all cores once, however few bytes they are.
-    cores = counts.sparkSession.sparkContext.defaultParallelism
-    state = cut_lineage(coded_words(counts).filter(F.length("sym") > 1).repartition(cores, "sym"))
-    grams = cut_lineage(gram_counts(state))
-    cached: list[tuple[DataFrame, DataFrame]] = []
+    parts, ahead = _parts(counts, part_words).persist(), None
+    runs: list[Run] = []
     while not done():
-        run = _safe_run(best_pairs(pairs_of(grams), candidates).collect())
-        while len(cached) > 1:  # the newest tables are now held, those they were made from can go
-            for df in cached.pop(0):
-                df.unpersist()
+        run = ahead.run(candidates) if ahead else []
         if not run:
-            break
-        steps = []
+            if runs:
+                parts, runs = _renewed(parts, runs), []
+            ahead = Front(_front(parts, front), front)
+            run = ahead.run(candidates)
+            if not run:
+                break
+        steps, known = [], False
         for left, right in run:
-            new, known = merges.add(ord(left) - 1, ord(right) - 1)
-            steps.append((left + right, code_point(new)))
+            new, known = merges.add(left, right)
+            steps.append((left, right, new))
             if known or done():
                 break
         merges.rounds += 1
+        runs.append(steps)
         if done():
             break
-        after = _merge_round(state, steps).persist()
-        change = after.filter("g is not null").select("g", "c")
-        grams = grams.unionByName(change).groupBy("g").agg(F.sum("c").alias("c")).filter("c > 0")
-        state = after.filter("sym is not null").select("sym", "freq")
-        if merges.rounds % checkpoint_rounds == 0:
-            grams, state = cut_lineage(grams), cut_lineage(state)
-            after.unpersist()
-        else:
-            grams = grams.persist()
-            cached.append((grams, after))
-    for pair in cached:
-        for df in pair:
-            df.unpersist()
+        if known:  # a token that was there before gained pairs: counts outside the leading ones may have risen
+            ahead = None
+            continue
+        told = _changes(parts, runs, np.array(sorted(ahead.counts), np.int64))
+        for row in told.filter((F.col("delta") >= ahead.least) | (F.col("delta") < 0)).collect():
+            ahead.change(row["key"], row["delta"])
+        if len(ahead.counts) > 4 * front:
+            ahead = None
+        if len(runs) >= checkpoint_rounds:
+            parts, runs = _renewed(parts, runs), []
+    parts.unpersist()
+    discard(parts)
     return merges
 
 
+def _renewed(parts: DataFrame, runs: list[Run]) -> DataFrame:
+    after = _merged(parts, runs).persist()
+    parts.unpersist()
+    discard(parts)
+    return after
+
+
 def byte_vocab(spark: SparkSession) -> DataFrame:
     """The vocabulary before any merge: special tokens, then all bytes."""
     return Merges().vocab(spark)

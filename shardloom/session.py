@@ -61,6 +61,15 @@ def as_written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a table of ``as_written`` that nothing reads any more; any other table is left alone."""
+    spark = df.sparkSession
+    folders = {os.path.dirname(f) for f in df.inputFiles()}
+    if len(folders) == 1 and os.path.dirname(folder := folders.pop()) == file_uri(spark, shared_dir(spark)).rstrip("/"):
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def file_uri(spark: SparkSession, path: str) -> str:
     """The path with its file system spelled out, as Spark resolves it, so that tasks open the same place."""
     jvm = spark.sparkContext._jvm

@@ -1,9 +1,15 @@
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from shardloom.functions.alphabet import ID_OF_BYTE
 from shardloom.operators import encode as en
 from shardloom.operators import vocab as vo
+from shardloom.operators import word_parts as wp
 from shardloom.plans import fixture as fx
 from shardloom.session import as_written
 from shardloom.spec import SPECIAL_TOKENS
@@ -55,6 +61,81 @@ def test_batched_rounds_equal_single_merges(spark):
     assert one.rows == many.rows
 
 
+def plain_trainer(counts, n):
+    """One merge at a time over all words: the highest count, ties to the smaller left id, then right id."""
+    words, merges = [([ID_OF_BYTE[b] for b in w.encode()], f) for w, f in counts], vo.Merges()
+    pairs, at = Counter(), defaultdict(set)
+    for k, (w, f) in enumerate(words):
+        for p in zip(w, w[1:]):
+            pairs[p] += f
+            at[p].add(k)
+    while len(merges.rows) < n and pairs:
+        best = min(pairs, key=lambda p: (-pairs[p], p))
+        new, _ = merges.add(*best)
+        for k in at.pop(best):
+            w, f = words[k]
+            for p in zip(w, w[1:]):
+                pairs[p] -= f
+                if not pairs[p]:
+                    del pairs[p]
+            out = []
+            for t in w:
+                if out and out[-1] == best[0] and t == best[1]:
+                    out[-1] = new
+                    if best[0] == best[1]:
+                        out.append(None)
+                else:
+                    out.append(t)
+            out = [t for t in out if t is not None]
+            words[k] = out, f
+            for p in zip(out, out[1:]):
+                pairs[p] += f
+                at[p].add(k)
+    return merges.rows
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(st.text("abc", min_size=1, max_size=9), st.integers(1, 6)), min_size=1, max_size=12, unique_by=lambda x: x[0]),
+       st.integers(1, 5))
+def test_a_part_counts_as_its_words_do(words, seed):
+    """Runs of pairs that do not overlap, merged at once, against merging word by word."""
+    tokens = [[ord(c) for c in w] for w, _ in words]
+    part = wp.WordPart.of_words(np.array([t for w in tokens for t in w]), np.array([len(w) for w in tokens]), np.array([f for _, f in words]))
+    rng, total = random.Random(seed), Counter(dict(zip(*(x.tolist() for x in part.counts()))))
+    for new in (300, 302, 304):
+        a, b = rng.choices([97, 98, 99, 300], k=2)
+        run = [(a, b, new)] if new not in (a, b) else [(97, 97, new)]
+        c, d = rng.choices([97, 98, 99, 300], k=2)
+        if new not in (a, b, c, d) and (c, d) != (a, b) and c not in (a, b) and d not in (a, b):
+            run.append((c, d, new + 1))
+        keys, deltas = part.merge(run)
+        total.update(dict(zip(keys.tolist(), deltas.tolist())))
+        for x, y, z in run:
+            for w in tokens:
+                i = 0
+                while i < len(w) - 1:
+                    if (w[i], w[i + 1]) == (x, y):
+                        w[i:i + 2] = [z]
+                    i += 1
+        want = Counter()
+        for w, (_, f) in zip(tokens, words):
+            for p in zip(w, w[1:]):
+                want[wp.key_of(*p)] += f
+        assert want == +total and want == Counter(dict(zip(*(x.tolist() for x in part.counts()))))
+        if new == 302:
+            part.drop_whole()
+            assert want == Counter(dict(zip(*(x.tolist() for x in part.counts()))))
+
+
+def test_thousands_of_merges_equal_a_plain_trainer(spark):
+    docs = as_written(fx.corpus(spark, SF, 21).filter("ord % 4 = 0"), "docs")
+    counts = as_written(vo.word_counts(docs), "counts")
+    want = plain_trainer([tuple(r) for r in counts.collect()], 3000)
+    got = vo.train_merges(counts, max_merges=3000, front=700, part_words=500)
+    assert got.rows == want and got.rounds < 1000
+    assert vo.train_merges(counts, max_merges=120, candidates=1, checkpoint_rounds=7).rows == want[:120]
+
+
 def test_training_stops_without_pairs(spark):
     counts = spark.createDataFrame([("ab", 1)], "word string, freq long")
     merges = vo.train_merges(counts, vocab_size=1000)
