@@ -2,22 +2,28 @@
 
 from __future__ import annotations
 
+import hashlib
 import heapq
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from shardloom.functions.alphabet import ID_OF_BYTE, byte_ids, coded, framed, special_to_code
 from shardloom.functions.text import byte_token_count, segments
-from shardloom.session import as_written
+from shardloom.session import as_written, discard, file_uri
 from shardloom.spec import BOS_ID, EOS_ID, SPECIAL_TOKENS, UINT16_LIMIT
 
 MERGE_LIMIT = UINT16_LIMIT
-HOT_SHARE = 4096
 WORD_MEMORY = 500_000
+#: Buckets of a word dictionary, and words of a block of documents that meets it.
+BUCKETS = 32
+BLOCK_WORDS = 500_000
 
 
 def merge_rules(merges: DataFrame) -> dict[tuple[int, int], tuple[int, int]]:
@@ -72,39 +78,107 @@ def word_ids(sym: Column, merges: DataFrame) -> Column:
     return run(sym)
 
 
-def dictionary(docs: DataFrame, merges: DataFrame, allow_special: bool = True) -> DataFrame:
-    """Every distinct word of the documents with its count and its ids."""
-    found = docs.select(F.explode(segments(F.col("text"), allow_special)).alias("word"))
-    counts = found.groupBy("word").agg(F.count(F.lit(1)).alias("freq"))
-    code = _word_start_ids(F.col("word")) if allow_special else coded(F.col("word"))
-    return counts.select("word", "freq", word_ids(code, merges).alias("ids"))
+class WordDictionary:
+    """Words with their ids under one merge table, kept in a folder as a table bucketed by word.
 
+    Runs share the folder and add the words it does not have, so that a word is merged once per tokenizer. Joins by word
+    read the buckets in place: the dictionary is never exchanged. One run at a time may add words.
+    """
+
+    SCHEMA = "word string, ids array<int>"
+
+    def __init__(self, spark: SparkSession, folder: str, merges: DataFrame, allow_special: bool = True, buckets: int = BUCKETS) -> None:
+        self.spark, self.merges, self.allow_special = spark, merges, allow_special
+        rules = merges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("rank", "left_id", "right_id", "new_id"))).first()
+        key = f"{rules[0]}_{(rules[1] or 0) & (1 << 64) - 1:016x}_{'special' if allow_special else 'plain'}_{buckets}"
+        self.path = f"{file_uri(spark, folder)}/words_{key}"
+        self.name = f"words_{hashlib.sha256(self.path.encode()).hexdigest()[:24]}"
+        # The catalog may forget the table between sessions; its files and their buckets stay.
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} ({self.SCHEMA}) USING parquet CLUSTERED BY (word) INTO {buckets} BUCKETS LOCATION '{self.path}'")
+
+    def table(self) -> DataFrame:
+        self.spark.catalog.refreshTable(self.name)
+        return self.spark.table(self.name)
+
+    def extend(self, found: DataFrame) -> int:
+        """Add the words of ``found`` that are new, merged in Arrow batches; how many they were."""
+        new = as_written(found.select("word").distinct().join(self.table(), "word", "left_anti"), "new-words")
+        n = new.count()
+        if n:
+            code = _word_start_ids(F.col("word")) if self.allow_special else coded(F.col("word"))
+            new.select("word", word_ids(code, self.merges).alias("ids")).write.insertInto(self.name)
+        discard(new)
+        return n
 
-def encode_by_dictionary(docs: DataFrame, words: DataFrame, keys: list[str], merges: DataFrame,
-                         allow_special: bool = True) -> DataFrame:
-    """Add ``ids`` to the documents by joining their words to a word dictionary; ``encode_in_place`` needs no shuffle.
 
-    Words that make up at least 1/4096 of all occurrences - so at most 4096 words - are broadcast and their
-    occurrences take no part in the join; the others meet the dictionary by word, in a join whose sides are both
-    exchanged, so that adaptive execution can split a word that is still frequent. Words that the dictionary does not
-    have are encoded by ``merges`` in Arrow batches. Empty documents have no ids.
+def word_blocks(docs: DataFrame, keys: list[str], allow_special: bool = True, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """Documents as numbers of words, in blocks of some ``block_words`` words, written.
+
+    Rows with ``codes`` are documents: each number is a place in the ``words`` of their block, which is a row of its own.
+    """
+    kinds = dict(docs.dtypes)
+    fields = docs.select(*keys).schema
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = to_arrow_schema(fields)
+        block = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            lists, at = batch.column(batch.num_columns - 1), 0
+            offsets = lists.offsets.to_numpy().astype(np.int64)
+            while at < batch.num_rows:
+                end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + block_words, side="right")) - 1)
+                own = lists.slice(at, end - at).flatten().dictionary_encode()
+                bounds = pa.array((offsets[at:end + 1] - offsets[at]).astype(np.int32))
+                codes = pa.ListArray.from_arrays(bounds, own.indices.cast(pa.int32()))
+                n, block = end - at, block + 1
+                none = [pa.nulls(1, t.type) for t in types]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block] * n), *[batch.column(k).slice(at, n) for k in range(len(keys))], codes, pa.nulls(n, pa.list_(pa.string()))],
+                    names=["block", *keys, "codes", "words"])
+                yield pa.RecordBatch.from_arrays([pa.array([block]), *none, pa.nulls(1, codes.type), pa.array([own.dictionary.to_pylist()], pa.list_(pa.string()))],
+                                                 names=["block", *keys, "codes", "words"])
+                at = end
+
+    cut = docs.select(*keys, segments(F.col("text"), allow_special).alias("segments"))
+    schema = ", ".join(["block long", *[f"`{k}` {kinds[k]}" for k in keys], "codes array<int>, words array<string>"])
+    return as_written(cut.mapInArrow(work, schema), "blocks")
+
+
+def gathered(lists: pa.Array, entries: list[list[int]]) -> pa.Array:
+    """Lists of numbers of entries as lists of what the entries hold."""
+    sizes = np.array([len(e) for e in entries], dtype=np.int64)
+    starts = np.cumsum(sizes) - sizes
+    pool = np.fromiter((t for e in entries for t in e), dtype=np.int32, count=int(sizes.sum()))
+    at = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.concatenate([[0], np.cumsum(sizes[at])])
+    gather = np.repeat(starts[at] - ends[:-1], sizes[at]) + np.arange(int(ends[-1]))
+    offsets = lists.offsets.to_numpy().astype(np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends[offsets - offsets[0]].astype(np.int32)), pa.array(pool[gather]))
+
+
+def encode_by_dictionary(docs: DataFrame, keys: list[str], words: WordDictionary, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """Add ``ids`` to the documents from a dictionary that is first extended by their new words.
+
+    A word meets the dictionary once for every block of documents and not once for every occurrence; documents are
+    exchanged once, as numbers, to the ids of their block. Empty documents have no ids.
     """
-    total = words.agg(F.sum("freq").alias("total")).select(F.col("total") / HOT_SHARE).first()[0] or 0.0
-    hot = words.filter(F.col("freq") >= F.lit(total)).select("word", F.col("ids").alias("hot_ids"))
-    cold = words.filter(F.col("freq") < F.lit(total)).select("word", "ids")
-    met = as_written(
-        docs.select(*keys, F.posexplode_outer(segments(F.col("text"), allow_special)).alias("pos", "word"))
-        .join(F.broadcast(hot), "word", "left"), "words")
-    none = F.col("word").isNull()
-    at_once = met.filter(F.col("hot_ids").isNotNull() | none).select(
-        *keys, "pos", F.coalesce("hot_ids", F.array().cast("array<int>")).alias("ids"))
-    looked_up = as_written(met.filter(F.col("hot_ids").isNull() & ~none).drop("hot_ids").join(cold, "word", "left"), "looked-up")
-    code = _word_start_ids(F.col("word")) if allow_special else coded(F.col("word"))
-    new = looked_up.filter("ids is null").select(*keys, "pos", word_ids(code, merges).alias("ids"))
-    found = looked_up.filter("ids is not null").select(*keys, "pos", "ids")
-    pieces = at_once.unionByName(found).unionByName(new).select(*keys, F.struct("pos", "ids").alias("piece"))
-    encoded = pieces.groupBy(*keys).agg(F.array_sort(F.collect_list("piece")).alias("pieces"))
-    return encoded.select(*keys, F.flatten(F.col("pieces.ids")).alias("ids"))
+    blocks = word_blocks(docs, keys, words.allow_special, block_words)
+    used = blocks.filter("words is not null").select(F.col("block").alias("at"), F.posexplode("words").alias("code", "word"))
+    words.extend(used)
+    found = used.join(words.table(), "word").select("at", "code", "ids")
+    kinds = dict(docs.dtypes)
+
+    def gather(texts: pa.Table, entries: pa.Table) -> pa.Table:
+        ids: list = [None] * entries.num_rows
+        for code, own in zip(entries.column("code").to_pylist(), entries.column("ids").to_pylist()):
+            ids[code] = own
+        texts = texts.combine_chunks()
+        codes = texts.column("codes").chunk(0) if texts.num_rows else pa.array([], pa.list_(pa.int32()))
+        return pa.table({**{k: texts.column(k) for k in keys}, "ids": gathered(codes, ids)})
+
+    texts = blocks.filter("codes is not null").select("block", *keys, "codes")
+    return texts.groupBy("block").cogroup(found.groupBy("at")).applyInArrow(
+        gather, ", ".join([*[f"`{k}` {kinds[k]}" for k in keys], "ids array<int>"]))
 
 
 def encode_in_place(docs: DataFrame, merges: DataFrame, allow_special: bool = True) -> DataFrame:
@@ -129,16 +203,9 @@ def encode_in_place(docs: DataFrame, merges: DataFrame, allow_special: bool = Tr
         if len(met) > WORD_MEMORY:
             met.clear()
         batch = lists.flatten().dictionary_encode()
-        entries = [ids_of(w, rules.value) for w in batch.dictionary.to_pylist()]
-        sizes = np.array([len(e) for e in entries], dtype=np.int64)
-        starts = np.cumsum(sizes) - sizes
-        pool = np.fromiter((t for e in entries for t in e), dtype=np.int32, count=int(sizes.sum()))
-        at = batch.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        ends = np.concatenate([[0], np.cumsum(sizes[at])])
-        gather = np.repeat(starts[at] - ends[:-1], sizes[at]) + np.arange(int(ends[-1]))
         offsets = lists.offsets.to_numpy().astype(np.int64)
-        bounds = ends[offsets - offsets[0]]
-        return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(pool[gather]))
+        codes = pa.ListArray.from_arrays(pa.array((offsets - offsets[0]).astype(np.int32)), batch.indices)
+        return gathered(codes, [ids_of(w, rules.value) for w in batch.dictionary.to_pylist()])
 
     return docs.withColumn("ids", run(segments(F.col("text"), allow_special)))
 

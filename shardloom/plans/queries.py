@@ -204,10 +204,10 @@ def frame_docs(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def encode_bpe(spark: SparkSession, d: str) -> DataFrame:
-    docs, merges = fx.corpus(spark, d), _merges(spark, d).table(spark)
-    half = docs.filter("ord % 2 = 0")  # the other documents bring words the dictionary does not have
-    dictionary = as_written(en.dictionary(half, merges), "dictionary")
-    out = en.encode_by_dictionary(docs, dictionary, ["mix_source", "ord"], merges)
+    """By a word dictionary that the run extends by the words it meets."""
+    merges = _merges(spark, d).table(spark)
+    words = en.WordDictionary(spark, scratch_path(spark, "dictionary"), merges)
+    out = en.encode_by_dictionary(fx.corpus(spark, d), ["mix_source", "ord"], words)
     return out.select("mix_source", "ord", F.size("ids").alias("n_ids"), joined("ids").alias("ids"))
 
 

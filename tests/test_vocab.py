@@ -1,3 +1,4 @@
+import os
 import random
 from collections import Counter, defaultdict
 
@@ -11,7 +12,7 @@ from shardloom.operators import encode as en
 from shardloom.operators import vocab as vo
 from shardloom.operators import word_parts as wp
 from shardloom.plans import fixture as fx
-from shardloom.session import as_written
+from shardloom.session import as_written, scratch_path
 from shardloom.spec import SPECIAL_TOKENS
 from tests.test_text import TEXTS, reference_tokenizer
 
@@ -45,10 +46,22 @@ def test_merges_and_ids_equal_the_library(spark):
     keys = ["mix_source", "ord"]
     placed = {(r["mix_source"], r["ord"]): r["ids"] for r in en.encode_in_place(both, table).collect()}
     assert placed == want
-    for known in (both, both.filter("ord % 2 = 0"), both.filter("false")):
-        dictionary = as_written(en.dictionary(known, table), "dict")
-        joined = {(r["mix_source"], r["ord"]): r["ids"] for r in en.encode_by_dictionary(both, dictionary, keys, table).collect()}
-        assert joined == want
+    for some in ("false", "ord % 2 = 0"):
+        words = en.WordDictionary(spark, scratch_path(spark, "dict"), table, buckets=4)
+        if some != "false":
+            en.encode_by_dictionary(both.filter(some), keys, words, block_words=300).count()
+        before = words.table().count()
+        encoded = en.encode_by_dictionary(both, keys, words, block_words=1000)
+        assert {(r["mix_source"], r["ord"]): r["ids"] for r in encoded.collect()} == want
+        assert words.table().count() == words.table().select("word").distinct().count() > before
+        # Another session finds the words in the folder; a second run merges none, and the dictionary is not exchanged.
+        spark.sql(f"DROP TABLE {words.name}")
+        again = en.WordDictionary(spark, os.path.dirname(words.path), table, buckets=4)
+        assert again.extend(en.word_blocks(both, keys).select(F.explode("words").alias("word"))) == 0
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        plan = both.select(F.col("text").alias("word")).join(again.table(), "word")._jdf.queryExecution().executedPlan().toString()
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
     assert en.roundtrip(en.encode_in_place(both, table), en.vocab_spellings(merges.vocab(spark))).agg(
         F.sum("n_mismatch")).first()[0] == 0
 
