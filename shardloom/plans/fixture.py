@@ -21,7 +21,8 @@ BATCH = 4
 WORKERS = 4
 RANKS = 2
 SEED = 42
-MERGES = 256
+#: Merges of the query that trains, and of those that encode: as many as their SQL learns in reasonable time.
+LEARNED, MERGES = 1024, 256
 
 
 def mixture(sf_dir: str) -> Mixture:

@@ -109,7 +109,7 @@ TRAIN = SAMPLE + f""", {LUT}, wc AS MATERIALIZED (SELECT word, count(*) AS freq
 s0 AS MATERIALIZED (SELECT {SYMBOLS} AS sym, freq FROM wc)"""
 # One recursion learns the merges and spells all words, those of the corpus outside the sample with frequency 0. A row
 # with a negative key is a merge; the other rows are the words, which every round replaces.
-MERGED = TRAIN + f""", corpus AS (SELECT mix_source, ord, {MARKED} AS text FROM raw WHERE length(trim(text)) >= 20),
+LEARN = TRAIN + f""", corpus AS (SELECT mix_source, ord, {MARKED} AS text FROM raw WHERE length(trim(text)) >= 20),
 pieces AS MATERIALIZED (SELECT mix_source, ord, unnest(w) AS word, generate_subscripts(w, 1) AS pos
   FROM (SELECT mix_source, ord, {WORDS} AS w FROM corpus)),
 spelled AS MATERIALIZED (SELECT row_number() OVER (ORDER BY word) AS w, word, {SYMBOLS} AS sym, freq FROM (
@@ -118,10 +118,11 @@ learned(w, k, sym, freq, a, b) USING KEY (w) AS (
   SELECT CAST(w AS BIGINT), 0, sym, freq, '', '' FROM spelled
   UNION
   (WITH best AS (SELECT a, b FROM ({pairs_of("(SELECT * FROM learned WHERE w > 0)")}) ORDER BY n DESC, a, b LIMIT 1),
-   now AS (SELECT l.*, best.a AS x, best.b AS y FROM learned l, best WHERE w > 0 AND k < {fx.MERGES})
+   now AS (SELECT l.*, best.a AS x, best.b AS y FROM learned l, best WHERE w > 0 AND k < {{MERGES}})
    SELECT w, k + 1, replace(sym, ' ' || x || '  ' || y || ' ', ' ' || printf('%05d', 263 + k) || ' '), freq, '', '' FROM now
    UNION ALL SELECT -1 - k, k + 1, '', 0, x, y FROM (SELECT DISTINCT k, x, y FROM now))),
 merges AS (SELECT k - 1 AS rank, CAST(a AS INTEGER) AS left_id, CAST(b AS INTEGER) AS right_id, 262 + k AS new_id FROM learned WHERE w < 0)"""
+MERGED = LEARN.replace("{MERGES}", str(fx.MERGES))
 BPE = MERGED + """, dict AS MATERIALIZED (SELECT word, CASE WHEN length(word) = 1 AND ascii(word) BETWEEN 57344 AND 57350
     THEN CAST(ascii(word) - 57344 AS VARCHAR)
     ELSE array_to_string(list_transform(string_split(trim(l.sym), '  '), lambda s: CAST(CAST(s AS INTEGER) AS VARCHAR)), ' ') END AS ids
@@ -206,7 +207,7 @@ add("byte_vocab", """SELECT v.id, token_hex, is_special, CAST(coalesce(n, 0) AS
     UNION ALL SELECT unnest(ids), unnest(list_transform(range(256), lambda b: printf('%%02X', b))), false FROM lut) v
   LEFT JOIN (SELECT CAST(s AS INTEGER) AS id, sum(freq) AS n FROM (
     SELECT unnest(string_split(trim(sym), '  ')) AS s, freq FROM s0) GROUP BY 1) u USING (id)""" % LITERALS, TRAIN)
-add("bpe_merges", "SELECT CAST(rank AS INTEGER) AS rank, left_id, right_id, CAST(new_id AS INTEGER) AS new_id FROM merges", MERGED)
+add("bpe_merges", "SELECT CAST(rank AS INTEGER) AS rank, left_id, right_id, CAST(new_id AS INTEGER) AS new_id FROM merges", LEARN.replace("{MERGES}", str(fx.LEARNED)))
 add("vocab", """SELECT CAST(id AS INTEGER) AS id, token_hex, is_special FROM base UNION ALL
   SELECT CAST(parts.id AS INTEGER), string_agg(token_hex, '' ORDER BY place), false FROM parts JOIN base ON part = base.id GROUP BY parts.id""", MERGED + """,
 base AS (SELECT i AS id, hex(encode(t)) AS token_hex, true AS is_special FROM (SELECT unnest(%s) AS t, unnest(range(7)) AS i)
@@ -242,6 +243,8 @@ add("shards_offset", "SELECT mix_source, split, ord, start_tok, shard FROM place
 add("shard_totals", "SELECT mix_source, split, shard, num_tokens, n_docs, min_ord, max_ord FROM totals", OFFSET)
 add("shard_numbering", "SELECT mix_source, split, shard, shard_idx, num_tokens FROM numbered",
     GREEDY + ", " + totals("fill", "totals") + ", " + numbering("totals", "numbered"))
+add("stream_shards", """SELECT mix_source, split, shard, shard_idx, num_tokens, n_docs, min_ord, max_ord FROM numbered
+  WHERE mix_source = 'text'""", GREEDY + ", " + totals("fill", "totals") + ", " + numbering("totals", "numbered"))
 add("shard_table", """SELECT mix_source, split, shard_idx, ord, n_tokens, md5(array_to_string(ids, ' ')) AS ids_md5
   FROM framed""", FRAMED)
 add("export_bin", "SELECT path, num_tokens, shard_idx, source, split FROM entries", ENTRIES)

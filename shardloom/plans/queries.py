@@ -14,11 +14,13 @@ from shardloom.operators import split as sp
 from shardloom.operators import vocab as vo
 from shardloom import prepare as pr
 from shardloom.plans import fixture as fx
-from shardloom.session import as_written, scratch_path
+from shardloom.session import as_written, discard, scratch_path, shared_dir
 from shardloom.sources import readers as rd
 from shardloom.sources import shard_files as sf
-from shardloom.spec import BASE_VOCAB, MIN_CHARS_SAMPLE, Mixture, SourceSpec
+from shardloom.spec import BASE_VOCAB, MIN_CHARS_CORPUS, MIN_CHARS_SAMPLE, VOCAB_SIZE, Mixture, SourceSpec
+from shardloom.stages import Stages, file_marks, fingerprint
 from shardloom.streaming import jobs
+from shardloom.streaming.shard_writer import ShardWriter
 
 QUERIES: dict = {}
 
@@ -146,34 +148,41 @@ def byte_vocab(spark: SparkSession, d: str) -> DataFrame:
         "id", "token_hex", "is_special", F.coalesce("n_used", F.lit(0)).alias("n_used"))
 
 
-def _train(spark: SparkSession, d: str) -> vo.Merges:
-    counts = as_written(vo.word_counts(fx.corpus(spark, d, MIN_CHARS_SAMPLE)), "word-counts")
-    return vo.train_merges(counts, max_merges=fx.MERGES)
+def _tokenizer(spark: SparkSession, d: str, anew: bool = False, **size) -> tuple[DataFrame, DataFrame]:
+    """``(vocab, merges)`` learned from these tables.
 
+    They are kept in the shared folder under a mark of the tables' files, as a tokenizer is trained once and then used
+    for a corpus: changed tables, or another size, train anew.
+    """
+    size = size or {"max_merges": fx.MERGES}
+    mark = fingerprint([file_marks(spark, s.location) for s in fx.mixture(d).sources], MIN_CHARS_SAMPLE, size)
 
-_TRAINED: dict[tuple[str, str], vo.Merges] = {}
+    def train(path: str) -> None:
+        counts = as_written(vo.word_counts(fx.corpus(spark, d, MIN_CHARS_SAMPLE)), "word-counts")
+        vo.save_tokenizer(vo.train_merges(counts, **size), spark, path)
+        discard(counts)
 
-
-def _merges(spark: SparkSession, d: str) -> vo.Merges:
-    """The merges learned from these tables, once per session."""
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _TRAINED:
-        _TRAINED[key] = _train(spark, d)
-    return _TRAINED[key]
+    return vo.load_tokenizer(spark, Stages(spark, f"{shared_dir(spark)}/tokenizers").run(mark[:32], mark, train, anew))
 
 
 @query
 def bpe_merges(spark: SparkSession, d: str) -> DataFrame:
-    _TRAINED[spark.sparkContext.applicationId, d] = merges = _train(spark, d)
-    return merges.table(spark)
+    """Trained here whatever was learned before."""
+    return _tokenizer(spark, d, anew=True, max_merges=fx.LEARNED)[1]
+
+
+@query
+def bpe_vocabulary(spark: SparkSession, d: str) -> DataFrame:
+    """The whole vocabulary of the published size, or as far as the corpus has pairs."""
+    vocab, merges = _tokenizer(spark, d, anew=True, vocab_size=VOCAB_SIZE)
+    return vocab.join(merges.withColumnRenamed("new_id", "id").groupBy("id").agg(F.min("rank").alias("rank")), "id", "left").select(
+        "id", "token_hex", "is_special", "rank")
 
 
 @query
 def vocab(spark: SparkSession, d: str) -> DataFrame:
     """The learned vocabulary, saved and read back."""
-    path = scratch_path(spark, "tokenizer")
-    vo.save_tokenizer(_merges(spark, d), spark, path)
-    return vo.load_tokenizer(spark, path)[0]
+    return _tokenizer(spark, d)[0]
 
 
 @query
@@ -205,7 +214,7 @@ def frame_docs(spark: SparkSession, d: str) -> DataFrame:
 @query
 def encode_bpe(spark: SparkSession, d: str) -> DataFrame:
     """By a word dictionary that the run extends by the words it meets."""
-    merges = _merges(spark, d).table(spark)
+    merges = _tokenizer(spark, d)[1]
     words = en.WordDictionary(spark, scratch_path(spark, "dictionary"), merges)
     out = en.encode_by_dictionary(fx.corpus(spark, d), ["mix_source", "ord"], words)
     return out.select("mix_source", "ord", F.size("ids").alias("n_ids"), joined("ids").alias("ids"))
@@ -213,23 +222,23 @@ def encode_bpe(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def encode_bpe_in_place(spark: SparkSession, d: str) -> DataFrame:
-    out = en.encode_in_place(fx.corpus(spark, d), _merges(spark, d).table(spark))
+    out = en.encode_in_place(fx.corpus(spark, d), _tokenizer(spark, d)[1])
     return out.select("mix_source", "ord", F.size("ids").alias("n_ids"), joined("ids").alias("ids"))
 
 
 @query
 def decode_ids(spark: SparkSession, d: str) -> DataFrame:
-    merges = _merges(spark, d)
-    docs = en.frame(en.encode_in_place(fx.corpus(spark, d), merges.table(spark)))
-    text = en.decode_ids(F.col("ids"), en.vocab_spellings(merges.vocab(spark)), skip_markers=False)
+    spelled, merges = _tokenizer(spark, d)
+    docs = en.frame(en.encode_in_place(fx.corpus(spark, d), merges))
+    text = en.decode_ids(F.col("ids"), en.vocab_spellings(spelled), skip_markers=False)
     return docs.select("mix_source", "ord", "n_tokens", text.alias("decoded"))
 
 
 @query
 def roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    merges = _merges(spark, d)
-    docs = en.encode_in_place(fx.corpus(spark, d), merges.table(spark))
-    return en.roundtrip(docs, en.vocab_spellings(merges.vocab(spark)))
+    spelled, merges = _tokenizer(spark, d)
+    docs = en.encode_in_place(fx.corpus(spark, d), merges)
+    return en.roundtrip(docs, en.vocab_spellings(spelled))
 
 
 @query
@@ -498,8 +507,8 @@ def val_cap(spark: SparkSession, d: str) -> DataFrame:
 def pipeline_shards(spark: SparkSession, d: str) -> DataFrame:
     """The whole job - mixture, learned merges, exact fill, files, manifest - and what its files hold."""
     out = scratch_path(spark, "prepared")
-    merges = _merges(spark, d)
-    done = pr.prepare(spark, fx.mixture(d), merges.table(spark), merges.vocab_size, out)
+    spelled, merges = _tokenizer(spark, d)
+    done = pr.prepare(spark, fx.mixture(d), merges, spelled.count(), out)
     ids = F.aggregate("ids", F.lit(0).cast("long"), lambda a, t: a + t)
     held = sf.read_bin(spark, f"{out}/shards").groupBy("shard_idx").agg(F.sum(ids).alias("id_sum"))
     return done.entries.join(held, "shard_idx").select("split", "path", "num_tokens", "shard_idx", "source", "id_sum")
@@ -666,6 +675,23 @@ def stream_manifest(spark: SparkSession, d: str) -> DataFrame:
     return sf.read_manifest(spark, f"{out}/manifest")[1]
 
 
+@query
+def stream_shards(spark: SparkSession, d: str) -> DataFrame:
+    """The text source arrives as files of documents; shards are closed as they fill."""
+    docs = fx.table(spark, d, "documents").select("doc_id", "text")
+    landing, out = scratch_path(spark, "landing"), scratch_path(spark, "written")
+    step = docs.agg(F.max("doc_id")).first()[0] // 3 + 1
+    for k in range(3):
+        docs.filter((F.col("doc_id") >= k * step) & (F.col("doc_id") < (k + 1) * step)).coalesce(1).write.mode("append").parquet(landing)
+    rows = jobs.file_stream(spark, landing, docs.schema, files_per_trigger=1).filter(rd.long_enough(F.col("text"), MIN_CHARS_CORPUS))
+    named = rows.select(F.lit("text").alias("mix_source"), F.lit(0).alias("source_ord"), F.col("doc_id").alias("ord"), "text")
+    encoded = sp.with_split(en.frame(en.encode_bytes(named)), fx.VAL_FRACTION, fx.SEED)
+    writer = ShardWriter(spark, out, fx.SHARD_SIZE, "tokenizer", BASE_VOCAB)
+    writer.follow(encoded.drop("text"), f"{out}/checkpoint")
+    writer.finish()
+    return writer.closed().select("mix_source", "split", "shard", "shard_idx", "num_tokens", "n_docs", "min_ord", "max_ord")
+
+
 @query
 def stream_metrics(spark: SparkSession, d: str) -> DataFrame:
     events = fx.table(spark, d, "events")

@@ -11,22 +11,24 @@ from shardloom.operators import shards as sh
 from shardloom.operators.encode import encode_in_place, frame
 from shardloom.operators.pack import assign_workers, pack_chunks, reading_order, shard_list
 from shardloom.operators.split import budget_cut, budgets, with_split
-from shardloom.session import as_written, file_uri
+from shardloom.session import as_written
 from shardloom.sources import shard_files as sf
-from shardloom.sources.readers import read_mixture_isolated, with_min_length
+from shardloom.sources.readers import FAILURE_SCHEMA, read_mixture_isolated, with_min_length
 from shardloom.spec import MIN_CHARS_CORPUS, Mixture
+from shardloom.stages import Stages, chained, file_marks, fingerprint, table_mark
 
 FILLS = {"exact": sh.shards_greedy, "offset": sh.shards_by_offset}
 
 
 @dataclass(frozen=True)
 class Prepared:
-    """Where a run wrote, its manifest, and the sources that failed."""
+    """Where a run wrote, its manifest, the sources that failed, and the stages that an earlier run had finished."""
 
     path: str
     head: DataFrame
     entries: DataFrame
     failures: DataFrame
+    skipped: tuple[str, ...] = ()
 
 
 def shard_places(thin: DataFrame, size: int, fill: str = "exact") -> tuple[DataFrame, DataFrame]:
@@ -38,29 +40,59 @@ def shard_places(thin: DataFrame, size: int, fill: str = "exact") -> tuple[DataF
     return at, sh.number_shards(sh.shard_totals(at), size)
 
 
+DOCUMENTS = "mix_source string, source_ord int, ord long, text string"
+STAGES = ("sources", "encoded", "thin", "places", "shards", "entries", "manifest")
+
+
 def prepare(spark: SparkSession, mixture: Mixture, merges: DataFrame, vocab_size: int, out: str, tokenizer: str = "tokenizer",
             max_tokens: int | None = None, fill: str = "exact", min_chars: int = MIN_CHARS_CORPUS) -> Prepared:
     """Read, filter, encode, split, cut to budget, lay out in shards, write the shard files and the manifest.
 
     Files go to ``out/shards``, the manifest to ``out/manifest``. A source that fails leaves nothing behind and takes
     no shard number. The ids are exchanged once, by shard.
+
+    Every stage is kept in ``out/work`` under a mark of the sources' files, the merges and the settings. A run that was
+    ended goes on after its last whole stage, one with other inputs starts anew, and a finished one changes nothing.
+    The work folder can be deleted at any time.
     """
-    docs, failures = read_mixture_isolated(spark, mixture)
-    if docs is None:
-        raise ValueError("no source can be read")
-    kept = frame(encode_in_place(with_min_length(docs, min_chars), merges))
-    encoded = as_written(with_split(kept, mixture.val_fraction, mixture.seed).select(
-        "mix_source", "source_ord", "ord", "split", "n_tokens", "ids"), "encoded")
-    thin = encoded.drop("ids")
-    if max_tokens is not None:
-        thin = budget_cut(thin, budgets(mixture.table(spark), max_tokens))
-    at, shards = shard_places(thin, mixture.tokens_per_shard, fill)
-    numbers = shards.select("mix_source", "split", "shard", "shard_idx")
-    placed = sh.with_ids(at.join(numbers, ["mix_source", "split", "shard"]).select("mix_source", "ord", "shard_idx"), encoded)
-    entries = as_written(sf.export_bin(placed, f"{out}/shards"), "entries")
-    sf.require_shards(entries, "train")
-    sf.write_manifest(sf.manifest(entries, tokenizer, vocab_size, mixture.tokens_per_shard, mixture.val_fraction), entries, f"{out}/manifest")
-    return Prepared(out, *sf.read_manifest(spark, f"{out}/manifest"), failures)
+    work = Stages(spark, f"{out}/work")
+    mark = chained(fingerprint([file_marks(spark, s.location) for s in mixture.sources], mixture, table_mark(merges), vocab_size,
+                               tokenizer, max_tokens, fill, min_chars), STAGES)
+
+    def read(path: str) -> None:
+        docs, failures = read_mixture_isolated(spark, mixture, folder=f"{path}/docs")
+        if docs is None:
+            raise ValueError("no source can be read")
+        failures.write.parquet(f"{path}/failures")
+
+    def encode() -> DataFrame:
+        docs = spark.read.option("recursiveFileLookup", "true").schema(DOCUMENTS).parquet(f"{sources}/docs")
+        kept = frame(encode_in_place(with_min_length(docs, min_chars), merges))
+        return with_split(kept, mixture.val_fraction, mixture.seed).select("mix_source", "source_ord", "ord", "split", "n_tokens", "ids")
+
+    def cut() -> DataFrame:
+        thin = encoded.drop("ids")
+        return thin if max_tokens is None else budget_cut(thin, budgets(mixture.table(spark), max_tokens))
+
+    def export(path: str) -> None:
+        numbers = shards.select("mix_source", "split", "shard", "shard_idx")
+        placed = sh.with_ids(at.join(numbers, ["mix_source", "split", "shard"]).select("mix_source", "ord", "shard_idx"), encoded)
+        sf.export_bin(placed, f"{out}/shards").write.parquet(path)
+
+    def list_all(path: str) -> None:
+        sf.require_shards(entries, "train")
+        head = sf.manifest(entries, tokenizer, vocab_size, mixture.tokens_per_shard, mixture.val_fraction)
+        sf.write_manifest(head, entries, f"{out}/manifest")
+
+    sources = work.run("sources", mark["sources"], read)
+    encoded = work.table("encoded", mark["encoded"], encode)
+    thin = work.table("thin", mark["thin"], cut)
+    at = work.table("places", mark["places"], lambda: FILLS[fill](thin, mixture.tokens_per_shard))
+    shards = work.table("shards", mark["shards"], lambda: sh.number_shards(sh.shard_totals(at), mixture.tokens_per_shard))
+    entries = spark.read.parquet(work.run("entries", mark["entries"], export))
+    work.run("manifest", mark["manifest"], list_all)
+    failures = spark.read.schema(FAILURE_SCHEMA).parquet(f"{sources}/failures")
+    return Prepared(out, *sf.read_manifest(spark, f"{out}/manifest"), failures, tuple(work.skipped))
 
 
 def pack_files(spark: SparkSession, path: str, seq_len: int, num_workers: int, world_size: int = 1, split: str | None = None,
@@ -74,5 +106,6 @@ def pack_files(spark: SparkSession, path: str, seq_len: int, num_workers: int, w
     if split:
         entries = sf.select_split(entries, split)
     lanes = as_written(reading_order(assign_workers(shard_list(entries), num_workers, world_size), seed, shuffle), "lanes")
-    chunks = sf.read_bin(spark, file_uri(spark, f"{path}/shards"))
+    wanted = entries.select("split").distinct().limit(2).collect() if split else []
+    chunks = sf.read_bin(spark, f"{path}/shards", split=wanted[0]["split"] if len(wanted) == 1 else None)
     return pack_chunks(chunks, lanes, seq_len)

@@ -114,11 +114,13 @@ FAILURE_SCHEMA = "mix_source string, error string"
 
 
 def read_mixture_isolated(spark: SparkSession, mixture: Mixture,
-                          known_configs: dict[str, list[str]] | None = None) -> tuple[DataFrame | None, DataFrame]:
+                          known_configs: dict[str, list[str]] | None = None,
+                          folder: str | None = None) -> tuple[DataFrame | None, DataFrame]:
     """Like ``read_mixture`` but a source that fails, at once or at its last row, only yields a failure row.
 
     Every source is read to its end and written by itself; the documents are the union of what was written, so that
-    nothing of a failed source is left and no later step meets its files. A configured ``config`` missing from
+    nothing of a failed source is left and no later step meets its files. With ``folder`` they are written there,
+    each under its place in the mixture. A configured ``config`` missing from
     ``known_configs`` is reported as a warning row; the source is still tried.
     """
     good, failures = [], []
@@ -127,7 +129,12 @@ def read_mixture_isolated(spark: SparkSession, mixture: Mixture,
         if spec.config and known is not None and spec.config not in known:
             failures.append((spec.name, f"config '{spec.config}' not found, available: {sorted(known)}"))
         try:
-            good.append(as_written(read_documents(spark, spec, i), "source"))
+            rows = read_documents(spark, spec, i)
+            if folder:
+                rows.write.parquet(f"{folder}/{i}")
+                good.append(spark.read.schema(rows.schema).parquet(f"{folder}/{i}"))
+            else:
+                good.append(as_written(rows, "source"))
         except Exception as err:  # noqa: BLE001 - any failure of one source must leave the others running
             failures.append((spec.name, f"{type(err).__name__}: {err}".split("\n")[0]))
     docs = reduce(DataFrame.unionByName, good) if good else None

@@ -6,12 +6,12 @@ import uuid
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardloom.operators.shards import parse_shard_name, shard_name
 from shardloom.session import file_uri
+from shardloom.sources.shard_source import READ_CHUNK, ShardFiles, store_of
 from shardloom.spec import STALL_SECONDS, TOKENS_PER_SHARD
 
 # Fixed values of the format: names and words in manifests and status rows.
@@ -26,7 +26,6 @@ ENTRY_COLUMNS = ("split", "path", "num_tokens", "shard_idx", "source")
 ENTRY = "struct<path: string, num_tokens: bigint, shard_idx: int, source: string>"
 MANIFEST_SCHEMA = f"{HEAD_SCHEMA}, train_shards array<{ENTRY}>, val_shards array<{ENTRY}>"
 DOCUMENT_SHARDS = 1_000_000
-READ_CHUNK = 1 << 16
 
 
 class NoShardsError(ValueError):
@@ -58,12 +57,6 @@ def read_shard_table(spark: SparkSession, path: str, columns: str, split: str |
 # ------------------------------------------------------------------------------------------------ binary form
 
 
-def _store(uri: str):
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(uri)
-
-
 def export_bin(docs: DataFrame, directory: str) -> DataFrame:
     """Write one little-endian 16-bit file per shard and return ``(path, num_tokens, shard_idx, source, split)``.
 
@@ -77,7 +70,7 @@ def export_bin(docs: DataFrame, directory: str) -> DataFrame:
         tokens = np.concatenate(pdf.sort_values("ord")["ids"].to_list()).astype(np.int64)
         if len(tokens) and (tokens.min() < 0 or tokens.max() > 0xFFFF):
             raise ValueError(f"{name}: token id outside 0..65535")
-        store, base = _store(directory)
+        store, base = store_of(directory)
         store.create_dir(base, recursive=True)
         partial = f"{base}/.{name}.{uuid.uuid4().hex}"
         with store.open_output_stream(partial) as out:
@@ -110,28 +103,19 @@ def discover_shards(spark: SparkSession, directory: str) -> tuple[DataFrame, Dat
     return rows.filter(whole & (F.col("length") > 0)).drop("length"), bad
 
 
-def read_bin(spark: SparkSession, directory: str, chunk: int = READ_CHUNK) -> DataFrame:
-    """Token chunks ``(source, split, shard_idx, start_tok, ids)`` of all shard files.
+def read_bin(spark: SparkSession, directory: str, chunk: int = READ_CHUNK, split: str | None = None) -> DataFrame:
+    """Token chunks ``(source, split, shard_idx, start_tok, ids)`` of all shard files, or those of one split.
 
-    Files are cut into bounded pieces before they are decoded.
+    Files are read in ranges of bounded size; those of another split are not opened. Where the session pushes filters
+    to Python sources (``spark.sql.python.filterPushdown.enabled``), equalities on source, split and shard number
+    choose the files as well.
     """
-    @F.arrow_udf("array<int>")
-    def decode(raw: pa.Array) -> pa.Array:
-        sizes = pa.compute.binary_length(raw).to_numpy(zero_copy_only=False).astype(np.int64) // 2
-        ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-        tokens = np.frombuffer(b"".join(raw.to_pylist()), dtype="<u2").astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(tokens))
-
-    import pyarrow.compute  # noqa: F401  (makes pa.compute available to the function above)
-
-    files = spark.read.format("binaryFile").load(directory).withColumn(
-        "s", parse_shard_name(F.element_at(F.split("path", "/"), -1))
-    ).filter("s is not null and length % 2 = 0 and length > 0")
-    cut = files.select("s.*", "content", F.explode(
-        F.sequence(F.lit(0).cast("long"), F.expr(f"(length div 2 - 1) div {chunk}"))).alias("k"))
-    piece = F.expr(f"substring(content, cast(k * {2 * chunk} + 1 as int), {2 * chunk})")
-    return cut.select("source", "split", "shard_idx", (F.col("k") * chunk).alias("start_tok"),
-                      piece.alias("raw")).withColumn("ids", decode("raw")).drop("raw")
+    spark.dataSource.register(ShardFiles)
+    pushed = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false")
+    reader = spark.read.format("shard_files").option("chunk", str(chunk)).option("pushdown", pushed.lower())
+    if split:
+        reader = reader.option("split", split)
+    return reader.load(file_uri(spark, directory))
 
 
 # ------------------------------------------------------------------------------------------------ manifest

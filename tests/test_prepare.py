@@ -135,15 +135,56 @@ def test_leading_rows_are_read_behind_a_bound(spark):
     assert not found and re.search(r"PushedFilters: \[[^\]]*LessThanOrEqual\(doc_id,", plan) and plan.count("FileScan") <= 2
 
 
-def test_dictionary_join_does_not_exchange_resolved_words(spark):
-    docs, merges = fx.corpus(spark, SF), spark.createDataFrame([], vo.MERGE_SCHEMA)
-    words = as_written(en.dictionary(docs.filter("ord % 2 = 0"), merges), "dictionary")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        got = {(r["mix_source"], r["ord"]): r["ids"] for r in en.encode_by_dictionary(docs, words, ["mix_source", "ord"], merges).collect()}
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert got == {(r["mix_source"], r["ord"]): r["ids"] for r in en.encode_in_place(docs, merges).collect()}
+def shard_bytes(out):
+    return {f.name: f.read_bytes() for f in (out / "shards").glob("*.bin")}
+
+
+def test_a_run_that_was_ended_goes_on(spark, tmp_path, monkeypatch):
+    """Ended in every stage in turn, a rerun writes the same bytes and skips what was finished."""
+    merges = spark.createDataFrame([], vo.MERGE_SCHEMA)
+    run = lambda out, **more: pr.prepare(spark, fx.mixture(SF), merges, 263, str(out), **more)
+    done = run(tmp_path / "whole")
+    assert done.skipped == ()
+    whole, entries = shard_bytes(tmp_path / "whole"), sorted(map(tuple, done.entries.collect()))
+    assert run(tmp_path / "whole").skipped == pr.STAGES
+
+    class Ended(Exception):
+        pass
+
+    for k, name in enumerate(pr.STAGES):
+        original = pr.Stages.run
+
+        def ended(self, stage, mark, make, anew=False, name=name):
+            def half(path):
+                make(path)
+                raise Ended
+
+            return original(self, stage, mark, half if stage == name else make, anew)
+
+        monkeypatch.setattr(pr.Stages, "run", ended)
+        if k == 0:
+            with pytest.raises(Ended):
+                run(tmp_path / "cut")
+        else:
+            with pytest.raises(Ended):
+                run(tmp_path / "cut")
+        monkeypatch.setattr(pr.Stages, "run", original)
+    again = run(tmp_path / "cut")
+    assert again.skipped == pr.STAGES[:-1]
+    assert shard_bytes(tmp_path / "cut") == whole and sorted(map(tuple, again.entries.collect())) == entries
+    # Other settings start anew.
+    assert run(tmp_path / "cut", min_chars=500).skipped == ()
+
+
+def test_changed_files_are_read_anew(spark, tmp_path):
+    src = tmp_path / "src"
+    spark.createDataFrame([(1, "a text that is long enough to stay")], "id long, text string").write.parquet(str(src))
+    mix = Mixture((SourceSpec("s", str(src), weight=1.0),), tokens_per_shard=100, val_fraction=0.0)
+    merges = spark.createDataFrame([], vo.MERGE_SCHEMA)
+    first = pr.prepare(spark, mix, merges, 263, str(tmp_path / "out")).entries.agg(F.sum("num_tokens")).first()[0]
+    spark.createDataFrame([(2, "another text that is long enough")], "id long, text string").write.mode("append").parquet(str(src))
+    later = pr.prepare(spark, mix, merges, 263, str(tmp_path / "out"))
+    assert later.skipped == () and later.entries.agg(F.sum("num_tokens")).first()[0] > first
 
 
 def test_one_exchange_of_ids(spark):
