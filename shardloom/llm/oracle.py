@@ -13,7 +13,7 @@ from shardloom.llm.resample import SEED as RESAMPLE_SEED
 from shardloom.llm.secret_ledger import BASE_RULES, RULES
 from shardloom.llm.topk import SCALE as TOPK_SCALE
 from shardloom.llm.topk import TOP
-from shardloom.llm.url_templates import DEPTH, FAN, MERGE_Z, PRIOR, REJECT, SMOOTHING, SUPPORT
+from shardloom.llm.url_templates import FAN, MERGE_Z, PRIOR, REJECT, SMOOTHING, SUPPORT
 from shardloom.llm.url_templates import RULES as URL_RULES
 from shardloom.llm.warc import LEAST_BYTES
 
@@ -83,12 +83,13 @@ stop AS (SELECT k, level FROM l WHERE level * w <= cap ORDER BY k LIMIT 1),
 t AS (SELECT source, source_size, CASE WHEN l.k < stop.k THEN CAST(cap AS DOUBLE) ELSE least(CAST(cap AS DOUBLE), stop.level * w) END AS target FROM l, stop),
 p AS (SELECT *, CAST(floor(r) AS BIGINT) AS whole, r - floor(r) AS inclusion, target - floor(r) * source_size AS rest
   FROM (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS r FROM t)),
+o AS (SELECT *, u / (1 - u) / (1 / CAST(length(bin(size)) AS DOUBLE)) AS rank FROM d),
 run AS (SELECT d.*, p.source_size, p.target, whole, inclusion, rest,
-  sum(size) OVER (PARTITION BY d.source ORDER BY u, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
-  FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source),
+  sum(size) OVER (PARTITION BY d.source ORDER BY rank, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto
+  FROM o d JOIN p ON d.source IS NOT DISTINCT FROM p.source),
 gap AS (SELECT *, inclusion > 0 AND upto <= rest AS taken_first, rest - max(CASE WHEN upto <= rest THEN upto ELSE 0 END) OVER (PARTITION BY source) AS missing FROM run),
 fill AS (SELECT *, row_number() OVER (PARTITION BY source, NOT taken_first AND inclusion > 0 AND size > 0 AND abs(size - missing) < missing
-  ORDER BY abs(size - missing), u, doc_id) = 1 AND NOT taken_first AND inclusion > 0 AND size > 0 AND abs(size - missing) < missing AS taken_last FROM gap)
+  ORDER BY abs(size - missing), rank, doc_id) = 1 AND NOT taken_first AND inclusion > 0 AND size > 0 AND abs(size - missing) < missing AS taken_last FROM gap)
 SELECT doc_id, size, source_size, target, CAST((whole + CASE WHEN taken_first OR taken_last THEN 1 ELSE 0 END) * size AS BIGINT) AS taken FROM fill"""
 
 _url = r"'(?s)^.*?://([^/?#]*)([^?#]*)'"
@@ -100,37 +101,55 @@ def _first_rule(value) -> str:
     return "CASE " + " ".join(f"WHEN {_fits[r]} THEN {value(r)}" for r in _by_length) + " END"
 
 
-def _level(k: int) -> str:
-    """Templates with one more segment: children of a wide branch point become one wildcard."""
-    literal = "here IS NOT NULL AND here <> '**' AND NOT starts_with(here, '{')"
-    return f"""h{k} AS MATERIALIZED (SELECT *, segs[{k + 1}] AS here FROM t{k}),
-wide{k} AS (SELECT host, tpl FROM (SELECT host, tpl, here, sum(n) AS n FROM h{k} WHERE {literal} GROUP BY ALL) GROUP BY ALL
+#: Rounds of wildcards that the statement below spells out; the given tables need one.
+_ROUNDS = 3
+
+
+def _wildcards(k: int) -> str:
+    """Templates after one more round: rare children of wide branch points become one wildcard."""
+    literal = "tpl[i] <> '*' AND NOT starts_with(tpl[i], '{')"
+    return f"""n{k} AS MATERIALIZED (SELECT r, host, n, tpl, i, tpl[i] AS child, tpl[1:i - 1] AS above, {literal} AS plain
+  FROM (SELECT *, unnest(range(1, len(tpl) + 1)) AS i FROM t{k})),
+wide{k} AS MATERIALIZED (SELECT host, above FROM (SELECT host, above, child, sum(n) AS n FROM n{k} WHERE plain GROUP BY ALL) GROUP BY ALL
   HAVING count(*) >= {FAN} AND sum(n) < count(*) * {SUPPORT}),
-t{k + 1} AS MATERIALIZED (SELECT host, segs, n, labelled, bad, h.tpl || CASE WHEN here IS NULL THEN '' WHEN {literal} AND w.tpl IS NOT NULL THEN '/*'
-  ELSE '/' || here END AS tpl FROM h{k} h LEFT JOIN wide{k} w USING (host, tpl))"""
+t{k + 1} AS MATERIALIZED (SELECT t.r, t.host, t.segs, t.n, t.labelled, t.bad, g.tpl FROM t{k} t JOIN (
+  SELECT r, list(CASE WHEN plain AND w.host IS NOT NULL THEN '*' ELSE child END ORDER BY i) AS tpl FROM n{k} x
+  LEFT JOIN wide{k} w ON x.host = w.host AND x.above = w.above GROUP BY r) g USING (r))"""
 
 
-_rate = f"({{}} + {SMOOTHING * PRIOR}::DOUBLE) / ({{}} + {SMOOTHING}::DOUBLE)"
+_taken = "list_reduce(list(struct_pack(n := n, b := b) ORDER BY i), lambda s, x: struct_pack(n := 0::DOUBLE, b := (x.b + %s * s.b) / (x.n + %s)), %s).b"
+_from = lambda start: _taken % (SMOOTHING, SMOOTHING, f"struct_pack(n := 0::DOUBLE, b := {start})")
 ORACLE["op7_url_filter"] = f"""WITH u AS (SELECT page_id, translate(regexp_extract(coalesce(url, ''), {_url}, 1), '{UPPER}', '{LOWER}') AS host,
   regexp_extract(coalesce(url, ''), {_url}, 2) AS path FROM pages),
 ruled AS MATERIALIZED (SELECT *, {_first_rule(lambda r: f"'{r.name}'")} AS rule, {_first_rule(lambda r: f"'{r.verdict}'")} AS ruled,
   string_split(regexp_replace(path, '^/', ''), '/') AS parts FROM u),
 formed AS MATERIALIZED (SELECT page_id, host, path, rule, ruled, CASE ruled WHEN 'block' THEN 1 WHEN 'allow' THEN 0 END AS bad,
-  list_transform(parts[1:{DEPTH}], lambda s: CASE WHEN regexp_full_match(s, '[0-9]+') THEN '{{n}}'
+  list_transform(parts, lambda s: CASE WHEN regexp_full_match(s, '[0-9]+') THEN '{{n}}'
     WHEN regexp_full_match(s, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') THEN '{{date}}'
     WHEN regexp_full_match(s, '[0-9]+\\.[A-Za-z0-9]{{1,5}}') THEN '{{n}}.' || string_split(s, '.')[-1]
-    WHEN regexp_matches(s, '[0-9]') AND regexp_full_match(s, '[0-9A-Fa-f-]{{8,}}') THEN '{{x}}' ELSE s END)
-    || CASE WHEN len(parts) > {DEPTH} THEN ['**'] ELSE [] END AS segs FROM ruled),
-t0 AS MATERIALIZED (SELECT host, segs, count(*) AS n, count(bad) AS labelled, coalesce(sum(bad), 0) AS bad, '' AS tpl FROM formed GROUP BY host, segs),
-{', '.join(_level(k) for k in range(DEPTH + 1))},
-tpls AS MATERIALIZED (SELECT host, tpl, regexp_replace(tpl, '^/[^/]*', '/?') AS branch, CAST(sum(labelled) AS DOUBLE) AS labelled, CAST(sum(bad) AS DOUBLE) AS bad
-  FROM t{DEPTH + 1} GROUP BY host, tpl),
-judged AS MATERIALIZED (SELECT *, coalesce(abs(bad / nullif(labelled, 0) - p) > {MERGE_Z} * sqrt(p * (1 - p) / nullif(labelled, 0) + 1e-9), true) AS own FROM (
-  SELECT *, sum(bad) OVER b / nullif(sum(labelled) OVER b, 0) AS p FROM tpls WINDOW b AS (PARTITION BY host, branch))),
-shares AS (SELECT host, tpl, CASE WHEN own THEN {_rate.format('bad', 'labelled')} ELSE {_rate.format(
-    'sum(bad) FILTER (WHERE NOT own) OVER b', 'sum(labelled) FILTER (WHERE NOT own) OVER b')} END AS share FROM judged WINDOW b AS (PARTITION BY host, branch))
-SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN share >= {REJECT} THEN 'block' ELSE 'allow' END) AS verdict
-FROM formed JOIN (SELECT host, segs, tpl FROM t{DEPTH + 1}) USING (host, segs) JOIN shares USING (host, tpl)"""
+    WHEN regexp_matches(s, '[0-9]') AND regexp_full_match(s, '[0-9A-Fa-f-]{{8,}}') THEN '{{x}}' ELSE s END) AS segs FROM ruled),
+t0 AS MATERIALIZED (SELECT row_number() OVER () AS r, *, segs AS tpl FROM (
+  SELECT host, segs, count(*) AS n, count(bad) AS labelled, coalesce(sum(bad), 0) AS bad FROM formed GROUP BY host, segs)),
+{', '.join(_wildcards(k) for k in range(_ROUNDS))},
+hosts AS (SELECT host, string_split(host, '.') AS parts, sum(labelled) AS n, sum(bad) AS b FROM t{_ROUNDS} GROUP BY host),
+levels AS MATERIALIZED (SELECT host, n, b, i, array_to_string(parts[len(parts) - i + 1:], '.') AS domain FROM (
+  SELECT *, unnest(range(1, len(parts) + 1)) AS i FROM hosts)),
+domains AS (SELECT domain, sum(n)::DOUBLE AS n, sum(b)::DOUBLE AS b FROM levels GROUP BY domain HAVING sum(n) > 0),
+bases AS MATERIALIZED (SELECT host, {_from(f'{PRIOR}::DOUBLE')} AS base FROM (
+  SELECT host, i, d.n, d.b FROM levels l JOIN domains d USING (domain)) GROUP BY host),
+steps AS MATERIALIZED (SELECT r, host, labelled, bad, i, tpl[1:i] AS node, tpl[1:i - 1] AS above FROM (
+  SELECT *, unnest(range(1, len(tpl) + 1)) AS i FROM t{_ROUNDS})),
+nodes AS MATERIALIZED (SELECT host, node, above, sum(labelled)::DOUBLE AS n, sum(bad)::DOUBLE AS b FROM steps GROUP BY ALL HAVING sum(labelled) > 0),
+judged AS MATERIALIZED (SELECT *, abs(b / n - p) > {MERGE_Z} * sqrt(p * (1 - p) / n + 1e-9::DOUBLE) AS apart FROM (
+  SELECT *, sum(b) OVER (PARTITION BY host, above) / sum(n) OVER (PARTITION BY host, above) AS p FROM nodes)),
+stand AS MATERIALIZED (SELECT host, node, CASE WHEN apart THEN n ELSE sum(n) FILTER (WHERE NOT apart) OVER w END AS n,
+  CASE WHEN apart THEN b ELSE sum(b) FILTER (WHERE NOT apart) OVER w END AS b FROM judged WINDOW w AS (PARTITION BY host, above)),
+shares AS MATERIALIZED (SELECT r, {_from('any_value(base)')} AS share FROM (
+  SELECT r, i, s.n, s.b, coalesce(base, {PRIOR}::DOUBLE) AS base FROM steps x JOIN stand s ON x.host = s.host AND x.node = s.node
+  LEFT JOIN bases ON bases.host = x.host) GROUP BY r)
+SELECT page_id, f.host, path, rule, coalesce(ruled, CASE WHEN coalesce(share, base, {PRIOR}) >= {REJECT} THEN 'block' ELSE 'allow' END) AS verdict
+FROM formed f JOIN t0 ON f.host = t0.host AND f.segs = t0.segs LEFT JOIN shares USING (r) LEFT JOIN bases ON bases.host = f.host"""
+
 
 
 def _crc_table() -> str:

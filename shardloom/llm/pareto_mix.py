@@ -1,9 +1,11 @@
 """Mixing sources to target weights by Pareto order sampling.
 
 A source whose target is r times its size gives every document floor(r) certain copies. The rest of the target
-is a fixed-size sample: documents are ranked by their random odds divided by the odds of their inclusion,
-r - floor(r), and taken in that order; the last place goes to the document, among those not taken, whose size
-is nearest to what is then missing.
+is a fixed-size sample with unequal odds: a document's odds of inclusion fall with the length of its text, so that
+repeated words are spread over many documents and not over a few long ones. The odds of a source have one common
+factor, at which the expected words are those wanted. Documents are ranked by their random odds divided by these odds
+and taken in that order; the last place goes to the document, among those not taken, whose size is nearest to what is
+then missing.
 """
 
 from __future__ import annotations
@@ -61,9 +63,30 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, factor: float = FACTOR, mo
         .otherwise(F.least(F.col("cap").cast("double"), F.col("level") * F.col("w"))).alias("target"))
 
 
-def pareto_rank(u: Column, inclusion: Column) -> Column:
+def leaning(size: Column) -> Column:
+    """Odds of a document relative to its source's others: one over the binary digits of its size."""
+    return 1.0 / F.length(F.bin(size)).cast("double")
+
+
+def pareto_rank(u: Column, lean: Column, factor: Column) -> Column:
     """Random odds over inclusion odds."""
-    return (u / (1 - u)) / (inclusion / (1 - inclusion))
+    return (u / (1 - u)) / lean / factor
+
+
+def with_factors(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """The plan with ``factor``: odds of ``factor * lean`` make the expected words of the sample those of ``rest``.
+
+    Documents of as many binary digits have the same odds, so a source is a list of at most 64 classes, and the factor
+    is found by halving between a sample of nothing and one of everything.
+    """
+    classes = rows.filter("size > 0").groupBy("source", leaning(F.col("size")).alias("lean")).agg(F.sum("size").cast("double").alias("words"))
+    lists = as_written(classes.groupBy(F.col("source").alias("__s")).agg(F.collect_list(F.struct("lean", "words")).alias("classes")), "classes")
+    expected = lambda f: F.aggregate("classes", F.lit(0.0), lambda s, c: s + c["words"] * (f * c["lean"]) / (1 + f * c["lean"]))
+    middle = lambda s: (s["low"] + s["high"]) / 2
+    halve = lambda s, _: F.when(expected(F.exp(middle(s))) < F.col("rest"), F.struct(middle(s).alias("low"), s["high"].alias("high"))).otherwise(
+        F.struct(s["low"].alias("low"), middle(s).alias("high")))
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(50)), F.struct(F.lit(-50.0).alias("low"), F.lit(50.0).alias("high")), halve, middle)
+    return plan.join(lists, F.col("source").eqNullSafe(F.col("__s")), "left").withColumn("factor", F.exp(found)).drop("__s", "classes")
 
 
 def pareto_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -82,11 +105,13 @@ def pareto_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     plan = as_written(source_targets(sizes, weights, factor, most).withColumn("whole", F.floor(ratio).cast("long"))
                       .withColumn("inclusion", ratio - F.col("whole"))
-                      .withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size")), "targets")
-    ranked = with_few(rows, plan, ["source"]).withColumn(
-        "rank", F.when(F.col("inclusion") > 0, pareto_rank(F.col("u"), F.col("inclusion"))))
-    # Within a source the rank rises with u, so ranges of u are ranges of ranks and hold alike many documents.
-    ranged = ranked.withColumn("range", F.floor(F.col("u") * RANGES).cast("int"))
+                      .withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size")), "shares")
+    plan = as_written(with_factors(rows, plan), "targets")
+    rank = pareto_rank(F.col("u"), leaning(F.col("size")), F.coalesce("factor", F.lit(1.0)))
+    ranked = with_few(rows, plan, ["source"]).withColumn("rank", F.when(F.col("inclusion") > 0, rank))
+    # Ranks lie about one; as r / (1 + r) they are spread over the unit interval, and its ranges are ranges of ranks.
+    range_ = F.floor(F.col("rank") / (1 + F.col("rank")) * RANGES).cast("int")
+    ranged = ranked.withColumn("range", range_)
     totals = ranged.groupBy("source", "rest", "range").agg(F.sum("size").alias("words"))
     upto = F.sum("words").over(Window.partitionBy("source").orderBy("range"))
     crossing = as_written(
@@ -116,9 +141,7 @@ def pareto_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ends = cuts.select("source", "cut_range", "last").join(
         extra.withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s")), "left").drop("__s")
     plan = plan.join(ends.withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s")), "left").drop("__s")
-    drawn = with_few(rows, plan, ["source"]).withColumn(
-        "rank", F.when(F.col("inclusion") > 0, pareto_rank(F.col("u"), F.col("inclusion")))).withColumn(
-        "range", F.floor(F.col("u") * RANGES).cast("int"))
+    drawn = with_few(rows, plan, ["source"]).withColumn("rank", F.when(F.col("inclusion") > 0, rank)).withColumn("range", range_)
     fits = F.col("cut_range").isNull() & (F.col("rest") > 0)
     sampled = F.when(fits | first | F.coalesce(place == F.col("fill"), F.lit(False)), F.lit(1)).otherwise(0)
     copies = F.col("whole") + F.when(F.col("inclusion") > 0, sampled).otherwise(0)

@@ -217,10 +217,34 @@ def test_templates_merge_and_reject(spark):
                                                      labels=spark.createDataFrame(labels, "page_id long, bad int")).collect()}
     assert got[2]["template"] == "/ads/{n}.html" and got[198]["verdict"] == "block" and got[0]["verdict"] == got[197]["verdict"] == "allow"
     assert got[0]["bad_share"] == got[1]["bad_share"]  # news and blog are alike and share their counts
-    assert got[3]["bad_share"] == pytest.approx(ut.PRIOR)  # nothing is known of new
+    # Nothing is known of new itself, so it has the share of its host, and that leans on its domain.
+    org = (70 + ut.SMOOTHING * ut.PRIOR) / (150 + ut.SMOOTHING)
+    assert got[3]["bad_share"] == pytest.approx((40 + ut.SMOOTHING * org) / (120 + ut.SMOOTHING))
     assert got[1039]["template"] == "/*/about" and got[1039]["verdict"] == "block"
 
 
+def test_urls_without_a_rule_are_judged_by_evidence(spark):
+    """The default call on the given pages: no page of an unruled host without labels around it is blocked, others are."""
+    from shardloom.llm import queries as q
+    rows = q.op7_url_filter(spark, "/root/testdata/sf0.01").collect()
+    free = [r for r in rows if r["rule"] is None]
+    blocked = [r for r in free if r["verdict"] == "block"]
+    assert blocked and len(blocked) < len(free)
+    known = {r["host"].split(".")[-1] for r in rows if r["rule"]}
+    assert all(r["host"].split(".")[-1] in known for r in blocked)
+
+
+def test_paths_are_told_apart_at_any_depth(spark):
+    deep = "/a" * 12
+    rows = [(k, f"http://h.org{deep}/{'good' if k % 2 else 'bad'}/{k}") for k in range(80)]
+    rows += [(100 + k, f"http://h.org{deep}/u/user{k}x/posts/name{k}y/end") for k in range(40)] + [(900, "http://h.org/" + "s/" * 3000)]
+    labels = spark.createDataFrame([(k, 1 - k % 2) for k in range(60)], "page_id long, bad int")
+    got = {r["page_id"]: r for r in ut.url_verdicts(spark.createDataFrame(rows, "page_id long, url string"), rules=(), labels=labels).collect()}
+    assert got[70]["template"] == f"{deep}/bad/{{n}}" and got[70]["verdict"] == "block" and got[71]["verdict"] == "allow"
+    assert got[139]["template"] == f"{deep}/u/*/posts/*/end"  # a variable branch below another one
+    assert got[900]["template"].count("/") == 3001
+
+
 # ------------------------------------------------------------------------------------------------ archives
 
 
