@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +25,29 @@ WORD_BYTES = bytes(
 ID_BROADCAST = 1_000_000
 
 
+#: Most bytes of a batch that Spark hands to a Python worker: workers keep what their largest batch took.
+BATCH_BYTES = 4 << 20
+_BATCH_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
+    """Let batches of long texts end early; a session that sets a smaller limit keeps it."""
+    now = re.match(r"([0-9]+)b?$", str(spark.conf.get(_BATCH_KEY)))  # as a number only where a session has set it so
+    if not now or int(now[1]) > most:
+        spark.conf.set(_BATCH_KEY, str(most))
+
+
+def tidy() -> None:
+    """Give the memory of a finished task back to the system; an idle worker would hold it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -66,6 +90,8 @@ def by_batch(make, out: list[str]):
             if batch.num_rows:
                 made = make(batch)
                 yield pa.RecordBatch.from_arrays([made[name] for name in out], names=out)
+                del made
+        tidy()
 
     return run
 
@@ -86,6 +112,7 @@ def kept_rows(rows: DataFrame, verdicts: DataFrame, key: str, limit: int = ID_BR
 
 def with_row_key(rows: DataFrame) -> DataFrame:
     """The rows, written once with a key ``__row`` of their own, so that every later read sees the same keys."""
+    bound_batches(rows.sparkSession)
     return as_written(rows.withColumn("__row", F.monotonically_increasing_id()), "rows")
 
 

@@ -9,6 +9,7 @@ compared, and only those similar enough are linked.
 from __future__ import annotations
 
 import hashlib
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shardloom.llm.common import by_batch, column_of, folded_bytes
+from shardloom.llm.common import by_batch, column_of, utf8_texts
 from shardloom.llm.components import components
 from shardloom.llm.simhash import ball_pairs
 from shardloom.session import as_written
@@ -31,21 +32,36 @@ TABLES, WIDTH, RADIUS = 16, 36, 2
 FAR_BITS = TABLES * WIDTH // 5
 PER_BUCKET = 20_000
 STEP = 4_096
+#: Bytes of text that are cut into words at once.
+SLICE = 1 << 18
+_BLANK = re.compile(rb"[ \t-\r]")
 _DRAW = np.random.default_rng(42)
 MULTIPLY = _DRAW.integers(0, 1 << 32, TABLES * WIDTH, np.uint32) | np.uint32(1)
 FLIP = _DRAW.integers(0, 1 << 32, TABLES * WIDTH, np.uint32)
 
 
 def shingle_hashes(text: bytes, shingle: int = SHINGLE_WORDS) -> np.ndarray:
-    """Sorted hashes of the distinct shingles of a case-folded text; one of fewer words is one shingle."""
-    words = text.split()
-    line = b" ".join(words)
-    ends = np.cumsum([len(w) + 1 for w in words], dtype=np.int64) - 1
-    n = max(1, len(words) - shingle + 1)
-    starts = [0, *(ends[: n - 1] + 1).tolist()]
-    ends = ends[min(shingle, len(words)) - 1:].tolist() if words else [0]
+    """Sorted hashes of the distinct shingles of a case-folded text; one of fewer words is one shingle.
+
+    The text is worked through slice by slice, so that besides the hashes only a slice of it is held as words.
+    """
+    found, last, at = [], [], 0
     digest = xxhash.xxh64_digest
-    return np.unique(np.frombuffer(b"".join([digest(line[a:b]) for a, b in zip(starts, ends)]), ">u8").astype(np.uint64))
+    while at < len(text):
+        end = _BLANK.search(text, at + SLICE)
+        end = end.start() if end else len(text)
+        words = last + text[at:end].split()
+        at = end
+        if len(words) < shingle:
+            last = words
+            continue
+        line = b" ".join(words)
+        ends = np.cumsum([len(w) + 1 for w in words], dtype=np.int64) - 1
+        starts = [0, *(ends[: len(words) - shingle] + 1).tolist()]
+        hashed = b"".join([digest(line[a:b]) for a, b in zip(starts, ends[shingle - 1:].tolist())])
+        found.append(np.unique(np.frombuffer(hashed, ">u8").astype(np.uint64)))
+        last = words[1 - shingle:]
+    return np.unique(np.concatenate(found)) if found else np.frombuffer(digest(b" ".join(last)), ">u8").astype(np.uint64)
 
 
 def min_fingerprints(hashes: np.ndarray) -> np.ndarray:
@@ -64,10 +80,9 @@ def alike(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def _signatures(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-    run, bounds = folded_bytes(column_of(batch, "text"))
-    bounds, same, fps = bounds.tolist(), [], []
-    for a, b in zip(bounds, bounds[1:]):
-        text = run[a:b]
+    same, fps = [], []
+    for text in utf8_texts(column_of(batch, "text")):
+        text = bytes(text).lower()
         same.append(hashlib.sha256(b" ".join(text.split())).digest())
         fps.append(min_fingerprints(shingle_hashes(text)))
     return {"row": column_of(batch, "row"), "doc_id": column_of(batch, "doc_id"), "same": pa.array(same, pa.binary()),
@@ -75,10 +90,10 @@ def _signatures(batch: pa.RecordBatch) -> dict[str, pa.Array]:
 
 
 def _compared(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-    hashes = [shingle_hashes((t or "").encode().lower()) for c in ("ta", "tb") for t in column_of(batch, c).to_pylist()]
-    n = batch.num_rows
+    """Pair by pair: two sets of hashes are held at a time."""
+    sets = lambda name: (shingle_hashes(bytes(t).lower()) for t in utf8_texts(column_of(batch, name)))
     return {"a": column_of(batch, "a"), "b": column_of(batch, "b"),
-            "alike": pa.array([alike(x, y) for x, y in zip(hashes[:n], hashes[n:])], pa.bool_())}
+            "alike": pa.array([alike(x, y) for x, y in zip(sets("ta"), sets("tb"))], pa.bool_())}
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
+from shardloom.llm import common
 from shardloom.llm import shingle_dedup as sd
 from tests.llm import brute
 
@@ -88,3 +89,35 @@ def test_rows_of_one_id_are_judged_one_by_one(spark):
                                    + [(None, "a text without any id at all", "en", "s", 1)] * 2, brute.SCHEMA)
     once = STAGE["SimHash near-dedup"](spark, STAGE["exact dedup"](spark, copies, sf), sf).select("doc_id").collect()
     assert brute.in_order(map(tuple, once)) == brute.in_order([(3,), (None,)])
+
+
+def test_shingles_in_slices(monkeypatch):
+    text = " \t".join(f"w{i % 97} x{i}" for i in range(3000)).encode()
+    whole = sd.shingle_hashes(text)
+    for size in (1, 10, 333):
+        monkeypatch.setattr(sd, "SLICE", size)
+        assert (sd.shingle_hashes(text) == whole).all() and len(whole) == len(shingles(text.decode()))
+        for few in (b"", b" \n", b"a", b" a b\x0bc d ", b"a b c d e"):
+            assert len(sd.shingle_hashes(few)) == 1
+        assert (sd.shingle_hashes(b" a b") == sd.shingle_hashes(b"a\rb ")).all()
+
+
+def test_batches_are_bounded_in_bytes(spark):
+    """A table of long texts reaches a worker in batches of few bytes; a smaller limit of the session stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    docs = spark.range(40, numPartitions=1).select(F.repeat(F.lit("x"), 1_000_000).alias("t"))
+
+    def sizes(batches):
+        import pyarrow as pa
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+    try:
+        common.bound_batches(spark)
+        assert max(r["n"] for r in docs.mapInArrow(sizes, "n long").collect()) <= common.BATCH_BYTES + 2_000_000
+        spark.conf.set(key, "1000000")
+        common.bound_batches(spark)
+        assert spark.conf.get(key) == "1000000"
+    finally:
+        spark.conf.set(key, before)
