@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from shardloom.session import as_written
+from shardloom.session import as_written, discard
 
 
 @dataclass(frozen=True)
@@ -51,35 +51,32 @@ def blob_of(text: Column) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
 
 
-def _matches(rule: Rule) -> Column:
-    """Per match: characters since the one before, its length, and the length of the judged group."""
-    text = F.col("text")
-    pattern = F.lit(rule.pattern)
+def _matches(rule: Rule, place: int) -> Column:
+    """Per match of a rule: its place in the list of rules, its number in the text, the characters since the match
+    before, its length, and the length of the judged group. Laid out only for texts that the rule occurs in."""
+    text, pattern = F.col("text"), F.lit(rule.pattern)
     whole = F.regexp_extract_all(text, pattern, F.lit(0))
     judged = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else whole
     found = F.arrays_zip(F.split(text, rule.pattern, -1).alias("gap"), whole.alias("whole"), judged.alias("judged"))
-    return F.transform(
-        F.slice(found, 1, F.size(whole)),
-        lambda m: F.struct(F.length(m["gap"]).alias("gap"), F.length(m["whole"]).alias("size"),
-                           F.length(m["judged"]).alias("judged")))
+    laid = F.transform(F.slice(found, 1, F.size(whole)), lambda m, i: F.struct(
+        F.lit(place).alias("rule"), i.alias("pos"), F.length(m["gap"]).alias("gap"), F.length(m["whole"]).alias("size"),
+        F.length(m["judged"]).alias("judged")))
+    return F.when(F.array_contains("rule_names", rule.name) & text.rlike(rule.pattern), laid).otherwise(F.slice(laid, 1, 0))
 
 
 def scan_blobs(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``(blob, kind, start, end)`` for ``(blob, text, rule_names)``; code points, end exclusive.
 
-    A rule's matches are laid out only for texts it occurs in; their places are running sums over one text.
+    All rules look at a text in one pass over the table. The places of matches are running sums over one text and rule.
     """
-    parts = []
-    for rule in rules:
-        hits = blobs.filter(F.array_contains("rule_names", rule.name) & F.col("text").rlike(rule.pattern))
-        parts.append(hits.select("blob", F.lit(rule.kind).alias("kind"), F.lit(rule.least).alias("least"),
-                                 F.posexplode(_matches(rule)).alias("pos", "m")))
-    found = reduce(DataFrame.unionByName, parts)
-    upto = Window.partitionBy("blob", "kind").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    end = F.sum(F.col("m.gap") + F.col("m.size")).over(upto)
+    each = F.concat(*[_matches(r, i) for i, r in enumerate(rules)])
+    found = blobs.select("blob", F.explode(each).alias("m")).select("blob", "m.*")
+    upto = Window.partitionBy("blob", "rule").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    of = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), F.col("rule") + F.lit(1))
     return (
-        found.withColumn("end", end).filter(F.col("m.judged") >= F.col("least"))
-        .select("blob", "kind", (F.col("end") - F.col("m.size")).alias("start"), "end").distinct()
+        found.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(upto))
+        .filter(F.col("judged") >= of([r.least for r in rules]))
+        .select("blob", of([r.kind for r in rules]).alias("kind"), (F.col("end") - F.col("size")).alias("start"), "end").distinct()
     )
 
 
@@ -89,8 +86,8 @@ def scan_versions(docs: DataFrame, ledger: DataFrame | None = None, findings: Da
     """``(versions, ledger, findings)`` after scanning what the ledger does not hold.
 
     ``versions`` has ``doc_id, blob`` per input row, ``ledger`` the pairs ``blob, rule_name`` scanned so far and
-    ``findings`` the spans ``blob, kind, start, end`` of all blobs, earlier ones included. Texts are read twice:
-    for their address, and, for one path per unseen blob, for the scan.
+    ``findings`` the spans ``blob, kind, start, end`` of all blobs, earlier ones included. All texts are read twice:
+    for their address, and to write one copy of every unseen blob; the rules look at those copies alone, once.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     versions = as_written(rows.select("doc_id", blob_of(F.col("text")).alias("blob")), "versions")
@@ -110,7 +107,10 @@ def scan_versions(docs: DataFrame, ledger: DataFrame | None = None, findings: Da
     if not repeated.isEmpty():
         once = rows.join(repeated, same).groupBy("blob", "rule_names").agg(F.any_value("text").alias("text"))
         texts = texts.unionByName(once)
-    fresh = as_written(scan_blobs(texts, rules), "findings")
+    # Written, so that no rule looks at a blob that the ledger holds, and all of them share one pass.
+    copies = as_written(texts, "unseen-texts")
+    fresh = as_written(scan_blobs(copies, rules), "findings")
+    discard(copies)
     scanned = unseen.select("blob", F.explode("rule_names").alias("rule_name"))
     return (versions, scanned if ledger is None else ledger.select("blob", "rule_name").unionByName(scanned),
             fresh if findings is None else findings.select("blob", "kind", "start", "end").unionByName(fresh))
