@@ -8,19 +8,22 @@ as a whole, the words are hit.
 from __future__ import annotations
 
 import hashlib
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardloom.llm.common import by_batch, column_of, words_of
+from shardloom.llm.common import by_batch, column_of, kept_rows, with_few, words_of
+from shardloom.operators.prefix import exclusive_fold
 from shardloom.session import as_written
 
 WINDOW = 13
-#: Words of items in one automaton (about 300 bytes each); longer item tables make several automata.
+#: Words of items in one automaton (about 300 bytes each); longer item tables make several automata, and an item
+#: is never longer than one of them.
 BLOCK_WORDS = 200_000
 
 
@@ -122,21 +125,38 @@ class ItemAutomaton:
         return [(a, b) for a, b in spans], names
 
 
-def item_blocks(items: DataFrame, id_col: str, text_col: str, limit: int = BLOCK_WORDS) -> Iterator[list]:
-    """Items with their words, in lists of at most ``limit`` words each (a longer item is a list of its own).
+def item_pieces(items: DataFrame, id_col: str, text_col: str, window: int, most: int) -> DataFrame:
+    """``(i, words, key, n)``: the words of every item, long items as runs of at most ``most`` words, written.
 
-    Items stream to the driver one partition at a time; only one block of them is held.
+    Runs of one item overlap by all but one word of a window, so that every window lies within one of them.
     """
-    block, held = [], 0
+    def cut(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+        names, pieces = [], []
+        for name, text in zip(column_of(batch, "i").to_pylist(), column_of(batch, "t").to_pylist()):
+            words, step = words_of(text or ""), max(1, most - window + 1)
+            for at in range(0, max(1, len(words) - window + 1), step):
+                names.append(name or "")
+                pieces.append(b" ".join(words[at:at + step + window - 1]))
+        return {"i": pa.array(names, pa.string()), "words": pa.array(pieces, pa.binary())}
+
     rows = items.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t"))
-    for row in rows.toLocalIterator():
-        words = words_of(row["t"] or "")
-        if block and held + len(words) > limit:
-            yield block
-            block, held = [], 0
-        block.append((row["i"] or "", words))
-        held += len(words)
-    yield block
+    found = rows.mapInArrow(by_batch(cut, ["i", "words"]), "i string, words binary").filter(F.length("words") > 0)
+    n = F.length("words") - F.length(F.regexp_replace(F.decode("words", "ISO-8859-1"), " ", "")) + 1
+    return as_written(found.withColumn("n", n.cast("long")).withColumn("key", F.monotonically_increasing_id()).withColumn("all", F.lit(0)), "items")
+
+
+def automata(items: DataFrame, id_col: str, text_col: str, window: int, block_words: int) -> DataFrame:
+    """``(block, automaton)``: one automaton, as bytes, for every ``block_words`` words of items, built in tasks and written."""
+    pieces = item_pieces(items, id_col, text_col, window, block_words)
+    blocks = exclusive_fold(pieces, "n", ["all"], "key", "before").withColumn("block", F.expr(f"coalesce(before, 0) div {block_words}"))
+
+    def build(table: pa.Table) -> pa.Table:
+        rows = zip(table.column("i").to_pylist(), table.column("words").to_pylist())
+        made = ItemAutomaton([(name, words.split()) for name, words in rows], window)
+        return pa.table({"block": table.column("block").slice(0, 1), "automaton": pa.array([pickle.dumps(made, pickle.HIGHEST_PROTOCOL)], pa.binary())})
+
+    dealt = as_written(blocks.select("block", "i", "words"), "item-blocks")
+    return as_written(dealt.groupBy("block").applyInArrow(build, "block long, automaton binary"), "automata")
 
 
 @dataclass(frozen=True)
@@ -184,51 +204,84 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
     ``spans`` are the hit spans, start and end in words from 0. Null and empty texts have no words and are not
     contaminated; items without words hit nothing; of repeated items, or items of one id, the id counts once.
-    Null item ids count as an empty string. Other columns are not read. Documents never shuffle while the items
-    fit one automaton; more items are taken in blocks of ``block_words`` words, each against all documents, which
-    are written once with a row key, and the documents' spans are joined by it.
+    Null item ids count as an empty string. Other columns are not read; an empty table gives an empty result. Texts
+    and items may be of any length: a long item is cut to overlapping runs. Documents never shuffle while the items fit
+    one automaton of ``block_words`` words; more items make several, built in tasks. The documents are then written
+    once with a row key, all automata go over them in one job, and what they hit is joined by the key.
     """
     spark: SparkSession = docs.sparkSession
     out = ["doc_id", "uid", "n_words", "starts", "ends", "names"]
     schema = (f"doc_id {dict(docs.dtypes)[id_col]}, uid bigint, n_words bigint, starts array<bigint>, "
               "ends array<bigint>, names array<string>")
-    parts, rows = [], docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"),
-                                  F.monotonically_increasing_id().alias("uid"))
-    blocks = item_blocks(items, item_id, item_text, block_words)
-    first, second = next(blocks), next(blocks, None)
-    if second is not None:
-        # Every block is a job of its own: the keys must not depend on how each of them splits the documents.
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                       F.monotonically_increasing_id().alias("uid"))
+    built = automata(items, item_id, item_text, window, block_words)
+    order = [r["block"] for r in built.select("block").orderBy("block").collect()]
+    if len(order) > 1:
+        # Every block looks at all documents: the keys must not depend on how each of them splits the documents.
         rows = as_written(rows, "keyed-documents")
-    for block in chain([first], [] if second is None else [second], blocks):
-        sent = spark.sparkContext.broadcast(ItemAutomaton(block, window))
-
-        def make(batch: pa.RecordBatch, sent=sent) -> dict[str, pa.Array]:
-            automaton, n, starts, ends, names = sent.value, [], [], [], []
-            for text in column_of(batch, "text"):
-                words = words_of(text.as_py() or "")
-                spans, found = automaton.scan(words)
-                n.append(len(words))
-                starts.append([a for a, _ in spans])
-                ends.append([b for _, b in spans])
-                names.append(sorted(found))
-            longs = pa.list_(pa.int64())
-            return {"doc_id": column_of(batch, "doc_id"), "uid": column_of(batch, "uid"), "n_words": pa.array(n, pa.int64()),
-                    "starts": pa.array(starts, longs), "ends": pa.array(ends, longs),
-                    "names": pa.array(names, pa.list_(pa.string()))}
-
-        parts.append(rows.mapInArrow(by_batch(make, out), schema))
+    parts = []
+    for block in order or [None]:
+        # One block at a time passes through the driver; its size is that of ``block_words`` words.
+        sent = None if block is None else spark.sparkContext.broadcast(built.filter(F.col("block") == block).first()["automaton"])
+
+        def work(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            automaton = pickle.loads(sent.value) if sent else ItemAutomaton([], window)
+
+            def make(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+                n, starts, ends, names = [], [], [], []
+                for text in column_of(batch, "text"):
+                    words = words_of(text.as_py() or "")
+                    spans, found = automaton.scan(words)
+                    n.append(len(words))
+                    starts.append([a for a, _ in spans])
+                    ends.append([b for _, b in spans])
+                    names.append(sorted(found))
+                longs = pa.list_(pa.int64())
+                return {"doc_id": column_of(batch, "doc_id"), "uid": column_of(batch, "uid"), "n_words": pa.array(n, pa.int64()),
+                        "starts": pa.array(starts, longs), "ends": pa.array(ends, longs),
+                        "names": pa.array(names, pa.list_(pa.string()))}
+
+            return by_batch(make, out)(batches)
+
+        parts.append(rows.mapInArrow(work, schema))
     pieces = parts[0]
     if len(parts) > 1:
-        pieces = as_written(parts[0], "hits")
-        for part in parts[1:]:
-            more = as_written(part.filter(F.size("names") > 0), "hits").select(
-                "uid", F.col("starts").alias("s2"), F.col("ends").alias("e2"), F.col("names").alias("n2"))
-            pieces = as_written(pieces.join(more, "uid", "left").select(
-                "doc_id", "uid", "n_words", *[F.concat(a, F.coalesce(b, F.expr(f"slice({a}, 1, 0)"))).alias(a)
-                                              for a, b in (("starts", "s2"), ("ends", "e2"), ("names", "n2"))]), "hits")
+        # All blocks run in one job; a document has a row for every block that hits it, and one of its own.
+        hits = reduce(DataFrame.unionByName, [p.filter(F.size("names") > 0).select("uid", "starts", "ends", "names") for p in parts])
+        met = as_written(hits.groupBy("uid").agg(*[F.flatten(F.collect_list(c)).alias(c) for c in ("starts", "ends", "names")]), "hits")
+        none = lambda c, kind: F.coalesce(c, F.array().cast(f"array<{kind}>")).alias(c)
+        sizes = parts[0].select("doc_id", "uid", "n_words")
+        pieces = sizes.join(met, "uid", "left").select("doc_id", "uid", "n_words", none("starts", "bigint"), none("ends", "bigint"), none("names", "string"))
     return pieces.mapInArrow(by_batch(_digests(limits), RESULT), f"doc_id {dict(docs.dtypes)[id_col]}, {RESULT_TYPES}")
 
 
+def decontaminated(rows: DataFrame, items: DataFrame, key: str, text_col: str = "text", size_col: str | None = None,
+                   limits: Limits = Limits(), **settings) -> DataFrame:
+    """The rows without what they share with the items; ``key`` tells the rows apart.
+
+    Rows beyond the limits go; from the others the hit spans are cut in place, and the rest of the text, with its
+    spaces and signs, stays. ``size_col`` is set to the new length of a text that was cut. Rows without hits, null and
+    empty texts among them, come back as they are; so do other columns. The columns keep their order.
+    """
+    found = as_written(contamination(rows, items, key, text_col, limits=limits, **settings).select(
+        F.col("doc_id").alias("__of"), "contaminated", "spans").filter(F.size("spans") > 0), "found")
+    some = found.filter("not contaminated").select("__of", F.col("spans.start").alias("__starts"), F.col("spans.end").alias("__ends"))
+    clean = kept_rows(rows, found.select(F.col("__of").alias(key), F.lit(False).alias("keep")), key)
+    kinds, names = dict(rows.dtypes), rows.columns
+
+    def cut(batch: pa.RecordBatch) -> dict[str, pa.Array]:
+        spans = zip(column_of(batch, "__starts").to_pylist(), column_of(batch, "__ends").to_pylist())
+        texts = [without_spans(t, list(zip(*s))) for t, s in zip(column_of(batch, text_col).to_pylist(), spans)]
+        return {c: column_of(batch, c) for c in names} | {text_col: pa.array(texts, pa.string())}
+
+    touched = with_few(rows.withColumn("__of", F.col(key)), some, ["__of"])
+    rest = touched.mapInArrow(by_batch(cut, names), ", ".join(f"`{c}` {kinds[c]}" for c in names))
+    if size_col:
+        rest = rest.withColumn(size_col, F.length(text_col).cast(kinds[size_col]))
+    return clean.unionByName(rest)
+
+
 RESULT = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans"]
 RESULT_TYPES = ("n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean, "
                 "spans array<struct<start: bigint, end: bigint>>")

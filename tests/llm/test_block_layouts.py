@@ -28,3 +28,33 @@ def test_blocks_do_not_depend_on_the_layout(spark, tmp_path, monkeypatch):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert turn[0] > 4 and brute.in_order(map(tuple, got)) == brute.in_order(brute.contamination(rows, items))
+
+
+def test_long_items_and_many_blocks(spark):
+    """Items longer than an automaton are cut so that no window is lost."""
+    import random
+
+    from shardloom.llm.decontaminate import contamination
+    rng = random.Random(4)
+    word = lambda: f"w{rng.randrange(40)}"
+    items = [(k, " ".join(word() for _ in range(n))) for k, n in enumerate((300, 5, 13, 90, 1, 0, 64))]
+    docs = [(k, " ".join([word() for _ in range(30)] + items[k % 7][1].split()[k:k + 20] + [word() for _ in range(9)])) for k in range(60)]
+    want = brute.contamination(docs, items)
+    rows, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for most in (13, 40, 100_000):
+        got = contamination(rows, bench, block_words=most).drop("spans").collect()
+        assert brute.in_order(map(tuple, got)) == brute.in_order(want)
+
+
+def test_cleaned_texts(spark):
+    from shardloom.llm.decontaminate import decontaminated
+    item = "One two, three four five six seven eight nine ten eleven twelve thirteen"
+    long = "other words " * 200
+    docs = [(1, f"{long}: {item.upper()}! the end", "a", 7), (2, f"before {item} after", "b", 8), (3, None, None, None), (4, "", "c", 0), (5, long, None, 9)]
+    rows = spark.createDataFrame(docs, "k long, text string, more string, n_chars int")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = decontaminated(rows, bench, "k", size_col="n_chars")
+    assert got.columns == rows.columns
+    cut = f"{long}: the end"
+    assert brute.in_order(map(tuple, got.collect())) == brute.in_order([(1, cut, "a", len(cut)), *docs[2:]])
+    assert decontaminated(rows, bench.filter("false"), "k").count() == 5 and decontaminated(rows.filter("false"), bench, "k").count() == 0
