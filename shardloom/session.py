@@ -6,6 +6,8 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,10 +56,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+_SCOPES: list[list[str]] = []
+
+
 def as_written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a parquet table in the shared folder and read it back."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -70,6 +77,26 @@ def discard(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def without_leftovers(make: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A function whose scratch tables are deleted when it returns, but for those that its result still reads."""
+    @wraps(make)
+    def run(*args, **settings) -> DataFrame:
+        _SCOPES.append([])
+        try:
+            out = make(*args, **settings)
+        finally:
+            made = _SCOPES.pop()
+        spark = out.sparkSession
+        read = {os.path.dirname(f) for f in out.inputFiles()}
+        for path in made:
+            if file_uri(spark, path) not in read:
+                gone = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+                gone.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(gone, True)
+        return out
+
+    return run
+
+
 def file_uri(spark: SparkSession, path: str) -> str:
     """The path with its file system spelled out, as Spark resolves it, so that tasks open the same place."""
     jvm = spark.sparkContext._jvm
