@@ -28,6 +28,8 @@ PART, OF = 4, 5
 #: Fingerprints per text, their bits, and how many bits may differ: at similarity 0.8 a bit differs by odds of 0.1,
 #: one fingerprint meets in 29 % of pairs and one of 16 in 99.5 %.
 TABLES, WIDTH, RADIUS = 16, 36, 2
+#: Tables that are searched before the others.
+FIRST_TABLES = 4
 #: Pairs that differ in more than this share of all bits are at less than about 0.6 and are not compared.
 FAR_BITS = TABLES * WIDTH // 5
 PER_BUCKET = 20_000
@@ -104,15 +106,21 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return as_written(found.filter("alike").select("a", "b"), "verified")
 
 
-def candidate_pairs(classes: DataFrame) -> DataFrame:
-    """Pairs ``a < b`` of rows of ``(row, fps)`` with close fingerprints, written."""
-    values = as_written(classes.select("row", F.explode("fps").alias("fp")), "values")
-    heads = as_written(values.groupBy("fp").agg(F.min("row").alias("head"), F.count(F.lit(1)).alias("n")), "heads")
-    close = as_written(ball_pairs(heads.select("fp"), RADIUS, WIDTH, PER_BUCKET).distinct(), "close")
+def candidate_pairs(classes: DataFrame, first: int, upto: int) -> DataFrame:
+    """Pairs ``a < b`` of rows of ``(row, root, fps)`` with close fingerprints in the tables from ``first`` on, written.
+
+    Rows of one root are known to belong together and make no pair, so that a large group of near copies, once it is
+    linked by some tables, does not come up again in every other.
+    """
+    values = as_written(classes.select("row", "root", F.explode(F.slice("fps", first + 1, upto - first)).alias("fp")), "values")
+    same = F.when(F.min("root") == F.max("root"), F.min("root"))
+    heads = as_written(values.groupBy("fp").agg(F.min("row").alias("head"), F.min_by("root", "row").alias("head_root"),
+                                                same.alias("root"), F.count(F.lit(1)).alias("n")), "heads")
+    close = as_written(ball_pairs(heads.select("fp", "root"), RADIUS, WIDTH, PER_BUCKET).distinct(), "close")
     head = lambda name: heads.select(F.col("fp").alias(name), F.col("head").alias(f"h{name}"))
     met = close.join(head("a"), "a").join(head("b"), "b").select("ha", "hb")
-    shared = as_written(heads.filter("n > 1").select("fp", "head"), "shared")
-    met = met.union(values.join(shared, "fp").select("head", "row"))
+    shared = as_written(heads.filter("n > 1 and root is null").select("fp", "head", "head_root"), "shared")
+    met = met.union(values.join(shared, "fp").filter("root != head_root").select("head", "row"))
     pairs = as_written(met.toDF("x", "y").filter("x != y").select(
         F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "met")
     fps = lambda name: classes.select(F.col("row").alias(name), F.col("fps").alias(f"f{name}"))
@@ -120,6 +128,28 @@ def candidate_pairs(classes: DataFrame) -> DataFrame:
     return as_written(pairs.join(fps("a"), "a").join(fps("b"), "b").filter(apart <= FAR_BITS).select("a", "b"), "candidates")
 
 
+def linked(classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """``(node, root)`` of all rows of ``(row, fps)`` that are linked to others.
+
+    The first tables link most of what belongs together; the others are searched for what is still apart.
+    """
+    edges, roots = None, None
+    for first, upto in ((0, FIRST_TABLES), (FIRST_TABLES, TABLES)):
+        known = classes.withColumn("root", F.col("row")) if roots is None else classes.join(
+            roots, F.col("row") == F.col("node"), "left").select("row", "fps", F.coalesce("root", "row").alias("root"))
+        pairs = candidate_pairs(as_written(known.select("row", "root", "fps"), "known"), first, upto)
+        # One pair for every row first; those that it has connected need no comparison.
+        found = _verified(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), texts)
+        edges = found if edges is None else edges.union(found)
+        roots = as_written(components(edges), "roots")
+        root = lambda name, roots=roots: roots.select(F.col("node").alias(name), F.col("root").alias(f"r{name}"))
+        open_ = as_written(pairs.join(root("a"), "a", "left").join(root("b"), "b", "left").filter(
+            F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b"), "open")
+        edges = edges.union(_verified(open_, texts))
+        roots = as_written(components(edges), "roots")
+    return roots
+
+
 def similar_rows(rows: DataFrame, row: str = "__row", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(row, keep)`` per row of a written table with a unique number: of near duplicates one row stays.
 
@@ -134,14 +164,7 @@ def similar_rows(rows: DataFrame, row: str = "__row", id_col: str = "doc_id", te
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
     classes = as_written(signed.groupBy("same").agg(F.min(order).alias("o"), F.any_value("fps").alias("fps")).select(
         F.col("o.row").alias("row"), F.col("o.doc_id").alias("doc_id"), "fps"), "classes")
-    pairs = candidate_pairs(classes.select("row", "fps"))
-    # One pair for every row first; those that it has connected need no comparison.
-    edges = _verified(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), texts)
-    roots = as_written(components(edges), "roots")
-    root = lambda name: roots.select(F.col("node").alias(name), F.col("root").alias(f"r{name}"))
-    open_ = as_written(pairs.join(root("a"), "a", "left").join(root("b"), "b", "left").filter(
-        F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b"), "open")
-    roots = as_written(components(edges.union(_verified(open_, texts))), "roots")
+    roots = linked(classes.select("row", "fps"), texts)
     named = as_written(roots.join(classes.select("row", "doc_id"), F.col("node") == F.col("row")).select("root", "doc_id", "row"), "named")
     first = named.groupBy("root").agg(F.min(order).alias("o")).select(F.col("o.row").alias("row"))
     gone = named.select("row").join(first, "row", "left_anti")

@@ -11,7 +11,7 @@ a large group of near copies gives links in proportion to its size and not all i
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from itertools import combinations
 
@@ -179,26 +179,29 @@ def ball_pairs(fps: DataFrame, radius: int, width: int, per_bucket: int) -> Data
     """Pairs ``(a, b)`` of the distinct values of ``fp`` that differ in at most ``radius`` of the lowest ``width`` bits.
 
     Unlike the links of ``ball_links`` every pair lies within the radius; of those that meet at one variant the
-    smallest is paired with all others.
+    smallest is paired with all others. Values of one ``root`` (null: none) are known to belong together and make no pair.
     """
     bits = bucket_bits(fps.count(), per_bucket)
 
     def work(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        values = np.unique(rows.column("fp").to_numpy().view(np.uint64))
+        values, at = np.unique(rows.column("fp").to_numpy().view(np.uint64), return_index=True)
+        root = rows.column("root").fill_null(-1).to_numpy()[at]
         a, b = meeting_in_bucket(values, key[0].as_py(), bits, radius, width)
+        new = (root[a] != root[b]) | (root[a] < 0)
+        a, b = a[new], b[new]
         return pa.table({"a": values[a].view(np.int64), "b": values[b].view(np.int64)})
 
-    return _sent(fps, bits, radius, width).groupBy("bucket").applyInArrow(work, "a bigint, b bigint")
+    return _sent(fps, bits, radius, width, ["root"]).groupBy("bucket").applyInArrow(work, "a bigint, b bigint")
 
 
-def _sent(fps: DataFrame, bits: int, radius: int, width: int = 64) -> DataFrame:
-    """``(fp, bucket)``: every fingerprint once for each bucket that one of its variants falls into."""
+def _sent(fps: DataFrame, bits: int, radius: int, width: int = 64, more: Sequence[str] = ()) -> DataFrame:
+    """``(fp, bucket)`` and further columns: every fingerprint once for each bucket that one of its variants falls into."""
     changes = F.array(*[F.lit(c) for c in sorted(flips(bits, radius, width))])
     groups = position_groups(bits).view(np.int64).tolist()
     own = sum((F.shiftleft(F.bit_count(F.col("fp").bitwiseAND(F.lit(g))) % 2, i) for i, g in enumerate(groups)), F.lit(0))
-    return fps.select("fp", own.cast("int").alias("own")).select(
-        "fp", F.explode(changes).alias("change"), "own").select(
-        "fp", F.col("own").bitwiseXOR(F.col("change")).alias("bucket"))
+    return fps.select("fp", *more, own.cast("int").alias("own")).select(
+        "fp", *more, F.explode(changes).alias("change"), "own").select(
+        "fp", *more, F.col("own").bitwiseXOR(F.col("change")).alias("bucket"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE_WORDS,
