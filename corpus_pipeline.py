@@ -15,14 +15,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardloom.llm.common import in_fold, kept_rows, table, with_row_key
-from shardloom.llm.decontaminate import contamination
+from shardloom.llm.decontaminate import decontaminated
 from shardloom.llm.exact_dedup import exact_duplicates
 from shardloom.llm.pareto_mix import pareto_mix
 from shardloom.llm.quality import THRESHOLD, fit_quality, quality_scores
 from shardloom.llm.shingle_dedup import similar_rows
-from shardloom.session import as_written
+from shardloom.session import as_written, without_leftovers
 
 
+@without_leftovers
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression classifier accepts."""
     model = fit_quality(docs, table(spark, sf_dir, "labels").filter(~in_fold(F.col("doc_id"), 0)))
@@ -31,6 +32,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept_rows(rows, scored, "__row").drop("__row")
 
 
+@without_leftovers
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the row with the largest id, a null id only where there is no other; of rows of one id, one."""
     rows = with_row_key(docs)
@@ -38,19 +40,20 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept_rows(rows, found.select("doc_id.__row", F.col("kept").alias("keep")), "__row").drop("__row")
 
 
+@without_leftovers
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts with at least four fifths of their five-word shingles in common, the row with the smallest id."""
     rows = with_row_key(docs)
     return kept_rows(rows, similar_rows(rows).withColumnRenamed("row", "__row"), "__row").drop("__row")
 
 
+@without_leftovers
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without benchmark passages beyond the limits."""
-    rows = with_row_key(docs)
-    found = contamination(rows, table(spark, sf_dir, "benchmark"), "__row")
-    return kept_rows(rows, found.select(F.col("doc_id").alias("__row"), (~F.col("contaminated")).alias("keep")), "__row").drop("__row")
+    """Documents within the limits of contamination, without the benchmark passages that are left in them."""
+    return decontaminated(with_row_key(docs), table(spark, sf_dir, "benchmark"), "__row", size_col="n_chars").drop("__row")
 
 
+@without_leftovers
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """How many words and copies of every document the mixture takes."""
     return pareto_mix(docs)
