@@ -20,6 +20,7 @@ MAX_TOKENS = 1_000_000
 BATCH = 4
 WORKERS = 4
 RANKS = 2
+SILENT_SECONDS = 43_200
 SEED = 42
 #: Merges of the query that trains, and of those that encode: as many as their SQL learns in reasonable time.
 LEARNED, MERGES = 1024, 256

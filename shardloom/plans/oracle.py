@@ -245,6 +245,10 @@ add("shard_numbering", "SELECT mix_source, split, shard, shard_idx, num_tokens F
     GREEDY + ", " + totals("fill", "totals") + ", " + numbering("totals", "numbered"))
 add("stream_shards", """SELECT mix_source, split, shard, shard_idx, num_tokens, n_docs, min_ord, max_ord FROM numbered
   WHERE mix_source = 'text'""", GREEDY + ", " + totals("fill", "totals") + ", " + numbering("totals", "numbered"))
+add("stream_stalls", f"""SELECT run_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS last_ts, strftime(until, '%Y-%m-%d %H:%M:%S') AS silent_from, best, best_step, n_seen
+  FROM (SELECT CAST(user_id AS VARCHAR) AS run_id, ts, ts + INTERVAL {fx.SILENT_SECONDS} SECOND AS until, lead(ts) OVER w AS later, max(ts) OVER () AS newest,
+    min(value) OVER w AS best, arg_min(event_id, value) OVER w AS best_step, count(*) OVER w AS n_seen
+    FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) WHERE coalesce(later >= until, newest >= until)""")
 add("shard_table", """SELECT mix_source, split, shard_idx, ord, n_tokens, md5(array_to_string(ids, ' ')) AS ids_md5
   FROM framed""", FRAMED)
 add("export_bin", "SELECT path, num_tokens, shard_idx, source, split FROM entries", ENTRIES)

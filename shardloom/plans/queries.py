@@ -21,6 +21,7 @@ from shardloom.spec import BASE_VOCAB, MIN_CHARS_CORPUS, MIN_CHARS_SAMPLE, VOCAB
 from shardloom.stages import Stages, file_marks, fingerprint
 from shardloom.streaming import jobs
 from shardloom.streaming.shard_writer import ShardWriter
+from shardloom.streaming.stalls import run_stalls, stalls
 
 QUERIES: dict = {}
 
@@ -706,3 +707,15 @@ def stream_best(spark: SparkSession, d: str) -> DataFrame:
     raw = jobs.file_stream(spark, d, events.schema, "events.parquet")
     points = raw.select(F.col("event_type").alias("run_id"), F.col("event_id").alias("step"), "value")
     return jobs.ingest(jobs.best_so_far(points), "best", one_batch=True)
+
+
+@query
+def stream_stalls(spark: SparkSession, d: str) -> DataFrame:
+    """Silences of two days or more, every user a run."""
+    events = fx.table(spark, d, "events")
+    raw = jobs.file_stream(spark, d, events.schema, "events.parquet")
+    points = raw.select(F.col("user_id").alias("run_id"), F.col("event_id").alias("step"), "value", F.col("ts").cast("timestamp").alias("ts"))
+    found, out = stalls(points, fx.SILENT_SECONDS), scratch_path(spark, "stalls")
+    run_stalls(found, out, scratch_path(spark, "stalls-state"))
+    shown = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c)
+    return spark.read.schema(found.schema).parquet(out).select("run_id", shown("last_ts"), shown("silent_from"), "best", "best_step", "n_seen")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shardloom.functions.alphabet import BYTES_IN_ID_ORDER
 from shardloom.operators.vocab import MERGE_SCHEMA, VOCAB_SCHEMA, Merges
 from shardloom.session import file_uri
-from shardloom.spec import SPECIAL_TOKENS
+from shardloom.spec import BOS_ID, EOS_ID, SPECIAL_TOKENS
 
 #: Printable bytes stand for themselves, the others for the code points from 256 on, in ascending order.
 _PRINTABLE = BYTES_IN_ID_ORDER[:188]
@@ -20,9 +20,18 @@ BYTE_OF_CHAR = {c: b for b, c in CHAR_OF_BYTE.items()}
 #: Fixed values of the format.
 _BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
 _ADDED = {"single_word": False, "lstrip": False, "rstrip": False, "normalized": False, "special": True}
-_MODEL = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": None,
+_MODEL = {"type": "BPE", "dropout": None, "unk_token": SPECIAL_TOKENS[0], "continuing_subword_prefix": None, "end_of_word_suffix": None,
           "fuse_unk": False, "byte_fallback": False, "ignore_merges": False}
 
+#: Framing by the reader of the file: begin marker, text, end marker.
+_FRAME = {
+    "type": "TemplateProcessing",
+    "single": [{"SpecialToken": {"id": SPECIAL_TOKENS[BOS_ID], "type_id": 0}}, {"Sequence": {"id": "A", "type_id": 0}},
+               {"SpecialToken": {"id": SPECIAL_TOKENS[EOS_ID], "type_id": 0}}],
+    "pair": [{"Sequence": {"id": "A", "type_id": 0}}, {"Sequence": {"id": "B", "type_id": 1}}],
+    "special_tokens": {SPECIAL_TOKENS[i]: {"id": SPECIAL_TOKENS[i], "ids": [i], "tokens": [SPECIAL_TOKENS[i]]} for i in (BOS_ID, EOS_ID)},
+}
+
 
 def shown(spelling: bytes) -> str:
     return "".join(CHAR_OF_BYTE[b] for b in spelling)
@@ -33,7 +42,7 @@ def tokenizer_document(merges: Merges) -> dict:
     pairs = [[shown(merges.spelled[left]), shown(merges.spelled[right])] for _, left, right, _ in merges.rows]
     return {"version": "1.0", "truncation": None, "padding": None,
             "added_tokens": [{"id": i, "content": t, **_ADDED} for i, t in enumerate(SPECIAL_TOKENS)], "normalizer": None,
-            "pre_tokenizer": _BYTE_LEVEL, "post_processor": None, "decoder": _BYTE_LEVEL, "model": {**_MODEL, "vocab": vocab, "merges": pairs}}
+            "pre_tokenizer": _BYTE_LEVEL, "post_processor": _FRAME, "decoder": _BYTE_LEVEL, "model": {**_MODEL, "vocab": vocab, "merges": pairs}}
 
 
 def write_tokenizer_json(spark: SparkSession, merges: Merges, path: str) -> None:

@@ -133,3 +133,21 @@ def test_best_so_far_and_stall():
     state.hasTimedOut = True
     assert next(jobs._advance(("r",), iter([]), state)).iloc[0].tolist() == ["r", 3.0, 2, 4, True]
     assert not state.exists
+
+
+def test_a_silent_run_is_told_once(spark, tmp_path):
+    """Over batches and restarts: gaps inside a batch and between batches, a run silent at the end, one that comes back."""
+    from shardloom.streaming.stalls import run_stalls, stalls
+
+    src, out, state = (str(tmp_path / n) for n in ("src", "out", "state"))
+    schema = "run_id string, step long, value double, ts timestamp"
+    at = lambda h: f"2024-01-01 00:00:00' + INTERVAL {h} HOUR"
+    batch = lambda rows: spark.sql("SELECT * FROM VALUES " + ", ".join(
+        f"('{r}', {s}L, {v}D, timestamp'{at(h)})" for r, s, v, h in rows) + " AS t(run_id, step, value, ts)").coalesce(1).write.mode("append").parquet(src)
+    parts = [[("a", 1, 5, 0), ("b", 1, 9, 1), ("a", 2, 3, 2), ("a", 3, 4, 20)], [("b", 2, 8, 21), ("a", 4, 1, 22)],
+             [("c", 1, 1, 40), ("b", 3, 8, 41)], [("c", 2, 1, 44), ("b", 4, 9, 45)]]
+    for rows in parts:
+        batch(rows)
+        run_stalls(stalls(spark.readStream.schema(schema).parquet(src), 10 * 3600), out, state)
+    got = sorted((r["run_id"], r["last_ts"].hour + 24 * (r["last_ts"].day - 1), r["best"], r["best_step"], r["n_seen"]) for r in spark.read.parquet(out).collect())
+    assert got == [("a", 2, 3.0, 2, 2), ("a", 22, 1.0, 4, 4), ("b", 1, 9.0, 1, 1), ("b", 21, 8.0, 2, 2)]

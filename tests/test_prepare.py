@@ -112,7 +112,10 @@ def test_tokenizer_document(spark, tmp_path):
     got = {(r["mix_source"], r["ord"]): r["ids"] for r in en.encode_in_place(docs, table).collect()}
     for r in rows:
         assert got[(r["mix_source"], r["ord"])] == library.encode(r["text"], add_special_tokens=False).ids
-        assert library.decode(library.encode(r["text"]).ids, skip_special_tokens=False) == r["text"]
+        framed = library.encode(r["text"])  # a reader of the file frames by it
+        assert framed.ids == [1, *got[(r["mix_source"], r["ord"])], 2]
+        assert library.decode(framed.ids, skip_special_tokens=False) == f"<s>{r['text']}</s>"
+    assert library.model.unk_token == "<unk>"
     old = json.loads((tmp_path / "tokenizer.json").read_text())
     old["model"]["merges"] = [" ".join(m) for m in old["model"]["merges"]]
     assert tj.parse_tokenizer(old)[1] == merges.rows
