@@ -243,6 +243,8 @@ add("shards_offset", "SELECT mix_source, split, ord, start_tok, shard FROM place
 add("shard_totals", "SELECT mix_source, split, shard, num_tokens, n_docs, min_ord, max_ord FROM totals", OFFSET)
 add("shard_numbering", "SELECT mix_source, split, shard, shard_idx, num_tokens FROM numbered",
     GREEDY + ", " + totals("fill", "totals") + ", " + numbering("totals", "numbered"))
+add("manifest_versions", """SELECT version, path, num_tokens, CAST(sum(n) OVER (ORDER BY version RANGE UNBOUNDED PRECEDING) AS BIGINT) AS total FROM (
+  SELECT CASE source WHEN 'text' THEN 0 WHEN 'code' THEN 1 ELSE 2 END AS version, path, num_tokens, num_tokens AS n FROM entries)""", ENTRIES)
 add("stream_shards", """SELECT mix_source, split, shard, shard_idx, num_tokens, n_docs, min_ord, max_ord FROM numbered
   WHERE mix_source = 'text'""", GREEDY + ", " + totals("fill", "totals") + ", " + numbering("totals", "numbered"))
 add("stream_stalls", f"""SELECT run_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS last_ts, strftime(until, '%Y-%m-%d %H:%M:%S') AS silent_from, best, best_step, n_seen

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from shardloom.plans import fixture as fx
 from shardloom.session import as_written, discard, scratch_path, shared_dir
 from shardloom.sources import readers as rd
 from shardloom.sources import shard_files as sf
+from shardloom.sources.manifest_log import ManifestLog
 from shardloom.spec import BASE_VOCAB, MIN_CHARS_CORPUS, MIN_CHARS_SAMPLE, VOCAB_SIZE, Mixture, SourceSpec
 from shardloom.stages import Stages, file_marks, fingerprint
 from shardloom.streaming import jobs
@@ -374,6 +377,17 @@ def manifest(spark: SparkSession, d: str) -> DataFrame:
     return sf.read_manifest(spark, path)[1]
 
 
+@query
+def manifest_versions(spark: SparkSession, d: str) -> DataFrame:
+    """One commit per source; every entry with its version, and what the version before held."""
+    entries = as_written(fx.entries(fx.numbered(fx.counted_once(spark, d))), "entries")
+    log = ManifestLog(spark, scratch_path(spark, "log"))
+    for s in fx.mixture(d).sources:
+        log.commit(entries.filter(F.col("source") == s.name), "tokenizer", BASE_VOCAB, fx.SHARD_SIZE)
+    held = [log.read(v)[0].select(F.lit(v).alias("version"), (F.col("total_train_tokens") + F.col("total_val_tokens")).alias("total")) for v in log.versions()]
+    return log.added().join(F.broadcast(reduce(DataFrame.unionByName, held)), "version").select("version", "path", "num_tokens", "total")
+
+
 @query
 def require_shards(spark: SparkSession, d: str) -> DataFrame:
     kept = sf.require_shards(_manifest(spark, d)[1], "train")

@@ -221,3 +221,32 @@ def test_filters_and_columns_reach_the_scan(spark):
     plan = df._jdf.queryExecution().toString()
     assert "EqualTo(lang,fr)" in plan and "REPARTITION_BY_NUM" not in plan
     assert "ReadSchema: struct<doc_id:bigint,text:string,lang:string>" in plan
+
+
+def test_writers_of_one_manifest(spark, tmp_path):
+    """Appends at the same time both survive; one that must follow a version raises; old versions stay as they were."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from shardloom.sources.manifest_log import ConflictError, ManifestLog
+
+    def entry(i, split="train"):
+        return spark.createDataFrame([(f"x_{split}_shard_{i:04d}.bin", 10 + i, i, "x", split)], ENTRY)
+
+    log = ManifestLog(spark, str(tmp_path / "m"))
+    with pytest.raises(ValueError):
+        log.read()
+    assert log.commit(entry(0), "t", 263, 10, after=-1) == 0
+    with ThreadPoolExecutor(4) as pool:
+        made = list(pool.map(lambda i: ManifestLog(spark, log.path).commit(entry(i), "t", 263, 10), range(1, 5)))
+    assert sorted(made) == [1, 2, 3, 4] == log.versions()[1:]
+    head, entries = log.read()
+    assert sorted(r["shard_idx"] for r in entries.collect()) == [0, 1, 2, 3, 4] and head.first()["total_train_tokens"] == 60
+    with pytest.raises(ConflictError):
+        log.commit(entry(9), "t", 263, after=2)
+    again = ManifestLog(spark, log.path)
+    again.versions = lambda: [0, 1, 2, 3]  # as it was when another writer came first
+    with pytest.raises(ConflictError):
+        again.commit(entry(9), "t", 263, after=3)
+    assert log.commit(entry(5, "val"), "t", 263, after=4) == 5
+    assert sorted(r["shard_idx"] for r in log.read(0)[1].collect()) == [0] and log.read(4)[1].count() == 5
+    assert {(r["shard_idx"], r["version"]) for r in log.added().collect()} >= {(0, 0), (5, 5)} and log.added().count() == 6
