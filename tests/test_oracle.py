@@ -16,13 +16,14 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLE)
+    # The whole vocabulary takes SQL hours; test_vocab checks that query against a plain trainer.
+    assert set(QUERIES) - set(ORACLE) == {"bpe_vocabulary"} and set(ORACLE) <= set(QUERIES)
 
 
 def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("key", sorted(QUERIES))
+@pytest.mark.parametrize("key", sorted(ORACLE))
 def test_query(spark, con, key):
     assert compare(QUERIES[key](spark, SF), con, ORACLE[key]) is None

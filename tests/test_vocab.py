@@ -149,6 +149,25 @@ def test_thousands_of_merges_equal_a_plain_trainer(spark):
     assert vo.train_merges(counts, max_merges=120, candidates=1, checkpoint_rounds=7).rows == want[:120]
 
 
+def test_whole_vocabulary_of_small_tables(spark, tmp_path):
+    """The registered query on tables that run out of pairs, against the plain trainer."""
+    from shardloom.plans.queries import QUERIES
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(12)
+    docs.withColumn("text", F.substring("text", 1, 300)).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet(f"{SF}/conversations.parquet").filter("conv_id < 2").coalesce(1).write.parquet(str(tmp_path / "conversations.parquet"))
+    counts = [tuple(r) for r in vo.word_counts(fx.corpus(spark, str(tmp_path), 21)).collect()]
+    want = plain_trainer(counts, 40_000)
+    got = {r["id"]: r for r in QUERIES["bpe_vocabulary"](spark, str(tmp_path)).collect()}
+    spelled, first = {i: (i < 7, None) for i in range(263)}, {}
+    for rank, left, right, new in want:
+        first.setdefault(new, rank)
+    assert {i: (r["is_special"], r["rank"]) for i, r in got.items()} == spelled | {i: (False, k) for i, k in first.items()}
+    for rank, left, right, new in want:
+        if first[new] == rank:
+            assert got[new]["token_hex"] == got[left]["token_hex"] + got[right]["token_hex"]
+
+
 def test_training_stops_without_pairs(spark):
     counts = spark.createDataFrame([("ab", 1)], "word string, freq long")
     merges = vo.train_merges(counts, vocab_size=1000)
