@@ -247,3 +247,43 @@ def license_labels(rows, base, notices, freedom, label_of, unknown, extra):
                     values.append(got[0])
         out.append((i, ",".join(sorted(labels)), min(values, default=unknown)))
     return out
+
+
+def lattice_scores(rows, path):
+    """``(doc_id, score)`` per row: words by discounted counts, the rest by all segmentations into weighted pieces."""
+    import sentencepiece
+
+    own = sentencepiece.SentencePieceProcessor(model_file=path)
+    seen = Counter()
+    for i, t in rows:
+        if not in_fold(i, 1):
+            seen.update([*blank_words(t), None])
+    n, v, ends = sum(seen.values()), len(seen), seen[None]
+    ones, twos = (sum(c == k for c in seen.values()) for k in (1, 2))
+    d = max(0.1, min(0.9, ones / max(1, ones + 2 * twos)))
+    text = [i for i in range(len(own)) if not (own.is_byte(i) or own.is_control(i) or own.is_unknown(i) or own.is_unused(i))]
+    prior = {i: 1 / (k + 3) for k, i in enumerate(sorted(text, key=lambda i: (-own.get_score(i), i)))}
+    prior |= {i: 1 / (len(text) + 3) for i in range(len(own)) if own.is_byte(i)}
+    used = Counter(p for w in seen if w is not None for p in own.encode(w) if p in prior)
+    all_, strength = sum(prior.values()), len(text)
+    p = {i: (used[i] + strength * x / all_) / (sum(used.values()) + strength) for i, x in prior.items()}
+    piece, byte = {own.id_to_piece(i): math.log(p[i]) for i in text}, {int(own.id_to_piece(i)[3:5], 16): math.log(p[i]) for i in p if own.is_byte(i)}
+    longest, known = max(map(len, piece)), {}
+
+    def lattice(word):
+        line = "▁" + word
+        to = [0.0] + [-math.inf] * len(line)
+        for j in range(1, len(line) + 1):
+            for i in range(max(0, j - longest), j):
+                w = piece.get(line[i:j], sum(byte[b] for b in line[i:j].encode()) if j == i + 1 else None)
+                if w is not None:
+                    to[j] = np.logaddexp(to[j], to[i] + w)
+        return to[-1]
+
+    def word(w):
+        if w not in known:
+            rest = math.log(d * v / n) + lattice(w)
+            known[w] = (np.logaddexp(math.log((seen[w] - d) / n), rest) if seen[w] else rest) / math.log(10)
+        return known[w]
+
+    return [(i, math.log10((ends - d) / n) + sum(word(w) for w in blank_words(t))) for i, t in rows]

@@ -105,6 +105,13 @@ def test_lattice_base_scores(spark, docs, odd):
     near(lattice_scores(odd, in_fold(F.col("doc_id"), 1)).drop("score").collect(), brute.base_scores(pairs(odd)))
 
 
+def test_lattice_scores(spark, docs, odd):
+    """The score itself, recomputed row by row."""
+    from shardloom.llm.lattice_lm import VOCABULARY
+    near(q.op3_lm_score(spark, SF).select("doc_id", "score").collect(), brute.lattice_scores(pairs(docs), VOCABULARY))
+    near(lattice_scores(odd, in_fold(F.col("doc_id"), 1)).select("doc_id", "score").collect(), brute.lattice_scores(pairs(odd), VOCABULARY))
+
+
 def test_licenses(spark, docs, odd):
     columns = ("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
     same(q.op4_license_scan(spark, SF).select(*columns).collect(), brute.licenses(pairs(docs)))
