@@ -51,6 +51,9 @@ def blob_of(text: Column) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
 
 
+_LAID = "array<struct<rule: int, pos: int, gap: int, size: int, judged: int>>"
+
+
 def _matches(rule: Rule, place: int) -> Column:
     """Per match of a rule: its place in the list of rules, its number in the text, the characters since the match
     before, its length, and the length of the judged group. Laid out only for texts that the rule occurs in."""
@@ -61,7 +64,7 @@ def _matches(rule: Rule, place: int) -> Column:
     laid = F.transform(F.slice(found, 1, F.size(whole)), lambda m, i: F.struct(
         F.lit(place).alias("rule"), i.alias("pos"), F.length(m["gap"]).alias("gap"), F.length(m["whole"]).alias("size"),
         F.length(m["judged"]).alias("judged")))
-    return F.when(F.array_contains("rule_names", rule.name) & text.rlike(rule.pattern), laid).otherwise(F.slice(laid, 1, 0))
+    return F.when(F.array_contains("rule_names", rule.name) & text.rlike(rule.pattern), laid).otherwise(F.array().cast(_LAID))
 
 
 def scan_blobs(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
