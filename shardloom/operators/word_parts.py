@@ -2,7 +2,7 @@
 
 All words of a part lie one after the other in one array of 16-bit tokens with a mark before, between and behind them. One
 comparison of this array finds the places of all pairs that a round merges; only these places and the pairs around
-them are worked on further. (An inverted index from pairs to places needs 14 times the bytes, and carrying it from
+them are worked on further. (An inverted index from pairs to places took ten times the bytes, and carrying it from
 round to round cost more than finding the places.)
 """
 
