@@ -1,10 +1,13 @@
-"""Shard files as a Spark data source: byte ranges as partitions, filters on the file name before anything is opened."""
+"""Shard files as a Spark data source: byte ranges as partitions, filters on the file name before anything is opened.
+
+A large file makes several partitions; ranges of small files share one, so that tasks follow the bytes and not the files.
+"""
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -14,8 +17,10 @@ from shardloom.spec import SHARD_PATTERN
 
 SCHEMA = "source string, split string, shard_idx int, start_tok long, ids array<int>"
 READ_CHUNK = 1 << 16
-#: Chunks of one partition: 16 MB of a file at the usual chunk size.
+#: Chunks of one range: 16 MB of a file at the usual chunk size.
 RANGE_CHUNKS = 128
+#: Tokens up to which ranges share a partition.
+SHARED_TOKENS = 1 << 22
 
 
 def store_of(uri: str):
@@ -27,7 +32,7 @@ def store_of(uri: str):
 
 @dataclass
 class ShardRange(InputPartition):
-    """Tokens ``start`` to ``end`` of one shard file."""
+    """Tokens ``start`` to ``end`` of one shard file, and the ranges that are read after it by the same task."""
 
     path: str
     source: str
@@ -35,6 +40,29 @@ class ShardRange(InputPartition):
     shard_idx: int
     start: int
     end: int
+    more: list[ShardRange] = field(default_factory=list)
+
+
+def shared(ranges: list[ShardRange], most: int = SHARED_TOKENS) -> list[ShardRange]:
+    """Neighbouring ranges drawn together up to ``most`` tokens, each group as its first range."""
+    out, held = [], 0
+    for r in ranges:
+        held += r.end - r.start
+        if out and held <= most:
+            out[-1].more.append(r)
+        else:
+            out.append(r)
+            held = r.end - r.start
+    return out
+
+
+def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+    source, split, shard_idx, start, tokens = zip(*rows)
+    ends = np.cumsum([0, *map(len, tokens)])
+    ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(tokens)))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(source), pa.array(split), pa.array(shard_idx, pa.int32()), pa.array(start, pa.int64()), ids],
+        names=["source", "split", "shard_idx", "start_tok", "ids"])
 
 
 class ShardReader(DataSourceReader):
@@ -56,26 +84,32 @@ class ShardReader(DataSourceReader):
             if all(at[c] in values for c, values in self.wanted.items()):
                 step, n = self.chunk * RANGE_CHUNKS, info.size // 2
                 found += [ShardRange(path=info.path, start=a, end=min(a + step, n), **at) for a in range(0, n, step)]
-        return found
+        return shared(sorted(found, key=lambda r: (r.path, r.start)))
 
     def read(self, partition: ShardRange | None) -> Iterator[pa.RecordBatch]:
         """One row per chunk; a file is opened at the range and no more than a chunk of it is held.
 
-        Where nothing was planned there is no partition to read.
+        Rows of small files travel together until they make up a chunk. Where nothing was planned there is no
+        partition to read.
         """
         if partition is None:
             return
         store, _ = store_of(self.directory)
-        with store.open_input_file(partition.path) as file:
-            for at in range(partition.start, partition.end, self.chunk):
-                n = min(self.chunk, partition.end - at)
-                tokens = np.frombuffer(file.read_at(2 * n, 2 * at), "<u2").astype(np.int32)
-                if len(tokens) != n:
-                    raise ValueError(f"{partition.path}: shorter than it was when it was listed")
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([partition.source]), pa.array([partition.split]), pa.array([partition.shard_idx], pa.int32()),
-                     pa.array([at], pa.int64()), pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), pa.array(tokens))],
-                    names=["source", "split", "shard_idx", "start_tok", "ids"])
+        rows, held = [], 0
+        for part in [partition, *partition.more]:
+            with store.open_input_file(part.path) as file:
+                for at in range(part.start, part.end, self.chunk):
+                    n = min(self.chunk, part.end - at)
+                    tokens = np.frombuffer(file.read_at(2 * n, 2 * at), "<u2").astype(np.int32)
+                    if len(tokens) != n:
+                        raise ValueError(f"{part.path}: shorter than it was when it was listed")
+                    if rows and held + n > self.chunk:
+                        yield batch_of(rows)
+                        rows, held = [], 0
+                    rows.append((part.source, part.split, part.shard_idx, at, tokens))
+                    held += n
+        if rows:
+            yield batch_of(rows)
 
 
 class PushingReader(ShardReader):

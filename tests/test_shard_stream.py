@@ -91,6 +91,21 @@ def test_ranges_of_a_large_file(tmp_path):
     assert max(b.num_rows for b in last) == 1 and last[-1].column(4)[0].as_py()[-2:] == [1, 2]
 
 
+def test_small_files_share_partitions(spark, tmp_path):
+    """Tasks follow the bytes: thousands of small files are a few partitions, and every file is read once and whole."""
+    for i in range(3000):
+        (tmp_path / f"a_train_shard_{i:04d}.bin").write_bytes(bytes([i % 251, i // 251]) * (i % 40 + 1))
+    rows = sf.read_bin(spark, str(tmp_path), chunk=16)
+    assert rows.rdd.getNumPartitions() <= 8
+    got = {}
+    for r in rows.orderBy("shard_idx", "start_tok").collect():
+        assert r["start_tok"] == len(got.setdefault(r["shard_idx"], [])) and len(r["ids"]) <= 16
+        got[r["shard_idx"]] += r["ids"]
+    assert got == {i: [i % 251 + 256 * (i // 251)] * (i % 40 + 1) for i in range(3000)}
+    sizes = [src.ShardRange("p", "a", "train", i, 0, n) for i, n in enumerate((5, 5, 11, 1, 9, 1))]
+    assert [[r.shard_idx, *[x.shard_idx for x in r.more]] for r in src.shared(sizes, 10)] == [[0, 1], [2], [3, 4], [5]]
+
+
 def test_other_splits_are_not_opened(spark, tmp_path, request):
     (tmp_path / "a_train_shard_0000.bin").write_bytes(b"\x07\x00\x08\x00")
     (tmp_path / "b_val_shard_0001.bin").write_bytes(b"\x05\x00")
