@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +27,8 @@ ENTRY_COLUMNS = ("split", "path", "num_tokens", "shard_idx", "source")
 ENTRY = "struct<path: string, num_tokens: bigint, shard_idx: int, source: string>"
 MANIFEST_SCHEMA = f"{HEAD_SCHEMA}, train_shards array<{ENTRY}>, val_shards array<{ENTRY}>"
 DOCUMENT_SHARDS = 1_000_000
+EXPORTED = pa.schema([("path", pa.string()), ("num_tokens", pa.int64()), ("shard_idx", pa.int32()), ("source", pa.string()),
+                      ("split", pa.string())])
 
 
 class NoShardsError(ValueError):
@@ -60,29 +63,50 @@ def read_shard_table(spark: SparkSession, path: str, columns: str, split: str |
 def export_bin(docs: DataFrame, directory: str) -> DataFrame:
     """Write one little-endian 16-bit file per shard and return ``(path, num_tokens, shard_idx, source, split)``.
 
-    A file appears under its final name only when complete, so a re-run task replaces it as a whole. A group is
-    one shard, bounded by the shard size. A path without a file system means Spark's default one.
+    A file appears under its final name only when complete, so a re-run task replaces it as a whole. Rows come to a
+    task shard by shard; it holds one shard, bounded by the shard size, and a batch of rows. A path without a file
+    system means Spark's default one.
     """
     directory = file_uri(docs.sparkSession, directory)
+    keys = ["mix_source", "split", "shard_idx"]
 
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        source, split, index, name = key
-        tokens = np.concatenate(pdf.sort_values("ord")["ids"].to_list()).astype(np.int64)
-        if len(tokens) and (tokens.min() < 0 or tokens.max() > 0xFFFF):
-            raise ValueError(f"{name}: token id outside 0..65535")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = store_of(directory)
-        store.create_dir(base, recursive=True)
-        partial = f"{base}/.{name}.{uuid.uuid4().hex}"
-        with store.open_output_stream(partial) as out:
-            out.write(tokens.astype("<u2").tobytes())
-        store.move(partial, f"{base}/{name}")
-        return pd.DataFrame({"path": [name], "num_tokens": [len(tokens)], "shard_idx": [index],
-                             "source": [source], "split": [split]})
+        shard, pieces = None, []
+
+        def closed() -> list[tuple]:
+            if shard is None:
+                return []
+            source, split, index, name = shard
+            store.create_dir(base, recursive=True)
+            partial = f"{base}/.{name}.{uuid.uuid4().hex}"
+            with store.open_output_stream(partial) as out:
+                for piece in pieces:
+                    out.write(piece.tobytes())
+            store.move(partial, f"{base}/{name}")
+            return [(name, sum(map(len, pieces)), index, source, split)]
+
+        for batch in batches:
+            done, lists = [], batch.column(4)
+            offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+            which = pa.StructArray.from_arrays([batch.column(k) for k in range(4)], names=[*keys, "name"])
+            code = batch.column(3).dictionary_encode().indices.to_numpy()
+            starts = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else []
+            for a, b in zip(starts, [*starts[1:], len(code)]):
+                found = tuple(which[int(a)].as_py().values())
+                if found != shard:
+                    done += closed()
+                    shard, pieces = found, []
+                tokens = values[offsets[a]:offsets[b]]
+                if len(tokens) and (tokens.min() < 0 or tokens.max() > 0xFFFF):
+                    raise ValueError(f"{found[-1]}: token id outside 0..65535")
+                pieces.append(tokens.astype("<u2"))
+            yield pa.RecordBatch.from_pylist([dict(zip(EXPORTED.names, row)) for row in done], EXPORTED)
+        yield pa.RecordBatch.from_pylist([dict(zip(EXPORTED.names, row)) for row in closed()], EXPORTED)
 
     name = shard_name(F.col("mix_source"), F.col("split"), F.col("shard_idx")).alias("name")
-    return docs.groupBy("mix_source", "split", "shard_idx", name).applyInPandas(
-        run, "path string, num_tokens long, shard_idx int, source string, split string"
-    )
+    rows = docs.repartition(*keys).sortWithinPartitions(*keys, F.asc_nulls_last("ord")).select(*keys, name, "ids")
+    return rows.mapInArrow(run, "path string, num_tokens long, shard_idx int, source string, split string")
 
 
 def list_files(spark: SparkSession, directory: str) -> DataFrame:

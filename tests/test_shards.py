@@ -171,6 +171,27 @@ def test_bin_files(spark, tmp_path):
     assert sf.ingest_status(spark, out, now + F.expr("interval 6 minutes")).first()["state"] == "MAYBE STALLED"
 
 
+def test_shards_are_written_as_a_stream(spark, tmp_path, request):
+    """Rows come sorted, a few at a time; a shard may lie over several batches, and no shard is a group of its own."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(key, "3")
+    request.addfinalizer(lambda: spark.conf.unset(key))
+    rows = [(s, p, k, s * 1000 + i, [s * 100 + i % 7] * (i % 4)) for s, p in ((0, "train"), (1, "val")) for k in range(9) for i in range(k, 90, 9)]
+    docs = spark.createDataFrame([(f"s{s}", p, k + 9 * s, o, ids) for s, p, k, o, ids in rows],
+                                 "mix_source string, split string, shard_idx int, ord long, ids array<int>").repartition(5)
+    made = sf.export_bin(docs, str(tmp_path / "bin"))
+    assert "FlatMapGroups" not in made._jdf.queryExecution().executedPlan().toString()
+    got = {(r["source"], r["split"], r["shard_idx"]): (r["path"], r["num_tokens"]) for r in made.collect()}
+    assert len(got) == 18
+    for s, p in ((0, "train"), (1, "val")):
+        for k in range(9):
+            want = [t for r in sorted(r for r in rows if (r[0], r[2]) == (s, k)) for t in r[4]]
+            path, n = got[f"s{s}", p, k + 9 * s]
+            assert n == len(want) and (tmp_path / "bin" / path).read_bytes() == b"".join(t.to_bytes(2, "little") for t in want)
+    with pytest.raises(Exception, match="outside 0..65535"):
+        sf.export_bin(docs.withColumn("ids", F.array(F.lit(65536))), str(tmp_path / "bad")).collect()
+
+
 ENTRY = "path string, num_tokens long, shard_idx int, source string, split string"
 
 
