@@ -140,6 +140,22 @@ def test_a_part_counts_as_its_words_do(words, seed):
             assert want == Counter(dict(zip(*(x.tolist() for x in part.counts()))))
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(st.text("abcd", min_size=1, max_size=9), st.integers(1, 6)), min_size=1, max_size=12))
+def test_runs_leave_words_without_their_pairs_alone(words):
+    """Runs over the split part against runs over the whole one; no word without a pair of a run is gone through."""
+    of = lambda ws: wp.WordPart.of_words(np.array([ord(c) for w, _ in ws for c in w]), np.array([len(w) for w, _ in ws]), np.array([f for _, f in ws]))
+    lists = lambda part: sorted(zip((tuple(x.tolist()) for x in np.split(part.tok, np.flatnonzero(part.tok == wp.MARK))[1:-1]), part.freq.tolist()))
+    runs = [[(97, 98, 300), (99, 99, 301)], [(300, 97, 302)], [(302, 301, 303), (98, 98, 304)]]
+    whole, which = of(words), of(words).touched(runs)
+    touched, others = whole.only(which), whole.only(~which)
+    assert len(touched.freq) == sum(any(p in w for p in ("ab", "cc", "bb")) for w, _ in words) and len(touched.freq) + len(others.freq) == len(words)
+    for run in runs:
+        want, got = whole.merge(run), touched.merge(run)
+        assert all((a == b).all() for a, b in zip(want, got))
+    assert lists(whole) == lists(touched.joined(others))
+
+
 def test_thousands_of_merges_equal_a_plain_trainer(spark):
     docs = as_written(fx.corpus(spark, SF, 21).filter("ord % 4 = 0"), "docs")
     counts = as_written(vo.word_counts(docs), "counts")
