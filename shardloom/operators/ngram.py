@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,15 +14,54 @@ from shardloom.operators.split import unit_draw
 from shardloom.session import cut_lineage
 
 _SHIFT = 65536
+#: Cells of a table of pair counts, and ids that are counted at once.
+CELLS = 1 << 22
+COUNTED = 1 << 20
 
 
 def bigram_counts(docs: DataFrame, by: list[str]) -> DataFrame:
-    """Counts of adjacent ids per group. A pair travels as one number; the last id has no next and no pair."""
-    ids = F.col("ids")
-    n = F.greatest(F.size(ids) - 1, F.lit(0))
-    pairs = F.zip_with(F.slice(ids, F.lit(1), n), F.slice(ids, F.lit(2), n), lambda a, b: a.cast("long") * _SHIFT + b)
-    rows = docs.select(*by, F.explode(pairs).alias("p"))
-    return rows.groupBy(*by, "p").agg(F.count(F.lit(1)).alias("n")).select(
+    """Counts of adjacent ids per group. The last id has no next and no pair.
+
+    Pairs are counted where the documents lie, in a table of cells while one holds all pairs of the batch's ids and by
+    sorting them otherwise; a pair travels as one number and once per batch.
+    """
+    kinds = dict(docs.dtypes)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in filter(len, batches):
+            lists = batch.column(len(by))
+            offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+            groups: dict[tuple, int] = {}
+            rows = zip(*[batch.column(k).to_pylist() for k in range(len(by))]) if by else [()] * batch.num_rows
+            group = np.array([groups.setdefault(r, len(groups)) for r in rows], np.int64)
+            width = int(values[offsets[0]:offsets[-1]].max(initial=0)) + 1
+            dense = len(groups) * width * width <= CELLS
+            cells = np.zeros(len(groups) * width * width if dense else 0, np.int64)
+            found, at = [], 0
+            while at < batch.num_rows:
+                end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + COUNTED, side="right")) - 1)
+                ids = values[offsets[at]:offsets[end]].astype(np.int64)
+                sizes = np.diff(offsets[at:end + 1])
+                paired = np.ones(len(ids), np.bool_)
+                paired[np.cumsum(sizes)[sizes > 0] - 1] = False
+                first = np.flatnonzero(paired)
+                key = (np.repeat(group[at:end], sizes)[first] * width + ids[first]) * width + ids[first + 1]
+                if dense:
+                    cells += np.bincount(key, minlength=len(cells))
+                else:
+                    found.append(np.unique(key, return_counts=True))
+                at = end
+            if dense:
+                found = [(there := np.flatnonzero(cells), cells[there])]
+            for keys, n in found:
+                which, pair = np.divmod(keys, width * width)
+                named = list(groups)
+                yield pa.RecordBatch.from_arrays(
+                    [*[pa.array([g[k] for g in named], batch.column(k).type).take(pa.array(which)) for k in range(len(by))],
+                     pa.array(pair // width * _SHIFT + pair % width), pa.array(n)], names=[*by, "p", "n"])
+
+    counted = docs.select(*by, "ids").mapInArrow(count, ", ".join([*[f"`{c}` {kinds[c]}" for c in by], "p long, n long"]))
+    return counted.groupBy(*by, "p").agg(F.sum("n").alias("n")).select(
         *by, F.expr(f"cast(p div {_SHIFT} as int)").alias("prev"),
         F.expr(f"cast(p % {_SHIFT} as int)").alias("next"), "n",
     )

@@ -1,4 +1,5 @@
 import math
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -151,3 +152,19 @@ def test_a_silent_run_is_told_once(spark, tmp_path):
         run_stalls(stalls(spark.readStream.schema(schema).parquet(src), 10 * 3600), out, state)
     got = sorted((r["run_id"], r["last_ts"].hour + 24 * (r["last_ts"].day - 1), r["best"], r["best_step"], r["n_seen"]) for r in spark.read.parquet(out).collect())
     assert got == [("a", 2, 3.0, 2, 2), ("a", 22, 1.0, 4, 4), ("b", 1, 9.0, 1, 1), ("b", 21, 8.0, 2, 2)]
+
+
+def test_pairs_are_counted_where_they_lie(spark, monkeypatch):
+    """Every group and width of ids against plain counting; a token is never a row of its own."""
+    rows = [(g, [(i * i + k) % (7 if g else 60_000) for k in range(i % 9)]) for i in range(200) for g in ("a", "b", None, "")]
+    docs = spark.createDataFrame(rows, "g string, ids array<int>").repartition(3)
+    want = Counter((g, a, b) for g, ids in rows for a, b in zip(ids, ids[1:]))
+    for cells, step in ((1 << 22, 1 << 20), (300, 5), (0, 1)):
+        monkeypatch.setattr(ngram, "CELLS", cells)
+        monkeypatch.setattr(ngram, "COUNTED", step)
+        got = ngram.bigram_counts(docs, ["g"])
+        assert "Generate" not in got._jdf.queryExecution().optimizedPlan().toString()
+        assert {(r["g"], r["prev"], r["next"]): r["n"] for r in got.collect()} == want
+    alone = {(r["prev"], r["next"]): r["n"] for r in ngram.bigram_counts(docs, []).collect()}
+    assert alone == Counter((a, b) for _, ids in rows for a, b in zip(ids, ids[1:]))
+    assert ngram.bigram_counts(docs.filter("size(ids) < 2"), ["g"]).count() == 0
