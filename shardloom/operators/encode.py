@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -24,6 +25,8 @@ WORD_MEMORY = 500_000
 #: Buckets of a word dictionary, and words of a block of documents that meets it.
 BUCKETS = 32
 BLOCK_WORDS = 500_000
+#: Words whose ids are laid out at once.
+GATHER = 1 << 16
 
 
 def merge_rules(merges: DataFrame) -> dict[tuple[int, int], tuple[int, int]]:
@@ -145,15 +148,23 @@ def word_blocks(docs: DataFrame, keys: list[str], allow_special: bool = True, bl
 
 
 def gathered(lists: pa.Array, entries: list[list[int]]) -> pa.Array:
-    """Lists of numbers of entries as lists of what the entries hold."""
+    """Lists of numbers of entries as lists of what the entries hold.
+
+    Places of ids are worked out for ``GATHER`` numbers at a time: beside the ids only a few bytes per number are held.
+    """
     sizes = np.array([len(e) for e in entries], dtype=np.int64)
     starts = np.cumsum(sizes) - sizes
-    pool = np.fromiter((t for e in entries for t in e), dtype=np.int32, count=int(sizes.sum()))
-    at = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    ends = np.concatenate([[0], np.cumsum(sizes[at])])
-    gather = np.repeat(starts[at] - ends[:-1], sizes[at]) + np.arange(int(ends[-1]))
+    pool = np.fromiter(chain.from_iterable(entries), dtype=np.int32, count=int(sizes.sum()))
+    at = lists.flatten().to_numpy(zero_copy_only=False)
+    ends = np.zeros(len(at) + 1, dtype=np.int64)
+    np.cumsum(sizes[at], out=ends[1:])
+    ids = np.empty(int(ends[-1]), dtype=np.int32)
+    for low in range(0, len(at), GATHER):
+        own, first = at[low:low + GATHER], ends[low:low + GATHER + 1]
+        here = np.repeat(starts[own] - first[:len(own)], sizes[own]) + np.arange(first[0], first[-1])
+        ids[first[0]:first[-1]] = pool[here]
     offsets = lists.offsets.to_numpy().astype(np.int64)
-    return pa.ListArray.from_arrays(pa.array(ends[offsets - offsets[0]].astype(np.int32)), pa.array(pool[gather]))
+    return pa.ListArray.from_arrays(pa.array(ends[offsets - offsets[0]].astype(np.int32)), pa.array(ids))
 
 
 def encode_by_dictionary(docs: DataFrame, keys: list[str], words: WordDictionary, block_words: int = BLOCK_WORDS) -> DataFrame:
