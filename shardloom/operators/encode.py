@@ -10,6 +10,7 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -155,16 +156,22 @@ def gathered(lists: pa.Array, entries: list[list[int]]) -> pa.Array:
     sizes = np.array([len(e) for e in entries], dtype=np.int64)
     starts = np.cumsum(sizes) - sizes
     pool = np.fromiter(chain.from_iterable(entries), dtype=np.int32, count=int(sizes.sum()))
+    ids, ends = laid_out(lists, sizes, starts, pool)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))
+
+
+def laid_out(lists: pa.Array, sizes: np.ndarray, starts: np.ndarray, pool: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What the entries of all lists hold, one after the other, and the offsets of the lists in it."""
     at = lists.flatten().to_numpy(zero_copy_only=False)
     ends = np.zeros(len(at) + 1, dtype=np.int64)
     np.cumsum(sizes[at], out=ends[1:])
-    ids = np.empty(int(ends[-1]), dtype=np.int32)
+    out = np.empty(int(ends[-1]), dtype=pool.dtype)
     for low in range(0, len(at), GATHER):
         own, first = at[low:low + GATHER], ends[low:low + GATHER + 1]
         here = np.repeat(starts[own] - first[:len(own)], sizes[own]) + np.arange(first[0], first[-1])
-        ids[first[0]:first[-1]] = pool[here]
+        out[first[0]:first[-1]] = pool[here]
     offsets = lists.offsets.to_numpy().astype(np.int64)
-    return pa.ListArray.from_arrays(pa.array(ends[offsets - offsets[0]].astype(np.int32)), pa.array(ids))
+    return out, ends[offsets - offsets[0]].astype(np.int32)
 
 
 def encode_by_dictionary(docs: DataFrame, keys: list[str], words: WordDictionary, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -248,24 +255,37 @@ def checked_uint16(ids: Column) -> Column:
     return F.when(bad, F.raise_error(F.lit("token id outside 0..65535"))).otherwise(ids)
 
 
-def vocab_spellings(vocab: DataFrame) -> Column:
-    """The vocabulary as a constant array of hex spellings, indexed by id; its size is checked."""
+def vocab_spellings(vocab: DataFrame) -> list[bytes]:
+    """The bytes of every vocabulary entry, by id; its size is checked."""
     rows = vocab.limit(UINT16_LIMIT + 1).collect()
     if len(rows) > UINT16_LIMIT:
         raise ValueError(f"more than {UINT16_LIMIT} vocabulary entries")
-    by_id = {r["id"]: r["token_hex"] for r in rows}
-    return F.split(F.lit(",".join(by_id.get(i, "") for i in range(max(by_id) + 1))), ",")
+    by_id = {r["id"]: bytes.fromhex(r["token_hex"]) for r in rows}
+    return [by_id.get(i, b"") for i in range(max(by_id) + 1)]
 
 
-def decode_ids(ids: Column, spellings: Column, skip_markers: bool = False) -> Column:
+def decode_ids(ids: Column, spellings: list[bytes], skip_markers: bool = False) -> Column:
     """The text of an id array. Bytes that are no valid UTF-8 become the replacement character."""
     if skip_markers:
         ids = F.filter(ids, lambda t: ~t.isin(BOS_ID, EOS_ID))
-    hexed = F.array_join(F.transform(ids, lambda t: F.element_at(spellings, t + 1)), "")
-    return F.make_valid_utf8(F.unhex(hexed).cast("string"))
+    sizes = np.array([len(s) for s in spellings], dtype=np.int64)
+    starts, pool = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(spellings), np.uint8)
+
+    @F.arrow_udf("binary")
+    def spelled(lists: pa.Array) -> pa.Array:
+        found = pc.min_max(lists.flatten()).as_py()
+        if found["min"] is not None and (found["min"] < 0 or found["max"] >= len(sizes)):
+            raise ValueError("token id outside the vocabulary")
+        if not len(lists):
+            return pa.array([], pa.binary())
+        out, ends = laid_out(lists, sizes, starts, pool)
+        texts = pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(ends), pa.py_buffer(out)])
+        return pc.if_else(lists.is_valid(), texts, pa.scalar(None, pa.binary())) if lists.null_count else texts
+
+    return F.make_valid_utf8(spelled(ids).cast("string"))
 
 
-def roundtrip(docs: DataFrame, spellings: Column) -> DataFrame:
+def roundtrip(docs: DataFrame, spellings: list[bytes]) -> DataFrame:
     """Documents and mismatches per source after encoding and decoding."""
     same = F.col("text").eqNullSafe(decode_ids(F.col("ids"), spellings))
     return docs.groupBy("mix_source").agg(

@@ -111,3 +111,15 @@ def test_uint16_guard(spark):
     df = spark.createDataFrame([([1, 70000],)], "ids array<int>")
     with pytest.raises(Exception, match="outside"):
         df.select(en.checked_uint16(F.col("ids"))).collect()
+
+
+def test_decoding_goes_by_batches(spark):
+    """No token is a step of a lambda; null and empty lists stay apart, ids that are no entry are refused."""
+    spellings = [b"", b"<s>", b"</s>", b"ab", "\u00e9".encode(), b"\xc3"]
+    df = spark.createDataFrame([(0, [3, 4, 3]), (1, None), (2, []), (3, [1, 5, 2]), (4, [0, 0, 4])], "k int, ids array<int>")
+    out = df.select("k", en.decode_ids(F.col("ids"), spellings).alias("t"))
+    assert "lambda" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["k"]: r["t"] for r in out.collect()} == {0: "ab\u00e9ab", 1: None, 2: "", 3: "<s>\ufffd</s>", 4: "\u00e9"}
+    for bad in (-1, 6):
+        with pytest.raises(Exception, match="outside the vocabulary"):
+            spark.range(1).select(en.decode_ids(F.array(F.lit(bad)), spellings)).collect()
