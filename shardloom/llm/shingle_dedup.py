@@ -106,23 +106,21 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return as_written(found.filter("alike").select("a", "b"), "verified")
 
 
-def candidate_pairs(classes: DataFrame, first: int, upto: int) -> DataFrame:
+def candidate_pairs(classes: DataFrame, first: int, upto: int, tried: DataFrame | None = None) -> DataFrame:
     """Pairs ``a < b`` of rows of ``(row, root, fps)`` with close fingerprints in the tables from ``first`` on, written.
 
     Rows of one root are known to belong together and make no pair, so that a large group of near copies, once it is
-    linked by some tables, does not come up again in every other.
+    linked by some tables, does not come up again in every other. Nor do the pairs of ``tried``.
     """
     values = as_written(classes.select("row", "root", F.explode(F.slice("fps", first + 1, upto - first)).alias("fp")), "values")
     same = F.when(F.min("root") == F.max("root"), F.min("root"))
     heads = as_written(values.groupBy("fp").agg(F.min("row").alias("head"), F.min_by("root", "row").alias("head_root"),
                                                 same.alias("root"), F.count(F.lit(1)).alias("n")), "heads")
-    close = as_written(ball_pairs(heads.select("fp", "root"), RADIUS, WIDTH, PER_BUCKET).distinct(), "close")
-    head = lambda name: heads.select(F.col("fp").alias(name), F.col("head").alias(f"h{name}"))
-    met = close.join(head("a"), "a").join(head("b"), "b").select("ha", "hb")
+    met = ball_pairs(heads.select("fp", F.col("head").alias("row"), "root"), RADIUS, WIDTH, PER_BUCKET)
     shared = as_written(heads.filter("n > 1 and root is null").select("fp", "head", "head_root"), "shared")
     met = met.union(values.join(shared, "fp").filter("root != head_root").select("head", "row"))
-    pairs = as_written(met.toDF("x", "y").filter("x != y").select(
-        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "met")
+    pairs = met.toDF("x", "y").filter("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    pairs = as_written(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "met")
     fps = lambda name: classes.select(F.col("row").alias(name), F.col("fps").alias(f"f{name}"))
     apart = F.aggregate(F.zip_with("fa", "fb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
     return as_written(pairs.join(fps("a"), "a").join(fps("b"), "b").filter(apart <= FAR_BITS).select("a", "b"), "candidates")
@@ -131,22 +129,25 @@ def candidate_pairs(classes: DataFrame, first: int, upto: int) -> DataFrame:
 def linked(classes: DataFrame, texts: DataFrame) -> DataFrame:
     """``(node, root)`` of all rows of ``(row, fps)`` that are linked to others.
 
-    The first tables link most of what belongs together; the others are searched for what is still apart.
+    The first tables link most of what belongs together; the others are searched for what is still apart, without the
+    pairs that were compared before.
     """
-    edges, roots = None, None
+    edges, roots, tried = None, None, None
     for first, upto in ((0, FIRST_TABLES), (FIRST_TABLES, TABLES)):
         known = classes.withColumn("root", F.col("row")) if roots is None else classes.join(
             roots, F.col("row") == F.col("node"), "left").select("row", "fps", F.coalesce("root", "row").alias("root"))
-        pairs = candidate_pairs(as_written(known.select("row", "root", "fps"), "known"), first, upto)
+        pairs = candidate_pairs(as_written(known.select("row", "root", "fps"), "known"), first, upto, tried)
         # One pair for every row first; those that it has connected need no comparison.
-        found = _verified(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), texts)
+        one = as_written(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "one")
+        found = _verified(one, texts)
         edges = found if edges is None else edges.union(found)
         roots = as_written(components(edges), "roots")
         root = lambda name, roots=roots: roots.select(F.col("node").alias(name), F.col("root").alias(f"r{name}"))
-        open_ = as_written(pairs.join(root("a"), "a", "left").join(root("b"), "b", "left").filter(
+        open_ = as_written(pairs.join(one, ["a", "b"], "left_anti").join(root("a"), "a", "left").join(root("b"), "b", "left").filter(
             F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b"), "open")
         edges = edges.union(_verified(open_, texts))
         roots = as_written(components(edges), "roots")
+        tried = pairs
     return roots
 
 

@@ -176,22 +176,23 @@ def ball_links(fps: DataFrame, radius: int = RADIUS, bits: int | None = None) ->
 
 
 def ball_pairs(fps: DataFrame, radius: int, width: int, per_bucket: int) -> DataFrame:
-    """Pairs ``(a, b)`` of the distinct values of ``fp`` that differ in at most ``radius`` of the lowest ``width`` bits.
+    """Pairs ``(a, b)`` of rows of ``(fp, row, root)`` whose values differ in at most ``radius`` of the lowest ``width`` bits.
 
-    Unlike the links of ``ball_links`` every pair lies within the radius; of those that meet at one variant the
-    smallest is paired with all others. Values of one ``root`` (null: none) are known to belong together and make no pair.
+    Values of ``fp`` are distinct and go by the name ``row`` gives them, so that no pair has to look it up. Unlike the
+    links of ``ball_links`` every pair lies within the radius; of those that meet at one variant one is paired with all
+    others, so a value makes at most one pair for each of its variants, however many are close to it. Values of one
+    ``root`` (null: none) are known to belong together and make no pair.
     """
     bits = bucket_bits(fps.count(), per_bucket)
 
     def work(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         values, at = np.unique(rows.column("fp").to_numpy().view(np.uint64), return_index=True)
-        root = rows.column("root").fill_null(-1).to_numpy()[at]
+        root, row = rows.column("root").fill_null(-1).to_numpy()[at], rows.column("row").to_numpy()[at]
         a, b = meeting_in_bucket(values, key[0].as_py(), bits, radius, width)
         new = (root[a] != root[b]) | (root[a] < 0)
-        a, b = a[new], b[new]
-        return pa.table({"a": values[a].view(np.int64), "b": values[b].view(np.int64)})
+        return pa.table({"a": row[a[new]], "b": row[b[new]]})
 
-    return _sent(fps, bits, radius, width, ["root"]).groupBy("bucket").applyInArrow(work, "a bigint, b bigint")
+    return _sent(fps, bits, radius, width, ["row", "root"]).groupBy("bucket").applyInArrow(work, "a bigint, b bigint")
 
 
 def _sent(fps: DataFrame, bits: int, radius: int, width: int = 64, more: Sequence[str] = ()) -> DataFrame:

@@ -121,3 +121,25 @@ def test_batches_are_bounded_in_bytes(spark):
         assert spark.conf.get(key) == "1000000"
     finally:
         spark.conf.set(key, before)
+
+
+def test_no_pair_of_texts_is_compared_twice(spark, monkeypatch):
+    """Texts that are close but not close enough meet in many tables; each pair of them is compared once."""
+    rng = np.random.default_rng(3)
+    base, rows = [f"w{k}" for k in range(400)], []
+    for i in range(40):
+        own = list(base)
+        for at in rng.choice(400, 8, replace=False):
+            own[at] = f"x{i}y{at}"
+        rows.append((i, " ".join(own)))
+    assert not alike_pairs([shingles(t) for _, t in rows])
+    compared, real = [], sd._verified
+
+    def seen(pairs, texts):
+        compared.extend((r["a"], r["b"]) for r in pairs.collect())
+        return real(pairs, texts)
+
+    monkeypatch.setattr(sd, "_verified", seen)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sd.similar_rows(common.with_row_key(docs)).filter("keep").count() == 40
+    assert len(compared) > 40 and len(set(compared)) == len(compared)
