@@ -5,10 +5,8 @@ from __future__ import annotations
 import hashlib
 import heapq
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -22,12 +20,15 @@ from shardloom.session import as_written, discard, file_uri
 from shardloom.spec import BOS_ID, EOS_ID, SPECIAL_TOKENS, UINT16_LIMIT
 
 MERGE_LIMIT = UINT16_LIMIT
-WORD_MEMORY = 500_000
 #: Buckets of a word dictionary, and words of a block of documents that meets it.
 BUCKETS = 32
 BLOCK_WORDS = 500_000
 #: Words whose ids are laid out at once.
 GATHER = 1 << 16
+#: Words that are merged at once, and tokens from which on a word is merged by itself.
+MERGED_AT_ONCE, LONG_WORD = 1 << 16, 256
+NO_RANK = 1 << 30
+BYTE_IDS = np.array([ID_OF_BYTE[b] for b in range(256)], np.int64)
 
 
 def merge_rules(merges: DataFrame) -> dict[tuple[int, int], tuple[int, int]]:
@@ -65,6 +66,80 @@ def apply_merges(ids: list[int], rules: dict) -> list[int]:
     return [t for t in ids if t >= 0]
 
 
+class MergeTable:
+    """The merge rules as arrays, for many words at once."""
+
+    def __init__(self, rules: dict) -> None:
+        self.rules = rules
+        keys = np.array([left << 32 | right for left, right in rules], np.int64)
+        by, values = np.argsort(keys), np.array(list(rules.values()), np.int64).reshape(-1, 2)
+        self.keys, self.ranks, self.news = keys[by], values[by, 0], values[by, 1]
+
+    def found(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and new id of each pair; a pair without a rule has ``NO_RANK``."""
+        if not len(self.keys):
+            return np.full(len(left), NO_RANK), left
+        keys = left << 32 | right
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.ranks[at], NO_RANK), self.news[at]
+
+    def merged(self, tokens: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(pool, starts, sizes)``: the ids of every word, as by ``apply_merges``, from the tokens of all words.
+
+        Some words at a time, so that beside the ids only those few are held.
+        """
+        starts, sizes, pool, filled = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64), [np.empty(0, np.int32)], 0
+        ends = np.cumsum(lengths)
+        for low in range(0, len(lengths), MERGED_AT_ONCE):
+            own = lengths[low:low + MERGED_AT_ONCE]
+            first = int(ends[low] - own[0])
+            for words, kept, ids in self._rounds(tokens[first:first + int(own.sum())], own):
+                starts[low + words], sizes[low + words] = filled + np.cumsum(kept) - kept, kept
+                pool.append(ids.astype(np.int32))
+                filled += len(ids)
+        return np.concatenate(pool), starts, sizes
+
+    def _rounds(self, tok: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Words as they are done: which, their numbers of ids, and these ids.
+
+        A round merges in every word the leftmost of its pairs of the lowest rank. Long words, which would take many
+        rounds, go one by one.
+        """
+        bounds = np.cumsum(lengths) - lengths
+        for word in np.flatnonzero(lengths >= LONG_WORD).tolist():
+            ids = apply_merges(tok[bounds[word]:bounds[word] + lengths[word]].tolist(), self.rules)
+            yield np.array([word]), np.array([len(ids)]), np.array(ids)
+        words = np.flatnonzero((lengths > 0) & (lengths < LONG_WORD))
+        tok = tok[np.repeat((lengths > 0) & (lengths < LONG_WORD), lengths)]
+        sizes, rank = lengths[words], np.full(len(tok), NO_RANK)
+        if not len(words):
+            return
+        last = np.cumsum(sizes) - 1
+        inner = np.ones(len(tok), np.bool_)
+        inner[last] = False
+        at = np.flatnonzero(inner)
+        rank[at] = self.found(tok[at], tok[at + 1])[0]
+        while True:
+            first = np.cumsum(sizes) - sizes
+            least = np.minimum.reduceat(rank << 32 | np.arange(len(rank)), first)
+            open_ = least >> 32 < NO_RANK
+            held = np.repeat(open_, sizes)
+            yield words[~open_], sizes[~open_], tok[~held]
+            if not open_.any():
+                return
+            # Places in what is left of the words that go on.
+            at = (least[open_] & 0xFFFFFFFF) - (np.cumsum(np.where(open_, 0, sizes)))[open_]
+            words, sizes, tok, rank = words[open_], sizes[open_], tok[held], rank[held]
+            tok[at] = self.found(tok[at], tok[at + 1])[1]
+            stay = np.ones(len(tok), np.bool_)
+            stay[at + 1] = False
+            tok, rank, sizes, at = tok[stay], rank[stay], sizes - 1, at - np.arange(len(at))
+            first = np.cumsum(sizes) - sizes
+            rank[at] = NO_RANK
+            for pair in (at[at > first] - 1, at[at < first + sizes - 1]):
+                rank[pair] = self.found(tok[pair], tok[pair + 1])[0]
+
+
 def _word_start_ids(word: Column) -> Column:
     """Coded start of a word: one special id, or its bytes."""
     return F.coalesce(special_to_code(word), coded(word))
@@ -74,10 +149,13 @@ def word_ids(sym: Column, merges: DataFrame) -> Column:
     """Ids of coded words, computed in Arrow batches. Meant for distinct words."""
     rules = merges.sparkSession.sparkContext.broadcast(merge_rules(merges))
 
-    @F.pandas_udf("array<int>")
-    def run(syms: pd.Series) -> pd.Series:
-        table = rules.value
-        return syms.map(lambda s: apply_merges([ord(c) - 1 for c in s], table))
+    @F.arrow_udf("array<int>")
+    def run(syms: pa.Array) -> pa.Array:
+        texts = syms.to_pylist()
+        tokens = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.int64) - 1
+        pool, starts, sizes = MergeTable(rules.value).merged(tokens, np.array([len(x) for x in texts], np.int64))
+        each = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32)), pa.array(np.arange(len(texts), dtype=np.int32)))
+        return _lists(*laid_out(each, sizes, starts, pool))
 
     return run(sym)
 
@@ -148,20 +226,15 @@ def word_blocks(docs: DataFrame, keys: list[str], allow_special: bool = True, bl
     return as_written(cut.mapInArrow(work, schema), "blocks")
 
 
-def gathered(lists: pa.Array, entries: list[list[int]]) -> pa.Array:
-    """Lists of numbers of entries as lists of what the entries hold.
-
-    Places of ids are worked out for ``GATHER`` numbers at a time: beside the ids only a few bytes per number are held.
-    """
-    sizes = np.array([len(e) for e in entries], dtype=np.int64)
-    starts = np.cumsum(sizes) - sizes
-    pool = np.fromiter(chain.from_iterable(entries), dtype=np.int32, count=int(sizes.sum()))
-    ids, ends = laid_out(lists, sizes, starts, pool)
+def _lists(ids: np.ndarray, ends: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))
 
 
 def laid_out(lists: pa.Array, sizes: np.ndarray, starts: np.ndarray, pool: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """What the entries of all lists hold, one after the other, and the offsets of the lists in it."""
+    """What the entries of all lists hold, one after the other, and the offsets of the lists in it.
+
+    Places of ids are worked out for ``GATHER`` numbers at a time: beside the ids only a few bytes per number are held.
+    """
     at = lists.flatten().to_numpy(zero_copy_only=False)
     ends = np.zeros(len(at) + 1, dtype=np.int64)
     np.cumsum(sizes[at], out=ends[1:])
@@ -187,12 +260,15 @@ def encode_by_dictionary(docs: DataFrame, keys: list[str], words: WordDictionary
     kinds = dict(docs.dtypes)
 
     def gather(texts: pa.Table, entries: pa.Table) -> pa.Table:
-        ids: list = [None] * entries.num_rows
-        for code, own in zip(entries.column("code").to_pylist(), entries.column("ids").to_pylist()):
-            ids[code] = own
-        texts = texts.combine_chunks()
-        codes = texts.column("codes").chunk(0) if texts.num_rows else pa.array([], pa.list_(pa.int32()))
-        return pa.table({**{k: texts.column(k) for k in keys}, "ids": gathered(codes, ids)})
+        texts, entries = texts.combine_chunks(), entries.combine_chunks()
+        none = pa.array([], pa.list_(pa.int32()))
+        codes = texts.column("codes").chunk(0) if texts.num_rows else none
+        own = entries.column("ids").chunk(0) if entries.num_rows else none
+        at, bounds = entries.column("code").to_numpy(), own.offsets.to_numpy().astype(np.int64)
+        starts, sizes = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        starts[at], sizes[at] = bounds[:-1], np.diff(bounds)
+        ids = _lists(*laid_out(codes, sizes, starts, own.values.to_numpy(zero_copy_only=False)))
+        return pa.table({**{k: texts.column(k) for k in keys}, "ids": ids})
 
     texts = blocks.filter("codes is not null").select("block", *keys, "codes")
     return texts.groupBy("block").cogroup(found.groupBy("at")).applyInArrow(
@@ -202,32 +278,38 @@ def encode_by_dictionary(docs: DataFrame, keys: list[str], words: WordDictionary
 def encode_in_place(docs: DataFrame, merges: DataFrame, allow_special: bool = True) -> DataFrame:
     """Add ``ids`` without any shuffle.
 
-    The text is cut into words by Spark; per Arrow batch, only distinct words not met before in the task are
-    merged, and the ids of the batch are gathered by index. The memory of words is emptied when it is full.
+    The text is cut into words by Spark; per Arrow batch, only distinct words are merged, many at once, and the ids of
+    the batch are gathered by index. Nothing is kept from one batch to the next.
     """
     rules = merges.sparkSession.sparkContext.broadcast(merge_rules(merges))
-    start = {t: [i] for i, t in enumerate(SPECIAL_TOKENS)} if allow_special else {}
-    byte_id = [ID_OF_BYTE[b] for b in range(256)]
-    met: dict[str, list[int]] = {}
-
-    def ids_of(word: str, table: dict) -> list[int]:
-        out = met.get(word)
-        if out is None:
-            out = met[word] = start.get(word) or apply_merges([byte_id[b] for b in word.encode()], table)
-        return out
+    tables: list[MergeTable] = []
 
     @F.arrow_udf("array<int>")
     def run(lists: pa.Array) -> pa.Array:
-        if len(met) > WORD_MEMORY:
-            met.clear()
+        if not tables:
+            tables.append(MergeTable(rules.value))
         batch = lists.flatten().dictionary_encode()
         offsets = lists.offsets.to_numpy().astype(np.int64)
         codes = pa.ListArray.from_arrays(pa.array((offsets - offsets[0]).astype(np.int32)), batch.indices)
-        return gathered(codes, [ids_of(w, rules.value) for w in batch.dictionary.to_pylist()])
+        return _lists(*_ids_of_lists(codes, batch.dictionary, tables[0], allow_special))
 
     return docs.withColumn("ids", run(segments(F.col("text"), allow_special)))
 
 
+def _ids_of_lists(codes: pa.ListArray, words: pa.Array, table: MergeTable, allow_special: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of lists of places in ``words``, one after the other, and the offsets of the lists in them."""
+    held = words.cast(pa.large_string())
+    bounds = np.frombuffer(held.buffers()[1], np.int64)[held.offset:held.offset + len(held) + 1] if len(held) else np.zeros(1, np.int64)
+    data = np.frombuffer(held.buffers()[2] or b"", np.uint8)[bounds[0]:bounds[-1]]
+    pool, starts, sizes = table.merged(BYTE_IDS[data], np.diff(bounds))
+    if allow_special:
+        special = pc.index_in(held, value_set=pa.array(SPECIAL_TOKENS, pa.large_string())).fill_null(-1).to_numpy(zero_copy_only=False)
+        there = np.flatnonzero(special >= 0)
+        starts[there], sizes[there] = len(pool) + special[there], 1
+        pool = np.concatenate([pool, np.arange(len(SPECIAL_TOKENS), dtype=np.int32)])
+    return laid_out(codes, sizes, starts, pool)
+
+
 def encode_bytes(docs: DataFrame, allow_special: bool = True) -> DataFrame:
     """Add ``ids`` under the merge-free vocabulary, by column expressions alone."""
     return docs.withColumn("ids", byte_ids(F.col("text"), allow_special))
