@@ -2,6 +2,7 @@ import os
 import random
 import tracemalloc
 from collections import Counter, defaultdict
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -231,3 +232,19 @@ def test_gathered_ids_take_little_memory_beside_themselves():
     assert len(got) == 200_000 and got[0].as_py() == got[-1].as_py() == want and len(got.flatten()) == 16_000_000
     assert peak < 130_000_000
     assert en.gathered(pa.array([[], [0, 1]], pa.list_(pa.int32())), [[], [7, 8]]).to_pylist() == [[], [7, 8]]
+
+
+def test_early_rounds_are_replayed_less_and_merges_stay(spark, monkeypatch):
+    """The first rounds change most words and are not gone through again 24 times; the merges do not depend on it."""
+    counts = spark.createDataFrame([("".join(p), 1 + k % 7) for k, p in enumerate(product("abcde", repeat=4))], "word string, freq long").cache()
+    lengths, real = [], vo._changes
+
+    def seen(parts, runs, watched):
+        lengths.append(len(runs))
+        return real(parts, runs, watched)
+
+    monkeypatch.setattr(vo, "_changes", seen)
+    learned = vo.train_merges(counts, max_merges=14, candidates=1)
+    assert len(lengths) > 10 and max(lengths) == vo.FIRST_ROUNDS
+    assert learned.rows == vo.train_merges(counts, max_merges=14, candidates=1, checkpoint_rounds=1).rows
+    assert [vo.replayed(r, 24) for r in (0, 40, 80, 400)] == [5, 5, 10, 24]
