@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -230,6 +231,14 @@ def _lists(ids: np.ndarray, ends: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))
 
 
+def gathered(lists: pa.Array, entries: list[list[int]]) -> pa.Array:
+    """Lists of numbers of entries as lists of what the entries hold, see ``laid_out``."""
+    sizes = np.array([len(e) for e in entries], dtype=np.int64)
+    starts = np.cumsum(sizes) - sizes
+    pool = np.fromiter(chain.from_iterable(entries), dtype=np.int32, count=int(sizes.sum()))
+    return _lists(*laid_out(lists, sizes, starts, pool))
+
+
 def laid_out(lists: pa.Array, sizes: np.ndarray, starts: np.ndarray, pool: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """What the entries of all lists hold, one after the other, and the offsets of the lists in it.
 
