@@ -340,6 +340,43 @@ def frame(docs: DataFrame) -> DataFrame:
     return out.withColumn("n_tokens", F.size("ids").cast("long"))
 
 
+def pack(tokens: np.ndarray) -> bytes:
+    """Tokens as their number and their low and high bytes, compressed."""
+    planes = tokens.astype("<u2").view(np.uint8).reshape(-1, 2).T.tobytes()
+    return len(tokens).to_bytes(4, "little") + pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def unpack(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:4], "little")
+    planes = np.frombuffer(pa.decompress(data[4:], 2 * n, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(2, n).T).view("<u2").ravel()
+
+
+def packed(ids: Column) -> Column:
+    """Id arrays as compressed 16-bit tokens, in which form they are kept and exchanged."""
+    @F.arrow_udf("binary")
+    def run(lists: pa.Array) -> pa.Array:
+        offsets, values = lists.offsets.to_numpy(), lists.values.fill_null(0).to_numpy()
+        own = values[offsets[0]:offsets[-1]]
+        if len(own) and (own.min() < 0 or own.max() >= UINT16_LIMIT):
+            raise ValueError("token id outside 0..65535")
+        return pa.array([pack(values[a:b]) for a, b in zip(offsets[:-1], offsets[1:])], pa.binary())
+
+    return run(ids)
+
+
+def unpacked(lists: Column) -> Column:
+    """The ids of arrays of packed ones, joined."""
+    @F.arrow_udf("array<int>")
+    def run(lists: pa.Array) -> pa.Array:
+        offsets, held = lists.offsets.to_numpy(), lists.values.to_pylist()
+        pieces = [unpack(data) for data in held[offsets[0]:offsets[-1]]]
+        ends = np.cumsum([0, *map(len, pieces)])[offsets - offsets[0]]
+        return _lists(np.concatenate([np.empty(0, np.int32), *pieces]).astype(np.int32), ends.astype(np.int32))
+
+    return run(lists)
+
+
 def checked_uint16(ids: Column) -> Column:
     """The ids, or an error if one does not fit 16 unsigned bits."""
     bad = F.exists(ids, lambda t: (t < 0) | (t >= UINT16_LIMIT))

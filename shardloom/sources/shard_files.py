@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import math
+import operator
 import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shardloom.operators.shards import parse_shard_name, shard_name
-from shardloom.session import file_uri
+from shardloom.operators.encode import packed, unpack
+from shardloom.operators.shards import parse_shard_name, shard_name, with_ids
+from shardloom.session import as_written, discard, file_uri, remove, sparing
 from shardloom.sources.shard_source import READ_CHUNK, ShardFiles, store_of
 from shardloom.spec import STALL_SECONDS, TOKENS_PER_SHARD
+from shardloom.stages import Stages
 
 # Fixed values of the format: names and words in manifests and status rows.
 DTYPE = "uint16"
@@ -29,6 +34,12 @@ MANIFEST_SCHEMA = f"{HEAD_SCHEMA}, train_shards array<{ENTRY}>, val_shards array
 DOCUMENT_SHARDS = 1_000_000
 EXPORTED = pa.schema([("path", pa.string()), ("num_tokens", pa.int64()), ("shard_idx", pa.int32()), ("source", pa.string()),
                       ("split", pa.string())])
+EXPORT_SCHEMA = "path string, num_tokens long, shard_idx int, source string, split string"
+PARTS_SCHEMA = "mix_source string, source_ord int, ord long, split string, n_tokens long, ids binary, part int"
+#: Bytes of text that make a part of a corpus, and the parts of the largest corpus, a power of two.
+PART_BYTES, MOST_PARTS = 1 << 26, 32
+#: Documents of a turn whose places are sent to all tasks; of more, places and ids are exchanged by key.
+SENT_PLACES = 1 << 19
 
 
 class NoShardsError(ValueError):
@@ -63,7 +74,7 @@ def read_shard_table(spark: SparkSession, path: str, columns: str, split: str |
 def export_bin(docs: DataFrame, directory: str) -> DataFrame:
     """Write one little-endian 16-bit file per shard and return ``(path, num_tokens, shard_idx, source, split)``.
 
-    A file appears under its final name only when complete, so a re-run task replaces it as a whole. Rows come to a
+    ``ids`` are arrays, or ``packed`` already; packed ones are exchanged. A file appears under its final name only when complete, so a re-run task replaces it as a whole. Rows come to a
     task shard by shard; it holds one shard, bounded by the shard size, and a batch of rows. A path without a file
     system means Spark's default one.
     """
@@ -87,8 +98,7 @@ def export_bin(docs: DataFrame, directory: str) -> DataFrame:
             return [(name, sum(map(len, pieces)), index, source, split)]
 
         for batch in batches:
-            done, lists = [], batch.column(4)
-            offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+            done, held = [], batch.column(4)
             which = pa.StructArray.from_arrays([batch.column(k) for k in range(4)], names=[*keys, "name"])
             code = batch.column(3).dictionary_encode().indices.to_numpy()
             starts = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else []
@@ -97,16 +107,78 @@ def export_bin(docs: DataFrame, directory: str) -> DataFrame:
                 if found != shard:
                     done += closed()
                     shard, pieces = found, []
-                tokens = values[offsets[a]:offsets[b]]
-                if len(tokens) and (tokens.min() < 0 or tokens.max() > 0xFFFF):
-                    raise ValueError(f"{found[-1]}: token id outside 0..65535")
-                pieces.append(tokens.astype("<u2"))
+                pieces += [unpack(data) for data in held.slice(a, b - a).to_pylist()]
             yield pa.RecordBatch.from_pylist([dict(zip(EXPORTED.names, row)) for row in done], EXPORTED)
         yield pa.RecordBatch.from_pylist([dict(zip(EXPORTED.names, row)) for row in closed()], EXPORTED)
 
     name = shard_name(F.col("mix_source"), F.col("split"), F.col("shard_idx")).alias("name")
+    if dict(docs.dtypes)["ids"] != "binary":
+        docs = docs.select(*keys, "ord", packed(F.col("ids")).alias("ids"))
     rows = docs.repartition(*keys).sortWithinPartitions(*keys, F.asc_nulls_last("ord")).select(*keys, name, "ids")
-    return rows.mapInArrow(run, "path string, num_tokens long, shard_idx int, source string, split string")
+    return rows.mapInArrow(run, EXPORT_SCHEMA)
+
+
+def part_bounds(docs: DataFrame, size: int = PART_BYTES, most: int = MOST_PARTS) -> dict[str, list[int]]:
+    """Keys that cut every source into parts of about equally many documents; one row per source comes back.
+
+    A power of two of them, so that the texts of a part have ``size`` bytes, and at most ``most`` parts.
+    """
+    cuts = F.percentile_approx("ord", [i / most for i in range(1, most)], 10_000) if most > 1 else F.array().cast("array<long>")
+    rows = docs.groupBy("mix_source").agg(F.sum(F.octet_length("text")).alias("n"), cuts.alias("cuts")).collect()
+    parts = min(most, 1 << math.ceil(math.log2(max(1.0, sum(r["n"] or 0 for r in rows) / size))))
+    return {r["mix_source"]: (r["cuts"] or [])[most // parts - 1::most // parts][:parts - 1] for r in rows}
+
+
+def write_parts(docs: DataFrame, bounds: dict[str, list[int]], path: str) -> None:
+    """Encoded documents with their ids packed, in one folder per part of the keys."""
+    part = F.lit(0)
+    for source, cuts in bounds.items():
+        above = [F.when(F.col("ord") > cut, 1).otherwise(0) for cut in cuts]
+        part = F.when(F.col("mix_source") == source, reduce(operator.add, above, F.lit(0))).otherwise(part)
+    rows = docs.select("mix_source", "source_ord", "ord", "split", "n_tokens", packed(F.col("ids")).alias("ids"), part.alias("part"))
+    rows.write.option("compression", "zstd").partitionBy("part").parquet(path)
+
+
+def read_parts(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(PARTS_SCHEMA).parquet(path)
+
+
+def export_in_turns(encoded: str, at: DataFrame, shards: DataFrame, directory: str, turns: Stages, mark: str = "") -> DataFrame:
+    """``export_bin`` of the parts of ``write_parts``, one after the other, and the entries of all shards.
+
+    ``at`` has the shard and part of every document, ``shards`` the numbers of the shards. A shard is written in the turn of
+    its last part. Of the parts before, only the keys that the turn's shards span are read again. Shuffle files go with
+    their turn and a part with the last turn that reads it, so that the disk holds the shard files, and beside them a few
+    parts of the ids. A turn is a stage: a run that was ended goes on after its last whole one. One row per turn, source
+    and split comes to the driver.
+    """
+    spark, keys = at.sparkSession, ["mix_source", "split", "shard"]
+    numbers = shards.select(*keys, "shard_idx").join(at.groupBy(*keys).agg(F.max("part").alias("turn")), keys)
+    placed = as_written(at.join(numbers, keys).select("mix_source", "split", "ord", "part", "shard_idx", "turn"), "placed")
+    spans = placed.groupBy("turn", "mix_source", "split").agg(
+        F.min("part").alias("first"), F.min("ord").alias("low"), F.max("ord").alias("high"), F.count(F.lit(1)).alias("n")).collect()
+    order = sorted({s["turn"] for s in spans})
+    for i, turn in enumerate(order):
+        mine = [s for s in spans if s["turn"] == turn]
+
+        def write(path: str) -> None:
+            spanned = reduce(operator.or_, [(F.col("mix_source") == s["mix_source"]) & (F.col("split") == s["split"])
+                                            & F.col("ord").between(s["low"], s["high"]) for s in mine])
+            ids = read_parts(spark, encoded).filter(F.col("part").between(min(s["first"] for s in mine), turn) & spanned)
+            places = placed.filter(F.col("turn") == turn).select("mix_source", "ord", "shard_idx")
+            if sum(s["n"] for s in mine) <= SENT_PLACES:
+                places = F.broadcast(places)
+            export_bin(with_ids(places, ids.drop("part")), directory).write.parquet(path)
+
+        with sparing(spark):
+            turns.run(str(turn), f"{mark}-{turn}", write)
+        needed = min((s["first"] for s in spans if s["turn"] in order[i + 1:]), default=0)
+        for part in range(needed):
+            remove(spark, f"{encoded}/part={part}")
+    discard(placed)
+    if not order:
+        return spark.createDataFrame([], EXPORT_SCHEMA)
+    return spark.read.schema(EXPORT_SCHEMA).parquet(*[turns.path(str(turn)) for turn in order])
 
 
 def list_files(spark: SparkSession, directory: str) -> DataFrame:

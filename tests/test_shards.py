@@ -1,17 +1,22 @@
 import random
+from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from shardloom.operators import encode as en
 from shardloom.operators import pack, report
 from shardloom.operators import prefix as px
 from shardloom.operators import shards as sh
 from shardloom.operators import split as sp
 from shardloom.plans import fixture as fx
 from shardloom.plans.queries import QUERIES
+from shardloom.session import as_written, shared_dir
 from shardloom.sources import readers as rd
 from shardloom.sources import shard_files as sf
 from shardloom.spec import Mixture, SourceSpec
+from shardloom.stages import Stages
 from tests.oracle_check import table_of
 
 DOC = "mix_source string, source_ord int, split string, ord long, n_tokens long"
@@ -192,6 +197,72 @@ def test_shards_are_written_as_a_stream(spark, tmp_path, request):
         sf.export_bin(docs.withColumn("ids", F.array(F.lit(65536))), str(tmp_path / "bad")).collect()
 
 
+def test_packed_tokens(spark):
+    for tokens in ([], [0], [65535, 0, 256, 255], list(range(60_000, 65_536, 3))):
+        assert en.unpack(en.pack(np.array(tokens, np.int64))).tolist() == tokens
+    rows = spark.createDataFrame([(1, [5, 6]), (2, []), (3, None), (4, [65535])], "k int, ids array<int>")
+    got = {r["k"]: en.unpack(bytes(r["p"])).tolist() for r in rows.select("k", en.packed(F.col("ids")).alias("p")).collect()}
+    assert got == {1: [5, 6], 2: [], 3: [], 4: [65535]}
+    twice = rows.select("k", en.packed(F.col("ids")).alias("p")).select("k", en.unpacked(F.array("p", "p")).alias("ids"))
+    assert {r["k"]: r["ids"] for r in twice.collect()} == {1: [5, 6, 5, 6], 2: [], 3: [], 4: [65535, 65535]}
+
+
+def parted(spark, path, n=240):
+    """Documents of two sources in parts of the keys, and what each shard file must hold."""
+    rng = random.Random(7)
+    rows = [("a" if i % 3 else "b", int(i % 3 == 0), 10 * i, "val" if i % 7 == 0 else "train", [i] * rng.randint(3, 70)) for i in range(n)]
+    docs = spark.createDataFrame([(*r, "x" * 9, len(r[4])) for r in rows],
+                                 "mix_source string, source_ord int, ord long, split string, ids array<int>, text string, n_tokens long")
+    bounds = sf.part_bounds(docs, size=9 * n // 8, most=16)
+    assert {s: len(cuts) for s, cuts in bounds.items()} == {"a": 7, "b": 7} and all(c == sorted(c) for c in bounds.values())
+    sf.write_parts(docs.repartition(3), bounds, path)
+    at = as_written(sh.shards_by_offset(sf.read_parts(spark, path).drop("ids"), 100), "places")
+    shards = as_written(sh.number_shards(sh.shard_totals(at), 100), "shards")
+    ids = {(r[0], r[2]): r[4] for r in rows}
+    want = {}
+    for r in at.join(shards.select("mix_source", "split", "shard", "shard_idx"), ["mix_source", "split", "shard"]).orderBy("ord").collect():
+        name = f"{r['mix_source']}_{r['split']}_shard_{r['shard_idx']:04d}.bin"
+        want[name] = want.get(name, b"") + b"".join(t.to_bytes(2, "little") for t in ids[r["mix_source"], r["ord"]])
+    return at, shards, want
+
+
+@pytest.mark.parametrize("sent", [0, 1000])
+def test_parts_are_exported_in_turns(spark, tmp_path, monkeypatch, sent):
+    """Shards over the ends of parts are whole, parts go as they have been read, and an ended run goes on."""
+    monkeypatch.setattr(sf, "SENT_PLACES", sent)
+    at, shards, want = parted(spark, str(tmp_path / "parts"))
+    read = lambda: {f.name: f.read_bytes() for f in (tmp_path / "bin").glob("*.bin")}
+    kept = lambda: sorted(int(f.name[5:]) for f in (tmp_path / "parts").glob("part=*"))
+    assert kept() == list(range(8))
+
+    class Ended(Stages):
+        def run(self, name, mark, make, anew=False):
+            if name == "5":
+                raise KeyboardInterrupt
+            return super().run(name, mark, make, anew)
+
+    with pytest.raises(KeyboardInterrupt):
+        sf.export_in_turns(str(tmp_path / "parts"), at, shards, str(tmp_path / "bin"), Ended(spark, str(tmp_path / "turns")), "m")
+    left = kept()
+    assert 0 < left[0] < 5 and left[-1] == 7 and 0 < len(read()) < len(want)
+    turns = Stages(spark, str(tmp_path / "turns"))
+    made = sf.export_in_turns(str(tmp_path / "parts"), at, shards, str(tmp_path / "bin"), turns, "m").collect()
+    assert turns.skipped == ["0", "1", "2", "3", "4"] and read() == want and kept()[0] > left[0]
+    assert sorted((r["path"], r["num_tokens"]) for r in made) == sorted((k, len(v) // 2) for k, v in want.items())
+
+
+def test_export_leaves_shard_files_alone_on_the_disk(spark):
+    """Encoded ids go with the last turn, the exchanges of ids carry them packed."""
+    shared = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(shared.iterdir())
+    assert QUERIES["export_bin"](spark, "/root/testdata/sf0.001").count() > 2
+    made = set(shared.iterdir()) - before
+    assert any(f.name.startswith("bin-") for f in made) and not any(f.name.startswith(("encoded-", "places-", "placed-")) for f in made)
+    docs = with_ids(docs_of(spark, [6, 6, 3])).withColumn("shard_idx", F.lit(0))
+    plan = sf.export_bin(docs, str(shared / "unused"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Exchange hashpartitioning(mix_source") < plan.index("ArrowEvalPython")  # packed below the exchange
+
+
 ENTRY = "path string, num_tokens long, shard_idx int, source string, split string"
 
 
