@@ -5,12 +5,15 @@ A worker reads its shards one after another as one token stream; sequences are e
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shardloom.operators.encode import packed, unpacked
 from shardloom.operators.prefix import BLOCK_BITS, exclusive_folds, row_position
 
 LANE = ["split", "epoch", "rank", "worker"]
+#: Shards whose places are sent to all tasks; of more, places and chunks are exchanged.
+SENT_SHARDS = 1 << 20
 
 
 def shard_list(numbered: DataFrame) -> DataFrame:
@@ -79,22 +82,46 @@ def pack_sequences(docs: DataFrame, positions: DataFrame, seq_len: int) -> DataF
 def pack_chunks(chunks: DataFrame, ordered_shards: DataFrame, seq_len: int) -> DataFrame:
     """Sequences from the token chunks of shard files: ``source, split, shard_idx, start_tok, ids``.
 
-    ``ordered_shards`` has the lane and ``stream_off`` of every ``shard_idx``.
+    ``ordered_shards`` has the lane and ``stream_off`` of every ``source`` and ``shard_idx``. A sequence that lies in one
+    chunk is cut out where the chunk is read; only pieces at the ends of chunks are exchanged, packed.
     """
-    placed = chunks.join(ordered_shards.select("shard_idx", *LANE, "stream_off"), ["shard_idx", "split"]).select(
+    keys = ["source", "split", "shard_idx"]
+    places = ordered_shards.select("source", "shard_idx", *LANE, "stream_off")
+    if places.limit(SENT_SHARDS + 1).count() <= SENT_SHARDS:
+        places = F.broadcast(places)
+    placed = chunks.join(places, keys).select(
         *LANE, "ids", F.size("ids").cast("long").alias("n_tokens"), (F.col("stream_off") + F.col("start_tok")).alias("at"))
+    # Sequences from the first that begins in the chunk to before the one that goes on behind it are whole.
+    open_, close = F.expr(f"(at + {seq_len - 1}) div {seq_len}"), F.expr(f"(at + n_tokens) div {seq_len}")
+    inner = placed.filter(open_ < close).withColumn("seq_idx", F.explode(F.sequence(open_, close - 1)))
+    whole = inner.select(*LANE, "seq_idx", F.slice("ids", (F.col("seq_idx") * seq_len - F.col("at") + 1).cast("int"), seq_len).alias("input_ids"))
     first, last = F.expr(f"at div {seq_len}"), F.expr(f"(at + n_tokens - 1) div {seq_len}")
-    return _sequences(placed.withColumn("seq_idx", F.explode(F.sequence(first, last))), seq_len)
+    ends = F.array_compact(F.array(F.when((first < open_) | (first >= close), first), F.when((last >= close) & (last > first), last)))
+    place, piece = _piece(seq_len)
+    cut = placed.withColumn("seq_idx", F.explode(ends)).select(*LANE, "seq_idx", place.alias("o"), piece.alias("ids"))
+    joined = (
+        cut.select(*LANE, "seq_idx", F.struct("o", F.size("ids").alias("n"), packed(F.col("ids")).alias("p")).alias("__piece"))
+        .groupBy(*LANE, "seq_idx")
+        .agg(F.sum("__piece.n").alias("__n"), F.array_sort(F.collect_list("__piece")).alias("__pieces"))
+        .filter(F.col("__n") == seq_len)
+        .select(*LANE, "seq_idx", unpacked(F.col("__pieces.p")).alias("input_ids"))
+    )
+    return whole.unionByName(joined)
 
 
-def _sequences(cut: DataFrame, seq_len: int) -> DataFrame:
-    """Full sequences from rows ``(lane, seq_idx, at, n_tokens, ids)``, one for each sequence a run of ids meets."""
+def _piece(seq_len: int) -> tuple[Column, Column]:
+    """Where in its sequence the part of a run of ids that lies in it begins, and that part."""
     low = F.col("seq_idx") * seq_len - F.col("at")
     begin = F.greatest(low, F.lit(0))
     end = F.least(low + seq_len, F.col("n_tokens"))
-    piece = F.slice("ids", (begin + 1).cast("int"), (end - begin).cast("int"))
+    return begin - low, F.slice("ids", (begin + 1).cast("int"), (end - begin).cast("int"))
+
+
+def _sequences(cut: DataFrame, seq_len: int) -> DataFrame:
+    """Full sequences from rows ``(lane, seq_idx, at, n_tokens, ids)``, one for each sequence a run of ids meets."""
+    place, piece = _piece(seq_len)
     return (
-        cut.select(*LANE, "seq_idx", F.struct((begin - low).alias("o"), piece.alias("p")).alias("__piece"))
+        cut.select(*LANE, "seq_idx", F.struct(place.alias("o"), piece.alias("p")).alias("__piece"))
         .groupBy(*LANE, "seq_idx")
         .agg(F.array_sort(F.collect_list("__piece")).alias("__pieces"))
         .select(*LANE, "seq_idx", F.flatten(F.col("__pieces.p")).alias("input_ids"))

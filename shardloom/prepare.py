@@ -11,7 +11,7 @@ from shardloom.operators import shards as sh
 from shardloom.operators.encode import encode_in_place, frame
 from shardloom.operators.pack import assign_workers, pack_chunks, reading_order, shard_list
 from shardloom.operators.split import budget_cut, budgets, with_split
-from shardloom.session import as_written
+from shardloom.session import as_written, remove, sparing
 from shardloom.sources import shard_files as sf
 from shardloom.sources.readers import FAILURE_SCHEMA, read_mixture_isolated, with_min_length
 from shardloom.spec import MIN_CHARS_CORPUS, Mixture
@@ -53,8 +53,14 @@ def prepare(spark: SparkSession, mixture: Mixture, merges: DataFrame, vocab_size
 
     Every stage is kept in ``out/work`` under a mark of the sources' files, the merges and the settings. A run that was
     ended goes on after its last whole stage, one with other inputs starts anew, and a finished one changes nothing.
-    The work folder can be deleted at any time.
+    The work folder can be deleted at any time. Texts go once they are encoded, and ids as their shards are written.
     """
+    with sparing(spark):
+        return _prepare(spark, mixture, merges, vocab_size, out, tokenizer, max_tokens, fill, min_chars)
+
+
+def _prepare(spark: SparkSession, mixture: Mixture, merges: DataFrame, vocab_size: int, out: str, tokenizer: str,
+             max_tokens: int | None, fill: str, min_chars: int) -> Prepared:
     work = Stages(spark, f"{out}/work")
     mark = chained(fingerprint([file_marks(spark, s.location) for s in mixture.sources], mixture, table_mark(merges), vocab_size,
                                tokenizer, max_tokens, fill, min_chars), STAGES)
@@ -65,31 +71,33 @@ def prepare(spark: SparkSession, mixture: Mixture, merges: DataFrame, vocab_size
             raise ValueError("no source can be read")
         failures.write.parquet(f"{path}/failures")
 
-    def encode() -> DataFrame:
+    def encode(path: str) -> None:
         docs = spark.read.option("recursiveFileLookup", "true").schema(DOCUMENTS).parquet(f"{sources}/docs")
         kept = frame(encode_in_place(with_min_length(docs, min_chars), merges))
-        return with_split(kept, mixture.val_fraction, mixture.seed).select("mix_source", "source_ord", "ord", "split", "n_tokens", "ids")
+        sf.write_parts(with_split(kept, mixture.val_fraction, mixture.seed), sf.part_bounds(docs), path)
 
     def cut() -> DataFrame:
-        thin = encoded.drop("ids")
+        thin = sf.read_parts(spark, encoded).drop("ids")
         return thin if max_tokens is None else budget_cut(thin, budgets(mixture.table(spark), max_tokens))
 
     def export(path: str) -> None:
-        numbers = shards.select("mix_source", "split", "shard", "shard_idx")
-        placed = sh.with_ids(at.join(numbers, ["mix_source", "split", "shard"]).select("mix_source", "ord", "shard_idx"), encoded)
-        sf.export_bin(placed, f"{out}/shards").write.parquet(path)
+        turns = Stages(spark, work.path("turns"))
+        sf.export_in_turns(encoded, at, shards, f"{out}/shards", turns, mark["entries"]).write.parquet(path)
 
     def list_all(path: str) -> None:
         sf.require_shards(entries, "train")
         head = sf.manifest(entries, tokenizer, vocab_size, mixture.tokens_per_shard, mixture.val_fraction)
         sf.write_manifest(head, entries, f"{out}/manifest")
 
-    sources = work.run("sources", mark["sources"], read)
-    encoded = work.table("encoded", mark["encoded"], encode)
+    gone = work.mark_of("encoded") != mark["encoded"] and not work.has("sources/docs")
+    sources = work.run("sources", mark["sources"], read, anew=gone)
+    encoded = work.run("encoded", mark["encoded"], encode)
+    remove(spark, f"{sources}/docs")
     thin = work.table("thin", mark["thin"], cut)
     at = work.table("places", mark["places"], lambda: FILLS[fill](thin, mixture.tokens_per_shard))
     shards = work.table("shards", mark["shards"], lambda: sh.number_shards(sh.shard_totals(at), mixture.tokens_per_shard))
     entries = spark.read.parquet(work.run("entries", mark["entries"], export))
+    work.forget("encoded")
     work.run("manifest", mark["manifest"], list_all)
     failures = spark.read.schema(FAILURE_SCHEMA).parquet(f"{sources}/failures")
     return Prepared(out, *sf.read_manifest(spark, f"{out}/manifest"), failures, tuple(work.skipped))

@@ -203,3 +203,16 @@ def test_one_exchange_of_ids(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert len(found) == 2 and all("mix_source" in x and "ord" in x for x in found)  # one for the ids, one for the narrow side
+
+
+def test_texts_and_ids_go_when_they_are_used_up(spark, tmp_path):
+    done = pr.prepare(spark, fx.mixture(SF), spark.createDataFrame([], vo.MERGE_SCHEMA), 263, str(tmp_path / "out"), fill="offset")
+    work = tmp_path / "out" / "work"
+    assert not list(work.glob("sources/docs")) and not list(work.glob("encoded/part=*")) and list(work.glob("encoded.done"))
+    assert sum(f.stat().st_size for f in (tmp_path / "out" / "shards").glob("*.bin")) == 2 * done.entries.agg(F.sum("num_tokens")).first()[0]
+    # Without the mark of the encoded table its texts are read once more.
+    whole = shard_bytes(tmp_path / "out")
+    for name in ("encoded", "entries"):
+        (work / f"{name}.done").unlink()
+    again = pr.prepare(spark, fx.mixture(SF), spark.createDataFrame([], vo.MERGE_SCHEMA), 263, str(tmp_path / "out"), fill="offset")
+    assert again.skipped == ("thin", "places", "shards", "manifest") and shard_bytes(tmp_path / "out") == whole

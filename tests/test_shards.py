@@ -263,6 +263,28 @@ def test_export_leaves_shard_files_alone_on_the_disk(spark):
     assert plan.index("Exchange hashpartitioning(mix_source") < plan.index("ArrowEvalPython")  # packed below the exchange
 
 
+@pytest.mark.parametrize("seq_len,chunk", [(16, 50), (16, 7), (1, 5), (64, 1000), (10, 10)])
+def test_only_ends_of_chunks_are_exchanged(spark, seq_len, chunk):
+    rng = random.Random(seq_len + chunk)
+    shards, chunks, lanes, streams = [], [], {}, {}
+    for k in range(12):
+        ids, lane = [rng.randint(0, 65_535) for _ in range(rng.randint(1, 130))], (("train", "val")[k % 2], 0, 0, k % 3)
+        shards.append(("s", k, *lane, len(streams.setdefault(lane, []))))
+        chunks += [("s", lane[0], k, at, ids[at:at + chunk]) for at in range(0, len(ids), chunk)]
+        streams[lane] += ids
+    chunks.append(("other", "train", 0, 0, [1] * 100))  # a file that no manifest lists
+    want = {(*lane, i): ids[i * seq_len:(i + 1) * seq_len] for lane, ids in streams.items() for i in range(len(ids) // seq_len)}
+    placed = spark.createDataFrame(shards, "source string, shard_idx int, split string, epoch int, rank int, worker int, stream_off long")
+    table = spark.createDataFrame(chunks, "source string, split string, shard_idx int, start_tok long, ids array<int>").repartition(4)
+    got = pack.pack_chunks(table, placed, seq_len)
+    assert got.columns == ["split", "epoch", "rank", "worker", "seq_idx", "input_ids"]
+    found = [(tuple(r)[:5], r["input_ids"]) for r in got.collect()]
+    assert len(found) == len(want) and dict(found) == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("ArrowEvalPython", plan.index("hashpartitioning")) > plan.index("hashpartitioning")
+    assert plan.index("Generate explode(sequence") < plan.index("hashpartitioning")  # whole sequences before any exchange
+
+
 ENTRY = "path string, num_tokens long, shard_idx int, source string, split string"
 
 
